@@ -1,0 +1,55 @@
+"""Access-log lines derived from an ``events`` table, for tests, queries and benchmarks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+# Slots: {TS} time text, {HI} upper part of the address, {REF} referrer. The same
+# text runs in other SQL dialects with their own slots.
+LINE_SQL = """
+concat('10.0.', cast({HI} as varchar(9)), '.', cast(user_id % 256 as varchar(9)), ' example.com - [', {TS},
+  case when event_id % 7 = 0 then ' -0500' else ' +0000' end, '] "',
+  case when event_id % 50 = 49 then '-'
+       else concat('GET /', event_type, '/', cast(user_id % 20 as varchar(9)), '/ HTTP/2.0') end, '" ',
+  case when event_type = 'error' then '500' else '200' end, ' ',
+  case when event_id % 13 = 0 then '-' else cast(cast(floor(value*100) as bigint) as varchar(20)) end, ' "', {REF}, '" "',
+  case event_id % 11
+    when 0 then 'Mozilla/5.0 (compatible; GPTBot/1.2; +https://openai.com/gptbot)'
+    when 1 then 'Mozilla/5.0 (compatible; OAI-SearchBot/1.0; +https://openai.com/searchbot)'
+    when 2 then 'Mozilla/5.0 (compatible; ClaudeBot/1.0)'
+    when 3 then 'Mozilla/5.0 (compatible; Googlebot/2.1)'
+    when 4 then 'wpXcom feedbot'
+    when 5 then 'OAI-SearchBot/1.3'
+    when 6 then 'Mozilla/5.0 (Windows NT 10.0) Chrome/116.0 Safari/537.36'
+    when 7 then '-'
+    when 8 then ''
+    when 9 then 'facebookexternalhit/1.1'
+    when 10 then 'gptbot lower' end, '"',
+  case when event_id % 3 = 0 then ''
+       else concat(' | TLSv1.3 | 0.0', cast(10 + event_id % 80 as varchar(9)), ' - 0.031 MISS 0 NC:000000 UP:-') end)
+"""
+REFERRER_SQL = """
+case event_id % 4 when 0 then '-' when 1 then '' when 2 then concat('https://example.com/', event_type, '/')
+  else concat('https://search.example/?q=', cast(user_id % 50 as varchar(9))) end
+"""
+
+TIME_SPARK = "date_format(ts, 'dd/MMM/yyyy:HH:mm:ss')"
+
+
+def line_sql(time: str, high: str, referrer: str = "'-'") -> str:
+    return (
+        LINE_SQL.replace("{TS}", time).replace("{HI}", high).replace("{REF}", referrer).strip()
+    )
+
+
+def lines_from_events(events: DataFrame, referrer: str = "'-'") -> DataFrame:
+    """``line`` with the day and name of the file it would arrive in."""
+    return events.select(
+        F.expr(line_sql(TIME_SPARK, "user_id div 256", referrer)).alias("line"),
+        F.to_date("ts").alias("log_date"),
+        F.concat(F.lit("access.log-"), F.to_date("ts").cast("string"), F.lit(".gz")).alias("source_file"),
+    )
+
+
+def sample_lines(spark: SparkSession, sf_dir: str, referrer: str = "'-'") -> DataFrame:
+    return lines_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"), referrer)
