@@ -20,7 +20,7 @@ from hitledger.operators import accuracy, classify, files, parse, report, traffi
 from hitledger.plans.landing import Store, land_files
 from hitledger.plans.reporting import build_report_from_rollup, get_or_build_report, read_report
 from hitledger.schema import ACCESS_LOG, CSV_COLUMNS
-from hitledger.session import scratch_dir
+from hitledger.session import scratch_dir, use_all_cores
 from hitledger.sinks.access import write_csv
 from hitledger.sources.bots import default_bots
 from hitledger.sources.catalog import register_access_table, register_views
@@ -39,7 +39,7 @@ ENTRY_DIR = "/root/testdata/sf0.001"
 # --- inputs -----------------------------------------------------------------
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return use_all_cores(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +59,8 @@ def _raw_files(spark: SparkSession, sf_dir: str, root: str) -> str:
     """The lines as gzip files, one or more per ``date=`` folder."""
     raw = f"{root}/raw"
     lines = _lines(spark, sf_dir).select("line", F.col("log_date").alias("date"))
-    lines.write.partitionBy("date").option("compression", "gzip").text(raw)
+    by_day = lines.hint("rebalance", F.col("date"))
+    by_day.write.partitionBy("date").option("compression", "gzip").text(raw)
     return raw
 
 
@@ -80,7 +81,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _parse_access_log(spark, d):
     rows = _requests(spark, d)
-    stamp = grammar.iso_timestamp(F.col("ts"), F.col("tz_offset")).alias("timestamp")
+    seconds = grammar.local_seconds("ts", "tz_offset")
+    stamp = F.expr(grammar.iso_timestamp("date", seconds, "tz_offset")).alias("timestamp")
     names = [n for n in ACCESS_LOG.fieldNames() if n not in ("date", "ts", "tz_offset")]
     return rows.select("date", stamp, *names)
 

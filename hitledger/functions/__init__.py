@@ -1 +1 @@
-"""Column expressions. Nothing here runs Python per row."""
+"""SQL expressions of built-in functions. Nothing here runs Python per row."""

@@ -4,20 +4,18 @@ from __future__ import annotations
 
 import ipaddress
 
-from pyspark.sql import Column, functions as F
+from hitledger.functions.text import literal
 
 
-def ipv4_number(address: Column) -> Column:
+def ipv4_number(address: str) -> str:
     """The address as a BIGINT; null when it is not a dotted IPv4 address."""
-    number = None
-    for part in range(1, 5):
-        text = F.split_part(address, F.lit("."), F.lit(part))
-        digits = (F.translate(text, "0123456789", "") == "") & F.octet_length(text).between(1, 3)
-        octet = F.when(digits, text.try_cast("bigint"))
-        octet = F.when(octet <= 255, octet)
-        number = octet if number is None else number * 256 + octet
-    four = F.octet_length(address) - F.octet_length(F.translate(address, ".", "")) == 3
-    return F.when(four, number)
+    octets = [f"CAST(split_part({address}, '.', {part}) AS BIGINT)" for part in range(1, 5)]
+    number = octets[0]
+    for octet in octets[1:]:
+        number = f"({number} * 256 + {octet})"
+    octet = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+    dotted = literal(rf"^({octet}\.){{3}}{octet}\z")
+    return f"CASE WHEN rlike({address}, {dotted}) THEN {number} END"
 
 
 def ipv4_bounds(cidr: str) -> tuple[int, int] | None:

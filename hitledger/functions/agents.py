@@ -1,14 +1,11 @@
-"""User-agent classification as column expressions."""
+"""User-agent classification as SQL expressions."""
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, functions as F
-
-from hitledger.functions.text import strip
+from hitledger.functions.text import literal, strip
 from hitledger.sources.bots import Bot
 
 # Ignore case by Unicode rules, Unicode character classes, and only a newline ends a line.
@@ -18,11 +15,7 @@ _REGEX_CHARACTERS = set("\\^$*+?{}[]|()")
 _GATE_SIZE = 3
 
 
-def _either(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
-def _literal(pattern: str) -> str | None:
+def _plain_text(pattern: str) -> str | None:
     """The longest piece of plain text a match must hold, if the pattern is that simple."""
     if not pattern.isascii() or _REGEX_CHARACTERS & set(pattern):
         return None
@@ -34,7 +27,7 @@ def _plain_patterns(bot: Bot) -> list[str] | None:
 
     A pattern that holds another plain one of the same entry can never decide.
     """
-    if any(_literal(p) is None for p in bot.patterns):
+    if any(_plain_text(p) is None for p in bot.patterns):
         return None
     lowered = list(dict.fromkeys(p.lower() for p in bot.patterns))
     return [
@@ -43,17 +36,17 @@ def _plain_patterns(bot: Bot) -> list[str] | None:
     ]
 
 
-def _matches(bot: Bot, agent: Column, folded: Column) -> Column:
+def _matches(bot: Bot, agent: str, folded: str) -> str:
     plain = _plain_patterns(bot)
     if plain is None:
-        return F.rlike(agent, F.lit(REGEX_FLAGS + bot.regex))
-    return _either(
-        [
-            F.contains(folded, F.lit(_literal(p)))
-            & (F.rlike(agent, F.lit(REGEX_FLAGS + p)) if "." in p else F.lit(True))
-            for p in plain
-        ]
-    )
+        return f"rlike({agent}, {literal(REGEX_FLAGS + bot.regex)})"
+    tests = []
+    for pattern in plain:
+        test = f"contains({folded}, {literal(_plain_text(pattern))})"
+        if "." in pattern:
+            test = f"({test} AND rlike({agent}, {literal(REGEX_FLAGS + pattern)}))"
+        tests.append(test)
+    return " OR ".join(tests)
 
 
 def gate_words(bots: Sequence[Bot]) -> list[str] | None:
@@ -68,7 +61,7 @@ def gate_words(bots: Sequence[Bot]) -> list[str] | None:
         plain = _plain_patterns(bot)
         if plain is None:
             return None
-        left += [_literal(p) for p in plain]
+        left += [_plain_text(p) for p in plain]
     if any(len(text) < _GATE_SIZE for text in left):
         return None
     chosen: list[str] = []
@@ -88,7 +81,7 @@ def gate_words(bots: Sequence[Bot]) -> list[str] | None:
     return chosen
 
 
-def bot_name(agent: Column, folded: Column, bots: Sequence[Bot]) -> Column:
+def bot_name(agent: str, folded: str, bots: Sequence[Bot]) -> str:
     """Name of the first entry that matches, null when none does or the agent is empty.
 
     Stays a row-by-row expression without shuffle or join. Plain patterns become
@@ -96,27 +89,25 @@ def bot_name(agent: Column, folded: Column, bots: Sequence[Bot]) -> Column:
     gate spares most human agents the whole chain.
     """
     if not bots:
-        return F.lit(None).cast("string")
-    chain = reduce(
-        lambda case, bot: (F if case is None else case).when(
-            _matches(bot, agent, folded), bot.name
-        ),
-        bots,
-        None,
+        return "CAST(NULL AS STRING)"
+    chain = "\n".join(
+        f"WHEN {_matches(bot, agent, folded)} THEN {literal(bot.name)}" for bot in bots
     )
+    worth_trying = f"{agent} <> ''"
     words = gate_words(bots)
-    worth_trying = agent != ""
     if words is not None:
-        worth_trying &= _either([F.contains(folded, F.lit(w)) for w in words])
-    return F.when(worth_trying, chain)
+        gate = " OR ".join(f"contains({folded}, {literal(w)})" for w in words)
+        worth_trying += f" AND ({gate})"
+    return f"CASE WHEN {worth_trying} THEN CASE {chain} END END"
 
 
-def is_llm(name: Column, bots: Sequence[Bot]) -> Column:
-    return name.isin([bot.name for bot in bots if bot.is_llm])
+def is_llm(name: str, bots: Sequence[Bot]) -> str:
+    names = ", ".join(literal(bot.name) for bot in bots if bot.is_llm)
+    return f"coalesce({name} IN ({names}), false)" if names else "false"
 
 
-def clean_agent(agent: Column) -> Column:
-    return strip(F.coalesce(agent, F.lit("")))
+def clean_agent(agent: str) -> str:
+    return strip(f"coalesce({agent}, '')")
 
 
 # Ordered families of browsers and systems, first match wins. A
@@ -141,11 +132,12 @@ SYSTEMS = {
 }
 
 
-def family(agent: Column, families: dict[str, list[str]]) -> Column:
-    """First family whose text the agent holds, ``Unknown`` otherwise."""
-    folded = F.lower(F.coalesce(agent, F.lit("")))
-    case = None
-    for name, texts in families.items():
-        found = _either([F.contains(folded, F.lit(t.lower())) for t in texts])
-        case = (F if case is None else case).when(found, name)
-    return case.otherwise("Unknown")
+def family(folded: str, families: dict[str, list[str]]) -> str:
+    """First family whose text the lower-case agent holds, ``Unknown`` otherwise."""
+    branches = "\n".join(
+        "WHEN "
+        + " OR ".join(f"contains({folded}, {literal(t.lower())})" for t in texts)
+        + f" THEN {literal(name)}"
+        for name, texts in families.items()
+    )
+    return f"CASE {branches} ELSE 'Unknown' END"

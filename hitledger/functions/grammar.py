@@ -1,4 +1,4 @@
-"""The access-log line grammar as column expressions.
+"""The access-log line grammar as SQL expressions.
 
 ``ip host ident [time] "method path protocol" status bytes "referrer" "agent"``
 then optionally ``| tls | time1 time2 time3 cache extra extra extra``.
@@ -6,9 +6,7 @@ then optionally ``| tls | time1 time2 time3 cache extra extra extra``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
-from hitledger.functions.text import strip, words
+from hitledger.functions.text import literal, strip, words
 
 SEPARATOR = " | "
 
@@ -34,129 +32,128 @@ FIELDS = [
 TIME_PATTERN = "d/MMM/yyyy:H:m:s [Z][XXX]"
 
 
-def main_segment(line: Column) -> Column:
+def main_segment(line: str) -> str:
     """Everything before the first separator, quotes or not."""
-    return F.substring_index(line, SEPARATOR, 1)
+    return f"substring_index({line}, {literal(SEPARATOR)}, 1)"
 
 
-def after_segment(text: Column, segment: Column) -> Column:
+def after_segment(text: str, segment: str) -> str:
     """What follows ``segment`` and one separator; null when nothing does."""
-    rest = F.substr(text, F.char_length(segment) + F.lit(len(SEPARATOR) + 1))
-    return F.when(F.octet_length(text) > F.octet_length(segment), rest)
+    start = f"char_length({segment}) + {len(SEPARATOR) + 1}"
+    return f"CASE WHEN octet_length({text}) > octet_length({segment}) THEN substr({text}, {start}) END"
 
 
-def request_fields(main: Column) -> Column:
+def request_fields(main: str) -> str:
     """All groups in one match, as an array; of length one when there is no match.
 
     The groups are joined by a newline, which no line can hold, and split again:
     one pass of the regular expression instead of one per column.
     """
-    joined = F.regexp_replace(
-        main, REQUEST_REGEX, "\n".join(f"${i}" for i in range(1, len(FIELDS) + 1))
-    )
-    return F.split(joined, "\n")
+    groups = "\n".join(f"${i}" for i in range(1, len(FIELDS) + 1))
+    return f"split(regexp_replace({main}, {literal(REQUEST_REGEX)}, {literal(groups)}), {literal(chr(10))})"
 
 
-def field(fields: Column, name: str) -> Column:
-    return F.get(fields, F.lit(FIELDS.index(name)))
+def field(fields: str, name: str) -> str:
+    return f"get({fields}, {FIELDS.index(name)})"
 
 
-def _zone(time: Column) -> Column:
-    return F.substring_index(time, " ", -1)
+def zone(time: str) -> str:
+    return f"substring_index({time}, ' ', -1)"
 
 
-def single_spaced(time: Column) -> Column:
+def single_spaced(time: str) -> str:
     """The space before the offset may be any run of white space."""
-    outer = F.octet_length(F.substring_index(time, " ", 1)) + F.octet_length(_zone(time))
-    one_space = outer + 1 == F.octet_length(time)
-    return F.when(one_space, time).otherwise(F.array_join(words(time), " "))
+    outer = f"octet_length(substring_index({time}, ' ', 1)) + octet_length({zone(time)})"
+    return (
+        f"CASE WHEN {outer} + 1 = octet_length({time}) THEN {time} "
+        f"ELSE array_join({words(time)}, ' ') END"
+    )
 
 
-def utc_offset(time: Column) -> Column:
+def utc_offset(zone: str) -> str:
     """``+hh:mm`` from ``+hhmm``, ``+hh:mm`` or ``Z``; null for anything else."""
-    zone = _zone(time)
-    size = F.octet_length(zone)
-    signed = F.substring(zone, 1, 1).isin("+", "-")
-    text = (
-        F.when(zone == "Z", "+00:00")
-        .when((size == 5) & signed, F.concat(F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, 4, 2)))
-        .when((size == 6) & signed, zone)
-    )
-    return F.when(text == "-00:00", "+00:00").otherwise(text)
+    return f"""CASE
+        WHEN {zone} IN ('Z', '-0000', '-00:00') THEN '+00:00'
+        WHEN left({zone}, 1) NOT IN ('+', '-') THEN NULL
+        WHEN octet_length({zone}) = 5 THEN concat(left({zone}, 3), ':', right({zone}, 2))
+        WHEN octet_length({zone}) = 6 THEN {zone} END"""
 
 
-def instant(time: Column) -> Column:
+def instant(time: str, offset: str) -> str:
     """The moment of the request; null when the time is malformed or has no offset."""
-    parsed = F.try_to_timestamp(time, F.lit(TIME_PATTERN))
-    return F.when(utc_offset(time).isNotNull(), parsed)
+    return (
+        f"CASE WHEN {offset} IS NOT NULL THEN try_to_timestamp({time}, {literal(TIME_PATTERN)}) END"
+    )
 
 
-def local_seconds(ts: Column, offset: Column) -> Column:
+def local_seconds(ts: str, offset: str) -> str:
     """Seconds since the epoch on the line's own clock, whatever the session zone."""
-    hours = F.substring(offset, 2, 2).try_cast("int")
-    minutes = F.substring(offset, 5, 2).try_cast("int")
-    sign = F.when(F.startswith(offset, F.lit("-")), -1).otherwise(1)
-    return F.unix_seconds(ts) + sign * (hours * 3600 + minutes * 60)
+    hours = f"try_cast(substr({offset}, 2, 2) AS INT)"
+    minutes = f"try_cast(substr({offset}, 5, 2) AS INT)"
+    sign = f"CASE WHEN startswith({offset}, '-') THEN -1 ELSE 1 END"
+    return f"(unix_seconds({ts}) + {sign} * ({hours} * 3600 + {minutes} * 60))"
 
 
-def local_date(ts: Column, offset: Column) -> Column:
-    days = F.floor(local_seconds(ts, offset) / 86400)
-    return F.date_from_unix_date(days.cast("int"))
+def local_date(seconds: str) -> str:
+    return f"date_from_unix_date(CAST(floor({seconds} / 86400) AS INT))"
 
 
-def local_hour(ts: Column, offset: Column) -> Column:
-    return F.floor(F.pmod(local_seconds(ts, offset), F.lit(86400)) / 3600).cast("int")
+def local_hour(seconds: str) -> str:
+    return f"CAST(pmod({seconds}, 86400) DIV 3600 AS INT)"
 
 
-def iso_timestamp(ts: Column, offset: Column) -> Column:
+def iso_timestamp(date: str, seconds: str, offset: str) -> str:
     """ISO text on the line's own clock, such as ``2025-10-01T05:41:30+00:00``."""
-    second = F.pmod(local_seconds(ts, offset), F.lit(86400)).cast("int")
-    clock = F.format_string(
-        "T%02d:%02d:%02d",
-        F.floor(second / 3600), F.floor(F.pmod(second, F.lit(3600)) / 60), F.pmod(second, F.lit(60)),
+    clock = (
+        f"format_string('T%02d:%02d:%02d', pmod({seconds}, 86400) DIV 3600, "
+        f"pmod({seconds}, 3600) DIV 60, pmod({seconds}, 60))"
     )
-    return F.concat(local_date(ts, offset).cast("string"), clock, offset)
+    return f"concat(CAST({date} AS STRING), {clock}, {offset})"
 
 
-def word_at(tokens: Column, index: int) -> Column:
-    return F.get(tokens, F.lit(index))
+def word_at(tokens: str, index: int) -> str:
+    return f"get({tokens}, {index})"
 
 
 # Words other than plain numbers that count as a number, in any case.
 _NOT_FINITE = {
-    sign + word: float(sign + word) for sign in ("", "+", "-") for word in ("nan", "inf", "infinity")
+    sign + word: sign.replace("+", "") + value
+    for sign in ("", "+", "-")
+    for word, value in (("nan", "NaN"), ("inf", "Infinity"), ("infinity", "Infinity"))
 }
 
 
-def number_at(tokens: Column, index: int) -> Column:
+def number_at(tokens: str, index: int) -> str:
     """The word as a number, or null.
 
     A cast alone would also take ``1.5d`` and hexadecimal floats, so only words made
     of plain number characters are cast.
     """
     word = word_at(tokens, index)
-    plain = F.translate(word, "0123456789+-.eE", "") == ""
-    not_finite = F.create_map(*[F.lit(x) for pair in _NOT_FINITE.items() for x in pair])
-    return F.when(plain, word.try_cast("double")).otherwise(
-        F.try_element_at(not_finite, F.lower(word))
+    pairs = ", ".join(
+        f"{literal(text)}, DOUBLE('{'NaN' if 'NaN' in value else value}')"
+        for text, value in _NOT_FINITE.items()
+    )
+    return (
+        f"CASE WHEN translate({word}, '0123456789+-.eE', '') = '' THEN try_cast({word} AS DOUBLE) "
+        f"ELSE try_element_at(map({pairs}), lower({word})) END"
     )
 
 
-def byte_count(text: Column) -> Column:
-    return F.coalesce(text.try_cast("bigint"), F.lit(-1).cast("bigint"))
+def byte_count(text: str) -> str:
+    return f"coalesce(try_cast({text} AS BIGINT), -1L)"
 
 
-def three_decimals(number: Column) -> Column:
+def three_decimals(number: str) -> str:
     """``%.3f`` text, empty for null."""
-    return (
-        F.when(number.isNull(), "")
-        .when(F.isnan(number), "nan")
-        .when(F.abs(number) == float("inf"), F.when(number > 0, "inf").otherwise("-inf"))
-        .otherwise(F.format_string("%.3f", number))
-    )
+    return f"""CASE
+        WHEN {number} IS NULL THEN ''
+        WHEN isnan({number}) THEN 'nan'
+        WHEN {number} = DOUBLE('Infinity') THEN 'inf'
+        WHEN {number} = DOUBLE('-Infinity') THEN '-inf'
+        ELSE format_string('%.3f', {number}) END"""
 
 
-def request_path(path: Column) -> Column:
+def request_path(path: str) -> str:
     """A blank or missing path means the root page."""
-    trimmed = strip(F.coalesce(path, F.lit("")))
-    return F.when(trimmed == "", "/").otherwise(trimmed)
+    return f"coalesce(nullif({strip(path)}, ''), '/')"

@@ -8,23 +8,20 @@ from pyspark.sql import DataFrame, functions as F
 
 from hitledger.functions import agents
 from hitledger.functions.addresses import ipv4_bounds, ipv4_number
-from hitledger.functions.text import fold_case
+from hitledger.functions.text import fold_case, literal
 from hitledger.sources.bots import Bot
 
 
 def _with_names(requests: DataFrame, bots: Sequence[Bot]) -> DataFrame:
     # Each step is read more than once by the next, so the optimizer keeps them apart.
     kept = [c for c in requests.columns if c not in ("bot_name", "is_llm")]
-    clean = requests.select(*kept, agents.clean_agent(F.col("user_agent")).alias("_agent"))
-    folded = clean.select("*", fold_case(F.col("_agent")).alias("_folded"))
-    return folded.select(
-        *kept, agents.bot_name(F.col("_agent"), F.col("_folded"), bots).alias("bot_name")
-    )
+    clean = requests.selectExpr(*kept, f"{agents.clean_agent('user_agent')} AS _agent")
+    folded = clean.selectExpr("*", f"{fold_case('_agent')} AS _folded")
+    return folded.selectExpr(*kept, f"{agents.bot_name('_agent', '_folded', bots)} AS bot_name")
 
 
 def _with_flag(named: DataFrame, bots: Sequence[Bot]) -> DataFrame:
-    flag = F.coalesce(agents.is_llm(F.col("bot_name"), bots), F.lit(False))
-    return named.select("*", flag.alias("is_llm"))
+    return named.selectExpr("*", f"{agents.is_llm('bot_name', bots)} AS is_llm")
 
 
 def name_bots(requests: DataFrame, bots: Sequence[Bot]) -> DataFrame:
@@ -43,7 +40,7 @@ def classify_requests(
     named = _with_names(requests, bots)
     kept = [c for c in named.columns if c != "bot_name"]
     # Generator instead of a filter, which would run the whole chain a second time.
-    name = F.inline(F.when(F.col("bot_name").isNotNull(), F.array(F.struct("bot_name"))))
+    name = F.expr("inline(CASE WHEN bot_name IS NOT NULL THEN array(struct(bot_name)) END)")
     found = _with_flag(named.select(*kept, name), bots)
     return found.where("is_llm") if llm_only else found
 
@@ -61,19 +58,17 @@ def check_bot_addresses(classified: DataFrame, bots: Sequence[Bot]) -> DataFrame
     ranges, so overlapping ranges count a request once.
     """
     counted = classified.groupBy("bot_name", "ip").agg(F.count(F.lit(1)).alias("requests"))
-    numbered = counted.select("*", ipv4_number(F.col("ip")).alias("_number"))
-    verdict = F.lit("no_ranges")
+    numbered = counted.selectExpr("*", f"{ipv4_number('ip')} AS _number")
+    branches = []
     for bot in bots:
         bounds = [b for b in map(ipv4_bounds, bot.ip_ranges) if b]
         if bounds:
-            inside = F.exists(
-                F.array(*[F.struct(F.lit(lo).cast("bigint").alias("lo"), F.lit(hi).cast("bigint").alias("hi")) for lo, hi in bounds]),
-                lambda r: F.col("_number").between(r["lo"], r["hi"]),
-            )
-            checked = F.when(F.col("_number").isNull(), "not_ipv4").otherwise(
-                F.when(inside, "inside").otherwise("outside")
+            inside = " OR ".join(f"_number BETWEEN {lo}L AND {hi}L" for lo, hi in bounds)
+            branches.append(
+                f"WHEN bot_name = {literal(bot.name)} THEN CASE WHEN _number IS NULL THEN 'not_ipv4' "
+                f"WHEN {inside} THEN 'inside' ELSE 'outside' END"
             )
-            verdict = F.when(F.col("bot_name") == bot.name, checked).otherwise(verdict)
+    verdict = F.expr(f"CASE {' '.join(branches)} ELSE 'no_ranges' END" if branches else "'no_ranges'")
     return (
         numbered.select("bot_name", "requests", verdict.alias("verdict"))
         .groupBy("bot_name", "verdict")

@@ -10,7 +10,7 @@ from hitledger.schema import ACCESS_LOG, CSV_COLUMNS
 
 BLANK, BAD_REQUEST, BAD_TIME, PARSED = "blank", "regex", "time", "parsed"
 
-_WORK_COLUMNS = ["_text", "_main", "_fields", "_time", "_ts"]
+_WORK_COLUMNS = ["_text", "_main", "_fields", "_time", "_zone", "_offset", "_ts"]
 
 
 def match_lines(lines: DataFrame) -> DataFrame:
@@ -20,20 +20,24 @@ def match_lines(lines: DataFrame) -> DataFrame:
     apart and the regular expression runs once per line.
     """
     kept = [c for c in lines.columns if c != "line"]
-    text = lines.select(*kept, strip(F.make_valid_utf8("line")).alias("_text"))
-    main = text.select("*", g.main_segment(F.col("_text")).alias("_main"))
-    fields = main.select("*", g.request_fields(F.col("_main")).alias("_fields"))
-    time = fields.select("*", g.single_spaced(g.field(F.col("_fields"), "time")).alias("_time"))
-    return time.select("*", g.instant(F.col("_time")).alias("_ts"))
+    text = lines.select(*kept, F.expr(strip("make_valid_utf8(line)")).alias("_text"))
+    steps = {
+        "_main": g.main_segment("_text"),
+        "_fields": g.request_fields("_main"),
+        "_time": g.single_spaced(g.field("_fields", "time")),
+        "_zone": g.zone("_time"),
+        "_offset": g.utc_offset("_zone"),
+        "_ts": g.instant("_time", "_offset"),
+    }
+    for name, step in steps.items():
+        text = text.selectExpr("*", f"{step} AS {name}")
+    return text
 
 
-def _outcome() -> Column:
-    return (
-        F.when(F.col("_text").isNull() | (F.col("_text") == ""), BLANK)
-        .when(F.size("_fields") != len(g.FIELDS), BAD_REQUEST)
-        .when(F.col("_ts").isNull(), BAD_TIME)
-        .otherwise(PARSED)
-    )
+def _outcome() -> str:
+    return f"""CASE WHEN coalesce(_text, '') = '' THEN '{BLANK}'
+        WHEN size(_fields) <> {len(g.FIELDS)} THEN '{BAD_REQUEST}'
+        WHEN _ts IS NULL THEN '{BAD_TIME}' ELSE '{PARSED}' END"""
 
 
 def requests_from_matches(matched: DataFrame) -> DataFrame:
@@ -43,41 +47,33 @@ def requests_from_matches(matched: DataFrame) -> DataFrame:
     ``match_lines`` and run the regular expression a second time.
     """
     kept = [c for c in matched.columns if c not in _WORK_COLUMNS]
-    names = [n for n in g.FIELDS if n not in ("ident", "time")]
-    request = F.struct(
-        *[g.field(F.col("_fields"), n).alias(n) for n in names],
-        F.col("_ts").alias("ts"),
-        g.utc_offset(F.col("_time")).alias("tz_offset"),
-        g.after_segment(F.col("_text"), F.col("_main")).alias("_tail"),
+    columns = {n: g.field("_fields", n) for n in g.FIELDS if n not in ("ident", "time")}
+    columns["ts"] = "_ts"
+    columns["tz_offset"] = "_offset"
+    columns["_tail"] = g.after_segment("_text", "_main")
+    request = ", ".join(f"'{name}', {value}" for name, value in columns.items())
+    parses = f"size(_fields) = {len(g.FIELDS)} AND _ts IS NOT NULL"
+    rows = matched.select(
+        *kept, F.expr(f"inline(CASE WHEN {parses} THEN array(named_struct({request})) END)")
     )
-    parses = (F.size("_fields") == len(g.FIELDS)) & F.col("_ts").isNotNull()
-    rows = matched.select(*kept, F.inline(F.when(parses, F.array(request))))
-    tls = rows.select("*", g.main_segment(F.col("_tail")).alias("_tls"))
-    tail = tls.select(
-        "*",
-        words(
-            F.coalesce(
-                g.main_segment(g.after_segment(F.col("_tail"), F.col("_tls"))), F.lit("")
-            )
-        ).alias("_words"),
-    )
-    tokens = F.col("_words")
+    tls = rows.selectExpr("*", f"{g.main_segment('_tail')} AS _tls")
+    metrics = g.main_segment(g.after_segment("_tail", "_tls"))
+    tail = tls.selectExpr("*", words(f"coalesce({metrics}, '')") + " AS _words")
     typed = {
-        "date": g.local_date(F.col("ts"), F.col("tz_offset")),
-        "status": F.col("status").try_cast("int"),
-        "body_bytes_sent": g.byte_count(F.col("bytes")),
-        "tls": strip(F.col("_tls")),
-        "time1": g.number_at(tokens, 0),
-        "time2": g.number_at(tokens, 1),
-        "time3": g.number_at(tokens, 2),
-        "cache_status": g.word_at(tokens, 3),
-        "extra_5": g.word_at(tokens, 4),
-        "extra_6": g.word_at(tokens, 5),
-        "extra_7": g.word_at(tokens, 6),
+        "date": g.local_date(g.local_seconds("ts", "tz_offset")),
+        "status": "try_cast(status AS INT)",
+        "body_bytes_sent": g.byte_count("bytes"),
+        "tls": strip("_tls"),
+        "time1": g.number_at("_words", 0),
+        "time2": g.number_at("_words", 1),
+        "time3": g.number_at("_words", 2),
+        "cache_status": g.word_at("_words", 3),
+        "extra_5": g.word_at("_words", 4),
+        "extra_6": g.word_at("_words", 5),
+        "extra_7": g.word_at("_words", 6),
     }
-    return tail.select(
-        *[typed.get(n, F.col(n)).alias(n) for n in ACCESS_LOG.fieldNames()], *kept
-    )
+    names = ACCESS_LOG.fieldNames()
+    return tail.selectExpr(*[f"{typed.get(n, n)} AS {n}" for n in names], *kept)
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -89,7 +85,7 @@ def line_outcomes(lines: DataFrame) -> DataFrame:
     """Every line with its ``outcome``: parsed, or why it was not."""
     matched = match_lines(lines)
     kept = [c for c in matched.columns if c not in _WORK_COLUMNS]
-    return matched.select(*kept, _outcome().alias("outcome"))
+    return matched.selectExpr(*kept, f"{_outcome()} AS outcome")
 
 
 def count_outcomes(lines: DataFrame, *by: str) -> DataFrame:
@@ -104,9 +100,8 @@ def count_outcomes(lines: DataFrame, *by: str) -> DataFrame:
 
 def outcome_counts() -> list[Column]:
     """Aggregates over :func:`match_lines`, to observe while the same pass writes."""
-    outcome = _outcome()
     return [
-        F.count_if(outcome == name).alias(name)
+        F.expr(f"count_if({_outcome()} = '{name}')").alias(name)
         for name in (PARSED, BLANK, BAD_REQUEST, BAD_TIME)
     ]
 
@@ -114,17 +109,17 @@ def outcome_counts() -> list[Column]:
 def csv_rows(logs: DataFrame) -> DataFrame:
     """The nineteen columns as text, ready for a CSV file; other columns are kept."""
     columns = {
-        "date": F.col("date").cast("string"),
-        "timestamp": g.iso_timestamp(F.col("ts"), F.col("tz_offset")),
-        "time1": g.three_decimals(F.col("time1")),
-        "time2": g.three_decimals(F.col("time2")),
-        "time3": g.three_decimals(F.col("time3")),
+        "date": "CAST(date AS STRING)",
+        "timestamp": g.iso_timestamp("date", "_seconds", "tz_offset"),
+        "time1": g.three_decimals("time1"),
+        "time2": g.three_decimals("time2"),
+        "time3": g.three_decimals("time3"),
     }
     kept = [c for c in logs.columns if c not in ACCESS_LOG.fieldNames()]
-    return logs.select(
+    clocked = logs.selectExpr("*", f"{g.local_seconds('ts', 'tz_offset')} AS _seconds")
+    return clocked.selectExpr(
         *[
-            columns[n].alias(n) if n in columns
-            else F.coalesce(F.col(n).cast("string"), F.lit("")).alias(n)
+            columns.get(n, f"coalesce(CAST({n} AS STRING), '')") + f" AS {n}"
             for n in CSV_COLUMNS
         ],
         *kept,

@@ -38,8 +38,7 @@ def in_window(
 
 def with_text_dates(rows: DataFrame) -> DataFrame:
     """Rows of an exported file with their text date as a DATE; bad dates are dropped."""
-    text = strip(F.coalesce(F.col("date"), F.lit("")))
-    parsed = F.try_to_date(text, "yyyy-M-d")
+    parsed = F.expr(f"try_to_date({strip('date')}, 'yyyy-M-d')")
     return rows.withColumn("date", parsed).where(F.col("date").isNotNull())
 
 
@@ -50,7 +49,7 @@ def bot_path_daily(requests: DataFrame, bots: Sequence[Bot], *by: str) -> DataFr
     one row per task.
     """
     found = classify_requests(requests.select(*by, "date", "user_agent", "path"), bots)
-    paged = found.withColumn("path", request_path(F.col("path")))
+    paged = found.withColumn("path", F.expr(request_path("path")))
     return paged.groupBy(*ROLLUP_KEYS, *by).agg(F.count(F.lit(1)).alias("requests"))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hitledger.functions.agents import BROWSERS, SYSTEMS, family
-from hitledger.functions.grammar import local_hour
+from hitledger.functions.grammar import local_hour, local_seconds
 
 MAX_ITEMS = 50_000
 KEEP_DATES = 365
@@ -56,7 +56,8 @@ def _family_panel(requests: DataFrame, name: str, families: dict[str, list[str]]
         "ip", F.coalesce("user_agent", F.lit("")).alias("user_agent"), "date"
     ).agg(F.count(F.lit(1)).alias("hits"), _bytes().alias("bytes"))
     return (
-        per_visitor.groupBy(family(F.col("user_agent"), families).alias(name))
+        per_visitor.withColumn("_folded", F.lower("user_agent"))
+        .groupBy(F.expr(family("_folded", families)).alias(name))
         .agg(
             F.sum("hits").alias("hits"),
             F.sum("bytes").alias("bytes"),
@@ -75,7 +76,8 @@ def traffic_systems(requests: DataFrame) -> DataFrame:
 
 def traffic_hours(requests: DataFrame) -> DataFrame:
     """By hour of the day on each line's own clock."""
-    return panel(requests, local_hour(F.col("ts"), F.col("tz_offset")).alias("hour"))
+    hour = local_hour(local_seconds("ts", "tz_offset"))
+    return panel(requests, F.expr(hour).alias("hour"))
 
 
 def traffic_status(requests: DataFrame) -> DataFrame:

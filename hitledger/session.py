@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", **conf: str) -> SparkSession:
@@ -36,3 +36,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         return tempfile.mkdtemp(prefix=f"hitledger-{name}-")
     return f"{shared.rstrip('/')}/hitledger-{name}-{uuid.uuid4().hex}"
+
+
+def use_all_cores(scan: DataFrame) -> DataFrame:
+    """Spread a scan of fewer splits than cores; a larger one is returned as it is.
+
+    One small file is one split, and everything up to the first shuffle would run on
+    one core. Only meant for plain scans, whose number of splits is known beforehand.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
