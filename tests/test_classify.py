@@ -1,0 +1,159 @@
+import json
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from hitledger.functions.addresses import ipv4_number
+from hitledger.functions.agents import gate_words
+from hitledger.operators.classify import agent_dimension, check_bot_addresses, classify_requests, name_bots
+from hitledger.sources.bots import Bot, bots_frame, bots_from_mapping, default_bots, load_bots
+
+
+def first_match(agent, bots):
+    """What the list means: the first entry whose pattern is found, ignoring case."""
+    agent = (agent or "").strip()
+    if not agent:
+        return None
+    for bot in bots:
+        if re.search("|".join(bot.patterns), agent, re.IGNORECASE):
+            return bot.name
+    return None
+
+
+def names(spark, agents, bots):
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(agents)], "id int, user_agent string")
+    rows = name_bots(df, bots).orderBy("id").collect()
+    return [r.bot_name for r in rows]
+
+
+def test_every_pattern_goes_to_the_first_entry_that_matches(spark):
+    bots = default_bots()
+    agents = [f(p) for b in bots for p in b.patterns for f in (str, str.upper, str.lower, lambda p: f"x {p};y")]
+    agents += [p.replace(".", "X") for b in bots for p in b.patterns if "." in p]
+    assert names(spark, agents, bots) == [first_match(a, bots) for a in agents]
+
+
+def test_order_decides(spark):
+    agents = [
+        "Mozilla/5.0 (compatible; OAI-SearchBot/1.0; +https://openai.com/searchbot)",
+        "OAI-SearchBot/1.3",
+        "gptbot lower", "-", "", None, "  ", "wpXcom feedbot", "wp\ncom feedbot",
+    ]
+    assert names(spark, agents, default_bots()) == [
+        "GPTBot", "OAI_SearchBot", "GPTBot", None, None, None, None, "WPFeedbot", None,
+    ]
+
+
+def test_random_agents(spark):
+    bots = default_bots()
+    rng = random.Random(3)
+    pieces = [p for b in bots for p in b.patterns] + [" ", "/", ".", "bot", "Bot", "Mozilla/5.0", "(compatible; ", "spider", "-"]
+    agents = []
+    for _ in range(4000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 3)))
+        cut = rng.randrange(len(text) + 1)
+        agents.append(text[:cut] + rng.choice(["", "x", " ", "K", "ſ"]) + text[cut + rng.randint(0, 1):])
+    assert names(spark, agents, bots) == [first_match(a, bots) for a in agents]
+
+
+def test_letters_equal_when_case_is_ignored(spark):
+    bots = default_bots()
+    agents = ["KStandBot/1.0", "ſemrushbot", "BİNGBOT", "bıngbot", "BINGBOT", "PINTEREST/0.2 é", "GÜPTBot"]
+    found = names(spark, agents, bots)
+    assert found == [first_match(a, bots) for a in agents]
+    assert found[:5] == ["KStandBot", "SemrushBot", "BingBot", "BingBot", "BingBot"]
+
+
+def test_regular_expressions_in_a_list(spark):
+    bots = bots_from_mapping(
+        {
+            "Digits": {"patterns": [r"^bot\d+$", r"\bcrawl(er)?\b"]},
+            "Grouped": {"patterns": ["a(b", "c)d"], "is_llm": False},
+            "Named": {"patterns": [r"(?P<x>zz)top"]},
+            "Umlaut": "übot",
+            "Any": {"patterns": ["q.t"]},
+            "It's": {"patterns": ["it's", "back\\\\slash"]},
+        }
+    )
+    agents = ["bot12", "bot12x", "my crawler", "crawlers", "bot٣", "abd", "acd", "ab", "zztop", "ÜBOT x", "qxt", "qt", "IT'S", "back\\slash"]
+    assert names(spark, agents, bots) == [first_match(a, bots) for a in agents]
+    assert gate_words(bots) is None
+
+
+def test_dimension_and_rows_agree(spark):
+    bots = default_bots()
+    agents = ["GPTBot/1.0", "x", "Googlebot", "GPTBot/1.0", ""]
+    df = spark.createDataFrame([(a,) for a in agents], "user_agent string")
+    by_row = {(r.user_agent, r.bot_name) for r in name_bots(df, bots).collect()}
+    by_agent = {(r.user_agent, r.bot_name) for r in agent_dimension(df, bots).collect()}
+    assert by_row == by_agent and agent_dimension(df, bots).count() == 4
+
+
+def test_classify_keeps_only_crawlers(spark):
+    df = spark.createDataFrame([("GPTBot", 1), ("x", 2), ("bingbot", 3)], "user_agent string, n int")
+    rows = classify_requests(df, default_bots()).orderBy("n").collect()
+    assert [(r.n, r.bot_name, r.is_llm) for r in rows] == [(1, "GPTBot", True), (3, "BingBot", False)]
+    assert [r.n for r in classify_requests(df, default_bots(), llm_only=True).collect()] == [1]
+    assert classify_requests(df, []).isEmpty()
+
+
+def test_defaults_of_a_list(spark, tmp_path):
+    mapping = {
+        "Bare": "bare-pattern",
+        "Text": {"patterns": "one"},
+        "Empty": {"patterns": []},
+        "Missing": {},
+        "Nulls": {"patterns": ["n"], "ip_ranges": None, "is_llm": False},
+    }
+    path = tmp_path / "bots.json"
+    path.write_text(json.dumps(mapping))
+    bots = load_bots(spark, str(path))
+    assert bots == [
+        Bot("Bare", ("bare-pattern",)),
+        Bot("Text", ("one",)),
+        Bot("Empty", ("Empty",)),
+        Bot("Missing", ("Missing",)),
+        Bot("Nulls", ("n",), False),
+    ]
+    frame = bots_frame(spark, bots).orderBy("ord").collect()
+    assert [r.bot_name for r in frame] == list(mapping)
+    assert frame[0].is_llm and frame[4].ip_ranges == []
+
+
+def test_default_list_shape():
+    bots = default_bots()
+    assert len(bots) == 46 and sum(len(b.patterns) for b in bots) == 94
+    assert sum(b.is_llm for b in bots) == 8 and sum(bool(b.ip_ranges) for b in bots) == 8
+
+
+def test_gate_is_necessary():
+    words = gate_words(default_bots())
+    assert "bot" in words and len(words) < 20
+    for bot in default_bots():
+        for pattern in bot.patterns:
+            assert any(w in pattern.lower() for w in words)
+
+
+@pytest.mark.parametrize(
+    "text, number",
+    [("1.2.3.4", 16909060), ("255.255.255.255", 2**32 - 1), ("0.0.0.0", 0), ("256.1.1.1", None), ("1.2.3", None),
+     ("1.2.3.4.5", None), ("::1", None), ("a.b.c.d", None), ("", None), ("1.2.3.4\n", None), (None, None)],
+)
+def test_ipv4_number(spark, text, number):
+    df = spark.createDataFrame([(text,)], "ip string")
+    assert df.select(F.expr(ipv4_number("ip")).alias("n")).first().n == number
+
+
+def test_addresses(spark):
+    bots = bots_from_mapping(
+        {
+            "A": {"patterns": ["a"], "ip_ranges": ["10.0.0.0/24", "10.0.0.128/25", "2a02::/29"]},
+            "B": {"patterns": ["b"]},
+        }
+    )
+    rows = [("A", "10.0.0.200"), ("A", "10.0.0.1"), ("A", "10.0.1.0"), ("A", "2a02::1"), ("B", "10.0.0.1")]
+    df = spark.createDataFrame(rows, "bot_name string, ip string")
+    found = {(r.bot_name, r.verdict): r.requests for r in check_bot_addresses(df, bots).collect()}
+    assert found == {("A", "inside"): 2, ("A", "outside"): 1, ("A", "not_ipv4"): 1, ("B", "no_ranges"): 1}

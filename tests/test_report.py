@@ -1,0 +1,200 @@
+import glob
+import json
+from collections import Counter
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from hitledger.operators import accuracy, report as r
+from hitledger.plans.reporting import get_or_build_report, has_report, read_report
+from hitledger.sinks.reports import json_path, write_report_json
+from hitledger.sources.bots import bots_from_mapping
+
+BOTS = bots_from_mapping({"A": {"patterns": ["aa"], "is_llm": True}, "B": {"patterns": ["bb"], "is_llm": False}})
+AS_OF = date(2024, 3, 1)
+
+
+def requests(spark, *rows):
+    return spark.createDataFrame(list(rows), "date date, user_agent string, path string")
+
+
+def rollup(spark, *rows):
+    return r.bot_path_daily(requests(spark, *rows), BOTS)
+
+
+D = date(2024, 2, 28)
+
+
+def test_window_edges(spark):
+    start = AS_OF - timedelta(days=365)
+    rows = [(start - timedelta(days=1), "aa", "/"), (start, "aa", "/"), (AS_OF, "aa", "/"), (AS_OF + timedelta(days=9), "aa", "/"), (None, "aa", "/")]
+    kept = r.in_window(requests(spark, *rows), AS_OF).select("date").orderBy("date").collect()
+    assert [k.date for k in kept] == [start, AS_OF, AS_OF + timedelta(days=9)]
+
+
+def test_slack_prunes_file_days(spark):
+    rows = requests(spark, (D, "aa", "/"), (D, "aa", "/x")).withColumn(
+        "log_date", F.when(F.col("path") == "/", F.lit(D)).otherwise(F.lit(D - timedelta(days=400)))
+    )
+    assert r.in_window(rows, AS_OF, 365).count() == 2
+    assert r.in_window(rows, AS_OF, 365, slack_days=2).count() == 1
+
+
+def test_text_dates(spark):
+    texts = ["2024-02-28", " 2024-02-28 ", "2024-2-8", "", None, "2025-13-01", "x", "2024-02-30", "2024-02-28x"]
+    df = spark.createDataFrame([(t,) for t in texts], "date string")
+    assert Counter(x.date for x in r.with_text_dates(df).collect()) == {D: 2, date(2024, 2, 8): 1}
+
+
+def test_rollup_paths_and_agents(spark):
+    rows = [(D, " aa ", " /x "), (D, "AA", "/x"), (D, "aa", ""), (D, "aa", None), (D, "aa", "  "), (D, "zz", "/x"), (D, "", "/"), (D, None, "/")]
+    found = {(x.bot_name, x.path): x.requests for x in rollup(spark, *rows).collect()}
+    assert found == {("A", "/x"): 2, ("A", "/"): 3}
+
+
+@pytest.fixture
+def base(spark):
+    days = [D - timedelta(days=i) for i in range(4)]
+    rows = []
+    for i, day in enumerate(days):
+        rows += [(day, "aa", f"/{p}") for p in range(i + 2)] * (i + 1)
+        if i != 2:
+            rows += [(day, "bb", "/0")] * 3
+    return rollup(spark, *rows).persist(), rows
+
+
+def test_totals_agree(base):
+    roll, rows = base
+    expected = Counter(a for _, a, _ in rows)
+    totals = {x.bot_name: x.total_requests for x in r.bot_totals(roll).collect()}
+    assert totals == {"A": expected["aa"], "B": expected["bb"]}
+    for part in (r.bot_daily(roll), r.bot_paths(roll)):
+        assert {x.bot_name: x.s for x in part.groupBy("bot_name").agg(F.sum("requests").alias("s")).collect()} == totals
+    summary = r.overall_summary(roll, AS_OF).first()
+    assert summary.total_requests == sum(totals.values()) and summary.unique_bots == len(totals)
+    assert summary.unique_paths == len({p for _, _, p in rows})
+    assert (summary.window_from, summary.window_to) == (AS_OF - timedelta(days=365), AS_OF)
+
+
+def test_estimated_pages(spark):
+    roll = rollup(spark, *[(D, "aa", f"/{i}") for i in range(3000)])
+    exact = r.overall_summary(roll, AS_OF).first()
+    estimate = r.overall_summary(roll, AS_OF, approximate=True).first()
+    assert exact.unique_paths == 3000 and abs(estimate.unique_paths - 3000) < 450
+    assert exact.total_requests == estimate.total_requests
+
+
+def test_overview_order_and_counts(base):
+    roll, _ = base
+    rows = r.bot_overview(roll).collect()
+    assert [(x.bot_name, x.bot_type, x.days_seen, x.unique_paths) for x in rows] == [("A", "LLM", 4, 5), ("B", "Other", 3, 1)]
+
+
+def test_ties_go_by_name(spark):
+    roll = rollup(spark, (D, "bb", "/b"), (D, "bb", "/a"), (D, "aa", "/z"), (D, "aa", "/z"))
+    assert [x.bot_name for x in r.bot_overview(roll).collect()] == ["A", "B"]
+    top = r.top_paths_per_bot(roll, 1).where("bot_name = 'B'").first()
+    assert (top.path, top.rank) == ("/a", 1)
+    assert [x.bot_name for x in r.top_bots(roll, 1).collect()] == ["A"]
+
+
+def test_filled_series(base):
+    roll, _ = base
+    rows = r.top_bots_daily_filled(roll, 2).collect()
+    assert len(rows) == 8
+    assert {(x.bot_name, x.date): x.requests for x in rows}["B", D - timedelta(days=2)] == 0
+    only_b = r.top_bots_daily_filled(roll.where("bot_name = 'B'"), 5).collect()
+    assert len(only_b) == 3 and all(x.requests == 3 for x in only_b)
+
+
+def test_periods(spark):
+    roll = rollup(spark, (date(2024, 2, 26), "aa", "/"), (date(2024, 3, 3), "aa", "/"), (date(2024, 3, 4), "bb", "/"))
+    found = {(x.bot_type, x.period, x.period_start): x.requests for x in r.bot_type_by_period(roll, "week", "month").collect()}
+    assert found == {
+        ("LLM", "week", date(2024, 2, 26)): 2, ("Other", "week", date(2024, 3, 4)): 1,
+        ("LLM", "month", date(2024, 2, 1)): 1, ("LLM", "month", date(2024, 3, 1)): 1, ("Other", "month", date(2024, 3, 1)): 1,
+    }
+
+
+def test_document_limits_pages_but_counts_all(base):
+    roll, _ = base
+    doc = r.report_document(roll, AS_OF, "now", max_paths=2).first()
+    assert [b.bot_name for b in doc.bots] == ["A", "B"]
+    a = doc.bots[0]
+    assert (len(a.top_paths), a.unique_paths) == (2, 5)
+    assert [p.requests for p in a.top_paths] == sorted((p.requests for p in a.top_paths), reverse=True)
+    assert [d.date for d in a.daily_requests] == sorted(d.date for d in a.daily_requests)
+
+
+def read_document(path):
+    text = "".join(open(f).read() for f in sorted(glob.glob(f"{path}/part-*")))
+    return json.loads(text)
+
+
+def test_json_document_is_whole(base, tmp_path):
+    roll, rows = base
+    path = write_report_json(roll, str(tmp_path), AS_OF, "now", 365)
+    assert path == json_path(str(tmp_path), date(2024, 2, 29))
+    doc = read_document(path)
+    assert doc["generated_at"] == "now" and doc["window"] == {"from": "2023-03-02", "to": "2024-03-01"}
+    assert doc["overall"]["total_requests"] == len(rows)
+    assert [b["bot_name"] for b in doc["bots"]] == ["A", "B"]
+    a = doc["bots"][0]
+    assert a["is_llm"] is True and [p["path"] for p in a["top_paths"]] == ["/0", "/1", "/2", "/3", "/4"]
+    assert sum(p["requests"] for p in a["top_paths"]) == a["total_requests"]
+
+
+def test_json_document_of_awkward_text_over_many_parts(spark, tmp_path):
+    paths = [f'/p{i}"\\é\t' for i in range(3000)] + ["/", "/,", "]}"]
+    roll = rollup(spark, *[(D, "aa", p) for p in paths])
+    lines = r.report_json_lines(roll, AS_OF, "now")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_report_json(roll, str(tmp_path), AS_OF, "now", 365)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    folder = json_path(str(tmp_path), date(2024, 2, 29))
+    assert len(glob.glob(f"{folder}/part-*")) > 3
+    doc = read_document(folder)
+    assert {p["path"] for p in doc["bots"][0]["top_paths"]} == {p.strip() for p in paths}
+    assert lines.count() == len(paths) + 4
+
+
+def test_empty_report(spark, tmp_path):
+    roll = rollup(spark, (D, "zz", "/"))
+    assert r.overall_summary(roll, AS_OF).first()[2:] == (0, 0, 0)
+    assert r.top_bots_daily_filled(roll).isEmpty()
+    assert r.report_document(roll, AS_OF, "now").first().bots == []
+    write_report_json(roll, str(tmp_path), AS_OF, "now", 365)
+    doc = read_document(json_path(str(tmp_path), date(2024, 2, 29)))
+    assert doc["overall"] == {"total_requests": 0, "unique_bots": 0, "unique_paths": 0} and doc["bots"] == []
+
+
+def test_get_or_build(spark, tmp_path):
+    root, day = str(tmp_path), date(2024, 2, 29)
+    log = requests(spark, (D, "aa", "/"), (D, "bb", "/x"), (date(2022, 1, 1), "aa", "/old"))
+    assert not has_report(spark, root, day)
+    built = get_or_build_report(log, BOTS, root, day)
+    assert built["summary"].first().total_requests == 2
+    # stored now: other requests change nothing for this day
+    again = get_or_build_report(log.limit(0), BOTS, root, day)
+    assert again["paths"].count() == 2
+    # an older day is built for that day
+    older = get_or_build_report(log, BOTS, root, date(2022, 1, 1))
+    assert older["summary"].first().window_to == date(2022, 1, 2)
+    empty = get_or_build_report(log.limit(0), BOTS, root, date(2023, 1, 1))
+    assert empty["summary"].first().total_requests == 0 and empty["overview"].isEmpty()
+    assert read_report(spark, root, day)["overview"].count() == 2
+
+
+def test_accuracy(spark):
+    roll = rollup(spark, *[(D, "aa", "/")] * 5, (D - timedelta(days=1), "aa", "/"))
+    recorded = spark.createDataFrame([(D, 3), (D - timedelta(days=2), 4)], "date date, crawls long")
+    compared = accuracy.crawl_comparison(roll, recorded, "A")
+    assert {(x.date, x.hits, x.crawls, x.matched) for x in compared.collect()} == {
+        (D, 5, 3, 3), (D - timedelta(days=1), 1, 0, 0), (D - timedelta(days=2), 0, 4, 0),
+    }
+    assert accuracy.crawl_accuracy(compared).first().accuracy == 3 / 7
+    none = accuracy.crawl_accuracy(accuracy.crawl_comparison(roll, recorded.limit(0), "A")).first()
+    assert none.accuracy is None
