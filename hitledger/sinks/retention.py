@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 from datetime import date, timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
+from hitledger.functions.text import literal
 from hitledger.sources.paths import file_system
 from hitledger.sources.raw import DATE_TEXT
 
@@ -39,15 +41,13 @@ def expire_partitions(
     Dropping a partition of a table with its own location keeps the files.
     """
     limit = as_of - timedelta(days=keep_days)
-    days = (
-        spark.sql(f"SHOW PARTITIONS {table}")
-        .selectExpr("regexp_extract(partition, 'log_date=([^/]+)', 1) AS log_date")
-        .distinct()
-        .where(f"try_to_date(log_date) < DATE'{limit.isoformat()}'")
-        .orderBy("log_date")
-    )
-    old = [row.log_date for row in days.collect()]
+    old = {}
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        spec = dict(part.split("=", 1) for part in row.partition.split("/"))
+        if re.fullmatch(DATE_TEXT, spec["log_date"]) and date.fromisoformat(spec["log_date"]) < limit:
+            values = ", ".join(f"{k} = {literal(unquote(v))}" for k, v in spec.items())
+            old.setdefault(spec["log_date"], []).append(f"PARTITION ({values})")
     if not dry_run:
-        for day in old:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (log_date = DATE'{day}')")
-    return old
+        for specs in old.values():
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs)}")
+    return sorted(old)

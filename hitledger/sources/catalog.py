@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hitledger.functions.text import literal
+from hitledger.operators.classify import name_bots
 from hitledger.operators.report import bot_path_daily
 from hitledger.schema import ACCESS_LOG
-from hitledger.operators.classify import name_bots
 from hitledger.sources.bots import Bot
 
 
@@ -19,19 +21,21 @@ def _quote(name: str) -> str:
 def register_access_table(
     spark: SparkSession, prefix: str, path: str, table: str = "access_logs"
 ) -> str:
-    """Create database ``<prefix>_logs_db`` and table ``<prefix>_<table>`` over ``path``.
+    """Create or update table ``<prefix>_<table>`` of database ``<prefix>_logs_db``.
 
-    Both are created only if missing; partitions that landed since are added. Returns
-    the full table name.
+    The table is a name for the files below ``path``, so updating it means declaring it
+    anew; the files stay. Returns the full table name. The catalog takes letters, digits
+    and underscores only, so other characters of the prefix become underscores.
     """
+    prefix = re.sub(r"\W", "_", prefix, flags=re.ASCII)
     database = f"{prefix}_logs_db"
     full = f"{_quote(database)}.{_quote(f'{prefix}_{table}')}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quote(database)}")
     columns = ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in ACCESS_LOG)
-    location = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quote(database)}")
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {full} ({columns}, log_date DATE, source_file STRING) "
-        f"USING parquet PARTITIONED BY (log_date, source_file) LOCATION '{location}'"
+        f"CREATE TABLE {full} ({columns}, log_date DATE, source_file STRING) "
+        f"USING parquet PARTITIONED BY (log_date, source_file) LOCATION {literal(path)}"
     )
     spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
     spark.catalog.refreshTable(full)
