@@ -17,6 +17,7 @@ from hitledger.functions import grammar
 from hitledger.functions.addresses import ipv4_bounds
 from hitledger.functions.agents import BROWSERS, SYSTEMS
 from hitledger.operators import accuracy, classify, files, parse, report, traffic
+from hitledger.plans.dashboard import build_dashboard, read_dashboard
 from hitledger.plans.landing import Store, land_files
 from hitledger.plans.reporting import build_report_from_rollup, get_or_build_report, read_report
 from hitledger.schema import ACCESS_LOG, CSV_COLUMNS
@@ -55,6 +56,13 @@ def _rollup(spark: SparkSession, sf_dir: str, days_back: int = report.DAYS_BACK)
     return report.bot_path_daily(window, BOTS)
 
 
+def _stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup as a written table, for reports that read it several times over."""
+    path = f"{scratch_dir(spark, 'rollup')}/bot_path_daily"
+    _rollup(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _raw_files(spark: SparkSession, sf_dir: str, root: str) -> str:
     """The lines as gzip files, one or more per ``date=`` folder."""
     raw = f"{root}/raw"
@@ -130,7 +138,7 @@ def _top_paths(spark, d):
 
 
 def _report_document(spark, d):
-    document = report.report_document(_rollup(spark, d), AS_OF, GENERATED_AT)
+    document = report.report_document(_stored_rollup(spark, d), AS_OF, GENERATED_AT)
     return document.select(
         F.to_json(
             F.struct(
@@ -174,9 +182,20 @@ def _traffic_capped(spark, d):
     return traffic.top_items(traffic.traffic_requests(recent), 25)
 
 
+def _stored_dashboard(spark, d):
+    """All panels written, then the panel of client addresses."""
+    root = scratch_dir(spark, "dashboard")
+    table = f"{root}/access_logs"
+    _requests(spark, d).write.parquet(table)
+    build_dashboard(spark.read.parquet(table), f"{root}/panels", date(2024, 1, 30), keep_dates=10)
+    return read_dashboard(spark, f"{root}/panels", date(2024, 1, 30))["hosts"]
+
+
 def _csv_round_trip(spark, d):
     root = scratch_dir(spark, "csv")
-    write_csv(_requests(spark, d), f"{root}/parsed")
+    # Rows of a file come together first, for one export file per log file.
+    by_file = _requests(spark, d).hint("rebalance", F.col("log_date"), F.col("source_file"))
+    write_csv(by_file, f"{root}/parsed")
     rows = report.with_text_dates(read_access_csv(spark, f"{root}/parsed"))
     window = report.in_window(rows, AS_OF)
     return report.bot_daily(report.bot_path_daily(window, BOTS))
@@ -248,7 +267,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_bots_daily_filled": lambda s, d: report.top_bots_daily_filled(_rollup(s, d)),
         "bot_type_by_period": lambda s, d: report.bot_type_by_period(_rollup(s, d)),
         "report_document": _report_document,
-        "report_json_lines": lambda s, d: report.report_json_lines(_rollup(s, d), AS_OF, GENERATED_AT),
+        "report_json_lines": lambda s, d: report.report_json_lines(_stored_rollup(s, d), AS_OF, GENERATED_AT),
         "stored_report": _stored_report,
         "built_report_paths": _built_report_paths,
         "crawl_comparison": _crawl_comparison,
@@ -263,6 +282,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "traffic_status": lambda s, d: traffic.traffic_status(_requests(s, d)),
         "traffic_virtual_hosts": lambda s, d: traffic.traffic_virtual_hosts(_requests(s, d)),
         "traffic_capped": _traffic_capped,
+        "stored_dashboard": _stored_dashboard,
         "stream_landing_counts": _stream_landing_counts,
         "stream_daily_bots": _stream_daily_bots,
     }
@@ -374,6 +394,11 @@ landed as (
 """
 
 
+_RECENT = f"""{_CTES},
+recent as (select * from parsed where "date" >= (
+  select min("date") from (select distinct "date" from parsed order by 1 desc limit 10)))"""
+
+
 def _panel(key: str, alias: str = "", where: str = "") -> str:
     named = f"{key} as {alias}" if alias else key
     return f"{_CTES} select {named}, {_METRICS} from parsed {where} group by {key}"
@@ -566,9 +591,8 @@ select case when is_llm then 'LLM' else 'Other' end as bot_type, period, period_
         "traffic_hours": _panel("cast(hour(local_ts) as int)", '"hour"'),
         "traffic_status": _panel("status"),
         "traffic_virtual_hosts": _panel("host"),
-        "traffic_capped": f"""{_CTES},
-recent as (select * from parsed where "date" >= (
-  select min("date") from (select distinct "date" from parsed order by 1 desc limit 10)))
+        "stored_dashboard": f"{_RECENT} select ip, {_METRICS} from recent group by ip",
+        "traffic_capped": f"""{_RECENT}
 select "method", path, protocol, {_METRICS} from recent group by all
 order by hits desc, "method", path, protocol limit 25""",
         "stream_landing_counts": f'{_CTES} select bot_name, "date", count(*) as requests from bots group by all',

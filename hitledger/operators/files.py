@@ -66,12 +66,17 @@ def new_log_files(candidates: DataFrame, landed: DataFrame) -> DataFrame:
 
 
 def file_sync_summary(candidates: DataFrame, landed: DataFrame) -> DataFrame:
-    """One row: candidates, how many are present already, how many are to be copied."""
-    marked = candidates.join(landed.withColumn("present", F.lit(True)), "filename", "left")
+    """One row: candidates, how many are present already, how many are to be copied.
+
+    Names are counted before the join, so it moves one row per name.
+    """
+    counted = candidates.groupBy("filename").agg(F.count(F.lit(1)).alias("n"))
+    marked = counted.join(landed.withColumn("present", F.lit(True)), "filename", "left")
+    present = F.when(F.col("present"), F.col("n")).otherwise(0)
     return marked.agg(
-        F.count(F.lit(1)).alias("total_candidates"),
-        F.count_if("present").alias("already_present"),
-        F.count_if(F.col("present").isNull()).alias("synced"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_candidates"),
+        F.coalesce(F.sum(present), F.lit(0)).alias("already_present"),
+        F.coalesce(F.sum(F.col("n") - present), F.lit(0)).alias("synced"),
     )
 
 

@@ -88,10 +88,15 @@ def traffic_virtual_hosts(requests: DataFrame) -> DataFrame:
     return panel(requests, "host")
 
 
+def last_dates_start(requests: DataFrame, days: int = KEEP_DATES) -> DataFrame:
+    """One row: the earliest of the last ``days`` dates that occur."""
+    dates = requests.select("date").distinct().orderBy(F.desc("date")).limit(days)
+    return dates.agg(F.min("date").alias("start"))
+
+
 def keep_last_dates(requests: DataFrame, days: int = KEEP_DATES) -> DataFrame:
     """Requests of the last ``days`` dates that occur, however far apart they are."""
-    dates = requests.select("date").distinct().orderBy(F.desc("date")).limit(days)
-    return requests.where(F.col("date") >= dates.agg(F.min("date")).scalar())
+    return requests.where(F.col("date") >= last_dates_start(requests, days).scalar())
 
 
 def top_items(panel_rows: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:

@@ -46,7 +46,7 @@ def stream_raw_lines(
     return _with_file(reader.text(path))
 
 
-def spread_lines(lines: DataFrame, bytes_per_task: int = 32 << 20) -> DataFrame:
+def spread_lines(lines: DataFrame, bytes_per_task: int = 8 << 20) -> DataFrame:
     """Spread lines over tasks before they are matched and written.
 
     A gzip file is read by one task whatever its size. This is the one shuffle of an

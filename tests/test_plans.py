@@ -27,7 +27,7 @@ def store(spark, tmp_path_factory):
     return store
 
 
-@pytest.mark.parametrize("name", sorted(set(e.queries()) - {"stored_report", "built_report_paths", "csv_round_trip", "stream_landing_counts", "stream_daily_bots", "catalog_sql"}))
+@pytest.mark.parametrize("name", sorted(set(e.queries()) - {"stored_report", "stored_dashboard", "built_report_paths", "csv_round_trip", "stream_landing_counts", "stream_daily_bots", "catalog_sql"}))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(e.queries()[name](spark, SF))
     for bad in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "MapInPandas"):

@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from hitledger.functions.agents import BROWSERS, SYSTEMS, family
 from hitledger.operators import traffic as t
 from hitledger.operators.parse import parse_lines
+from hitledger.plans.dashboard import PANELS, build_dashboard, read_dashboard
 
 
 def log(lines, line, *specs):
@@ -72,3 +73,15 @@ def test_families(spark, agent, browser, system):
     df = spark.createDataFrame([(agent.lower(),)], "a string")
     row = df.select(F.expr(family("a", BROWSERS)).alias("b"), F.expr(family("a", SYSTEMS)).alias("s")).first()
     assert (row.b, row.s) == (browser, system)
+
+
+def test_dashboard(spark, lines, line, tmp_path):
+    df = log(lines, line, dict(), dict(time="03/Oct/2025:05:00:00 +0000", ip="9.9.9.9"), dict(ip="1.1.1.1"))
+    build_dashboard(df, str(tmp_path), date(2020, 1, 1), keep_dates=5, max_items=2)
+    panels = read_dashboard(spark, str(tmp_path), date(2020, 1, 1))
+    assert set(panels) == set(PANELS)
+    assert panels["hosts"].count() == 2 and panels["daily"].count() == 2
+    build_dashboard(df, str(tmp_path), date(2020, 1, 1), keep_dates=1)
+    assert [r.ip for r in panels["hosts"].sparkSession.read.parquet(f"{tmp_path}/hosts").collect()] == ["9.9.9.9"]
+    build_dashboard(df.limit(0), str(tmp_path), date(2020, 1, 2))
+    assert read_dashboard(spark, str(tmp_path), date(2020, 1, 2))["os"].isEmpty()
