@@ -40,7 +40,7 @@ ENTRY_DIR = "/root/testdata/sf0.001"
 # --- inputs -----------------------------------------------------------------
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return use_all_cores(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return use_all_cores(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id")
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,6 +49,11 @@ def _matches(bot: Bot, agent: str, folded: str) -> str:
     return " OR ".join(tests)
 
 
+def is_plain(bots: Sequence[Bot]) -> bool:
+    """Whether the whole list can be applied by substring tests."""
+    return all(_plain_patterns(bot) is not None for bot in bots)
+
+
 def gate_words(bots: Sequence[Bot]) -> list[str] | None:
     """Few short words, one of which every matching agent must hold.
 

@@ -10,7 +10,7 @@ from hitledger.schema import ACCESS_LOG, CSV_COLUMNS
 
 BLANK, BAD_REQUEST, BAD_TIME, PARSED = "blank", "regex", "time", "parsed"
 
-_WORK_COLUMNS = ["_text", "_main", "_fields", "_time", "_zone", "_offset", "_ts"]
+_WORK_COLUMNS = ["_text", "_main", "_fields", "_time", "_zone", "_offset", "_ts", "_outcome"]
 
 
 def match_lines(lines: DataFrame) -> DataFrame:
@@ -28,18 +28,15 @@ def match_lines(lines: DataFrame) -> DataFrame:
         "_zone": g.zone("_time"),
         "_offset": g.utc_offset("_zone"),
         "_ts": g.instant("_time", "_offset"),
+        "_outcome": f"""CASE WHEN coalesce(_text, '') = '' THEN '{BLANK}'
+            WHEN size(_fields) <> {len(g.FIELDS)} THEN '{BAD_REQUEST}'
+            WHEN _ts IS NULL THEN '{BAD_TIME}' ELSE '{PARSED}' END""",
     }
     for name, step in steps.items():
         text = text.selectExpr("*", f"{step} AS {name}")
     return text
 
 
-def _outcome() -> str:
-    return f"""CASE WHEN coalesce(_text, '') = '' THEN '{BLANK}'
-        WHEN size(_fields) <> {len(g.FIELDS)} THEN '{BAD_REQUEST}'
-        WHEN _ts IS NULL THEN '{BAD_TIME}' ELSE '{PARSED}' END"""
-
-
 def requests_from_matches(matched: DataFrame) -> DataFrame:
     """Typed requests out of :func:`match_lines`, dropping lines that do not parse.
 
@@ -52,9 +49,9 @@ def requests_from_matches(matched: DataFrame) -> DataFrame:
     columns["tz_offset"] = "_offset"
     columns["_tail"] = g.after_segment("_text", "_main")
     request = ", ".join(f"'{name}', {value}" for name, value in columns.items())
-    parses = f"size(_fields) = {len(g.FIELDS)} AND _ts IS NOT NULL"
+    parsed = f"_outcome = '{PARSED}'"
     rows = matched.select(
-        *kept, F.expr(f"inline(CASE WHEN {parses} THEN array(named_struct({request})) END)")
+        *kept, F.expr(f"inline(CASE WHEN {parsed} THEN array(named_struct({request})) END)")
     )
     tls = rows.selectExpr("*", f"{g.main_segment('_tail')} AS _tls")
     metrics = g.main_segment(g.after_segment("_tail", "_tls"))
@@ -85,7 +82,7 @@ def line_outcomes(lines: DataFrame) -> DataFrame:
     """Every line with its ``outcome``: parsed, or why it was not."""
     matched = match_lines(lines)
     kept = [c for c in matched.columns if c not in _WORK_COLUMNS]
-    return matched.selectExpr(*kept, f"{_outcome()} AS outcome")
+    return matched.selectExpr(*kept, "_outcome AS outcome")
 
 
 def count_outcomes(lines: DataFrame, *by: str) -> DataFrame:
@@ -101,7 +98,7 @@ def count_outcomes(lines: DataFrame, *by: str) -> DataFrame:
 def outcome_counts() -> list[Column]:
     """Aggregates over :func:`match_lines`, to observe while the same pass writes."""
     return [
-        F.expr(f"count_if({_outcome()} = '{name}')").alias(name)
+        F.count_if(F.col("_outcome") == name).alias(name)
         for name in (PARSED, BLANK, BAD_REQUEST, BAD_TIME)
     ]
 

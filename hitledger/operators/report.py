@@ -7,6 +7,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from hitledger.functions.agents import is_plain
 from hitledger.functions.grammar import request_path
 from hitledger.functions.text import strip
 from hitledger.operators.classify import classify_requests
@@ -46,11 +47,18 @@ def bot_path_daily(requests: DataFrame, bots: Sequence[Bot], *by: str) -> DataFr
     """Requests per day, crawler and page: the base rollup, with one shuffle.
 
     Partial aggregation runs before the shuffle, so a hot page or crawler arrives as
-    one row per task.
+    one row per task. A list with real regular expressions is dear to apply; equal
+    requests are then counted first, at the price of a second shuffle, and the list
+    applied once to each kind.
     """
-    found = classify_requests(requests.select(*by, "date", "user_agent", "path"), bots)
+    rows = requests.select(*by, "date", "user_agent", "path")
+    requests_each = F.count(F.lit(1))
+    if not is_plain(bots):
+        rows = rows.groupBy(*rows.columns).agg(requests_each.alias("_count"))
+        requests_each = F.sum("_count")
+    found = classify_requests(rows, bots)
     paged = found.withColumn("path", F.expr(request_path("path")))
-    return paged.groupBy(*ROLLUP_KEYS, *by).agg(F.count(F.lit(1)).alias("requests"))
+    return paged.groupBy(*ROLLUP_KEYS, *by).agg(requests_each.alias("requests"))
 
 
 def merge_rollups(rollup: DataFrame) -> DataFrame:
@@ -171,10 +179,10 @@ def bot_type_by_period(rollup: DataFrame, *units: str) -> DataFrame:
     periods = F.array(
         *[
             F.struct(
-                F.lit(u).alias("period"),
-                F.to_date(F.date_trunc(u, F.col("date").cast("timestamp"))).alias("period_start"),
+                F.lit(unit).alias("period"),
+                (F.col("date") if unit == "day" else F.trunc("date", unit)).alias("period_start"),
             )
-            for u in names
+            for unit in names
         ]
     )
     return (

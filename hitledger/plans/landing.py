@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from hitledger.operators.parse import match_lines, outcome_counts, requests_from_matches
 from hitledger.operators.report import bot_path_daily
 from hitledger.schema import ACCESS_TABLE, FILE_ROLLUP
 from hitledger.sinks.access import FILE_KEYS, write_by_file
 from hitledger.sources.bots import Bot
+from hitledger.sources.paths import path_exists
 from hitledger.sources.raw import read_raw_lines, spread_lines
 from hitledger.sources.table import read_or_empty
 
+# Fixed value: how a folder of a partition column spells null.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
 
 class Store:
     """Where the parsed table and its rollup live."""
@@ -26,15 +32,27 @@ class Store:
     def read_access(self, spark: SparkSession) -> DataFrame:
         return read_or_empty(spark, self.access, ACCESS_TABLE, spark.read.schema(ACCESS_TABLE).parquet)
 
+    def read_files(self, spark: SparkSession, files: Sequence[tuple[date, str]]) -> DataFrame:
+        """Requests of some files, without listing the rest of the table."""
+        names: dict[date, list[str]] = {}
+        for day, name in files:
+            names.setdefault(day, []).append(name)
+        folders = [f"{self.access}/log_date={day or NO_DAY}" for day in names]
+        folders = [folder for folder in folders if path_exists(spark, folder)]
+        if not folders:
+            return spark.createDataFrame([], ACCESS_TABLE)
+        table = spark.read.schema(ACCESS_TABLE).option("basePath", self.access).parquet(*folders)
+        wanted = [
+            F.col("log_date").eqNullSafe(F.lit(day)) & F.col("source_file").isin(some)
+            for day, some in names.items()
+        ]
+        return table.where(reduce(lambda a, b: a | b, wanted))
+
     def read_rollup(self, spark: SparkSession) -> DataFrame:
         """Requests per file, day, crawler and page; sum over files with ``merge_rollups``."""
         return read_or_empty(spark, self.rollup, FILE_ROLLUP, spark.read.schema(FILE_ROLLUP).parquet)
 
 
-def _file_key() -> Column:
-    return F.concat_ws("/", F.col("log_date").cast("string"), F.col("source_file"))
-
-
 def land_lines(
     lines: DataFrame, store: Store, bots: Sequence[Bot] | None = None, on_replay: str = "replace"
 ) -> dict[str, int]:
@@ -44,27 +62,27 @@ def land_lines(
     kept per file, so late requests for an old day and replayed files need no rescan
     of that day: only the arriving files are read.
     """
-    spark = lines.sparkSession
     seen = Observation()
-    files = F.collect_set(_file_key()).alias("files")
+    files = F.collect_set(F.struct(*FILE_KEYS)).alias("files")
     matched = match_lines(spread_lines(lines)).observe(seen, *outcome_counts(), files)
     write_by_file(requests_from_matches(matched), store.access, on_replay)
     counts = dict(seen.get)
-    landed = counts.pop("files")
+    landed = [tuple(file) for file in counts.pop("files")]
     if bots is not None and landed:
-        update_rollup(spark, store, landed, bots)
+        update_rollup(lines.sparkSession, store, landed, bots)
     return counts
 
 
 def update_rollup(
-    spark: SparkSession, store: Store, files: Sequence[str], bots: Sequence[Bot]
+    spark: SparkSession, store: Store, files: Sequence[tuple[date, str]], bots: Sequence[Bot]
 ) -> None:
-    """Recompute the rollup of the given files (``log_date/source_file``) from the table.
+    """Recompute the rollup of the given files, (``log_date``, ``source_file``), from the table.
 
     The list has one entry per file of a batch, which Spark's own listing holds as well.
-    As a filter on partition columns it limits the scan to those files.
+    Only the folders of their days are listed, and only their own files read. After a
+    change of the crawler list, use :func:`rebuild_rollup` instead.
     """
-    landed = store.read_access(spark).where(_file_key().isin(list(files)))
+    landed = store.read_files(spark, files)
     write_by_file(bot_path_daily(landed, bots, *FILE_KEYS), store.rollup)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hitledger.functions.addresses import ipv4_number
 from hitledger.functions.agents import gate_words
 from hitledger.operators.classify import agent_dimension, check_bot_addresses, classify_requests, name_bots
+from hitledger.operators.report import bot_path_daily
 from hitledger.sources.bots import Bot, bots_frame, bots_from_mapping, default_bots, load_bots
 
 
@@ -157,3 +158,10 @@ def test_addresses(spark):
     df = spark.createDataFrame(rows, "bot_name string, ip string")
     found = {(r.bot_name, r.verdict): r.requests for r in check_bot_addresses(df, bots).collect()}
     assert found == {("A", "inside"): 2, ("A", "outside"): 1, ("A", "not_ipv4"): 1, ("B", "no_ranges"): 1}
+
+
+def test_rollup_with_regular_expressions(spark):
+    rows = [("2024-01-01", "bot1", "/a")] * 3 + [("2024-01-01", "bot22", "/a"), ("2024-01-01", "bot", "/a")]
+    df = spark.createDataFrame(rows, "date string, user_agent string, path string").selectExpr("CAST(date AS DATE) AS date", "user_agent", "path")
+    bots = bots_from_mapping({"N": {"patterns": [r"bot\d"]}})
+    assert [(r.bot_name, r.requests) for r in bot_path_daily(df, bots).collect()] == [("N", 4)]

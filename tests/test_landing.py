@@ -111,6 +111,18 @@ def test_append_on_replay_doubles_rows(spark, root):
         write_by_file(store.read_access(spark), store.access, "other")
 
 
+def test_files_without_a_day(spark, root):
+    folder = f"{root}/plain"
+    os.makedirs(folder)
+    with gzip.open(f"{folder}/access.gz", "wb") as f:
+        f.write(request_line(time=stamp("2025-10-01")).encode())
+    store = Store(f"{root}/store")
+    for _ in range(2):
+        land_files(spark, folder, store, BOTS)
+    assert store.read_access(spark).first().log_date is None
+    assert by_day(store.read_rollup(spark)) == {("GPTBot", date(2025, 10, 1)): 1}
+
+
 def test_changed_list_rebuilds_the_rollup(spark, root):
     store = Store(f"{root}/store")
     land_files(spark, f"{root}/raw", store, BOTS)

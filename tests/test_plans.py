@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as e
 from hitledger.operators import report as r
 from hitledger.operators.parse import parse_lines
-from hitledger.plans.landing import Store, _file_key, land_lines
+from hitledger.plans.landing import Store, land_lines
 from hitledger.sources.bots import default_bots
 
 SF = "/root/testdata/sf0.001"
@@ -58,9 +58,12 @@ def test_slack_prunes_partitions(spark, store):
 
 
 def test_landed_files_are_found_by_partition(spark, store):
-    df = store.read_access(spark).where(_file_key().isin(["2024-01-05/access.log-2024-01-05.gz"]))
-    assert re.search(r"PartitionFilters: \[[^]]*2024-01-05/access", plan(df))
-    assert df.select("log_date").distinct().count() == 1
+    files = [(date(2024, 1, 5), "access.log-2024-01-05.gz"), (date(2024, 1, 6), "no such file"), (None, "x"), (date(1999, 1, 1), "x")]
+    df = store.read_files(spark, files)
+    assert re.search(r"PartitionFilters: \[[^]]*access.log-2024-01-05", plan(df))
+    assert "InMemoryFileIndex(2 paths)" in plan(df)
+    assert [row.log_date for row in df.select("log_date").distinct().collect()] == [date(2024, 1, 5)]
+    assert store.read_files(spark, [(None, "x")]).isEmpty()
 
 
 def test_top_pages_are_cut_before_the_shuffle(spark, store):
