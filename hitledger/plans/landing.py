@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
-from hitledger.operators.parse import match_lines, outcome_counts, requests_from_matches
+from hitledger.operators.parse import (
+    BAD_REQUEST, BAD_TIME, BLANK, PARSED, match_lines, outcome_counts, requests_from_matches,
+)
 from hitledger.operators.report import bot_path_daily
 from hitledger.schema import ACCESS_TABLE, FILE_ROLLUP
 from hitledger.sinks.access import FILE_KEYS, write_by_file
 from hitledger.sources.bots import Bot
 from hitledger.sources.paths import path_exists
-from hitledger.sources.raw import read_raw_lines, spread_lines
+from hitledger.sources.raw import list_files, read_raw_lines, spread_lines
 from hitledger.sources.table import read_or_empty
 
 # Fixed value: how a folder of a partition column spells null.
@@ -54,23 +58,53 @@ class Store:
 
 
 def land_lines(
-    lines: DataFrame, store: Store, bots: Sequence[Bot] | None = None, on_replay: str = "replace"
+    lines: DataFrame, store: Store, on_replay: str = "replace", spread: bool = True
 ) -> dict[str, int]:
-    """Parse raw lines into the table; returns lines per outcome, counted by the same pass.
+    """Parse raw lines into the table; returns lines per outcome, counted by the same pass."""
+    lines = spread_lines(lines) if spread else lines.drop("file_size")
+    seen = Observation()
+    matched = match_lines(lines).observe(seen, *outcome_counts())
+    write_by_file(requests_from_matches(matched), store.access, on_replay)
+    return dict(seen.get)
+
+
+def spread_limit(sizes: Sequence[int], cores: int) -> int:
+    """Compressed size from which on a file is spread over tasks.
+
+    Half of an even share per core: a larger file would still be read when the others
+    are done. Among many files that is large, and they are parsed where they are read,
+    without a shuffle. At least the size of one share, at most 128 MB.
+    """
+    return min(max(sum(sizes) // (2 * cores), 8 << 20), 128 << 20)
+
+
+def _no_wildcards(path: str) -> str:
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def land_listed(
+    spark: SparkSession, listed: Sequence[Row], store: Store, bots: Sequence[Bot] | None = None,
+    on_replay: str = "replace", limit: int | None = None,
+) -> dict[str, int]:
+    """Land the files of a listing (``list_files``); returns lines per outcome.
 
     With ``bots``, the rollup of the landed files is brought up to date as well. It is
     kept per file, so late requests for an old day and replayed files need no rescan
     of that day: only the arriving files are read.
+
+    The listing has one entry per file, as Spark's own index of them does. A damaged
+    file fails the call before any of its rows is visible; landing can then be repeated.
     """
-    seen = Observation()
-    files = F.collect_set(F.struct(*FILE_KEYS)).alias("files")
-    matched = match_lines(spread_lines(lines)).observe(seen, *outcome_counts(), files)
-    write_by_file(requests_from_matches(matched), store.access, on_replay)
-    counts = dict(seen.get)
-    landed = [tuple(file) for file in counts.pop("files")]
-    if bots is not None and landed:
-        update_rollup(lines.sparkSession, store, landed, bots)
-    return counts
+    if limit is None:
+        limit = spread_limit([f.length for f in listed], spark.sparkContext.defaultParallelism)
+    counts: Counter = Counter({PARSED: 0, BLANK: 0, BAD_REQUEST: 0, BAD_TIME: 0})
+    for spread in (False, True):
+        paths = [_no_wildcards(f.path) for f in listed if (f.length > limit) == spread]
+        if paths:
+            counts.update(land_lines(read_raw_lines(spark, paths), store, on_replay, spread))
+    if bots is not None and listed:
+        update_rollup(spark, store, [(f.log_date, f.filename) for f in listed], bots)
+    return dict(counts)
 
 
 def update_rollup(
@@ -95,7 +129,8 @@ def rebuild_rollup(spark: SparkSession, store: Store, bots: Sequence[Bot]) -> No
 
 
 def land_files(
-    spark: SparkSession, path: str | list[str], store: Store, bots: Sequence[Bot] | None = None,
+    spark: SparkSession, path: str, store: Store, bots: Sequence[Bot] | None = None,
     on_replay: str = "replace",
 ) -> dict[str, int]:
-    return land_lines(read_raw_lines(spark, path), store, bots, on_replay)
+    """Land every file below a folder, or one file."""
+    return land_listed(spark, list_files(spark, path).collect(), store, bots, on_replay)

@@ -1,4 +1,4 @@
-"""Raw access-log files, in batch and as a stream of files."""
+"""Raw access-log files: their lines, and listings of them in batch and as a stream."""
 
 from __future__ import annotations
 
@@ -15,10 +15,13 @@ def file_day(path: Column) -> Column:
 
 
 def _with_file(lines: DataFrame) -> DataFrame:
+    # File metadata is URL-encoded, with a plus sign left as it is.
+    name = F.col("_metadata.file_name")
+    decoded = F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
     return lines.select(
         F.col("value").alias("line"),
         file_day(F.col("_metadata.file_path")).alias("log_date"),
-        F.col("_metadata.file_name").alias("source_file"),
+        F.when(F.contains(name, F.lit("%")), decoded).otherwise(name).alias("source_file"),
         F.col("_metadata.file_size").alias("file_size"),
     )
 
@@ -31,29 +34,18 @@ _OPTIONS = {"lineSep": "\n", "recursiveFileLookup": "true"}
 def read_raw_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``line, log_date, source_file, file_size`` from plain or gzipped log files.
 
-    A damaged file fails the read; it is never counted in part.
+    ``path`` is a folder, a file, or several, and may hold wildcards. A damaged file fails the read; it is never counted in part.
     """
     return _with_file(spark.read.options(**_OPTIONS).text(path))
 
 
-def stream_raw_lines(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
-) -> DataFrame:
-    """The same columns as a stream: every file once, as it lands."""
-    reader = spark.readStream.options(**_OPTIONS)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _with_file(reader.text(path))
-
-
 def spread_lines(lines: DataFrame, bytes_per_task: int = 8 << 20) -> DataFrame:
-    """Spread lines over tasks before they are matched and written.
+    """Spread the lines of large files over tasks before they are matched and written.
 
-    A gzip file is read by one task whatever its size. This is the one shuffle of an
-    import: lines move to (file, share), with as many shares as the file's compressed
-    size calls for, and adaptive execution then merges what is small. A small file so
-    stays whole, and ends up as one file of the table, while a huge one is split.
-    Shares go round by position, so repeated lines do not pile up.
+    A gzip file is read by one task whatever its size. Lines move to (file, share), with
+    as many shares as the file's compressed size calls for, and adaptive execution then
+    merges what is small. The same shuffle gives the table its file layout. Shares go
+    round by position, so repeated lines do not pile up.
     """
     shares = F.greatest(F.ceil(F.col("file_size") / bytes_per_task), F.lit(1))
     share = F.pmod(F.monotonically_increasing_id(), shares)
@@ -62,9 +54,35 @@ def spread_lines(lines: DataFrame, bytes_per_task: int = 8 << 20) -> DataFrame:
     ).drop("_share", "file_size")
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """``path, filename, is_file, length`` of everything below a folder; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+_LISTING = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
+
+def _listing(files: DataFrame) -> DataFrame:
     return files.select(
-        "path", F.substring_index("path", "/", -1).alias("filename"), F.lit(True).alias("is_file"), "length"
+        "path",
+        F.substring_index("path", "/", -1).alias("filename"),
+        F.lit(True).alias("is_file"),
+        "length",
+        file_day(F.col("path")).alias("log_date"),
     )
+
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path, filename, is_file, length, log_date`` of everything below a folder.
+
+    Contents are not read.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return _listing(reader.load(path))
+
+
+def stream_files(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """The same columns as a stream: every file once, as it lands."""
+    reader = (
+        spark.readStream.format("binaryFile").schema(_LISTING).option("recursiveFileLookup", "true")
+    )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return _listing(reader.load(path))

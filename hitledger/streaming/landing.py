@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from hitledger.plans.landing import Store, land_lines
+from hitledger.plans.landing import Store, land_listed
 from hitledger.sources.bots import Bot
-from hitledger.sources.raw import stream_raw_lines
+from hitledger.sources.raw import stream_files
 
 
 def stream_landing(
@@ -19,15 +19,16 @@ def stream_landing(
 ) -> StreamingQuery:
     """Start the query. ``availableNow``, the default trigger, suits a daily run.
 
-    The checkpoint remembers the files, so each is landed once; with ``replace`` a batch
-    that is run again after a failure leaves the same rows. Days need no watermark: a
+    The stream is of files, not of lines: a batch lands its files as a batch import does,
+    so only large ones are shuffled. The checkpoint remembers the files, so each is landed
+    once; with ``replace`` a batch that is run again after a failure leaves the same rows. Days need no watermark: a
     request that arrives late joins its day through the rollup of its own file.
     """
     def land(batch: DataFrame, _: int) -> None:
-        land_lines(batch, store, bots, on_replay)
+        land_listed(spark, batch.collect(), store, bots, on_replay)
 
     return (
-        stream_raw_lines(spark, raw_path, max_files_per_trigger)
+        stream_files(spark, raw_path, max_files_per_trigger)
         .writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))

@@ -111,6 +111,17 @@ def test_append_on_replay_doubles_rows(spark, root):
         write_by_file(store.read_access(spark), store.access, "other")
 
 
+def test_awkward_file_names(spark, tmp_path):
+    for i, name in enumerate(["a [1].gz", "b{x,y}.gz", "c*?.gz", "d%20+e.gz"]):
+        put(tmp_path, "2025-10-01", [request_line(agent=f"GPTBot {i}")], name)
+    store = Store(f"{tmp_path}/store")
+    for _ in range(2):
+        assert land_files(spark, f"{tmp_path}/raw", store, BOTS)["parsed"] == 4
+    assert by_day(store.read_rollup(spark)) == {("GPTBot", date(2025, 10, 1)): 4}
+    stream_landing(spark, f"{tmp_path}/raw", store, f"{tmp_path}/checkpoint", BOTS).awaitTermination()
+    assert by_day(store.read_rollup(spark)) == {("GPTBot", date(2025, 10, 1)): 4}
+
+
 def test_files_without_a_day(spark, root):
     folder = f"{root}/plain"
     os.makedirs(folder)

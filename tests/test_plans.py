@@ -1,5 +1,6 @@
 """The plans are what they are meant to be."""
 
+import gzip
 import re
 from datetime import date
 
@@ -7,9 +8,11 @@ import pytest
 
 import __spark_entry__ as e
 from hitledger.operators import report as r
-from hitledger.operators.parse import parse_lines
-from hitledger.plans.landing import Store, land_lines
+from conftest import request_line
+from hitledger.operators.parse import match_lines, parse_lines
+from hitledger.plans.landing import Store, land_lines, land_listed, spread_limit, update_rollup
 from hitledger.sources.bots import default_bots
+from hitledger.sources.raw import list_files, read_raw_lines
 
 SF = "/root/testdata/sf0.001"
 BOTS = default_bots()
@@ -23,7 +26,9 @@ def plan(df):
 def store(spark, tmp_path_factory):
     store = Store(str(tmp_path_factory.mktemp("store")))
     lines = e._lines(spark, SF)
-    land_lines(lines.selectExpr("*", "1L AS file_size"), store, BOTS)
+    land_lines(lines.selectExpr("*", "1L AS file_size"), store)
+    files = [tuple(f) for f in lines.select("log_date", "source_file").distinct().collect()]
+    update_rollup(spark, store, files, BOTS)
     return store
 
 
@@ -90,3 +95,26 @@ def test_generated_methods_stay_compilable(spark, name):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(-?\d+)", text)]
     assert sizes and 0 < min(sizes) and max(sizes) < 8000
+
+
+def test_only_large_files_are_shuffled(spark, tmp_path):
+    for day, n in (("2024-01-01", 3000), ("2024-01-02", 1)):
+        folder = tmp_path / f"date={day}"
+        folder.mkdir()
+        with gzip.open(folder / f"access.log-{day}.gz", "wt") as f:
+            f.writelines(request_line(agent=f"GPTBot {i}") + "\n" for i in range(n))
+    listed = list_files(spark, str(tmp_path)).collect()
+    assert sorted((f.log_date, f.filename) for f in listed) == [(date(2024, 1, d), f"access.log-2024-01-0{d}.gz") for d in (1, 2)]
+    for limit in (0, 2000, 10**9):
+        store = Store(f"{tmp_path}/store{limit}")
+        assert land_listed(spark, listed, store, BOTS, limit=limit)["parsed"] == 3001
+        assert r.bot_totals(store.read_rollup(spark)).first().total_requests == 3001
+    assert "Exchange" not in plan(match_lines(read_raw_lines(spark, listed[0].path)))
+
+
+def test_spread_limit():
+    mb = 1 << 20
+    assert spread_limit([20 * mb], 8) == 8 * mb
+    assert spread_limit([mb] * 320, 8) == 20 * mb
+    assert spread_limit([100 * mb] * 100_000, 4000) == 128 * mb
+    assert spread_limit([], 8) == 8 * mb
