@@ -22,9 +22,10 @@ from hitledger.plans.landing import Store, land_files
 from hitledger.plans.reporting import build_report_from_rollup, get_or_build_report, read_report
 from hitledger.schema import ACCESS_LOG, CSV_COLUMNS
 from hitledger.session import scratch_dir, use_all_cores
-from hitledger.sinks.access import write_csv
+from hitledger.sinks.access import write_csv, write_raw_lines
 from hitledger.sources.bots import default_bots
 from hitledger.sources.catalog import register_access_table, register_views
+from hitledger.sources.raw import read_raw_lines
 from hitledger.sources.table import read_access_csv
 from hitledger.streaming.daily_bots import stream_daily_bots
 from hitledger.streaming.landing import stream_landing
@@ -95,6 +96,23 @@ def _parse_access_log(spark, d):
     return rows.select("date", stamp, *names)
 
 
+def _read_raw_lines(spark, d):
+    """Lines written as gzip files, read back with the day of their file."""
+    raw = _raw_files(spark, d, scratch_dir(spark, "raw"))
+    return read_raw_lines(spark, raw).select("log_date", "line")
+
+
+def _raw_copy(spark, d):
+    """The cumulative text copy after every file was appended to it twice."""
+    root = scratch_dir(spark, "raw-copy")
+    raw = _raw_files(spark, d, root)
+    for _ in range(2):
+        write_raw_lines(read_raw_lines(spark, raw), f"{root}/all_lines")
+    return spark.read.text(f"{root}/all_lines").groupBy(F.col("value").alias("line")).agg(
+        F.count(F.lit(1)).alias("copies")
+    )
+
+
 def _derive_output_key(spark, d):
     keys = sf.keys_from_events(_events(spark, d))
     return keys.select(
@@ -237,6 +255,8 @@ def _views_sql(spark, d):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "read_raw_lines": _read_raw_lines,
+        "raw_copy": _raw_copy,
         "parse_access_log": _parse_access_log,
         "parse_rejects": lambda s, d: parse.count_outcomes(_lines(s, d), "log_date", "source_file"),
         "csv_export_rows": lambda s, d: parse.csv_rows(_requests(s, d)).select(*CSV_COLUMNS),
@@ -520,6 +540,8 @@ def oracle_sql() -> dict[str, str]:
 from bots where "date" >= date '2024-01-24' group by all"""
     rest = ", ".join(f'"{n}"' for n in CSV_COLUMNS if n not in ("date", "timestamp"))
     return {
+        "read_raw_lines": f"{_CTES} select log_date, line from lines",
+        "raw_copy": f"{_CTES} select line, 2 * count(*) as copies from lines group by line",
         "parse_access_log": f'{_CTES} select "date", {_STAMP} as "timestamp", {rest} from parsed',
         "parse_rejects": f"""{_CTES}
 select log_date, source_file, case when trim(line) = '' then 'blank' when not ok then 'regex' else 'parsed' end as outcome,

@@ -8,7 +8,7 @@ from hitledger.functions import grammar as g
 from hitledger.functions.text import strip, words
 from hitledger.schema import ACCESS_LOG, CSV_COLUMNS
 
-BLANK, BAD_REQUEST, BAD_TIME, PARSED = "blank", "regex", "time", "parsed"
+PARSED, BLANK, BAD_REQUEST, BAD_TIME = OUTCOMES = "parsed", "blank", "regex", "time"
 
 _WORK_COLUMNS = ["_text", "_main", "_fields", "_time", "_zone", "_offset", "_ts", "_outcome"]
 
@@ -97,10 +97,7 @@ def count_outcomes(lines: DataFrame, *by: str) -> DataFrame:
 
 def outcome_counts() -> list[Column]:
     """Aggregates over :func:`match_lines`, to observe while the same pass writes."""
-    return [
-        F.count_if(F.col("_outcome") == name).alias(name)
-        for name in (PARSED, BLANK, BAD_REQUEST, BAD_TIME)
-    ]
+    return [F.count_if(F.col("_outcome") == name).alias(name) for name in OUTCOMES]
 
 
 def csv_rows(logs: DataFrame) -> DataFrame:

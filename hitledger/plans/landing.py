@@ -3,16 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
-from hitledger.operators.parse import (
-    BAD_REQUEST, BAD_TIME, BLANK, PARSED, match_lines, outcome_counts, requests_from_matches,
-)
+from hitledger.operators.parse import OUTCOMES, match_lines, outcome_counts, requests_from_matches
 from hitledger.operators.report import bot_path_daily
 from hitledger.schema import ACCESS_TABLE, FILE_ROLLUP
 from hitledger.sinks.access import FILE_KEYS, write_by_file
@@ -57,11 +54,8 @@ class Store:
         return read_or_empty(spark, self.rollup, FILE_ROLLUP, spark.read.schema(FILE_ROLLUP).parquet)
 
 
-def land_lines(
-    lines: DataFrame, store: Store, on_replay: str = "replace", spread: bool = True
-) -> dict[str, int]:
+def land_lines(lines: DataFrame, store: Store, on_replay: str = "replace") -> dict[str, int]:
     """Parse raw lines into the table; returns lines per outcome, counted by the same pass."""
-    lines = spread_lines(lines) if spread else lines.drop("file_size")
     seen = Observation()
     matched = match_lines(lines).observe(seen, *outcome_counts())
     write_by_file(requests_from_matches(matched), store.access, on_replay)
@@ -92,19 +86,30 @@ def land_listed(
     kept per file, so late requests for an old day and replayed files need no rescan
     of that day: only the arriving files are read.
 
-    The listing has one entry per file, as Spark's own index of them does. A damaged
-    file fails the call before any of its rows is visible; landing can then be repeated.
+    The listing has one entry per file, as Spark's own index of them does. One job writes
+    all files, so a damaged one fails it before any row is visible.
     """
     if limit is None:
         limit = spread_limit([f.length for f in listed], spark.sparkContext.defaultParallelism)
-    counts: Counter = Counter({PARSED: 0, BLANK: 0, BAD_REQUEST: 0, BAD_TIME: 0})
+    parts = []
     for spread in (False, True):
         paths = [_no_wildcards(f.path) for f in listed if (f.length > limit) == spread]
         if paths:
-            counts.update(land_lines(read_raw_lines(spark, paths), store, on_replay, spread))
-    if bots is not None and listed:
+            lines = read_raw_lines(spark, paths)
+            parts.append(spread_lines(lines) if spread else lines.drop("file_size"))
+    if not parts:
+        return {outcome: 0 for outcome in OUTCOMES}
+    counts = land_lines(reduce(DataFrame.unionByName, parts), store, on_replay)
+    if bots is not None:
         update_rollup(spark, store, [(f.log_date, f.filename) for f in listed], bots)
-    return dict(counts)
+    return counts
+
+
+def _rollup_by_file(requests: DataFrame, bots: Sequence[Bot]) -> DataFrame:
+    # Brought together by file, as otherwise every task would write a bit of every file;
+    # adaptive execution splits a file with a very large rollup again.
+    rollup = bot_path_daily(requests, bots, *FILE_KEYS)
+    return rollup.hint("rebalance", *[F.col(key) for key in FILE_KEYS])
 
 
 def update_rollup(
@@ -116,13 +121,12 @@ def update_rollup(
     Only the folders of their days are listed, and only their own files read. After a
     change of the crawler list, use :func:`rebuild_rollup` instead.
     """
-    landed = store.read_files(spark, files)
-    write_by_file(bot_path_daily(landed, bots, *FILE_KEYS), store.rollup)
+    write_by_file(_rollup_by_file(store.read_files(spark, files), bots), store.rollup)
 
 
 def rebuild_rollup(spark: SparkSession, store: Store, bots: Sequence[Bot]) -> None:
     """Recompute the rollup of every file, after the crawler list changed."""
-    rollup = bot_path_daily(store.read_access(spark), bots, *FILE_KEYS)
+    rollup = _rollup_by_file(store.read_access(spark), bots)
     rollup.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
         *FILE_KEYS
     ).parquet(store.rollup)
