@@ -19,7 +19,7 @@ from hitledger.functions.agents import BROWSERS, SYSTEMS
 from hitledger.operators import accuracy, classify, files, parse, report, traffic
 from hitledger.plans.dashboard import build_dashboard, read_dashboard
 from hitledger.plans.landing import Store, land_files
-from hitledger.plans.reporting import build_report_from_rollup, get_or_build_report, read_report
+from hitledger.plans.reporting import build_report_from_rollup, get_or_build_report
 from hitledger.schema import ACCESS_LOG, CSV_COLUMNS
 from hitledger.session import scratch_dir, use_all_cores
 from hitledger.sinks.access import write_csv, write_raw_lines
