@@ -30,6 +30,11 @@ from hitledger.sources.table import read_access_csv
 from hitledger.streaming.daily_bots import stream_daily_bots
 from hitledger.streaming.landing import stream_landing
 
+try:  # the operators for training text come and go with their folder
+    from hitledger.llm import queries as training
+except ImportError:
+    training = None
+
 AS_OF = date(2024, 1, 31)
 NOW = datetime(2024, 1, 31, 0, 30)
 GENERATED_AT = "2024-01-31T00:30:00Z"
@@ -253,7 +258,7 @@ def _views_sql(spark, d):
     )
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def _log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "read_raw_lines": _read_raw_lines,
         "raw_copy": _raw_copy,
@@ -534,7 +539,7 @@ def _text(name: str) -> str:
     return f'coalesce(cast("{name}" as varchar), \'\') as "{name}"'
 
 
-def oracle_sql() -> dict[str, str]:
+def _log_sql() -> dict[str, str]:
     week = f"""{_CTES} select "date", bot_name, is_llm,
   case when trim(path) = '' then '/' else trim(path) end as path, count(*) as requests
 from bots where "date" >= date '2024-01-24' group by all"""
@@ -621,3 +626,11 @@ order by hits desc, "method", path, protocol limit 25""",
         "stream_daily_bots": f"""{_CTES} select cast(local_ts - case when tz_offset = '-05:00' then interval 5 hour * -1
   else interval 0 hour end as date) as "date", bot_name, count(*) as requests from bots group by all""",
     }
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _log_queries() | (training.QUERIES if training else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    return _log_sql() | (training.ORACLES if training else {})
