@@ -1 +1,10 @@
-"""Operators for preparing training text; see README. Nothing outside this package imports it."""
+"""Operators for preparing training text; see README. Nothing outside this package imports it.
+
+Their functions travel to the executors by value, so the package need not be installed there.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -15,16 +15,17 @@ import json
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from hitledger.llm.common import texts
+from hitledger.llm.common import per_text
 
 CACHE_WORDS = 300_000
 _NONE = 1 << 62
 #: White space of the vocabulary's own pattern (Unicode property, fixed value).
-_SPACE = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
+_SPACE = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
 def byte_letters() -> list[str]:
@@ -79,7 +80,8 @@ class Vocabulary:
         self.words = regex.compile(pattern)
         self.cuts = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.letters = byte_letters()
-        self.cache: dict[str, tuple[int, str, str]] = {}
+        self.width = "<u2" if max(self.names) < 1 << 16 else "<u4"
+        self.cache: dict[str, tuple[int, str, str, bytes]] = {}
 
     def symbols(self, word: str) -> list[int]:
         letters = [self.letters[b] for b in word.encode("utf-8", "surrogatepass")]
@@ -115,11 +117,13 @@ class Vocabulary:
                 tree.put(p, found[0] * n + p if found else _NONE)
         return [x for x in symbols if x >= 0]
 
-    def word(self, word: str) -> tuple[int, str, str]:
-        """Number of ids, the ids in decimal, the decoded tokens; the latter two joined by spaces."""
+    def entry(self, ids: list[int]) -> tuple[int, str, str, bytes]:
+        return len(ids), " ".join(map(str, ids)), " ".join([self.names[i] for i in ids]), np.array(ids, self.width).tobytes()
+
+    def word(self, word: str) -> tuple[int, str, str, bytes]:
+        """Number of ids, the ids in decimal, the decoded tokens (both joined by spaces), the ids as bytes."""
         if (known := self.cache.get(word)) is None:
-            ids = self.merge(self.symbols(word))
-            known = (len(ids), " ".join(map(str, ids)), " ".join([self.names[i] for i in ids]))
+            known = self.entry(self.merge(self.symbols(word)))
             if len(self.cache) >= CACHE_WORDS:
                 self.cache.clear()
             if len(word) <= 64:
@@ -132,19 +136,19 @@ class Vocabulary:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return self.words.findall(_SPACE.sub(" ", text).lower())
 
-    def encode(self, text: str) -> list[tuple[int, str, str]]:
+    def encode(self, text: str) -> list[tuple[int, str, str, bytes]]:
         """One entry per word or special token, in order."""
         parts = self.cuts.split(text) if "<" in text else [text]
         out = []
         for part in parts:
             if part in self.special:
-                out.append((1, str(self.special[part]), part))
+                out.append(self.entry([self.special[part]]))
             elif part:
                 out.extend(map(self.word, self.split(part)))
-        return out
+        return [x for x in out if x[0]]
 
     def encode_ids(self, text: str) -> list[int]:
-        return [int(x) for _, ids, _ in self.encode(text) for x in ids.split()]
+        return [int(i) for x in self.encode(text) for i in x[1].split()]
 
     def decode(self, ids: list[int]) -> str:
         """Token strings joined by a space, as a tokenizer file without a decoder gives them."""
@@ -158,38 +162,57 @@ def _hash(text: str) -> str:
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids`` (decimal, by spaces), ``decoded``: one row per document, no shuffle."""
 
-    def run(frames):
+    def make():
         vocabulary = Vocabulary(path)
-        for frame in frames:
-            for start in range(0, len(frame), 500):  # ids are several times the size of short texts
-                part = frame.iloc[start : start + 500]
-                rows = [vocabulary.encode(text) for text in part["text"]]
-                yield pd.DataFrame(
-                    {
-                        "doc_id": part["doc_id"],
-                        "n_tokens": [sum(x[0] for x in row) for row in rows],
-                        "ids": [" ".join([x[1] for x in row if x[0]]) for row in rows],
-                        "decoded": [" ".join([x[2] for x in row if x[0]]) for row in rows],
-                    }
-                )
-
-    return texts(docs).mapInPandas(run, "doc_id long, n_tokens long, ids string, decoded string")
+
+        def work(texts: list[str]) -> pd.DataFrame:
+            rows = [vocabulary.encode(text) for text in texts]
+            return pd.DataFrame(
+                {
+                    "n_tokens": [sum([x[0] for x in row]) for row in rows],
+                    "ids": [" ".join([x[1] for x in row]) for row in rows],
+                    "decoded": [" ".join([x[2] for x in row]) for row in rows],
+                }
+            )
+
+        return work
+
+    return per_text(docs, make, "n_tokens long, ids string, decoded string")
 
 
 def digest_documents(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id``, ``n_tokens`` and the digests of ids and decoded text."""
 
-    def run(frames):
+    def make():
+        vocabulary = Vocabulary(path)
+
+        def work(texts: list[str]) -> pd.DataFrame:
+            out = []
+            for text in texts:
+                row = vocabulary.encode(text)
+                ids, decoded = " ".join([x[1] for x in row]), " ".join([x[2] for x in row])
+                out.append((sum([x[0] for x in row]), _hash(ids), _hash(decoded)))
+            return pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+
+        return work
+
+    return per_text(docs, make, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def encode_binary(docs: DataFrame, path: str) -> DataFrame:
+    """``doc_id``, ``n_tokens``, ``ids`` (16 bits each if the vocabulary allows, else 32) and the digest of the decoded text."""
+
+    def make():
         vocabulary = Vocabulary(path)
-        for frame in frames:
+
+        def work(texts: list[str]) -> pd.DataFrame:
             out = []
-            for doc, text in zip(frame["doc_id"], frame["text"]):
+            for text in texts:
                 row = vocabulary.encode(text)
-                out.append((
-                    doc, sum([x[0] for x in row]),
-                    _hash(" ".join([x[1] for x in row if x[0]])),
-                    _hash(" ".join([x[2] for x in row if x[0]])),
-                ))
-            yield pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return texts(docs).mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+                decoded = " ".join([x[2] for x in row])
+                out.append((sum([x[0] for x in row]), b"".join([x[3] for x in row]), _hash(decoded)))
+            return pd.DataFrame(out, columns=["n_tokens", "ids", "decoded_sha256"])
+
+        return work
+
+    return per_text(docs, make, "n_tokens long, ids binary, decoded_sha256 string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -46,13 +46,30 @@ def held_out(remainder: int, modulus: int) -> Column:
     return F.col("doc_id").isNotNull() & (crc % modulus == remainder)
 
 
-def by_bytes(frames: Iterator[pd.DataFrame], column: str, most: int) -> Iterator[pd.DataFrame]:
-    """The same rows in frames of at most so many characters, or one row."""
-    for frame in frames:
-        ends = frame[column].str.len().cumsum().to_numpy()
-        start = 0
-        while start < len(frame):
-            base = ends[start - 1] if start else 0
-            stop = max(start + 1, int(ends.searchsorted(base + most, side="right")))
-            yield frame.iloc[start:stop]
-            start = stop
+#: Characters handed to a function at a time, one text at least.
+CHARACTERS = 2_000_000
+
+
+def column_of_texts(make: Callable[[], Callable[[list[str]], pd.DataFrame]], schema: str):
+    """A column function from text to a struct. ``make`` is called once per task; what it returns
+    gets lists of texts and gives a row for each. Other columns stay where they are."""
+
+    def run(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        work = make()
+        for column in columns:
+            texts = list(column)
+            parts, start, size = [], 0, 0
+            for stop, text in enumerate(texts, 1):
+                size += len(text)
+                if size >= CHARACTERS or stop == len(texts):
+                    parts.append(work(texts[start:stop]))
+                    start, size = stop, 0
+            yield pd.concat(parts, ignore_index=True) if parts else work([])
+
+    return F.pandas_udf(run, schema).asNondeterministic()
+
+
+def per_text(docs: DataFrame, make: Callable[[], Callable[[list[str]], pd.DataFrame]], schema: str) -> DataFrame:
+    """``doc_id`` and the columns of ``schema`` for each row's text."""
+    found = docs.select("doc_id", column_of_texts(make, schema)(whole_text()).alias("found"))
+    return found.select("doc_id", "found.*")

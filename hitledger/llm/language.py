@@ -22,14 +22,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hitledger.llm.common import by_bytes, whole_text
+from hitledger.llm.common import column_of_texts, per_text, whole_text
 
 BUCKETS = 1 << 16
 MAX_LANGUAGES = 500
 STEPS = 8
 MOST_LANGUAGES = 3
-#: Characters worked on at a time, one document at least.
-CHARACTERS = 2_000_000
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 #: ASCII letters and all bytes of longer characters stay, anything else is a space.
@@ -62,10 +60,13 @@ def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 class LanguageModel:
     """Learned labels and the probability of each place under each, background last."""
 
-    def __init__(self, labels: list[str], counts: np.ndarray):
-        self.labels = labels
+    def __init__(self, labels: list[str], table: np.ndarray):
+        self.labels, self.table = labels, table
+
+    @classmethod
+    def of_counts(cls, labels: list[str], counts: np.ndarray) -> LanguageModel:
         shares = (counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * BUCKETS)
-        self.table = np.vstack([shares, np.full((1, BUCKETS), 1 / BUCKETS)]).T.astype(np.float32)
+        return cls(labels, np.vstack([shares, np.full((1, BUCKETS), 1 / BUCKETS)]).T.astype(np.float32))
 
     @classmethod
     def fit(cls, docs: DataFrame) -> LanguageModel:
@@ -81,7 +82,7 @@ class LanguageModel:
             if row.places:
                 place, n = np.array(row.places, np.int64).T
                 counts[i, place] = n
-        return cls([row.lang for row in found], counts)
+        return cls.of_counts([row.lang for row in found], counts)
 
     def _em(self, likelihood, n, starts, rows, total, share, steps):
         """Proportions and log likelihood of each document after some steps."""
@@ -128,16 +129,18 @@ class LanguageModel:
         return out
 
 
-def language_of(spark: SparkSession, model: LanguageModel):
-    """A column function from text to ``lang_pred``, ``score`` (the share of that language),
-    ``language_share`` (of all selected languages) and ``languages``. No shuffle."""
-    held = spark.sparkContext.broadcast(model)
+SCHEMA = "lang_pred string, score double, language_share double, languages string"
+
 
-    def predict(text: pd.Series) -> pd.DataFrame:
-        labels, share = held.value.labels, held.value.proportions(list(text))
+def _maker(spark: SparkSession, model: LanguageModel):
+    held = spark.sparkContext.broadcast((model.labels, model.table))
+
+    def predict(texts: list[str]) -> pd.DataFrame:
+        labels = held.value[0]
+        share = LanguageModel(*held.value).proportions(texts)
         named = share[:, :-1]
         found = share.sum(axis=1) > 0
-        best = named.argmax(axis=1) if labels else np.zeros(len(text), int)
+        best = named.argmax(axis=1) if labels else np.zeros(len(texts), int)
         return pd.DataFrame(
             {
                 "lang_pred": [labels[b] if f else UNKNOWN for b, f in zip(best, found)],
@@ -147,24 +150,17 @@ def language_of(spark: SparkSession, model: LanguageModel):
             }
         )
 
-    def run(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for column in columns:
-            frame = column.rename("text").to_frame()
-            parts = [predict(part["text"]) for part in by_bytes([frame], "text", CHARACTERS)]
-            yield pd.concat(parts, ignore_index=True) if parts else predict(column)
-
-    schema = "lang_pred string, score double, language_share double, languages string"
-    return F.pandas_udf(run, schema).asNondeterministic()
+    return lambda: predict
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """``doc_id`` and the four columns of ``language_of``."""
-    found = language_of(docs.sparkSession, model)(whole_text()).alias("found")
-    return docs.select("doc_id", found).select("doc_id", "found.*")
+    """``doc_id``, ``lang_pred``, ``score`` (the share of that language), ``language_share`` (of all
+    selected languages) and ``languages``. No shuffle."""
+    return per_text(docs, _maker(docs.sparkSession, model), SCHEMA)
 
 
 def keep_languages(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> DataFrame:
     """``docs`` without texts that are ``und`` or less than ``least`` of a learned language; all columns as they were."""
-    found = language_of(docs.sparkSession, model)(whole_text()).alias("found")
+    found = column_of_texts(_maker(docs.sparkSession, model), SCHEMA)(whole_text()).alias("found")
     rows = docs.select(F.struct("*").alias("row"), found)
     return rows.filter((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.language_share") >= least)).select("row.*")

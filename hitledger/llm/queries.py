@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from hitledger.llm import bpe, common, exact_dedup, language, mixing
+from pyspark.sql import functions as F
+
+from hitledger.llm import bpe, common, exact_dedup, language, mixing, multiset_hash, ngram_join, pii, shards
+from hitledger.session import scratch_dir
 
 #: Target mix of the ``documents`` table.
 MIX = mixing.Mix(
@@ -16,6 +19,26 @@ MIX = mixing.Mix(
 )
 
 
+def op1_ngram_join(spark, d):
+    return ngram_join.near_copies(common.documents(spark, d))
+
+
+def op2_pii(spark, d):
+    return pii.find_personal_data(common.documents(spark, d))
+
+
+def op3_training_order(spark, d):
+    """Shards written, then read back from the first slot on: a row for each sequence."""
+    path = f"{scratch_dir(spark, 'shards')}/shards"
+    total = shards.write_shards(common.documents(spark, d), path, key=2024)
+    found = shards.read_shards(spark, path, total)
+    return found.withColumn("tokens_crc32", F.crc32("tokens")).drop("tokens")
+
+
+def op6_multiset_hash(spark, d):
+    return multiset_hash.fingerprint_edits(common.documents(spark, d))
+
+
 def op7_bpe(spark, d):
     return bpe.digest_documents(common.documents(spark, d), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -42,7 +65,18 @@ def op10_exact_dedup(spark, d):
     return exact_dedup.exact_copies(common.documents(spark, d))
 
 
+def pipeline(spark, d):
+    import corpus_pipeline  # it imports this module
+
+    return corpus_pipeline.run(spark, d)
+
+
 QUERIES = {
+    "pipeline": pipeline,
+    "op1_ngram_join": op1_ngram_join,
+    "op2_pii": op2_pii,
+    "op3_training_order": op3_training_order,
+    "op6_multiset_hash": op6_multiset_hash,
     "op7_bpe": op7_bpe,
     "op8_source_mix": op8_source_mix,
     "op9_language": op9_language,
