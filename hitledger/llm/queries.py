@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from hitledger.llm import bpe, common, exact_dedup, language, mixing, multiset_hash, ngram_join, pii, shards
+from hitledger.llm import bpe, common, exact_dedup, language, mixing, multiset_hash, ngram_join, pii, ppm, shards
 from hitledger.session import scratch_dir
 
 #: Target mix of the ``documents`` table.
@@ -35,6 +35,11 @@ def op3_training_order(spark, d):
     return found.withColumn("tokens_crc32", F.crc32("tokens")).drop("tokens")
 
 
+def op4_ppm(spark, d):
+    """Trained on rows whose crc32 of the id is not 1 modulo 5."""
+    return ppm.score_documents(common.documents(spark, d), common.held_out(1, 5))
+
+
 def op6_multiset_hash(spark, d):
     return multiset_hash.fingerprint_edits(common.documents(spark, d))
 
@@ -76,6 +81,7 @@ QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_pii": op2_pii,
     "op3_training_order": op3_training_order,
+    "op4_ppm": op4_ppm,
     "op6_multiset_hash": op6_multiset_hash,
     "op7_bpe": op7_bpe,
     "op8_source_mix": op8_source_mix,
