@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from hitledger.llm import bpe, common, exact_dedup, language, mixing, multiset_hash, ngram_join, pii, ppm, shards
+from hitledger.llm import bpe, common, exact_dedup, language, mixing, multiset_hash, ngram_join, pii, ppm, repeats, shards
 from hitledger.session import scratch_dir
 
 #: Target mix of the ``documents`` table.
@@ -40,6 +40,10 @@ def op4_ppm(spark, d):
     return ppm.score_documents(common.documents(spark, d), common.held_out(1, 5))
 
 
+def op5_suffix_repeats(spark, d):
+    return repeats.remove_repeats(common.documents(spark, d))
+
+
 def op6_multiset_hash(spark, d):
     return multiset_hash.fingerprint_edits(common.documents(spark, d))
 
@@ -82,6 +86,7 @@ QUERIES = {
     "op2_pii": op2_pii,
     "op3_training_order": op3_training_order,
     "op4_ppm": op4_ppm,
+    "op5_suffix_repeats": op5_suffix_repeats,
     "op6_multiset_hash": op6_multiset_hash,
     "op7_bpe": op7_bpe,
     "op8_source_mix": op8_source_mix,
