@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Characters per batch.
-BATCH_CHARACTERS = 8_000_000
+BATCH_CHARACTERS = 4_000_000
 
 
 def batches_for(text: DataFrame) -> int:
@@ -44,7 +44,7 @@ def unpack_sorted(data: bytes) -> np.ndarray:
 
 def pack(values: np.ndarray) -> bytes:
     """Numbers of any order, compressed with their bytes by significance."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 

@@ -5,6 +5,8 @@ Words are runs of bytes other than space and 0x09 to 0x0D, with A to Z in lower
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 _RANDOM = np.random.default_rng(20240229)
@@ -41,8 +43,26 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * inverse[starts])
 
 
+#: Characters hashed at a time, one text at least: what is held per byte is many times the byte.
+CHARACTERS = 500_000
+
+
+def in_chunks(texts: list[str]) -> Iterator[list[str]]:
+    start, size = 0, 0
+    for stop, text in enumerate(texts, 1):
+        size += len(text)
+        if size >= CHARACTERS or stop == len(texts):
+            yield texts[start:stop]
+            start, size = stop, 0
+
+
 def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and the number of words of each text."""
+    found = [_words(part) for part in in_chunks(texts)] or [_words([])]
+    return np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
+
+
+def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     bodies = [t.encode("utf-8", "replace") for t in texts]
     data = np.frombuffer(b"\n" + b"\n".join(bodies) + b"\n", np.uint8)
     blank = _BLANK[data]

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from hitledger.llm.batches import batch_of, batches_for, merged, pack, pack_sorted, unpack, unpack_sorted
 from hitledger.llm.common import whole_text
-from hitledger.llm.hashing import mix, words
+from hitledger.llm.hashing import in_chunks, mix, words
 
 ORDER = 5
 END, START = 0xFE, 0xFF  # neither occurs in UTF-8
@@ -37,6 +37,11 @@ NO_ID = -(2**63)
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """For every byte of every text and its end: the context and the byte as one number; how many per text."""
+    found = [_grams(part) for part in in_chunks(texts)] or [_grams([])]
+    return np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
+
+
+def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     bodies = [t.encode("utf-8", "replace") for t in texts]
     data = np.frombuffer(b"".join(bytes([START]) * ORDER + b + bytes([END]) for b in bodies), np.uint8)
     sizes = np.array([len(b) + 1 for b in bodies], np.int64)
