@@ -1,0 +1,64 @@
+import numpy as np
+import pytest
+
+from hitledger.llm import language as op
+from hitledger.llm.queries import op9_language, train_languages
+
+from .conftest import AWKWARD
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return train_languages(spark.read.parquet(f"{SF}/documents.parquet"))
+
+
+def test_accuracy_on_held_out_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
+    found = op9_language(spark, SF).join(docs, "doc_id").collect()
+    held = [r for r in found if r.held_out]
+    assert len(found) == docs.count() and len(held) > 100
+    assert np.mean([r.lang == r.lang_pred for r in held]) > 0.99
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_mixture_of_two(spark, model):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    by_lang = {k: [r.text for r in docs.filter(f"lang = '{k}'").orderBy("doc_id").limit(40).collect()] for k in ("en", "fr")}
+    mixed = [a[:600] + " " + b[:600] for a, b in zip(by_lang["en"], by_lang["fr"]) if len(a) > 600 < len(b)]
+    share = model.proportions(mixed)[:, :-1]
+    en, fr = model.labels.index("en"), model.labels.index("fr")
+    assert ((share[:, en] > 0.25) & (share[:, fr] > 0.25)).mean() > 0.9
+    assert ((share > 0.01).sum(axis=1) == 2).mean() > 0.8
+
+
+def test_awkward_rows(table, model):
+    found = {repr(r.doc_id) + r.lang_pred for r in op.identify(table(*AWKWARD), model).collect()}
+    assert {"1und", "2und", "3und", "9und", "Noneund"} <= found
+    assert len(op.identify(table(*AWKWARD), model).collect()) == len(AWKWARD)
+
+
+def test_rejects_only_what_is_no_language(table, model):
+    docs = table((1, "the of and to in the that"), (2, "123 456"), (3, None), (4, "жщы Ъэф" * 50))
+    kept = op.keep_languages(docs, model)
+    assert kept.schema == docs.schema and {r.doc_id for r in kept.collect()} == {1}
+
+
+def test_without_labels(table):
+    docs = table((1, "some words"), (2, None))
+    found = op.identify(docs, op.LanguageModel.fit(docs)).collect()
+    assert {(r.lang_pred, r.score) for r in found} == {("und", 0.0)}
+    assert op.identify(docs.limit(0), op.LanguageModel.fit(docs)).collect() == []
+
+
+def test_nulls_are_no_label(table):
+    docs = table((1, "some words here", None), (2, "some words here", "en"), (3, "noch ein paar Worte", "de"), (4, None, "de"))
+    assert op.LanguageModel.fit(docs).labels == ["de", "en"]
+
+
+def test_same_result_in_any_company(model):
+    texts = ["the of and to in that", "de la le un les en que", "x"]
+    together = model.proportions(texts)
+    alone = np.vstack([model.proportions([t]) for t in texts])
+    assert np.allclose(together, alone, atol=1e-5)
