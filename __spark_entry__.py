@@ -6,6 +6,7 @@ The given tables hold no access logs, so log lines are derived from every row of
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -18,16 +19,19 @@ from hitledger.functions.addresses import ipv4_bounds
 from hitledger.functions.agents import BROWSERS, SYSTEMS
 from hitledger.operators import accuracy, classify, files, parse, report, traffic
 from hitledger.plans.dashboard import build_dashboard, read_dashboard
-from hitledger.plans.landing import Store, land_files
+from hitledger.plans.landing import Store, land_files, land_new
 from hitledger.plans.reporting import build_report_from_rollup, get_or_build_report
 from hitledger.schema import ACCESS_LOG, CSV_COLUMNS
-from hitledger.session import scratch_dir, use_all_cores
+from hitledger.session import scratch_dir, spread_rows
 from hitledger.sinks.access import write_csv, write_raw_lines
-from hitledger.sources.bots import default_bots
+from hitledger.sinks.reports import write_report_json
+from hitledger.sinks.retention import expire_store
+from hitledger.sources.bots import bots_from_mapping, default_bots, load_bots
 from hitledger.sources.catalog import register_access_table, register_views
+from hitledger.sources.paths import file_system
 from hitledger.sources.raw import read_raw_lines
 from hitledger.sources.table import read_access_csv
-from hitledger.streaming.daily_bots import stream_daily_bots
+from hitledger.streaming.daily_bots import read_daily_bots
 from hitledger.streaming.landing import stream_landing
 
 try:  # the operators for training text come and go with their folder
@@ -40,13 +44,17 @@ NOW = datetime(2024, 1, 31, 0, 30)
 GENERATED_AT = "2024-01-31T00:30:00Z"
 TEMPLATE = "access.log-{date}.gz"
 BOTS = default_bots()
+#: Another list, with regular expressions, a bare pattern and an entry that is found by its name.
+OTHER_LIST = {"Open": {"patterns": [r"oai-\w+/1\.[0-2]", "gpt ?bot/"], "is_llm": True}, "Search": {"patterns": "google(bot|other)", "is_llm": False}, "feedbot": {}, "Face": "^facebook"}
+OTHER_BOTS = bots_from_mapping(OTHER_LIST)
+FUTURE_TAIL = '00 +0000] "GET /ahead HTTP/2.0" 200 1 "-" "GPTBot/1.0"'
 ENTRY_DIR = "/root/testdata/sf0.001"
 
 
 # --- inputs -----------------------------------------------------------------
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return use_all_cores(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id")
+    return spread_rows(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id")
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,7 +169,7 @@ def _top_paths(spark, d):
 
 
 def _report_document(spark, d):
-    document = report.report_document(_stored_rollup(spark, d), AS_OF, GENERATED_AT)
+    document = report.report_document(_stored_rollup(spark, d), AS_OF, GENERATED_AT, max_paths=None)
     return document.select(
         F.to_json(
             F.struct(
@@ -180,17 +188,120 @@ def _report_document(spark, d):
 def _stored_report(spark, d):
     """Gzip files, landed as a stream, reported from the rollup kept per file."""
     store, root = _streamed_store(spark, d, "stored-report")
-    build_report_from_rollup(
-        store.read_rollup(spark), f"{root}/reports", AS_OF, json_prefix=f"{root}/json"
-    )
-    overview = get_or_build_report(store.read_access(spark), BOTS, f"{root}/reports", date(2024, 1, 30))["overview"]
-    return overview
+    build_report_from_rollup(store.read_rollup(spark, BOTS), f"{root}/reports", AS_OF)
+    return get_or_build_report(spark, store, BOTS, f"{root}/reports", date(2024, 1, 30))["overview"]
 
 
 def _built_report_paths(spark, d):
-    """Missing report: built from the requests, then read back."""
+    """Files landed by another crawler list; the missing report brings the rollup up to date, is built and read back."""
     root = scratch_dir(spark, "built-report")
-    return get_or_build_report(_requests(spark, d), BOTS, root, date(2024, 1, 30), days_back=7)["paths"]
+    store = Store(f"{root}/store")
+    land_files(spark, _raw_files(spark, d, root), store, OTHER_BOTS)
+    return get_or_build_report(spark, store, BOTS, f"{root}/reports", date(2024, 1, 30))["paths"]
+
+
+def _written_report_json(spark, d):
+    """The lines of the report document as they were written."""
+    root = scratch_dir(spark, "report-json")
+    path = write_report_json(_stored_rollup(spark, d), root, AS_OF, GENERATED_AT, report.DAYS_BACK)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+def _rename_files(spark, folder, name):
+    """The one file of each ``date=`` folder gets a name of its own: a change of names, not of data."""
+    fs, path = file_system(spark, folder)
+    for day in fs.listStatus(path):
+        for file in fs.listStatus(day.getPath()) if day.isDirectory() else []:
+            if file.getPath().getName().startswith("part-"):
+                target = f"{day.getPath().toString()}/{name.format(date=day.getPath().getName()[5:])}"
+                fs.rename(file.getPath(), file_system(spark, target)[1])
+
+
+def _site_files(spark, d, folder, line="line"):
+    """``date=<day>/access.log-<day>.gz`` for one site; ``line`` is SQL over ``line, event_id, date``."""
+    sql = samples.line_sql(samples.TIME_SPARK, "user_id div 256", samples.REFERRER_SQL)
+    lines = _events(spark, d).select("event_id", F.to_date("ts").alias("date"), F.expr(sql).alias("line"))
+    lines = lines.select("date", F.expr(line).alias("value")).repartition(8, "date").sortWithinPartitions("date")
+    lines.write.mode("overwrite").partitionBy("date").option("compression", "gzip").text(folder)
+    _rename_files(spark, folder, TEMPLATE)
+
+
+#: Files of every third day come again without a request, the others with every other line.
+REPLAYED = "case when {day} % 3 = 0 or event_id % 2 = 1 then 'gone' else line end"
+
+
+def _replayed_store(spark, d):
+    """Two sites whose files share their names are landed; then those of site ``a`` come again, changed."""
+    root = scratch_dir(spark, "replayed")
+    store, raw = Store(f"{root}/store"), f"{root}/raw"
+    for site in "ab":
+        _site_files(spark, d, f"{raw}/{site}")
+    land_files(spark, raw, store, BOTS)
+    _site_files(spark, d, f"{raw}/a", REPLAYED.format(day="day(date)"))
+    land_files(spark, f"{raw}/a", store, BOTS, root=raw)
+    return store, raw
+
+
+def _replayed_landing(spark, d):
+    store, _ = _replayed_store(spark, d)
+    return store.read_access(spark).groupBy("date", "path", "status").agg(F.count(F.lit(1)).alias("hits"))
+
+
+def _replayed_rollup(spark, d):
+    store, _ = _replayed_store(spark, d)
+    return report.bot_daily(report.merge_rollups(store.read_rollup(spark, BOTS)))
+
+
+def _damaged_store(spark, d):
+    """Whole files, and for each day one that is cut short and one that is not compressed at all."""
+    root = scratch_dir(spark, "damaged")
+    store, raw = Store(f"{root}/store"), f"{root}/raw"
+    _site_files(spark, d, f"{raw}/good")
+    whole = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{raw}/good")
+    day = F.regexp_extract("path", "date=([0-9-]+)", 1).alias("date")
+    half = F.substring(F.col("content"), F.lit(1), (F.col("length") / 2).cast("int")).cast("string").alias("value")
+    for name, value in (("cut", half), ("plain", F.lit("no archive").alias("value"))):
+        first = whole.select(day, value).repartition(8, "date").where("day(date) <= 2").sortWithinPartitions("date")
+        first.write.partitionBy("date").text(f"{raw}/{name}")
+        _rename_files(spark, f"{raw}/{name}", TEMPLATE)
+    land_new(spark, raw, store, BOTS, TEMPLATE, NOW)
+    return store
+
+
+def _damaged_landing(spark, d):
+    """Damaged files hold nothing up: all rows of the whole ones of the last 30 days are there, and none of the others."""
+    store = _damaged_store(spark, d)
+    return report.bot_daily(report.merge_rollups(store.read_rollup(spark, BOTS)))
+
+
+def _rejected_files(spark, d):
+    return _damaged_store(spark, d).rejected_files(spark).select("log_date", "source_file", "status")
+
+
+def _expired_store(spark, d):
+    """Old days leave the table, its rollup and the catalog, and stay away when the table is registered again."""
+    store, _ = _streamed_store(spark, d, "expired")
+    table = register_access_table(spark, "expired", store.access)
+    expire_store(spark, store, AS_OF, 10, dry_run=False)
+    register_access_table(spark, "expired", store.access)
+    rows = spark.sql(f"SELECT log_date, count(*) AS requests FROM {table} GROUP BY log_date")
+    rolled = store.read_rollup(spark, BOTS).groupBy("log_date").agg(F.sum("requests").alias("bot_requests"))
+    return rows.join(rolled, "log_date", "left")
+
+
+def _loaded_list(spark, d):
+    """The rollup by a list read from a written JSON file, with regular expressions."""
+    path = f"{scratch_dir(spark, 'bots')}/bots"
+    spark.range(1).select(F.lit(json.dumps(OTHER_LIST)).alias("value")).coalesce(1).write.text(path)
+    return report.bot_path_daily(_requests(spark, d), load_bots(spark, path))
+
+
+def _bad_dates(spark, d):
+    """Exported rows, those of errors with a date that is none: they are left out."""
+    rows = parse.csv_rows(_requests(spark, d)).withColumn(
+        "date", F.when(F.col("status") == "500", F.concat(F.substring("date", 1, 5), F.lit("13-41"))).otherwise(F.col("date"))
+    )
+    return report.with_text_dates(rows).groupBy("date", "path").agg(F.count(F.lit(1)).alias("hits"))
 
 
 def _crawl_comparison(spark, d):
@@ -210,7 +321,7 @@ def _stored_dashboard(spark, d):
     root = scratch_dir(spark, "dashboard")
     table = f"{root}/access_logs"
     _requests(spark, d).write.parquet(table)
-    build_dashboard(spark.read.parquet(table), f"{root}/panels", date(2024, 1, 30), keep_dates=10)
+    build_dashboard(spark.read.parquet(table), f"{root}/panels", date(2024, 1, 30))
     return read_dashboard(spark, f"{root}/panels", date(2024, 1, 30))["hosts"]
 
 
@@ -228,18 +339,21 @@ def _stream_landing_counts(spark, d):
     """Streamed, then replayed in batch, which must not change a row."""
     store, root = _streamed_store(spark, d, "stream-landing")
     land_files(spark, f"{root}/raw", store, BOTS)
-    return report.bot_daily(report.merge_rollups(store.read_rollup(spark)))
+    return report.bot_daily(report.merge_rollups(store.read_rollup(spark, BOTS)))
 
 
 def _stream_daily_bots(spark, d):
+    """Counts by UTC day after half the files came again and a line dated far ahead arrived."""
     store, root = _streamed_store(spark, d, "stream-daily")
-    out = f"{root}/daily"
-    stream_daily_bots(
-        spark, store.access, out, f"{root}/daily-checkpoint", BOTS, output_mode="complete"
-    ).awaitTermination()
-    counts = spark.read.parquet(out)
-    day = F.date_from_unix_date(F.floor(F.unix_seconds("day_start") / 86400).cast("int"))
-    return counts.select(day.alias("date"), "bot_name", "requests")
+    raw = f"{root}/raw"
+    days = [row.date for row in spark.read.option("basePath", raw).text(raw).select("date").distinct().orderBy("date").collect()]
+    for day in days[::2]:
+        land_files(spark, f"{raw}/date={day}", store, BOTS, root=raw)
+    late = _events(spark, d).agg(F.max_by(F.expr(samples.line_sql("'05/Mar/2099:10:00:00'", "0")), "event_id").alias("line"))
+    ahead = late.select(F.regexp_replace("line", r"00 [-+]\d{4}\].*$", FUTURE_TAIL).alias("line"))
+    ahead.coalesce(1).write.option("compression", "gzip").text(f"{raw}/date=2099-03-05")
+    stream_landing(spark, raw, store, f"{root}/landing-checkpoint", BOTS).awaitTermination()
+    return read_daily_bots(spark, store, BOTS).withColumnRenamed("utc_date", "date")
 
 
 def _catalog_sql(spark, d):
@@ -295,6 +409,14 @@ def _log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_json_lines": lambda s, d: report.report_json_lines(_stored_rollup(s, d), AS_OF, GENERATED_AT),
         "stored_report": _stored_report,
         "built_report_paths": _built_report_paths,
+        "written_report_json": _written_report_json,
+        "replayed_landing": _replayed_landing,
+        "replayed_rollup": _replayed_rollup,
+        "damaged_landing": _damaged_landing,
+        "rejected_files": _rejected_files,
+        "expired_store": _expired_store,
+        "loaded_list": _loaded_list,
+        "bad_dates": _bad_dates,
         "crawl_comparison": _crawl_comparison,
         "crawl_accuracy": lambda s, d: accuracy.crawl_accuracy(_crawl_comparison(s, d)),
         "traffic_daily": lambda s, d: traffic.traffic_daily(_requests(s, d)),
@@ -342,12 +464,13 @@ def _families(column: str, families: dict[str, list[str]]) -> str:
 _LLM = ", ".join(f"'{bot.name}'" for bot in BOTS if bot.is_llm)
 _FIELD_LIST = ", ".join(f"'{n}'" for n in grammar.FIELDS)
 
-_CTES = f"""
-with lines as (
+_LINES = f"""
   select {samples.line_sql(_TIME, "user_id // 256", samples.REFERRER_SQL.strip())} as line,
-    cast(ts as date) as log_date, concat('access.log-', {_DAY}, '.gz') as source_file
+    cast(ts as date) as log_date, concat('access.log-', {_DAY}, '.gz') as source_file, event_id
   from events
-),
+"""
+_CTES = f"""
+with lines as ({_LINES}),
 segments as (
   select *, string_split(trim(line), ' | ') as parts from lines
 ),
@@ -424,6 +547,13 @@ recent as (select * from parsed where "date" >= (
   select min("date") from (select distinct "date" from parsed order by 1 desc limit 10)))"""
 
 
+def _replayed(query: str) -> str:
+    """A query over all lines of one site and those of the other that are left."""
+    left = REPLAYED.format(day="day(log_date)")
+    both = f"select * from ({_LINES}) union all select {left} as line, log_date, source_file, event_id from ({_LINES})"
+    return f"{_CTES} {query}".replace(_LINES, both, 1)
+
+
 def _panel(key: str, alias: str = "", where: str = "") -> str:
     named = f"{key} as {alias}" if alias else key
     return f"{_CTES} select {named}, {_METRICS} from parsed {where} group by {key}"
@@ -485,7 +615,7 @@ summary as (""" + _SUMMARY + ")"
 _DOCUMENT = f"""{_CTES}, {_SERIES},
 top_pages as (
   select bot_name, list({{'path': path, 'requests': requests}} order by rnk) as top_paths
-  from ranked_pages where rnk <= 20 group by bot_name
+  from ranked_pages group by bot_name
 ),
 counts as (select bot_name, count(*) as unique_paths from pages group by bot_name)
 select cast(to_json({{
@@ -605,7 +735,7 @@ select case when is_llm then 'LLM' else 'Other' end as bot_type, period, period_
         "report_document": _DOCUMENT,
         "report_json_lines": _JSON_LINES,
         "stored_report": _OVERVIEW,
-        "built_report_paths": f"select bot_name, path, cast(sum(requests) as bigint) as requests from ({week}) group by all",
+        "built_report_paths": f"{_CTES} select * from pages",
         "crawl_comparison": f"{_COMPARISON} select * from compared",
         "crawl_accuracy": f"""{_COMPARISON} select cast(sum(matched) as bigint) as matched,
   cast(sum(crawls) as bigint) as crawls, cast(sum(matched) as double) / nullif(sum(crawls), 0) as accuracy from compared""",
@@ -618,13 +748,34 @@ select case when is_llm then 'LLM' else 'Other' end as bot_type, period, period_
         "traffic_hours": _panel("cast(hour(local_ts) as int)", '"hour"'),
         "traffic_status": _panel("status"),
         "traffic_virtual_hosts": _panel("host"),
-        "stored_dashboard": f"{_RECENT} select ip, {_METRICS} from recent group by ip",
+        "stored_dashboard": _panel("ip"),
         "traffic_capped": f"""{_RECENT}
 select "method", path, protocol, {_METRICS} from recent group by all
 order by hits desc, "method", path, protocol limit 25""",
         "stream_landing_counts": f'{_CTES} select bot_name, "date", count(*) as requests from bots group by all',
-        "stream_daily_bots": f"""{_CTES} select cast(local_ts - case when tz_offset = '-05:00' then interval 5 hour * -1
-  else interval 0 hour end as date) as "date", bot_name, count(*) as requests from bots group by all""",
+        "stream_daily_bots": f"""{_CTES}, found as (
+  select cast(local_ts - case when tz_offset = '-05:00' then interval 5 hour * -1 else interval 0 hour end as date) as "date",
+    bot_name from bots union all select date '2099-03-05', 'GPTBot')
+select "date", bot_name, count(*) as requests from found group by all""",
+        "written_report_json": f"select line from ({_JSON_LINES})",
+        "replayed_landing": _replayed('select "date", path, status, count(*) as hits from parsed group by all'),
+        "replayed_rollup": _replayed("select * from daily"),
+        "damaged_landing": f"""{_CTES} select bot_name, "date", count(*) as requests from bots
+where log_date >= date '2024-01-02' group by all""",
+        "rejected_files": f"""with days as (select distinct cast(ts as date) as log_date, {_DAY} as d from events where day(ts) = 2)
+select log_date, concat(s, '/date=', d, '/access.log-', d, '.gz') as source_file, 'rejected' as status
+from days, (values ('cut'), ('plain')) as sites(s)""",
+        "expired_store": f"""{_CTES}, rolled as (select log_date, count(*) as bot_requests from bots group by all)
+select log_date, count(*) as requests, any_value(bot_requests) as bot_requests from parsed left join rolled using (log_date)
+where log_date >= date '2024-01-21' group by all""",
+        "loaded_list": f"""{_CTES}, other as (
+  select *, case when regexp_matches(user_agent, 'oai-\\w+/1\\.[0-2]|gpt ?bot/', 'i') then 'Open'
+    when regexp_matches(user_agent, 'google(bot|other)', 'i') then 'Search'
+    when regexp_matches(user_agent, 'feedbot', 'i') then 'feedbot'
+    when regexp_matches(user_agent, '^facebook', 'i') then 'Face' end as bot from parsed)
+select "date", bot as bot_name, bot <> 'Search' as is_llm, case when trim(path) = '' then '/' else trim(path) end as path,
+  count(*) as requests from other where bot is not null group by all""",
+        "bad_dates": f'{_CTES} select "date", path, count(*) as hits from parsed where status <> 500 group by all',
     }
 
 

@@ -61,6 +61,16 @@ def bot_path_daily(requests: DataFrame, bots: Sequence[Bot], *by: str) -> DataFr
     return paged.groupBy(*ROLLUP_KEYS, *by).agg(requests_each.alias("requests"))
 
 
+def utc_date(ts: str) -> Column:
+    """Day of an instant in UTC, whatever the zone of the session."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(F.col(ts)) / 86_400).cast("int"))
+
+
+def utc_daily(file_rollup: DataFrame) -> DataFrame:
+    """Requests per crawler and UTC day, out of the rollup kept per file."""
+    return file_rollup.groupBy("utc_date", "bot_name").agg(_requests())
+
+
 def merge_rollups(rollup: DataFrame) -> DataFrame:
     """Sum a rollup kept per file into one per day, crawler and page."""
     return rollup.groupBy(*ROLLUP_KEYS).agg(F.sum("requests").alias("requests"))
@@ -108,19 +118,15 @@ def type_label(is_llm: Column) -> Column:
 
 
 def bot_overview(rollup: DataFrame) -> DataFrame:
-    """Per crawler: type, total requests, days seen, distinct pages; busiest first."""
+    """Per crawler: type, total requests, days seen, distinct pages; busiest first.
+
+    Days and pages are counted from two small sums of the rollup, which need no expanded copy of it.
+    """
+    days = bot_daily(rollup).groupBy("bot_name").agg(F.count(F.lit(1)).alias("days_seen"))
+    pages = bot_paths(rollup).groupBy("bot_name").agg(F.count(F.lit(1)).alias("unique_paths"))
     return (
-        rollup.groupBy("bot_name", "is_llm")
-        .agg(
-            F.sum("requests").alias("total_requests"),
-            F.countDistinct("date").alias("days_seen"),
-            F.countDistinct("path").alias("unique_paths"),
-        )
-        .select(
-            "bot_name",
-            type_label(F.col("is_llm")).alias("bot_type"),
-            "total_requests", "days_seen", "unique_paths",
-        )
+        bot_totals(rollup).join(days, "bot_name").join(pages, "bot_name")
+        .select("bot_name", type_label(F.col("is_llm")).alias("bot_type"), "total_requests", "days_seen", "unique_paths")
         .orderBy(F.desc("total_requests"), "bot_name")
     )
 
@@ -205,15 +211,17 @@ def _daily_series(rollup: DataFrame) -> DataFrame:
     )
 
 
-def report_bots(rollup: DataFrame, max_paths: int = 20) -> DataFrame:
-    """One row per crawler with its daily series and its first ``max_paths`` pages.
+def report_bots(rollup: DataFrame, max_paths: int | None) -> DataFrame:
+    """One row per crawler with its daily series and its pages, or the first ``max_paths`` of them.
 
-    ``unique_paths`` tells how many pages there are; all of them are in
-    :func:`bot_paths` and in :func:`report_json_lines`.
+    ``unique_paths`` tells how many pages there are. A row holds all pages it lists, so for
+    sites with very many pages write :func:`report_json_lines` instead.
     """
     daily = _daily_series(rollup)
     order = Window.partitionBy("bot_name").orderBy(F.desc("requests"), "path")
-    ranked = bot_paths(rollup).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max_paths)
+    ranked = bot_paths(rollup).withColumn("rank", F.row_number().over(order))
+    if max_paths is not None:
+        ranked = ranked.where(F.col("rank") <= max_paths)
     pages = ranked.groupBy("bot_name").agg(
         F.transform(
             F.sort_array(F.collect_list(F.struct("rank", "path", "requests"))),
@@ -228,7 +236,7 @@ def report_bots(rollup: DataFrame, max_paths: int = 20) -> DataFrame:
 
 
 def report_document(
-    rollup: DataFrame, as_of: date, generated_at: str, days_back: int = DAYS_BACK, max_paths: int = 20
+    rollup: DataFrame, as_of: date, generated_at: str, max_paths: int | None, days_back: int = DAYS_BACK
 ) -> DataFrame:
     """The nested report as one row: the crawlers are bounded by the list."""
     bots = report_bots(rollup, max_paths).agg(
@@ -300,7 +308,7 @@ def report_json_lines(
         ).alias("line"),
     )
     bot_end = ranked.select("bot_rank", F.lit(_BOT_END).alias("part"), *no_path, F.lit("]}").alias("line"))
-    places = F.broadcast(ranked.select("bot_name", "bot_rank", "first_path"))
+    places = ranked.select("bot_name", "bot_rank", "first_path")
     path = pages.join(places, "bot_name").select(
         "bot_rank", F.lit(_PATH).alias("part"),
         (-F.col("requests")).alias("order_requests"), F.col("path").alias("order_path"),

@@ -11,9 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from hitledger.functions.agents import BROWSERS, SYSTEMS, family
 from hitledger.functions.grammar import local_hour, local_seconds
 
-MAX_ITEMS = 50_000
-KEEP_DATES = 365
-
 
 def _bytes() -> Column:
     return F.coalesce(
@@ -88,18 +85,75 @@ def traffic_virtual_hosts(requests: DataFrame) -> DataFrame:
     return panel(requests, "host")
 
 
-def last_dates_start(requests: DataFrame, days: int = KEEP_DATES) -> DataFrame:
+#: The panels of a dashboard and the types of their keys.
+PANELS: dict[str, dict[str, str]] = {
+    "daily": {"date": "date"},
+    "hosts": {"ip": "string"},
+    "referrers": {"referrer": "string"},
+    "requests": {"method": "string", "path": "string", "protocol": "string"},
+    "browsers": {"browser": "string"},
+    "os": {"os": "string"},
+    "hours": {"hour": "int"},
+    "status": {"status": "int"},
+    "virtual_hosts": {"host": "string"},
+}
+
+
+def _keyed(keys: dict[str, str]) -> str:
+    """Array of structs of panel and keys (as text), from panel names and the SQL of their keys."""
+    return "array(" + ", ".join(f"struct('{name}' AS panel, {sql} AS keys)" for name, sql in keys.items()) + ")"
+
+
+def panel_rows(requests: DataFrame) -> DataFrame:
+    """The rows of all panels in one table: ``panel, keys, hits, bytes, visitors``, from one scan.
+
+    Requests are first counted by visitor within each key, so a key that holds most of them is spread over
+    its visitors. What depends on the visitor alone, as the families of agents do, is worked out once per visitor.
+    """
+    of_request = {
+        "visitor": "CAST(array() AS array<string>)",
+        "referrers": "CASE WHEN referrer NOT IN ('-', '') THEN array(referrer) END",
+        "requests": "array(method, path, protocol)",
+        "hours": "array(CAST(_hour AS STRING))",
+        "status": "array(CAST(status AS STRING))",
+        "virtual_hosts": "array(host)",
+    }
+    hour = F.expr(local_hour(local_seconds("ts", "tz_offset"))).alias("_hour")
+    timed = requests.select("*", hour, F.coalesce("user_agent", F.lit("")).alias("_agent"))
+    each = timed.select("ip", "_agent", "date", "body_bytes_sent", F.expr(f"inline({_keyed(of_request)})")).where("keys IS NOT NULL")
+    visits = each.groupBy("panel", "keys", "ip", "_agent", "date").agg(F.count(F.lit(1)).alias("hits"), _bytes().alias("bytes"))
+    of_visitor = {
+        "daily": "array(CAST(date AS STRING))",
+        "hosts": "array(ip)",
+        "browsers": f"array({family('_folded', BROWSERS)})",
+        "os": f"array({family('_folded', SYSTEMS)})",
+    }
+    own = "array(struct(panel, keys))"
+    folded = visits.withColumn("_folded", F.lower("_agent"))
+    spread = folded.select("hits", "bytes", F.expr(f"inline(CASE WHEN panel = 'visitor' THEN {_keyed(of_visitor)} ELSE {own} END)"))
+    return spread.groupBy("panel", "keys").agg(
+        F.sum("hits").alias("hits"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("visitors")
+    )
+
+
+def one_panel(rows: DataFrame, name: str, keys: dict[str, str]) -> DataFrame:
+    """One panel out of :func:`panel_rows`, with its keys as columns."""
+    columns = [F.col("keys")[i].cast(kind).alias(key) for i, (key, kind) in enumerate(keys.items())]
+    return rows.where(F.col("panel") == name).select(*columns, "hits", "bytes", "visitors")
+
+
+def last_dates_start(requests: DataFrame, days: int) -> DataFrame:
     """One row: the earliest of the last ``days`` dates that occur."""
     dates = requests.select("date").distinct().orderBy(F.desc("date")).limit(days)
     return dates.agg(F.min("date").alias("start"))
 
 
-def keep_last_dates(requests: DataFrame, days: int = KEEP_DATES) -> DataFrame:
+def keep_last_dates(requests: DataFrame, days: int) -> DataFrame:
     """Requests of the last ``days`` dates that occur, however far apart they are."""
     return requests.where(F.col("date") >= last_dates_start(requests, days).scalar())
 
 
-def top_items(panel_rows: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
+def top_items(panel_rows: DataFrame, max_items: int) -> DataFrame:
     """The busiest rows of a panel; equal hits go by key."""
     keys = [c for c in panel_rows.columns if c not in ("hits", "bytes", "visitors")]
     return panel_rows.orderBy(F.desc("hits"), *keys).limit(max_items)

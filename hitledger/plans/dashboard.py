@@ -9,33 +9,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hitledger.operators import traffic as t
 from hitledger.sinks.reports import table_path, write_report_table
 
-PANELS = {
-    "daily": t.traffic_daily,
-    "hosts": t.traffic_hosts,
-    "referrers": t.traffic_referrers,
-    "requests": t.traffic_requests,
-    "browsers": t.traffic_browsers,
-    "os": t.traffic_systems,
-    "hours": t.traffic_hours,
-    "status": t.traffic_status,
-    "virtual_hosts": t.traffic_virtual_hosts,
-}
-
-
 def build_dashboard(
-    requests: DataFrame, root: str, day: date,
-    keep_dates: int = t.KEEP_DATES, max_items: int = t.MAX_ITEMS,
+    requests: DataFrame, root: str, day: date, keep_dates: int | None = None, max_items: int | None = None
 ) -> None:
-    """Write every panel over the last ``keep_dates`` dates that occur.
+    """Write every panel, from one scan of the requests.
 
-    ``day`` only names the dashboard; requests are not filtered by it. The first date
-    to keep is one value, found once, so that every panel's scan can skip files by it.
+    ``day`` only names the dashboard; requests are not filtered by it. ``keep_dates`` leaves only the last dates that
+    occur, ``max_items`` only the busiest rows of each panel; without them nothing is left out.
     """
-    start = t.last_dates_start(requests, keep_dates).first().start
-    recent = requests if start is None else requests.where(F.col("date") >= F.lit(start))
-    for name, panel in PANELS.items():
-        write_report_table(t.top_items(panel(recent), max_items), root, name, day)
+    if keep_dates is not None:
+        start = t.last_dates_start(requests, keep_dates).first().start
+        requests = requests if start is None else requests.where(F.col("date") >= F.lit(start))
+    stored = requests.sparkSession.read.parquet(write_report_table(t.panel_rows(requests), root, "panel_rows", day))
+    for name, keys in t.PANELS.items():
+        panel = t.one_panel(stored, name, keys)
+        write_report_table(panel if max_items is None else t.top_items(panel, max_items), root, name, day)
 
 
 def read_dashboard(spark: SparkSession, root: str, day: date) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(table_path(root, name, day)) for name in PANELS}
+    return {name: spark.read.parquet(table_path(root, name, day)) for name in t.PANELS}

@@ -1,41 +1,59 @@
-"""Raw files to the parsed table and its rollup."""
+"""Raw files to the parsed table, its rollups and a record of what was landed."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
-from datetime import date
+import time
+from collections import Counter
+from collections.abc import Iterable, Sequence
+from datetime import date, datetime
 from functools import reduce
+from itertools import islice
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
-from hitledger.operators.parse import OUTCOMES, match_lines, outcome_counts, requests_from_matches
-from hitledger.operators.report import bot_path_daily
-from hitledger.schema import ACCESS_TABLE, FILE_ROLLUP
-from hitledger.sinks.access import FILE_KEYS, write_by_file
-from hitledger.sources.bots import Bot
-from hitledger.sources.paths import path_exists
-from hitledger.sources.raw import list_files, read_raw_lines, spread_lines
+from hitledger.operators.files import select_log_files
+from hitledger.operators.parse import OUTCOMES, PARSED, match_lines, outcome_counts, requests_from_matches
+from hitledger.operators.report import bot_path_daily, utc_date
+from hitledger.schema import ACCESS_TABLE, FILE_ROLLUP, LANDED, ROLLED
+from hitledger.sinks.access import FILE_KEYS, file_folder, write_by_file
+from hitledger.sources.bots import Bot, list_mark
+from hitledger.sources.paths import NO_DAY, file_system, path_exists
+from hitledger.sources.raw import list_files, raw_root, read_raw_lines, spread_lines
 from hitledger.sources.table import read_or_empty
 
-# Fixed value: how a folder of a partition column spells null.
-NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+#: Files landed by one job; a longer listing takes several, and no file is left out.
+FILES_PER_JOB = 1000
+LANDED_OK, REJECTED = "landed", "rejected"
+
+File = tuple[date | None, str]
 
 
 class Store:
-    """Where the parsed table and its rollup live."""
+    """Where the parsed table, its rollups and the record of landed files live."""
 
     def __init__(self, root: str):
         self.root = root.rstrip("/")
         self.access = f"{self.root}/access_logs"
-        self.rollup = f"{self.root}/bot_path_daily"
+        self.landed = f"{self.root}/landed_files"
+        self.rollups = f"{self.root}/bot_path_daily"
+
+    def rollup(self, bots: Sequence[Bot]) -> str:
+        """The rollup by one crawler list; another list has another folder."""
+        return f"{self.rollups}/list={list_mark(bots)}"
+
+    def rolled(self, bots: Sequence[Bot]) -> str:
+        """Which loads of which files are in that rollup."""
+        return f"{self.root}/rolled_files/list={list_mark(bots)}"
 
     def read_access(self, spark: SparkSession) -> DataFrame:
         return read_or_empty(spark, self.access, ACCESS_TABLE, spark.read.schema(ACCESS_TABLE).parquet)
 
-    def read_files(self, spark: SparkSession, files: Sequence[tuple[date, str]]) -> DataFrame:
-        """Requests of some files, without listing the rest of the table."""
-        names: dict[date, list[str]] = {}
+    def read_files(self, spark: SparkSession, files: Sequence[File]) -> DataFrame:
+        """Requests of the files of one job, without listing the rest of the table."""
+        names: dict[date | None, list[str]] = {}
         for day, name in files:
             names.setdefault(day, []).append(name)
         folders = [f"{self.access}/log_date={day or NO_DAY}" for day in names]
@@ -49,92 +67,177 @@ class Store:
         ]
         return table.where(reduce(lambda a, b: a | b, wanted))
 
-    def read_rollup(self, spark: SparkSession) -> DataFrame:
-        """Requests per file, day, crawler and page; sum over files with ``merge_rollups``."""
-        return read_or_empty(spark, self.rollup, FILE_ROLLUP, spark.read.schema(FILE_ROLLUP).parquet)
+    def read_rollup(self, spark: SparkSession, bots: Sequence[Bot]) -> DataFrame:
+        """Requests per file, day, UTC day, crawler and page; sum over files with ``merge_rollups``."""
+        return read_or_empty(spark, self.rollup(bots), FILE_ROLLUP, spark.read.schema(FILE_ROLLUP).parquet)
+
+    def read_landed(self, spark: SparkSession) -> DataFrame:
+        """The last attempt at each file: ``status`` is ``landed`` or ``rejected``, with the ``reason``."""
+        record = read_or_empty(spark, self.landed, LANDED, spark.read.schema(LANDED).parquet)
+        last = record.groupBy("source_file").agg(F.max_by(F.struct(*record.columns), "loaded").alias("last"))
+        return last.select("last.*")
+
+    def rejected_files(self, spark: SparkSession) -> DataFrame:
+        return self.read_landed(spark).where(F.col("status") == REJECTED)
 
 
-def land_lines(lines: DataFrame, store: Store, on_replay: str = "replace") -> dict[str, int]:
-    """Parse raw lines into the table; returns lines per outcome, counted by the same pass."""
+def _observed(seen: Observation) -> dict:
+    """What was observed; nothing where Spark found at run time that a plan has no rows and left it out."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
+def land_lines(lines: DataFrame, store: Store, on_replay: str = "replace") -> tuple[dict[str, int], set[File]]:
+    """Parse raw lines into the table: lines per outcome and the files that got rows, from the same pass."""
     seen = Observation()
-    matched = match_lines(lines).observe(seen, *outcome_counts())
+    file = F.struct(*[F.col(key) for key in FILE_KEYS])
+    got_rows = F.collect_set(F.when(F.col("_outcome") == PARSED, file)).alias("files")
+    matched = match_lines(lines).observe(seen, *outcome_counts(), got_rows)
     write_by_file(requests_from_matches(matched), store.access, on_replay)
-    return dict(seen.get)
+    found = _observed(seen)
+    return {name: found.get(name, 0) for name in OUTCOMES}, {tuple(f) for f in found.get("files", [])}
 
 
-def spread_limit(sizes: Sequence[int], cores: int) -> int:
-    """Compressed size from which on a file is spread over tasks.
-
-    Half of an even share per core: a larger file would still be read when the others
-    are done. Among many files that is large, and they are parsed where they are read,
-    without a shuffle. At least the size of one share, at most 128 MB.
-    """
-    return min(max(sum(sizes) // (2 * cores), 8 << 20), 128 << 20)
+def clear_files(spark: SparkSession, path: str, files: Iterable[File]) -> None:
+    """Drop what an earlier load of these files left in a table kept by file."""
+    for day, name in files:
+        fs, folder = file_system(spark, file_folder(spark, path, day, name))
+        fs.delete(folder, True)
 
 
 def _no_wildcards(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def land_listed(
-    spark: SparkSession, listed: Sequence[Row], store: Store, bots: Sequence[Bot] | None = None,
-    on_replay: str = "replace", limit: int | None = None,
-) -> dict[str, int]:
-    """Land the files of a listing (``list_files``); returns lines per outcome.
+def _keys(listed: Iterable[Row]) -> list[File]:
+    return [(f.log_date, f.source_file) for f in listed]
 
-    With ``bots``, the rollup of the landed files is brought up to date as well. It is
-    kept per file, so late requests for an old day and replayed files need no rescan
-    of that day: only the arriving files are read.
 
-    The listing has one entry per file, as Spark's own index of them does. One job writes
-    all files, so a damaged one fails it before any row is visible.
-    """
-    if limit is None:
-        limit = spread_limit([f.length for f in listed], spark.sparkContext.defaultParallelism)
-    parts = []
-    for spread in (False, True):
-        paths = [_no_wildcards(f.path) for f in listed if (f.length > limit) == spread]
-        if paths:
-            lines = read_raw_lines(spark, paths)
-            parts.append(spread_lines(lines) if spread else lines.drop("file_size"))
-    if not parts:
-        return {outcome: 0 for outcome in OUTCOMES}
-    counts = land_lines(reduce(DataFrame.unionByName, parts), store, on_replay)
+def _land(spark, listed, store, root, bots, on_replay, loaded) -> dict[str, int]:
+    lines = read_raw_lines(spark, [_no_wildcards(f.path) for f in listed], root)
+    counts, written = land_lines(spread_lines(lines), store, on_replay)
+    if on_replay == "replace":
+        # An overwrite leaves partitions alone that get no rows, so files without any are cleared here.
+        clear_files(spark, store.access, set(_keys(listed)) - written)
     if bots is not None:
-        update_rollup(spark, store, [(f.log_date, f.filename) for f in listed], bots)
+        update_rollup(spark, store, _keys(listed), bots, loaded)
     return counts
 
 
-def _rollup_by_file(requests: DataFrame, bots: Sequence[Bot]) -> DataFrame:
-    # Brought together by file, as otherwise every task would write a bit of every file;
-    # adaptive execution splits a file with a very large rollup again.
-    rollup = bot_path_daily(requests, bots, *FILE_KEYS)
-    return rollup.hint("rebalance", *[F.col(key) for key in FILE_KEYS])
+#: What the readers of damaged files say (fixed values).
+DAMAGED = re.compile(
+    r"not a gzip|not in GZIP|EOFException|end of (input )?(stream|file)|ZipException|incorrect (data|header) check|invalid (block|code|distance|stored|bit|literal)"
+    r"|unknown compression method|ZlibError|premature|corrupt", re.I
+)
 
 
-def update_rollup(
-    spark: SparkSession, store: Store, files: Sequence[tuple[date, str]], bots: Sequence[Bot]
-) -> None:
-    """Recompute the rollup of the given files, (``log_date``, ``source_file``), from the table.
+def _damage(error: Exception) -> str | None:
+    """What is wrong with a file; None when the failure has another cause."""
+    found = DAMAGED.search(str(error))
+    return found[0] if found else None
 
-    The list has one entry per file of a batch, which Spark's own listing holds as well.
-    Only the folders of their days are listed, and only their own files read. After a
-    change of the crawler list, use :func:`rebuild_rollup` instead.
-    """
-    write_by_file(_rollup_by_file(store.read_files(spark, files), bots), store.rollup)
 
+def land_listed(
+    spark: SparkSession, listed: Sequence[Row], store: Store, root: str, bots: Sequence[Bot] | None = None,
+    on_replay: str = "replace",
+) -> dict[str, int]:
+    """Land the files of one job (rows of ``list_files``); returns lines per outcome.
+
+    A file is known by its path below ``root``, and what it held before is replaced, also by nothing at
+    all. With ``bots``, the rollup of the landed files is brought up to date as well; it is kept per
+    file, so late requests and replayed files need no other file to be read.
 
-def rebuild_rollup(spark: SparkSession, store: Store, bots: Sequence[Bot]) -> None:
-    """Recompute the rollup of every file, after the crawler list changed."""
-    rollup = _rollup_by_file(store.read_access(spark), bots)
-    rollup.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        *FILE_KEYS
-    ).parquet(store.rollup)
+    A damaged file fails the job that reads it before any row is visible. The job's files are then
+    halved until it stands alone; it is recorded as rejected, and its rows of an earlier load stay.
+    """
+    total: Counter = Counter(dict.fromkeys(OUTCOMES, 0))
+    loaded = time.time_ns() // 1000
+    record, todo = [], [list(listed)]
+    while todo:
+        part = todo.pop()
+        if not part:
+            continue
+        status, reason = LANDED_OK, None
+        try:
+            total.update(_land(spark, part, store, root, bots, on_replay, loaded))
+        except (Py4JJavaError, PySparkException) as error:
+            reason = _damage(error)
+            if reason is None:
+                raise
+            if len(part) > 1:
+                todo += [part[: len(part) // 2], part[len(part) // 2 :]]
+                continue
+            status = REJECTED
+        record += [(f.log_date, f.source_file, f.length, f.modified, loaded, status, reason) for f in part]
+    if record:
+        spark.createDataFrame(record, LANDED).coalesce(1).write.mode("append").parquet(store.landed)
+    return dict(total)
+
+
+def _land_all(spark, listing: DataFrame, store, root, bots, on_replay) -> dict[str, int]:
+    """Land a listing of any length in jobs of ``FILES_PER_JOB``; the driver holds one job's files."""
+    total: Counter = Counter(dict.fromkeys(OUTCOMES, 0))
+    files = listing.toLocalIterator()
+    while part := list(islice(files, FILES_PER_JOB)):
+        total.update(land_listed(spark, part, store, root, bots, on_replay))
+    return dict(total)
 
 
 def land_files(
     spark: SparkSession, path: str, store: Store, bots: Sequence[Bot] | None = None,
-    on_replay: str = "replace",
+    on_replay: str = "replace", root: str | None = None,
+) -> dict[str, int]:
+    """Land every file below a folder, or one file, whether or not it was landed before.
+
+    ``root`` is the folder below which a file's path is its name, by default what comes before ``date=``.
+    """
+    root = root or raw_root(spark, path)
+    return _land_all(spark, list_files(spark, path, root), store, root, bots, on_replay)
+
+
+def land_new(
+    spark: SparkSession, path: str, store: Store, bots: Sequence[Bot] | None = None,
+    template: str | None = None, now: datetime | None = None, root: str | None = None,
 ) -> dict[str, int]:
-    """Land every file below a folder, or one file."""
-    return land_listed(spark, list_files(spark, path).collect(), store, bots, on_replay)
+    """Land what is new below a folder, or has another size or time than when it was landed.
+
+    With ``template``, only files it names, of complete days (``select_log_files`` at ``now``).
+    """
+    root = root or raw_root(spark, path)
+    listing = list_files(spark, path, root)
+    if template is not None:
+        listing = select_log_files(listing, template, now or datetime.now())
+    known = store.read_landed(spark).select("source_file", "length", "modified")
+    return _land_all(spark, listing.join(known, known.columns, "left_anti"), store, root, bots, "replace")
+
+
+def update_rollup(
+    spark: SparkSession, store: Store, files: Sequence[File], bots: Sequence[Bot], loaded: int = 0
+) -> None:
+    """Recompute the rollup of the files of one job from the table."""
+    requests = store.read_files(spark, files).withColumn("utc_date", utc_date("ts"))
+    rollup = bot_path_daily(requests, bots, *FILE_KEYS, "utc_date")
+    seen = Observation()
+    rollup = rollup.observe(seen, F.collect_set(F.struct(*[F.col(key) for key in FILE_KEYS])).alias("files"))
+    # Brought together by file, as otherwise every task would write a bit of every file;
+    # adaptive execution splits a file with a very large rollup again.
+    write_by_file(rollup.hint("rebalance", *[F.col(key) for key in FILE_KEYS]), store.rollup(bots))
+    clear_files(spark, store.rollup(bots), set(files) - {tuple(f) for f in _observed(seen).get("files", [])})
+    rows = [(*file, loaded) for file in files]
+    spark.createDataFrame(rows, ROLLED).coalesce(1).write.mode("append").parquet(store.rolled(bots))
+
+
+def refresh_rollup(spark: SparkSession, store: Store, bots: Sequence[Bot]) -> None:
+    """Bring the rollup by this list up to date: files whose present load is not in it are read anew."""
+    rolled = read_or_empty(spark, store.rolled(bots), ROLLED, spark.read.schema(ROLLED).parquet)
+    record = read_or_empty(spark, store.landed, LANDED, spark.read.schema(LANDED).parquet)
+    landed = record.where(F.col("status") == LANDED_OK).groupBy("source_file").agg(F.max_by(F.struct("log_date", "loaded"), "loaded").alias("last"))
+    missing = landed.select("last.log_date", "source_file", "last.loaded").join(
+        rolled.select("source_file", "loaded"), ["source_file", "loaded"], "left_anti"
+    )
+    files = missing.orderBy("loaded").toLocalIterator()
+    while part := list(islice(files, FILES_PER_JOB)):
+        for loaded in sorted({f.loaded for f in part}):
+            update_rollup(spark, store, _keys(f for f in part if f.loaded == loaded), bots, loaded)

@@ -8,7 +8,8 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from hitledger.operators import report as r
-from hitledger.sinks.reports import report_date, table_path, write_report_json, write_report_table
+from hitledger.plans.landing import Store, refresh_rollup
+from hitledger.sinks.reports import drop_report_table, report_date, table_path, write_report_json, write_report_table
 from hitledger.sources.bots import Bot
 from hitledger.sources.table import read_or_empty
 
@@ -58,7 +59,10 @@ def build_report_from_rollup(
 def store_report(
     rollup: DataFrame, root: str, as_of: date, days_back: int, json_prefix: str | None = None
 ) -> None:
+    """Write all tables of a report. The old summary goes first and the new one comes last, so
+    that a rebuild that breaks off leaves no report that looks whole."""
     day = report_date(as_of)
+    drop_report_table(rollup.sparkSession, root, SUMMARY, day)
     stored = rollup.sparkSession.read.parquet(write_report_table(rollup, root, REQUESTS, day))
     write_report_table(r.bot_overview(stored), root, "overview", day)
     write_report_table(r.bot_daily(stored), root, "daily", day)
@@ -71,12 +75,16 @@ def store_report(
 
 
 def get_or_build_report(
-    requests: DataFrame, bots: Sequence[Bot], root: str, day: date | None = None,
-    days_back: int = r.DAYS_BACK, slack_days: int | None = None,
+    spark: SparkSession, store: Store, bots: Sequence[Bot], root: str, day: date | None = None,
+    days_back: int = r.DAYS_BACK,
 ) -> dict[str, DataFrame]:
-    """The report of ``day`` (yesterday by default, UTC), built first when not stored."""
+    """The report of ``day`` (yesterday by default, UTC), built first when not stored.
+
+    It is built from the rollup kept per file. Files that the rollup by this crawler list lacks, as all do after
+    the list changed, are added to it first; no other part of the log is read.
+    """
     day = day or yesterday()
-    spark = requests.sparkSession
     if not has_report(spark, root, day):
-        build_report(requests, bots, root, day + timedelta(days=1), days_back, slack_days)
+        refresh_rollup(spark, store, bots)
+        build_report_from_rollup(store.read_rollup(spark, bots), root, day + timedelta(days=1), days_back)
     return read_report(spark, root, day)

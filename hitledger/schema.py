@@ -57,7 +57,7 @@ BOTS = T.StructType(
     ]
 )
 
-# Requests per file, day, crawler and page: the stored form of the base rollup.
+# Requests per file, day, UTC day, crawler and page: the stored form of the base rollup.
 FILE_ROLLUP = T.StructType(
     [
         T.StructField("date", T.DateType()),
@@ -65,10 +65,26 @@ FILE_ROLLUP = T.StructType(
         T.StructField("is_llm", T.BooleanType()),
         T.StructField("path", T.StringType()),
         T.StructField("requests", T.LongType()),
+        T.StructField("utc_date", T.DateType()),
     ]
     + FILE_COLUMNS.fields
 )
 
+# One attempt at landing a file; ``loaded`` is when, in microseconds.
+LANDED = T.StructType(
+    FILE_COLUMNS.fields
+    + [
+        T.StructField("length", T.LongType()),
+        T.StructField("modified", T.TimestampType()),
+        T.StructField("loaded", T.LongType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("reason", T.StringType()),
+    ]
+)
+
+# One load of a file that a rollup holds.
+ROLLED = T.StructType(FILE_COLUMNS.fields + [T.StructField("loaded", T.LongType())])
+
 NOTIFICATION = (
     "struct<Records: array<struct<s3: struct<"
     "bucket: struct<name: string>, object: struct<key: string>>>>>"

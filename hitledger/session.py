@@ -38,12 +38,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/hitledger-{name}-{uuid.uuid4().hex}"
 
 
-def use_all_cores(scan: DataFrame, key: str) -> DataFrame:
-    """Spread a scan of fewer splits than cores; a larger one is returned as it is.
-
-    One small file is one split, and everything up to the first shuffle would run on
-    one core. Only meant for plain scans, whose number of splits is known beforehand,
-    and for a key without repetitions.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
+def spread_rows(rows: DataFrame, key: str) -> DataFrame:
+    """Narrow rows dealt evenly by a key without repetitions, before dear work on each."""
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(partitions, key)

@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hitledger.operators.parse import csv_rows
 from hitledger.schema import CSV_COLUMNS
+from hitledger.sources.paths import NO_DAY
 
 FILE_KEYS = ["log_date", "source_file"]
 
 
+def file_folder(spark: SparkSession, path: str, day: date | None, name: str) -> str:
+    """Folder of one file's rows in a table written by file."""
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(name)
+    return f"{path}/log_date={day or NO_DAY}/source_file={escaped}"
+
+
 def write_by_file(rows: DataFrame, path: str, on_replay: str = "replace") -> None:
     """Write rows into partitions by the file they came from.
 

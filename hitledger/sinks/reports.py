@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from hitledger.operators.report import LINE_ORDER, report_json_lines
+from hitledger.sources.paths import file_system
 
 BY_DAY = "report_date"
 
@@ -28,6 +29,12 @@ def write_report_table(rows: DataFrame, root: str, name: str, day: date) -> str:
     return path
 
 
+def drop_report_table(spark: SparkSession, root: str, name: str, day: date) -> None:
+    """Remove one report day of a table."""
+    fs, folder = file_system(spark, table_path(root, name, day))
+    fs.delete(folder, True)
+
+
 def json_path(prefix: str, day: date) -> str:
     folder = prefix if not prefix or prefix.endswith("/") else prefix + "/"
     return f"{folder}bot-report-{day.isoformat()}.json"

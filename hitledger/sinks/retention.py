@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import re
 from datetime import date, timedelta
-from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
-from hitledger.functions.text import literal
+from hitledger.plans.landing import Store
 from hitledger.sources.paths import file_system
 from hitledger.sources.raw import DATE_TEXT
 
@@ -20,34 +19,39 @@ def expire_raw_logs(
 
     The listing has one entry per day. Folders with other names are left alone.
     """
-    fs, folder = file_system(spark, root)
     limit = as_of - timedelta(days=keep_days)
-    old = []
-    for status in fs.listStatus(folder):
-        found = re.fullmatch(f"date=({DATE_TEXT})", status.getPath().getName())
-        if found and status.isDirectory() and date.fromisoformat(found[1]) < limit:
-            old.append(status.getPath())
+    old = [path for day, paths in _day_folders(spark, root, "date").items() if day < limit for path in paths]
+    fs, _ = file_system(spark, root)
     if not dry_run:
         for path in old:
             fs.delete(path, True)
     return sorted(path.toString() for path in old)
 
 
-def expire_partitions(
-    spark: SparkSession, table: str, as_of: date, keep_days: int, dry_run: bool = True
-) -> list[str]:
-    """Days of a catalog table older than ``keep_days``; dropped unless a dry run.
+def _day_folders(spark: SparkSession, root: str, name: str) -> dict[date, list]:
+    """Folders ``<name>=<day>`` directly below ``root``: one listing, with an entry per day."""
+    fs, folder = file_system(spark, root)
+    found: dict[date, list] = {}
+    for status in fs.listStatus(folder) if fs.exists(folder) else []:
+        match = re.fullmatch(f"{name}=({DATE_TEXT})", status.getPath().getName())
+        if match and status.isDirectory():
+            found.setdefault(date.fromisoformat(match[1]), []).append(status.getPath())
+    return found
 
-    Dropping a partition of a table with its own location keeps the files.
+
+def expire_store(spark: SparkSession, store: Store, as_of: date, keep_days: int, dry_run: bool = True) -> list[date]:
+    """File days older than ``keep_days`` in the parsed table and all its rollups; deleted unless a dry run.
+
+    A catalog table over the store forgets them when it is registered again.
     """
     limit = as_of - timedelta(days=keep_days)
-    old = {}
-    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
-        spec = dict(part.split("=", 1) for part in row.partition.split("/"))
-        if re.fullmatch(DATE_TEXT, spec["log_date"]) and date.fromisoformat(spec["log_date"]) < limit:
-            values = ", ".join(f"{k} = {literal(unquote(v))}" for k, v in spec.items())
-            old.setdefault(spec["log_date"], []).append(f"PARTITION ({values})")
-    if not dry_run:
-        for specs in old.values():
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs)}")
+    fs, rollups = file_system(spark, store.rollups)
+    roots = [store.access, *(s.getPath().toString() for s in (fs.listStatus(rollups) if fs.exists(rollups) else []))]
+    old: set[date] = set()
+    for root in roots:
+        for day, folders in _day_folders(spark, root, "log_date").items():
+            if day < limit:
+                old.add(day)
+                for folder in [] if dry_run else folders:
+                    fs.delete(folder, True)
     return sorted(old)

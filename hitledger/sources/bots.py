@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Iterable, Sequence
 from typing import Any, NamedTuple
@@ -59,8 +60,16 @@ def load_bots(spark: SparkSession, path: str) -> list[Bot]:
     A list is configuration a person edits, so it is read whole; key order, which
     decides between entries, would be lost in a JSON table.
     """
-    text = spark.read.text(path, wholetext=True).first()
-    return bots_from_mapping(json.loads(text.value))
+    found = spark.read.text(path, wholetext=True).limit(2).collect()
+    if len(found) != 1:
+        raise ValueError(f"{path} must be exactly one file")
+    return bots_from_mapping(json.loads(found[0].value))
+
+
+def list_mark(bots: Sequence[Bot]) -> str:
+    """Tells crawler lists apart: the same names, patterns and flags in the same order have the same mark."""
+    text = json.dumps([[bot.name, bot.patterns, bot.is_llm] for bot in bots])
+    return hashlib.sha256(text.encode()).hexdigest()[:16]
 
 
 def bots_frame(spark: SparkSession, bots: Sequence[Bot] | Iterable[Bot]) -> DataFrame:

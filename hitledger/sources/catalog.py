@@ -12,6 +12,7 @@ from hitledger.operators.classify import name_bots
 from hitledger.operators.report import bot_path_daily
 from hitledger.schema import ACCESS_LOG
 from hitledger.sources.bots import Bot
+from hitledger.sources.paths import qualified
 
 
 def _quote(name: str) -> str:
@@ -23,8 +24,8 @@ def register_access_table(
 ) -> str:
     """Create or update table ``<prefix>_<table>`` of database ``<prefix>_logs_db``.
 
-    The table is a name for the files below ``path``, so updating it means declaring it
-    anew; the files stay. Returns the full table name. The catalog takes letters, digits
+    The table is a name for the files below ``path``. An existing one over the same
+    files stays, with its grants and comments, and gets the partitions that are there now. Returns the full table name. The catalog takes letters, digits
     and underscores only, so other characters of the prefix become underscores.
     """
     prefix = re.sub(r"\W", "_", prefix, flags=re.ASCII)
@@ -32,12 +33,15 @@ def register_access_table(
     full = f"{_quote(database)}.{_quote(f'{prefix}_{table}')}"
     columns = ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in ACCESS_LOG)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quote(database)}")
-    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    if spark.catalog.tableExists(full):
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {full}").where("col_name = 'Location'").collect()
+        if [r.data_type for r in rows] != [qualified(spark, path)]:
+            spark.sql(f"DROP TABLE {full}")  # a name for other files now
     spark.sql(
-        f"CREATE TABLE {full} ({columns}, log_date DATE, source_file STRING) "
+        f"CREATE TABLE IF NOT EXISTS {full} ({columns}, log_date DATE, source_file STRING) "
         f"USING parquet PARTITIONED BY (log_date, source_file) LOCATION {literal(path)}"
     )
-    spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+    spark.sql(f"MSCK REPAIR TABLE {full} SYNC PARTITIONS")
     spark.catalog.refreshTable(full)
     return full
 

@@ -11,6 +11,16 @@ def file_system(spark: SparkSession, path: str):
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
 
 
+# Fixed value: how a folder of a partition column spells null.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme, as listings of it have it."""
+    fs, location = file_system(spark, path)
+    return fs.makeQualified(location).toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path, which may hold wildcards, leads to anything."""
     fs, location = file_system(spark, path)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from hitledger.sources.paths import file_system, qualified
+
 DATE_TEXT = r"\d{4}-\d{2}-\d{2}"
 
 
@@ -14,14 +18,33 @@ def file_day(path: Column) -> Column:
     return F.try_to_date(F.when(folder != "", folder).otherwise(name), "yyyy-MM-dd")
 
 
-def _with_file(lines: DataFrame) -> DataFrame:
+def raw_root(spark: SparkSession, path: str) -> str:
+    """The folder below which a file's path is its name: what comes before a ``date=`` folder, else the folder itself."""
+    found = re.search(r"^(.*?)/date=", path)
+    if found:
+        return found[1]
+    fs, location = file_system(spark, path)
+    return location.getParent().toString() if fs.isFile(location) else path
+
+
+def _below(spark: SparkSession, path: Column, root: str | None) -> Column:
+    """The path below ``root``; without root, the file's own name."""
+    if root is None:
+        return F.substring_index(path, "/", -1)
+    return F.substr(path, F.lit(len(qualified(spark, root).rstrip("/")) + 2))
+
+
+def _with_file(lines: DataFrame, root: str | None) -> DataFrame:
     # File metadata is URL-encoded, with a plus sign left as it is.
-    name = F.col("_metadata.file_name")
-    decoded = F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    path = F.col("_metadata.file_path")
+    decoded = F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    path = F.when(F.contains(path, F.lit("%")), decoded).otherwise(path)
+    # The same scheme is written with one or with three slashes.
+    path = F.regexp_replace(path, "^file:/+", "file:/")
     return lines.select(
         F.col("value").alias("line"),
         file_day(F.col("_metadata.file_path")).alias("log_date"),
-        F.when(F.contains(name, F.lit("%")), decoded).otherwise(name).alias("source_file"),
+        _below(lines.sparkSession, path, root).alias("source_file"),
         F.col("_metadata.file_size").alias("file_size"),
     )
 
@@ -31,12 +54,13 @@ def _with_file(lines: DataFrame) -> DataFrame:
 _OPTIONS = {"lineSep": "\n", "recursiveFileLookup": "true"}
 
 
-def read_raw_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_raw_lines(spark: SparkSession, path: str | list[str], root: str | None = None) -> DataFrame:
     """``line, log_date, source_file, file_size`` from plain or gzipped log files.
 
-    ``path`` is a folder, a file, or several, and may hold wildcards. A damaged file fails the read; it is never counted in part.
+    ``path`` is a folder, a file, or several, and may hold wildcards. ``source_file`` is the file's path below
+    ``root``, or its name. A damaged file fails the read; it is never counted in part.
     """
-    return _with_file(spark.read.options(**_OPTIONS).text(path))
+    return _with_file(spark.read.options(**_OPTIONS).text(path), root)
 
 
 def spread_lines(lines: DataFrame, bytes_per_task: int = 8 << 20) -> DataFrame:
@@ -57,32 +81,32 @@ def spread_lines(lines: DataFrame, bytes_per_task: int = 8 << 20) -> DataFrame:
 _LISTING = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
-def _listing(files: DataFrame) -> DataFrame:
+def _listing(files: DataFrame, root: str | None) -> DataFrame:
     return files.select(
         "path",
         F.substring_index("path", "/", -1).alias("filename"),
         F.lit(True).alias("is_file"),
         "length",
+        F.col("modificationTime").alias("modified"),
+        _below(files.sparkSession, F.col("path"), root).alias("source_file"),
         file_day(F.col("path")).alias("log_date"),
     )
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """``path, filename, is_file, length, log_date`` of everything below a folder.
+def list_files(spark: SparkSession, path: str, root: str | None = None) -> DataFrame:
+    """``path, filename, is_file, length, modified, source_file, log_date`` of everything below a folder.
 
     Contents are not read.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return _listing(reader.load(path))
+    return _listing(reader.load(path), root)
 
 
 def stream_files(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession, path: str, max_files_per_trigger: int
 ) -> DataFrame:
     """The same columns as a stream: every file once, as it lands."""
     reader = (
         spark.readStream.format("binaryFile").schema(_LISTING).option("recursiveFileLookup", "true")
     )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _listing(reader.load(path))
+    return _listing(reader.option("maxFilesPerTrigger", max_files_per_trigger).load(path), path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from hitledger.schema import ACCESS_TABLE, CSV_SCHEMA
+from hitledger.schema import CSV_SCHEMA
 from hitledger.sources.paths import path_exists
 
 
@@ -15,11 +15,6 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, read) ->
     return spark.createDataFrame([], schema)
 
 
-def read_access_table(spark: SparkSession, path: str) -> DataFrame:
-    # The schema is fixed, so nothing is inferred from files or folder names.
-    return read_or_empty(spark, path, ACCESS_TABLE, spark.read.schema(ACCESS_TABLE).parquet)
-
-
 def read_access_csv(spark: SparkSession, path: str) -> DataFrame:
     """Exported daily files as text columns.
 

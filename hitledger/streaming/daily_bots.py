@@ -1,52 +1,21 @@
-"""Running counts of requests per crawler and UTC day."""
+"""Counts of requests per crawler and UTC day, kept up by the landing stream.
+
+Every file brings its own counts by UTC day in the rollup kept per file, and reading sums
+them. There is no state and no watermark: a replayed file replaces its counts, and a request
+dated far ahead or far back is counted on its day like any other.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
 
-from hitledger.operators.classify import classify_requests
-from hitledger.schema import ACCESS_TABLE
+from hitledger.operators.report import utc_daily
+from hitledger.plans.landing import Store
 from hitledger.sources.bots import Bot
 
 
-def stream_access_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.schema(ACCESS_TABLE).parquet(path)
-
-
-def count_by_day(requests: DataFrame, bots: Sequence[Bot], late: str = "2 days") -> DataFrame:
-    """Counts per crawler and window of one UTC day.
-
-    Windows are on the instant, so for lines with another offset the day can differ
-    from ``date``. State holds one counter per crawler and open day; ``late`` closes
-    days in append and update mode.
-    """
-    timed = requests.select("ts", "user_agent").withWatermark("ts", late)
-    return (
-        classify_requests(timed, bots)
-        .groupBy(F.window("ts", "1 day").alias("day"), "bot_name")
-        .agg(F.count(F.lit(1)).alias("requests"))
-        .select(F.col("day.start").alias("day_start"), "bot_name", "requests")
-    )
-
-
-def stream_daily_bots(
-    spark: SparkSession, access_path: str, out: str, checkpoint: str, bots: Sequence[Bot],
-    output_mode: str = "append", late: str = "2 days", trigger: dict | None = None,
-) -> StreamingQuery:
-    """Start the query. ``append`` writes a day once it is closed; ``complete`` rewrites
-    all counts in every batch, which their number, crawlers times days, allows."""
-    counts = count_by_day(stream_access_table(spark, access_path), bots, late)
-    writer = (
-        counts.writeStream.outputMode(output_mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-    )
-    if output_mode == "complete":
-        def replace(batch: DataFrame, _: int) -> None:
-            batch.write.mode("overwrite").parquet(out)
-
-        return writer.foreachBatch(replace).start()
-    return writer.format("parquet").option("path", out).start()
+def read_daily_bots(spark: SparkSession, store: Store, bots: Sequence[Bot]) -> DataFrame:
+    """``utc_date, bot_name, requests`` over all files landed so far."""
+    return utc_daily(store.read_rollup(spark, bots))

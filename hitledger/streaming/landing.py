@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from hitledger.plans.landing import Store, land_listed
+from hitledger.plans.landing import FILES_PER_JOB, Store, land_listed
 from hitledger.sources.bots import Bot
 from hitledger.sources.raw import stream_files
 
@@ -15,17 +15,17 @@ from hitledger.sources.raw import stream_files
 def stream_landing(
     spark: SparkSession, raw_path: str, store: Store, checkpoint: str,
     bots: Sequence[Bot] | None = None, on_replay: str = "replace",
-    max_files_per_trigger: int | None = None, trigger: dict | None = None,
+    max_files_per_trigger: int = FILES_PER_JOB, trigger: dict | None = None,
 ) -> StreamingQuery:
     """Start the query. ``availableNow``, the default trigger, suits a daily run.
 
-    The stream is of files, not of lines: a batch lands its files as a batch import does,
-    so only large ones are shuffled. The checkpoint remembers the files, so each is landed
-    once; with ``replace`` a batch that is run again after a failure leaves the same rows. Days need no watermark: a
-    request that arrives late joins its day through the rollup of its own file.
+    The stream is of files, not of lines: a batch lands its files as a batch import does. The
+    checkpoint remembers the files, so each is landed once; with ``replace`` a batch that is run again
+    after a failure leaves the same rows. A damaged file is recorded as rejected and holds nothing up. Days need no
+    watermark: a request that arrives late joins its day through the rollup of its own file.
     """
     def land(batch: DataFrame, _: int) -> None:
-        land_listed(spark, batch.collect(), store, bots, on_replay)
+        land_listed(batch.sparkSession, batch.collect(), store, raw_path, bots, on_replay)  # one job's files
 
     return (
         stream_files(spark, raw_path, max_files_per_trigger)

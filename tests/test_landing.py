@@ -9,17 +9,17 @@ from pyspark.sql import functions as F
 from conftest import request_line
 from hitledger.operators import report as r
 from hitledger.operators.parse import parse_lines
-from hitledger.plans.landing import Store, land_files, rebuild_rollup
+from hitledger.plans.landing import Store, land_files, land_new, refresh_rollup
 from hitledger.plans.reporting import build_report, build_report_from_rollup, read_report
 from hitledger.session import scratch_dir
 from hitledger.sinks.access import write_by_file, write_csv, write_raw_lines
-from hitledger.sinks.retention import expire_partitions, expire_raw_logs
+from hitledger.sinks.retention import expire_raw_logs, expire_store
 from hitledger.sources.bots import bots_from_mapping, default_bots
 from hitledger.sources.catalog import register_access_table, register_views
 from hitledger.sources.crawl_stats import read_crawl_stats
 from hitledger.sources.raw import list_files, read_raw_lines, spread_lines
-from hitledger.sources.table import read_access_csv, read_access_table
-from hitledger.streaming.daily_bots import stream_daily_bots
+from hitledger.sources.table import read_access_csv
+from hitledger.streaming.daily_bots import read_daily_bots
 from hitledger.streaming.landing import stream_landing
 
 BOTS = default_bots()
@@ -82,14 +82,14 @@ def test_lines_end_at_a_newline_only(spark, tmp_path):
 
 def test_land_and_replay(spark, root):
     store = Store(f"{root}/store")
-    assert store.read_access(spark).isEmpty() and store.read_rollup(spark).isEmpty()
+    assert store.read_access(spark).isEmpty() and store.read_rollup(spark, BOTS).isEmpty()
     counts = land_files(spark, f"{root}/raw", store, BOTS)
     assert counts == {"parsed": 5, "blank": 1, "regex": 1, "time": 0}
-    assert by_day(store.read_rollup(spark)) == EXPECTED
+    assert by_day(store.read_rollup(spark, BOTS)) == EXPECTED
     before = sorted(map(str, store.read_access(spark).collect()))
     land_files(spark, f"{root}/raw/date=2025-10-02", store, BOTS)
     assert sorted(map(str, store.read_access(spark).collect())) == before
-    assert by_day(store.read_rollup(spark)) == EXPECTED
+    assert by_day(store.read_rollup(spark, BOTS)) == EXPECTED
 
 
 def test_second_file_of_a_day_leaves_the_first(spark, root):
@@ -98,7 +98,7 @@ def test_second_file_of_a_day_leaves_the_first(spark, root):
     other = put(root, "2025-10-01", [request_line(time=stamp("2025-10-01"))], "access.log-2025-10-01-b.gz")
     land_files(spark, other, store, BOTS)
     assert store.read_access(spark).count() == 6
-    assert by_day(store.read_rollup(spark))["GPTBot", date(2025, 10, 1)] == 5
+    assert by_day(store.read_rollup(spark, BOTS))["GPTBot", date(2025, 10, 1)] == 5
 
 
 def test_append_on_replay_doubles_rows(spark, root):
@@ -106,7 +106,7 @@ def test_append_on_replay_doubles_rows(spark, root):
     for _ in range(2):
         land_files(spark, f"{root}/raw", store, BOTS, on_replay="append")
     assert store.read_access(spark).count() == 10
-    assert by_day(store.read_rollup(spark))["GPTBot", date(2025, 10, 1)] == 8
+    assert by_day(store.read_rollup(spark, BOTS))["GPTBot", date(2025, 10, 1)] == 8
     with pytest.raises(ValueError):
         write_by_file(store.read_access(spark), store.access, "other")
 
@@ -117,9 +117,9 @@ def test_awkward_file_names(spark, tmp_path):
     store = Store(f"{tmp_path}/store")
     for _ in range(2):
         assert land_files(spark, f"{tmp_path}/raw", store, BOTS)["parsed"] == 4
-    assert by_day(store.read_rollup(spark)) == {("GPTBot", date(2025, 10, 1)): 4}
+    assert by_day(store.read_rollup(spark, BOTS)) == {("GPTBot", date(2025, 10, 1)): 4}
     stream_landing(spark, f"{tmp_path}/raw", store, f"{tmp_path}/checkpoint", BOTS).awaitTermination()
-    assert by_day(store.read_rollup(spark)) == {("GPTBot", date(2025, 10, 1)): 4}
+    assert by_day(store.read_rollup(spark, BOTS)) == {("GPTBot", date(2025, 10, 1)): 4}
 
 
 def test_files_without_a_day(spark, root):
@@ -131,26 +131,104 @@ def test_files_without_a_day(spark, root):
     for _ in range(2):
         land_files(spark, folder, store, BOTS)
     assert store.read_access(spark).first().log_date is None
-    assert by_day(store.read_rollup(spark)) == {("GPTBot", date(2025, 10, 1)): 1}
+    assert by_day(store.read_rollup(spark, BOTS)) == {("GPTBot", date(2025, 10, 1)): 1}
 
 
-def test_changed_list_rebuilds_the_rollup(spark, root):
+def test_changed_list_has_a_rollup_of_its_own(spark, root):
     store = Store(f"{root}/store")
     land_files(spark, f"{root}/raw", store, BOTS)
-    rebuild_rollup(spark, store, bots_from_mapping({"Mine": {"patterns": ["bing"]}}))
-    assert by_day(store.read_rollup(spark)) == {("Mine", date(2025, 10, 2)): 1}
+    mine = bots_from_mapping({"Mine": {"patterns": ["bing"]}})
+    for _ in range(2):
+        refresh_rollup(spark, store, mine)
+        assert by_day(store.read_rollup(spark, mine)) == {("Mine", date(2025, 10, 2)): 1}
+    assert by_day(store.read_rollup(spark, BOTS)) == EXPECTED
+    put(root, "2025-10-02", [request_line(time=stamp("2025-10-02"), agent="bing")] * 3)
+    land_files(spark, f"{root}/raw", store, BOTS)
+    refresh_rollup(spark, store, mine)
+    assert by_day(store.read_rollup(spark, mine)) == {("Mine", date(2025, 10, 2)): 3}
 
 
-@pytest.mark.parametrize("cut", ["truncated", "not gzip"])
-def test_damaged_file_is_never_counted_in_part(spark, tmp_path, cut):
-    path = put(tmp_path, "2025-10-01", [request_line(agent=f"GPTBot {i}") for i in range(5000)])
+@pytest.mark.parametrize("texts, left", [([request_line(agent="a person")] * 2, 2), (["junk"], 0), ([], 0)])
+def test_replay_clears_what_a_file_held_before(spark, tmp_path, texts, left):
+    store = Store(f"{tmp_path}/store")
+    put(tmp_path, "2025-10-01", [request_line()] * 5)
+    put(tmp_path, "2025-10-02", [request_line(time=stamp("2025-10-02"))])
+    land_files(spark, f"{tmp_path}/raw", store, BOTS)
+    put(tmp_path, "2025-10-01", texts)
+    land_files(spark, f"{tmp_path}/raw/date=2025-10-01", store, BOTS)
+    assert store.read_access(spark).where("log_date = '2025-10-01'").count() == left
+    assert by_day(store.read_rollup(spark, BOTS)) == {("GPTBot", date(2025, 10, 2)): 1}
+
+
+def test_files_of_one_name_and_day_are_told_apart(spark, tmp_path):
+    store = Store(f"{tmp_path}/store")
+    for site, n in (("x", 3), ("y", 2)):
+        put(tmp_path / site, "2025-10-01", [request_line()] * n, "a.gz")
+        os.makedirs(f"{tmp_path}/raw", exist_ok=True)
+        os.rename(f"{tmp_path}/{site}/raw", f"{tmp_path}/raw/{site}")
+    land_files(spark, f"{tmp_path}/raw", store, BOTS)
+    assert {x.source_file for x in store.read_access(spark).collect()} == {f"{s}/date=2025-10-01/a.gz" for s in "xy"}
+    assert by_day(store.read_rollup(spark, BOTS)) == {("GPTBot", date(2025, 10, 1)): 5}
+    land_files(spark, f"{tmp_path}/raw/y", store, BOTS, root=f"{tmp_path}/raw")
+    assert store.read_access(spark).count() == 5
+
+
+def _damage(path, cut):
     data = open(path, "rb").read()
     with open(path, "wb") as f:
         f.write(data[: len(data) // 2] if cut == "truncated" else b"not gzip at all\n")
-    store = Store(f"{tmp_path}/store")
+
+
+@pytest.mark.parametrize("stream", [False, True])
+@pytest.mark.parametrize("cut", ["truncated", "not gzip"])
+def test_damaged_file_is_rejected_alone(spark, root, cut, stream):
+    path = put(root, "2025-10-03", [request_line(agent=f"GPTBot {i}") for i in range(5000)])
+    good = open(path, "rb").read()
+    _damage(path, cut)
+    store = Store(f"{root}/store")
+    if stream:
+        stream_landing(spark, f"{root}/raw", store, f"{root}/checkpoint", BOTS).awaitTermination()
+    else:
+        land_files(spark, f"{root}/raw", store, BOTS)
+    assert by_day(store.read_rollup(spark, BOTS)) == EXPECTED and store.read_access(spark).count() == 5
+    (bad,) = store.rejected_files(spark).collect()
+    assert bad.source_file == "date=2025-10-03/access.log-2025-10-03.gz" and bad.reason
+    with open(path, "wb") as f:
+        f.write(good)
+    assert land_new(spark, f"{root}/raw", store, BOTS)["parsed"] == 5000
+    assert store.rejected_files(spark).isEmpty() and store.read_access(spark).count() == 5005
+
+
+def test_a_failure_of_another_kind_is_no_rejection(spark, root):
+    store = Store(f"{root}/file/store")
+    open(f"{root}/file", "w").close()
     with pytest.raises(Exception):
-        land_files(spark, f"{tmp_path}/raw", store, BOTS)
-    assert store.read_access(spark).isEmpty()
+        land_files(spark, f"{root}/raw", store, BOTS)
+
+
+def test_new_and_grown_files_alone_are_landed(spark, root):
+    store = Store(f"{root}/store")
+    assert land_new(spark, f"{root}/raw", store, BOTS)["parsed"] == 5
+    assert land_new(spark, f"{root}/raw", store, BOTS)["parsed"] == 0
+    put(root, "2025-10-02", [request_line(time=stamp("2025-10-02"))] * 9)
+    assert land_new(spark, f"{root}/raw", store, BOTS)["parsed"] == 9
+    assert store.read_access(spark).count() == 12
+    # today's file is not complete, and others are not asked for
+    put(root, "2025-10-05", [request_line(time=stamp("2025-10-05"))])
+    put(root, "2025-10-04", [request_line(time=stamp("2025-10-04"))], "other-2025-10-04.gz")
+    args = (spark, f"{root}/raw", store, BOTS, "access.log-{date}.gz")
+    assert land_new(*args, datetime(2025, 10, 5, 9))["parsed"] == 0
+    assert land_new(*args, datetime(2025, 10, 6, 1))["parsed"] == 1
+
+
+def test_many_files_take_several_jobs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("hitledger.plans.landing.FILES_PER_JOB", 2)
+    for i in range(5):
+        put(tmp_path, f"2025-10-0{i + 1}", [request_line(time=stamp(f"2025-10-0{i + 1}"))])
+    store = Store(f"{tmp_path}/store")
+    assert land_files(spark, f"{tmp_path}/raw", store, BOTS)["parsed"] == 5
+    refresh_rollup(spark, store, bots_from_mapping({"Mine": "gpt"}))
+    assert len(by_day(store.read_rollup(spark, bots_from_mapping({"Mine": "gpt"})))) == 5
 
 
 def test_stream_in_steps_equals_batch(spark, root):
@@ -160,38 +238,37 @@ def test_stream_in_steps_equals_batch(spark, root):
         stream_landing(spark, f"{root}/raw", store, checkpoint, BOTS, max_files_per_trigger=1).awaitTermination()
 
     run()
-    assert by_day(store.read_rollup(spark)) == EXPECTED
+    assert by_day(store.read_rollup(spark, BOTS)) == EXPECTED
     run()  # nothing new
     put(root, "2025-10-03", [request_line(time=stamp("2025-10-01")), request_line(time=stamp("2025-10-03"))])
     run()  # a late request joins its day
     late = {**EXPECTED, ("GPTBot", date(2025, 10, 1)): 5, ("GPTBot", date(2025, 10, 3)): 1}
-    assert by_day(store.read_rollup(spark)) == late
+    assert by_day(store.read_rollup(spark, BOTS)) == late
     batch = Store(f"{root}/batch")
     land_files(spark, f"{root}/raw", batch, BOTS)
     assert sorted(map(str, batch.read_access(spark).collect())) == sorted(map(str, store.read_access(spark).collect()))
     stream_landing(spark, f"{root}/raw", store, f"{root}/other", BOTS).awaitTermination()
-    assert by_day(store.read_rollup(spark)) == late
+    assert by_day(store.read_rollup(spark, BOTS)) == late
 
 
-def test_daily_stream(spark, root):
+def test_daily_counts_after_replay_and_a_date_far_ahead(spark, root):
     store = Store(f"{root}/store")
-    put(root, "2025-10-03", [request_line(time="03/Oct/2025:22:00:00 -0500"), request_line(time=stamp("2025-10-09"))])
-    land_files(spark, f"{root}/raw", store)
-    out = f"{root}/daily"
-    stream_daily_bots(spark, store.access, out, f"{root}/c1", BOTS, "complete").awaitTermination()
-    found = {(x.bot_name, x.day_start.date()): x.requests for x in spark.read.parquet(out).collect()}
-    assert found == {**EXPECTED, ("GPTBot", date(2025, 10, 4)): 1, ("GPTBot", date(2025, 10, 9)): 1}
-    closed = f"{root}/closed"
-    stream_daily_bots(spark, store.access, closed, f"{root}/c2", BOTS, "append").awaitTermination()
-    days = {(x.bot_name, x.day_start.date()) for x in spark.read.parquet(closed).collect()}
-    assert days == set(found) - {("GPTBot", date(2025, 10, 9))}  # the last day is still open
+    put(root, "2025-10-03", [request_line(time="03/Oct/2025:22:00:00 -0500"), request_line(time=stamp("2099-01-01"))])
+    land_files(spark, f"{root}/raw", store, BOTS)
+    put(root, "2025-10-04", [request_line(time=stamp("2025-10-01"))])
+    for _ in range(2):
+        land_files(spark, f"{root}/raw", store, BOTS)
+        found = {(x.bot_name, x.utc_date): x.requests for x in read_daily_bots(spark, store, BOTS).collect()}
+        assert found == {
+            **EXPECTED, ("GPTBot", date(2025, 10, 1)): 5, ("GPTBot", date(2025, 10, 4)): 1, ("GPTBot", date(2099, 1, 1)): 1,
+        }
 
 
 def test_reports_from_rollup_and_from_requests_agree(spark, root):
     store = Store(f"{root}/store")
     land_files(spark, f"{root}/raw", store, BOTS)
     as_of = date(2025, 10, 3)
-    build_report_from_rollup(store.read_rollup(spark), f"{root}/one", as_of, json_prefix=f"{root}/json")
+    build_report_from_rollup(store.read_rollup(spark, BOTS), f"{root}/one", as_of, json_prefix=f"{root}/json")
     build_report(store.read_access(spark), BOTS, f"{root}/two", as_of, slack_days=2)
     day = date(2025, 10, 2)
     one, two = read_report(spark, f"{root}/one", day), read_report(spark, f"{root}/two", day)
@@ -257,7 +334,7 @@ def test_missing_input_is_an_empty_report(spark, tmp_path):
     rows = read_access_csv(spark, f"{tmp_path}/none.csv")
     roll = r.bot_path_daily(r.with_text_dates(rows), BOTS)
     assert r.overall_summary(roll, date(2025, 1, 1)).first().total_requests == 0
-    assert read_access_table(spark, f"{tmp_path}/none").isEmpty()
+    assert Store(f"{tmp_path}/none").read_access(spark).isEmpty()
 
 
 def test_raw_copy(spark, root):
@@ -293,12 +370,15 @@ def test_catalog_and_sql(spark, root):
     assert spark.sql(f"SELECT count(*) AS n FROM {table}").first().n == 1
     register_access_table(spark, "my-site", store.access)
     as_of = date(2025, 10, 12)
-    assert expire_partitions(spark, table, as_of, 10) == ["2025-10-01"]
+    assert expire_store(spark, store, as_of, 10) == [date(2025, 10, 1)]
     assert spark.sql(f"SELECT count(*) AS n FROM {table}").first().n == 6
-    expire_partitions(spark, table, as_of, 10, dry_run=False)
-    assert spark.sql(f"SELECT count(*) AS n FROM {table}").first().n == 3
+    expire_store(spark, store, as_of, 10, dry_run=False)
+    for _ in range(2):
+        register_access_table(spark, "my-site", store.access)
+        assert spark.sql(f"SELECT count(*) AS n FROM {table}").first().n == store.read_access(spark).count() == 3
+    assert set(by_day(store.read_rollup(spark, BOTS))) == set()
     register_views(spark, store.read_access(spark), BOTS)
-    assert spark.sql("SELECT sum(requests) AS n FROM bot_path_daily").first().n == 6
+    assert spark.sql("SELECT sum(requests) AS n FROM bot_path_daily").first().n == 3
 
 
 def test_raw_retention(spark, root):

@@ -14,12 +14,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(e.queries()) == set(e.oracle_sql())
+    assert set(e._log_queries()) == set(e._log_sql())
 
 
-@pytest.mark.parametrize("name", list(e.queries()))
+@pytest.mark.parametrize("name", list(e._log_queries()))
 def test_query(spark, con, name):
-    assert compare(e.queries()[name](spark, SF), con, e.oracle_sql()[name]) is None
+    assert compare(e._log_queries()[name](spark, SF), con, e._log_sql()[name]) is None
 
 
 def test_entry(spark):

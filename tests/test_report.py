@@ -6,8 +6,10 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import request_line
 from hitledger.operators import accuracy, report as r
-from hitledger.plans.reporting import get_or_build_report, has_report, read_report
+from hitledger.plans.landing import Store, land_files
+from hitledger.plans.reporting import get_or_build_report, has_report, read_report, store_report
 from hitledger.sinks.reports import json_path, write_report_json
 from hitledger.sources.bots import bots_from_mapping
 
@@ -165,29 +167,58 @@ def test_empty_report(spark, tmp_path):
     roll = rollup(spark, (D, "zz", "/"))
     assert r.overall_summary(roll, AS_OF).first()[2:] == (0, 0, 0)
     assert r.top_bots_daily_filled(roll).isEmpty()
-    assert r.report_document(roll, AS_OF, "now").first().bots == []
+    assert r.report_document(roll, AS_OF, "now", max_paths=None).first().bots == []
     write_report_json(roll, str(tmp_path), AS_OF, "now", 365)
     doc = read_document(json_path(str(tmp_path), date(2024, 2, 29)))
     assert doc["overall"] == {"total_requests": 0, "unique_bots": 0, "unique_paths": 0} and doc["bots"] == []
 
 
+def test_all_pages_without_a_limit(spark):
+    roll = rollup(spark, *[(D, "aa", f"/{i}") for i in range(50)])
+    bots = r.report_document(roll, AS_OF, "now", max_paths=None).first().bots
+    assert len(bots[0].top_paths) == 50
+
+
 def test_get_or_build(spark, tmp_path):
-    root, day = str(tmp_path), date(2024, 2, 29)
-    log = requests(spark, (D, "aa", "/"), (D, "bb", "/x"), (date(2022, 1, 1), "aa", "/old"))
+    def land(day, *agents):
+        folder = tmp_path / "raw" / f"date={day}"
+        folder.mkdir(parents=True)
+        time = date.fromisoformat(day).strftime("%d/%b/%Y:10:00:00 +0000")
+        (folder / "a.log").write_text("\n".join(request_line(time=time, agent=a) for a in agents))
+        land_files(spark, str(folder), store, OTHER)
+
+    OTHER = bots_from_mapping({"Else": {"patterns": ["cc"]}})
+    root, day, store = str(tmp_path / "reports"), date(2024, 2, 29), Store(str(tmp_path / "store"))
+    land("2024-02-28", "aa", "bb", "cc")
+    land("2022-01-01", "aa")
     assert not has_report(spark, root, day)
-    built = get_or_build_report(log, BOTS, root, day)
+    built = get_or_build_report(spark, store, BOTS, root, day)  # landed by another list
     assert built["summary"].first().total_requests == 2
-    # stored now: other requests change nothing for this day
-    again = get_or_build_report(log.limit(0), BOTS, root, day)
-    assert again["paths"].count() == 2
-    # an older day is built for that day
-    older = get_or_build_report(log, BOTS, root, date(2022, 1, 1))
-    assert older["summary"].first().window_to == date(2022, 1, 2)
-    empty = get_or_build_report(log.limit(0), BOTS, root, date(2023, 1, 1))
+    land("2024-02-27", "aa")
+    # stored now: further requests change nothing for this day
+    assert get_or_build_report(spark, store, BOTS, root, day)["summary"].first().total_requests == 2
+    # an older day is built for that day, with what has come since
+    older = get_or_build_report(spark, store, BOTS, root, date(2022, 1, 1))
+    assert older["summary"].first().window_to == date(2022, 1, 2) and older["summary"].first().total_requests == 4
+    empty = get_or_build_report(spark, Store(str(tmp_path / "none")), BOTS, root, date(2023, 1, 1))
     assert empty["summary"].first().total_requests == 0 and empty["overview"].isEmpty()
     assert read_report(spark, root, day)["overview"].count() == 2
 
 
+def test_a_report_being_rebuilt_is_not_whole(spark, tmp_path, monkeypatch):
+    roll, root = rollup(spark, (D, "aa", "/")), str(tmp_path)
+    store_report(roll, root, AS_OF, 365)
+    assert has_report(spark, root, date(2024, 2, 29))
+
+    def fail(*_):
+        raise OSError("disk")
+
+    monkeypatch.setattr("hitledger.operators.report.bot_daily", fail)
+    with pytest.raises(OSError):
+        store_report(roll, root, AS_OF, 365)
+    assert not has_report(spark, root, date(2024, 2, 29))
+
+
 def test_accuracy(spark):
     roll = rollup(spark, *[(D, "aa", "/")] * 5, (D - timedelta(days=1), "aa", "/"))
     recorded = spark.createDataFrame([(D, 3), (D - timedelta(days=2), 4)], "date date, crawls long")

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from hitledger.functions.agents import BROWSERS, SYSTEMS, family
 from hitledger.operators import traffic as t
 from hitledger.operators.parse import parse_lines
-from hitledger.plans.dashboard import PANELS, build_dashboard, read_dashboard
+from hitledger.operators.traffic import PANELS
+from hitledger.plans.dashboard import build_dashboard, read_dashboard
 
 
 def log(lines, line, *specs):
@@ -85,3 +86,22 @@ def test_dashboard(spark, lines, line, tmp_path):
     assert [r.ip for r in panels["hosts"].sparkSession.read.parquet(f"{tmp_path}/hosts").collect()] == ["9.9.9.9"]
     build_dashboard(df.limit(0), str(tmp_path), date(2020, 1, 2))
     assert read_dashboard(spark, str(tmp_path), date(2020, 1, 2))["os"].isEmpty()
+
+
+def test_panels_of_one_scan_equal_the_single_ones(spark, lines, line, tmp_path):
+    df = log(
+        lines, line, dict(), dict(), dict(time="03/Oct/2025:23:00:00 -0500", ip="9.9.9.9", agent="", referrer="x"), dict(size="-", status="404"),
+        dict(agent="Firefox/1 Windows", host="b.example", request="POST /b HTTP/1.1"),
+    )
+    build_dashboard(df, str(tmp_path), date(2020, 1, 1))
+    single = {
+        "daily": t.traffic_daily, "hosts": t.traffic_hosts, "referrers": t.traffic_referrers, "requests": t.traffic_requests,
+        "browsers": t.traffic_browsers, "os": t.traffic_systems, "hours": t.traffic_hours, "status": t.traffic_status,
+        "virtual_hosts": t.traffic_virtual_hosts,
+    }
+    for name, panel in read_dashboard(spark, str(tmp_path), date(2020, 1, 1)).items():
+        want = single[name](df)
+        assert panel.dtypes == want.dtypes, name
+        assert sorted(map(str, panel.collect())) == sorted(map(str, want.collect())), name
+    plan = t.panel_rows(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1
