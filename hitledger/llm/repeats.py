@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from hitledger.llm.common import stored, whole_text
-from hitledger.llm.hashing import mix
+from hitledger.llm.hashing import in_chunks, mix
 
 LENGTH = 400
 GRAM = 24
@@ -61,10 +61,11 @@ def gram_hashes(data: np.ndarray, width: int) -> np.ndarray:
     return done[0]
 
 
-def window_anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """For each start of a window the place of its anchor; and the hashes at each place."""
-    hashes = gram_hashes(data, gram)
-    width = length - gram + 1
+def window_anchors(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches of window starts with one anchor: their first start and the anchor's place.
+
+    A window is ``width`` hashes; its anchor is the first of the smallest.
+    """
     n = len(hashes) - width + 1
     # sliding minimum: smallest of the end of one block and the beginning of the next
     blocks = -(-len(hashes) // width)
@@ -74,24 +75,34 @@ def window_anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) ->
     head = np.minimum.accumulate(square, axis=1).reshape(-1)
     tail = np.minimum.accumulate(square[:, ::-1], axis=1)[:, ::-1].reshape(-1)
     least = np.minimum(tail[:n], head[width - 1 : width - 1 + n])
-    # the first place with that hash at or after the start
     runs = np.flatnonzero(np.r_[True, least[1:] != least[:-1]]).tolist()
-    anchors = np.empty(n, np.int64)
+    firsts, places = [], []
     for a, b in zip(runs, [*runs[1:], n]):
-        same = a + np.flatnonzero(hashes[a : b + width - 1] == least[a])
-        anchors[a:b] = same[0] if len(same) == 1 else same[np.searchsorted(same, np.arange(a, b))]
-    return anchors, hashes
-
-
-def anchor_runs(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[list[int], list[int], list[int], list[int]]:
-    """Anchors of a text: hash, place, first and last start of the windows that have it."""
-    if len(text) < length:
-        return [], [], [], []
-    anchors, hashes = window_anchors(np.frombuffer(text, np.uint8), length, gram)
-    first = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
-    last = np.r_[first[1:], len(anchors)] - 1
-    place = anchors[first]
-    return hashes[place].view(np.int64).tolist(), place.tolist(), first.tolist(), last.tolist()
+        place = a + int(hashes[a : b + width - 1].argmin())
+        firsts.append(a)
+        places.append(place)
+        if place < b - 1:  # windows that begin beyond it have the next one with that hash
+            same = a + np.flatnonzero(hashes[a : b + width - 1] == least[a])
+            for before, place in zip(same.tolist(), same[1:].tolist()):
+                if before < b - 1:
+                    firsts.append(before + 1)
+                    places.append(place)
+    return np.array(firsts), np.array(places)
+
+
+def anchor_runs(bodies: list[bytes]) -> list[tuple[int, int, int, int, int]]:
+    """Anchors of texts: number of the text, hash, place, first and last start of the windows that have it."""
+    out = []
+    hashes = gram_hashes(np.frombuffer(b"".join(bodies) + bytes(GRAM), np.uint8), GRAM)
+    start = 0
+    for i, body in enumerate(bodies):
+        if len(body) >= LENGTH:
+            mine = hashes[start : start + len(body) - GRAM + 1]
+            firsts, places = window_anchors(mine, LENGTH - GRAM + 1)
+            lasts = np.r_[firsts[1:] - 1, len(body) - LENGTH]
+            out += zip([i] * len(firsts), mine[places].view(np.int64).tolist(), places.tolist(), firsts.tolist(), lasts.tolist())
+        start += len(body)
+    return out
 
 
 # --- enhanced suffix array ------------------------------------------------------
@@ -200,12 +211,14 @@ NO_ID = -(2**63)
 
 def _anchors(frames):
     for frame in frames:
-        out = [[], [], [], [], [], []]
-        for doc, seal, text in zip(frame["id"], frame["seal"], frame["text"]):
-            keys, places, first, last = anchor_runs(text.encode("utf-8", "replace"))
-            for column, values in zip(out, ([doc] * len(keys), [seal] * len(keys), keys, places, first, last)):
-                column += values
-        yield pd.DataFrame(dict(zip(("id", "seal", "key", "place", "first", "last"), out)))
+        done = 0
+        for texts in in_chunks(list(frame["text"])):
+            part = frame.iloc[done : done + len(texts)]
+            done += len(texts)
+            rows = anchor_runs([t.encode("utf-8", "replace") for t in texts])
+            out = pd.DataFrame(rows, columns=["row", "key", "place", "first", "last"])
+            of = out.pop("row").to_numpy(np.int64)
+            yield out.assign(id=part["id"].to_numpy()[of], seal=part["seal"].to_numpy()[of])
 
 
 def _hash(data: bytes) -> int:
@@ -214,13 +227,18 @@ def _hash(data: bytes) -> int:
 
 def _stretches(frames):
     """The text around each shared anchor that its windows cover."""
+    columns = ["id", "seal", "key", "stretch", "at", "place", "body"]
     for frame in frames:
+        rows, size = [], 0
         for doc, seal, body, runs in zip(frame["id"], frame["seal"], frame["body"], frame["runs"]):
-            rows = []
             for run in runs:
                 stretch = body[run["first"] : run["last"] + LENGTH]
                 rows.append((doc, seal, run["key"], _hash(stretch), run["first"], run["place"] - run["first"], stretch))
-            yield pd.DataFrame(rows, columns=["id", "seal", "key", "stretch", "at", "place", "body"])
+                size += len(stretch)
+            if size > PILE:
+                yield pd.DataFrame(rows, columns=columns)
+                rows, size = [], 0
+        yield pd.DataFrame(rows, columns=columns)
 
 
 def _merge_spans(spans: np.ndarray) -> np.ndarray:
