@@ -7,7 +7,7 @@ parent's siblings. A leaf with an allotment of several passes takes whole seeded
 and then the prefix of one more, in an order drawn anew for each epoch.
 
 All arithmetic is on whole numbers. The prefix needs no sort of a leaf: token sums of
-hash buckets find the one bucket in which the prefix ends, and only its rows are put in
+ranges of the hash find the one range in which the prefix ends, and only its rows are put in
 order. DataFrame functions only.
 
 Null levels are a level of their own (``(none)``), null or empty texts have no tokens:
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from hitledger.llm.common import small, stored
 
 LEVELS = ("domain", "language", "leaf")
-#: Hash buckets of a leaf.
+#: Ranges of the hash of a leaf, 65,536 at most; the selection does not depend on their number.
 BUCKETS = 4096
 
 
@@ -119,7 +119,7 @@ def select_mix(docs: DataFrame, mix: Mix, buckets: int = BUCKETS) -> DataFrame:
     leaves = small(stored(leaves, "allotted"))
     digest = F.md5(F.concat_ws("|", F.lit(str(mix.seed)), F.col("whole"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
     rows = rows.join(leaves, [*LEVELS]).withColumn("digest", digest)
-    rows = rows.withColumn("bucket", F.conv(F.substring("digest", 1, 4), 16, 10).cast("int") % buckets)
+    rows = rows.withColumn("bucket", F.floor(F.conv(F.substring("digest", 1, 4), 16, 10).cast("long") * buckets / 65_536).cast("int"))
     up_to = Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = rows.groupBy(*LEVELS, "bucket").agg(F.sum("n_tokens").alias("n"), F.first("rest").alias("rest"))
     sums = sums.withColumn("before", F.coalesce(F.sum("n").over(up_to), F.lit(0)))
@@ -139,7 +139,7 @@ def select_mix(docs: DataFrame, mix: Mix, buckets: int = BUCKETS) -> DataFrame:
     return whole.unionByName(at_cut.filter("upto <= rest").withColumn("epoch", F.col("whole")).select(*out))
 
 
-def mix_sql(mix: Mix, table: str = "documents", buckets: int = BUCKETS) -> str:
+def mix_sql(mix: Mix, table: str = "documents") -> str:
     """The same selection as SQL: windows over whole leaves in place of buckets."""
 
     def weight(level: str) -> str:
@@ -174,5 +174,5 @@ shares as (select {levels}, coalesce(budget // nullif(tokens, 0), 0) as whole, c
   from supplies join b2 using ({levels})),
 keyed as (select rows_.*, whole, rest, md5(concat_ws('|', '{mix.seed}', whole, coalesce(cast(doc_id as varchar), ''))) as digest
   from rows_ join shares using ({levels})),
-summed as (select *, sum(n_tokens) over (partition by {levels} order by cast('0x' || substr(digest, 1, 4) as int) % {buckets}, digest, doc_id rows unbounded preceding) as upto from keyed),
+summed as (select *, sum(n_tokens) over (partition by {levels} order by digest, doc_id rows unbounded preceding) as upto from keyed),
 chosen as (select *, unnest(range(whole + case when upto <= rest then 1 else 0 end)) as epoch from summed)"""

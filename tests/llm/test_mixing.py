@@ -18,7 +18,7 @@ def _both(spark, docs, mix, buckets):
     found = sorted((repr(r.row.doc_id), r.domain, r.language, r.leaf, r.epoch, r.n_tokens) for r in rows.collect())
     con = duckdb.connect()
     con.register("documents", docs.select("doc_id", "text", "lang", "source").toPandas().astype({"doc_id": "Int64"}))
-    sql = op.mix_sql(mix, buckets=buckets) + " select doc_id, domain, language, leaf, epoch, n_tokens from chosen"
+    sql = op.mix_sql(mix) + " select doc_id, domain, language, leaf, epoch, n_tokens from chosen"
     want = sorted((repr(r[0]), *r[1:]) for r in con.execute(sql).fetchall())
     return found, want
 
