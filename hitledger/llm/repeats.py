@@ -345,7 +345,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         _anchors, "id long, seal long, key long, place int, first int, last int"
     )
     anchors = stored(anchors, "anchors")
-    shared = anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    # written first, so that the join has two plain exchanges and a frequent anchor can be split
+    shared = stored(anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "shared")
     runs = anchors.join(shared, "key").groupBy("id", "seal").agg(F.collect_set(F.struct("key", "place", "first", "last")).alias("runs"))
     held = rows.join(runs, ["id", "seal"], "left")
     clean = F.col("runs").isNull()
