@@ -254,7 +254,8 @@ def near_copies(docs: DataFrame) -> DataFrame:
     classes = classes_of(docs).withColumn("root", F.coalesce("root", "node"))
     found = stored(rows.join(classes, "node"), "near-copies")
     # texts without n-grams link with nothing, not even their copies
-    least = found.groupBy("root").agg(F.min("doc_id").alias("least"))
+    # written first, so that the join has two plain exchanges and a large group can be split
+    least = stored(found.groupBy("root").agg(F.min("doc_id").alias("least")), "least")
     return found.join(least, "root").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id")
     )
