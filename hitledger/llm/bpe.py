@@ -10,10 +10,11 @@ Nulls are empty; an empty text has no ids. A text of any length is encoded whole
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
+import re
 import unicodedata
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,6 +29,14 @@ _NONE = 1 << 62
 _SPACE = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
+#: How the known vocabulary splits words (fixed value).
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same for texts of ASCII and Latin letters, in which nothing needs composing: about twice as fast.
+_BEYOND_LATIN = re.compile("[^\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\u024f]")
+_LETTERS = "a-zA-Z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+_LATIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^ \t-\r0-9{_LETTERS}]+")
+
+
 def byte_letters() -> list[str]:
     """The printable letter that stands for each byte: itself if printable, else one from 256 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -48,17 +57,21 @@ class PairTree:
     def root(self) -> int:
         return self.node[1]
 
-    def put(self, place: int, value: int) -> None:
-        node, i = self.node, place + self.size
-        node[i] = value
-        i >>= 1
-        while i:
-            left, right = node[2 * i], node[2 * i + 1]
-            low = left if left <= right else right
-            if node[i] == low:
-                return
-            node[i] = low
+    def put(self, *changes: tuple[int, int]) -> None:
+        """Each change is a position and its new value."""
+        node = self.node
+        for place, value in changes:
+            i = place + self.size
+            node[i] = value
             i >>= 1
+            while i:
+                low, right = node[2 * i], node[2 * i + 1]
+                if right < low:
+                    low = right
+                if node[i] == low:
+                    break
+                node[i] = low
+                i >>= 1
 
 
 class Vocabulary:
@@ -71,50 +84,64 @@ class Vocabulary:
         self.suffix = model["end_of_word_suffix"] or ""
         self.ids: dict[str, int] = model["vocab"]
         self.names = {i: token for token, i in self.ids.items()}
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        #: per left id the rank of each right id; per rank the new id
+        none: dict[int, int] = {}
+        self.ranks: list[dict[int, int]] = [none] * (max(self.ids.values()) + 1)
+        self.made = [self.ids[a + b] for a, b in model["merges"]]
         for rank, (a, b) in enumerate(model["merges"]):
-            self.merges[self.ids[a], self.ids[b]] = (rank, self.ids[a + b])
+            if self.ranks[self.ids[a]] is none:
+                self.ranks[self.ids[a]] = {}
+            self.ranks[self.ids[a]][self.ids[b]] = rank
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"] if t["special"]}
         self.names |= {i: token for token, i in self.special.items()}
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(pattern)
+        self.plain = pattern == WORD_PATTERN
         self.cuts = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.letters = byte_letters()
+        letters = byte_letters()
+        self.inner = [self.ids.get(x, -1) for x in letters]
+        self.last = [self.ids.get(x + self.suffix, -1) for x in letters]
         self.width = "<u2" if max(self.names) < 1 << 16 else "<u4"
         self.cache: dict[str, tuple[int, str, str, bytes]] = {}
 
     def symbols(self, word: str) -> list[int]:
-        letters = [self.letters[b] for b in word.encode("utf-8", "surrogatepass")]
-        letters[-1] += self.suffix
-        return [self.ids[x] for x in letters if x in self.ids]
+        data = word.encode("utf-8", "surrogatepass")
+        inner = self.inner
+        out = [inner[b] for b in data[:-1]]
+        out.append(self.last[data[-1]])
+        return out if min(out) >= 0 else [x for x in out if x >= 0]
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Ids after all merges, each the leftmost one of lowest rank."""
-        n, merges = len(symbols), self.merges
+        n, ranks, made = len(symbols), self.ranks, self.made
         if n < 2:
             return symbols
         #: rank and place in one number: comparing it compares rank first, then place
         values = []
         for i in range(n - 1):
-            found = merges.get((symbols[i], symbols[i + 1]))
-            values.append(found[0] * n + i if found else _NONE)
+            rank = ranks[symbols[i]].get(symbols[i + 1])
+            values.append(_NONE if rank is None else rank * n + i)
         tree = PairTree(values)
+        node = tree.node
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        while (low := tree.root()) != _NONE:
-            i = low % n
+        while (low := node[1]) != _NONE:
+            rank, i = divmod(low, n)
             j = after[i]
-            symbols[i] = merges[symbols[i], symbols[j]][1]
+            new = symbols[i] = made[rank]
             symbols[j] = -1
             k = after[i] = after[j]
+            changes = [(j, _NONE)] if j < n - 1 else []
+            here = _NONE
             if k < n:
                 before[k] = i
-            if j < n - 1:
-                tree.put(j, _NONE)
-            found = merges.get((symbols[i], symbols[k])) if k < n else None
-            tree.put(i, found[0] * n + i if found else _NONE)
+                rank = ranks[new].get(symbols[k])
+                if rank is not None:
+                    here = rank * n + i
+            changes.append((i, here))
             if (p := before[i]) >= 0:
-                found = merges.get((symbols[p], symbols[i]))
-                tree.put(p, found[0] * n + p if found else _NONE)
+                rank = ranks[symbols[p]].get(new)
+                changes.append((p, _NONE if rank is None else rank * n + p))
+            tree.put(*changes)
         return [x for x in symbols if x >= 0]
 
     def entry(self, ids: list[int]) -> tuple[int, str, str, bytes]:
@@ -130,8 +157,10 @@ class Vocabulary:
                 self.cache[word] = known
         return known
 
-    def split(self, text: str) -> Iterator[str]:
+    def split(self, text: str) -> list[str]:
         """Words after normalisation: composed, lower case letter by letter, white space dropped."""
+        if self.plain and not _BEYOND_LATIN.search(text):
+            return _LATIN_WORDS.findall(text.lower())
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return self.words.findall(_SPACE.sub(" ", text).lower())
@@ -144,7 +173,8 @@ class Vocabulary:
             if part in self.special:
                 out.append(self.entry([self.special[part]]))
             elif part:
-                out.extend(map(self.word, self.split(part)))
+                known, word = self.cache.get, self.word
+                out += [known(w) or word(w) for w in self.split(part)]
         return [x for x in out if x[0]]
 
     def encode_ids(self, text: str) -> list[int]:
@@ -155,6 +185,19 @@ class Vocabulary:
         return " ".join(self.names[i] for i in ids if i in self.names)
 
 
+def _uncollected(work):
+    """The same without the collector of cyclic garbage, of which this makes none; it took a third of the time."""
+
+    def run(texts: list[str]) -> pd.DataFrame:
+        gc.disable()
+        try:
+            return work(texts)
+        finally:
+            gc.enable()
+
+    return run
+
+
 def _hash(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
 
@@ -175,7 +218,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
                 }
             )
 
-        return work
+        return _uncollected(work)
 
     return per_text(docs, make, "n_tokens long, ids string, decoded string")
 
@@ -194,7 +237,7 @@ def digest_documents(docs: DataFrame, path: str) -> DataFrame:
                 out.append((sum([x[0] for x in row]), _hash(ids), _hash(decoded)))
             return pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-        return work
+        return _uncollected(work)
 
     return per_text(docs, make, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
@@ -213,6 +256,6 @@ def encode_binary(docs: DataFrame, path: str) -> DataFrame:
                 out.append((sum([x[0] for x in row]), b"".join([x[3] for x in row]), _hash(decoded)))
             return pd.DataFrame(out, columns=["n_tokens", "ids", "decoded_sha256"])
 
-        return work
+        return _uncollected(work)
 
     return per_text(docs, make, "n_tokens long, ids binary, decoded_sha256 string")

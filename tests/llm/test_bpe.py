@@ -44,7 +44,7 @@ def test_tree_gives_the_leftmost_lowest():
             assert tree.root() == min(values)
             i = rng.randrange(size)
             values[i] = rng.randrange(50) * size + i
-            tree.put(i, values[i])
+            tree.put((i, values[i]))
 
 
 def test_cache_of_words_is_bounded(own, monkeypatch):
