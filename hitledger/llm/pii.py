@@ -153,9 +153,9 @@ _WORDS = {
     "eight": "8", "nine": "9", "plus": "+", "dot": ".", "point": ".", "dash": "-", "hyphen": "-",
 }
 _DIGIT = "zero|oh|one|two|three|four|five|six|seven|eight|nine"
-_ITEM = rf"(?:(?:{_DIGIT}|plus|dot|point|dash|hyphen)(?![a-z])|[0-9]+|[+.])"
+_ITEM = rf"(?:(?:{_DIGIT}|plus|dot|point|dash|hyphen)(?![a-z])|[0-9]|[+.])"
 #: At least four items, the first two words of digits not needed: digits and words may be mixed.
-_SPELLED = re.compile(rf"(?<![A-Za-z0-9]){_ITEM}(?:[\s,;_/-]*{_ITEM}){{3,}}+", re.I)
+_SPELLED = re.compile(rf"(?<![A-Za-z0-9]){_ITEM}(?:[\s,;_/-]*+{_ITEM}){{3,}}+", re.I)
 _SPELLED_ITEM = re.compile(rf"{_ITEM}", re.I)
 _HAS_WORD = re.compile(rf"\b(?:{_DIGIT})\b", re.I)
 
@@ -172,8 +172,11 @@ def _spelled(m: re.Match) -> list[tuple[str, int, int]] | None:
     return out
 
 
-_AT = re.compile(r"\s{0,3}(?:[(\[{<]\s?(?:at|@)\s?[)\]}>]|[-_]at[-_])\s{0,3}", re.I)
-_DOT = re.compile(r"\s{0,3}(?:[(\[{<]\s?(?:dot|\.|punkt|punto|point)\s?[)\]}>]|[-_]dot[-_])\s{0,3}", re.I)
+#: ``_AT`` and ``_DOT`` hold one of these openings; a set of characters in front is quick to search for.
+_MARKED = r"[(\[{{<_-](?:(?<=[(\[{{<])\s?(?:{0})\s?[)\]}}>]|(?<=[-_]){1}[-_])"
+_AT_MARK, _DOT_MARK = _MARKED.format("at|@", "at"), _MARKED.format(r"dot|\.|punkt|punto|point", "dot")
+_AT, _HAS_AT = re.compile(rf"\s{{0,3}}{_AT_MARK}\s{{0,3}}", re.I), re.compile(_AT_MARK, re.I)
+_DOT, _HAS_DOT = re.compile(rf"\s{{0,3}}{_DOT_MARK}\s{{0,3}}", re.I), re.compile(_DOT_MARK, re.I)
 #: Without brackets, ``at`` counts only before a name with a spelled or rewritten dot.
 _PLAIN_AT = re.compile(r"(?<=[A-Za-z0-9])\s{1,3}at\s{1,3}(?=[A-Za-z0-9-]{1,63}(?:\s{1,3}dot\s{1,3}[A-Za-z0-9]))", re.I)
 _PLAIN_DOT = re.compile(r"(?<=[A-Za-z0-9])\s{1,3}dot\s{1,3}(?=[A-Za-z0-9])", re.I)
@@ -184,23 +187,20 @@ def _sign(char: str) -> Callable[[re.Match], list[tuple[str, int, int]]]:
     return lambda m: [(char, m.start(), m.end())]
 
 
-_TRIGGER = re.compile(
-    rf"[(\[{{<]\s?(?:at|@)\s?[)\]}}>]|[-_]at[-_]|\bdot\b|(?:{_DIGIT})[\s,;_/+.-]+(?:[0-9]|{_DIGIT}|dot|point)|(?:plus)\s|\s@|@\s", re.I
-)
-
-
 def rewrite(text: str) -> Rewritten | None:
-    """The text without disguises; None if it has none."""
-    foreign = not text.isascii() and _FOREIGN.search(text) is not None
-    if not foreign and not _TRIGGER.search(text):
-        return None
+    """The text without disguises; None if it has none. Every rule looks at every text."""
     out = Rewritten(text)
-    if foreign:
+    if not text.isascii():
         out = out.apply(_FOREIGN, _plain_letter)
     out = out.apply(_SPELLED, _spelled)
-    out = out.apply(_AT, _sign("@")).apply(_PLAIN_AT, _sign("@")).apply(_SPACED_AT, _sign("@"))
+    if _HAS_AT.search(out.text):
+        out = out.apply(_AT, _sign("@"))
+    out = out.apply(_PLAIN_AT, _sign("@"))
     if "@" in out.text:
-        out = out.apply(_DOT, _sign(".")).apply(_PLAIN_DOT, _sign("."))
+        out = out.apply(_SPACED_AT, _sign("@"))
+        if _HAS_DOT.search(out.text):
+            out = out.apply(_DOT, _sign("."))
+        out = out.apply(_PLAIN_DOT, _sign("."))
     return None if out.text == text else out
 
 

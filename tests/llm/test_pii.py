@@ -76,6 +76,25 @@ def test_prose_is_left_alone(text):
     assert not any(op.find_spans(text)[1].values())
 
 
+@pytest.mark.parametrize("opening, closing", ["()", "[]", "{}", "<>"])
+@pytest.mark.parametrize("space", ["", " "])
+def test_each_disguise_is_found_alone(opening, closing, space):
+    for word in ("dot", "Dot", ".", "punkt", "punto", "point"):
+        sign = f"{opening}{space}{word}{space}{closing}"
+        for around in ("", " "):
+            text = f"jane@example{around}{sign}{around}com"
+            assert op.find_spans(text)[1]["email"] == [(0, len(text))], text
+    for word in ("at", "AT", "@"):
+        text = f"jane{opening}{space}{word}{space}{closing}example.com"
+        assert op.find_spans(text)[1]["email"] == [(0, len(text))], text
+
+
+@pytest.mark.parametrize("text", ["jane@example_dot_com", "jane@example-dot-com", "jane_at_example.com", "jane-at-example.com",
+                                  "jane @ example.com", "jane@ example.com", "jane@example dot com"])
+def test_each_sign_without_brackets_is_found_alone(text):
+    assert op.find_spans(text)[1]["email"] == [(0, len(text))]
+
+
 def test_long_texts_take_linear_time():
     for text in ("a" * 300_000, "1" * 300_000, "a@" * 100_000, "1." * 100_000, "+1 " * 100_000, "one " * 50_000, "@ " * 100_000):
         op.find_spans(text)
