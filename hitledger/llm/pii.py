@@ -86,8 +86,8 @@ class Rewritten:
 
     def __init__(self, text: str, starts: list[int] | None = None, ends: list[int] | None = None):
         self.text = text
-        self.starts = list(range(len(text))) if starts is None else starts
-        self.ends = list(range(1, len(text) + 1)) if ends is None else ends
+        self.starts = range(len(text)) if starts is None else starts
+        self.ends = range(1, len(text) + 1) if ends is None else ends
 
     def apply(self, pattern: re.Pattern, rule: Callable[[re.Match], list[tuple[str, int, int]] | None]) -> Rewritten:
         """One transducer: ``rule`` gives (character, start, end) in this text, or None to copy."""
@@ -110,7 +110,7 @@ class Rewritten:
         if not done:
             return self
         out.append(self.text[done:])
-        return Rewritten("".join(out), starts + self.starts[done:], ends + self.ends[done:])
+        return Rewritten("".join(out), [*starts, *self.starts[done:]], [*ends, *self.ends[done:]])
 
     def source(self, span: Span) -> Span:
         return self.starts[span[0]], self.ends[span[1] - 1]
@@ -154,22 +154,37 @@ _WORDS = {
 }
 _DIGIT = "zero|oh|one|two|three|four|five|six|seven|eight|nine"
 _ITEM = rf"(?:(?:{_DIGIT}|plus|dot|point|dash|hyphen)(?![a-z])|[0-9]|[+.])"
-#: At least four items, the first two words of digits not needed: digits and words may be mixed.
-_SPELLED = re.compile(rf"(?<![A-Za-z0-9]){_ITEM}(?:[\s,;_/-]*+{_ITEM}){{3,}}+", re.I)
+#: At least four items, the first two words of digits not needed: digits and words may be mixed. ``plus`` counts alone before a digit.
+_SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:{_ITEM}(?:[\s,;_/-]*+{_ITEM}){{3,}}+|plus[\s,;_/-]{{0,3}}(?=[0-9]))", re.I)
 _SPELLED_ITEM = re.compile(rf"{_ITEM}", re.I)
-_HAS_WORD = re.compile(rf"\b(?:{_DIGIT})\b", re.I)
 
 
 def _spelled(m: re.Match) -> list[tuple[str, int, int]] | None:
-    if not _HAS_WORD.search(m[0]):
+    """Signs in words count between digits (``plus``: before one). With words for digits all separators go; without,
+    those beside a sign in words and between digits that stand singly."""
+    if m[0].lower() == m[0].upper():  # no word
         return None
-    out = []
-    for item in _SPELLED_ITEM.finditer(m.string, m.start(), m.end()):
-        if item[0].isascii() and item[0].lower() in _WORDS:
-            out.append((_WORDS[item[0].lower()], item.start(), item.end()))
-        else:
-            out += [(c, i, i + 1) for i, c in enumerate(item[0], item.start())]
-    return out
+    items = [(i.start(), i.end(), i[0].lower()) for i in _SPELLED_ITEM.finditer(m.string, m.start(), m.end())]
+    if len(items) == 1:
+        return [("+", m.start(), m.end())]
+    first, last = 0, len(items)
+    while last and not _WORDS.get(items[last - 1][2], items[last - 1][2]).isdigit():
+        last -= 1
+    while first < last and items[first][2] in _WORDS and _WORDS[items[first][2]] in ".-":
+        first += 1
+    items = items[first:last]
+    words = [item in _WORDS for _, _, item in items]
+    if not any(words):
+        return None
+    whole = any(word and _WORDS[item].isdigit() for word, (_, _, item) in zip(words, items))
+    text = m.string
+    single = [item.isdigit() and not text[a - 1 : a].isdigit() and not text[b : b + 1].isdigit() for a, b, item in items]
+    out = [(text[i], i, i + 1) for i in range(m.start(), items[0][0])]
+    for k, (start, end, item) in enumerate(items):
+        if k and not (whole or words[k - 1] or words[k] or single[k - 1] and single[k]):
+            out += [(text[i], i, i + 1) for i in range(items[k - 1][1], start)]
+        out.append((_WORDS.get(item, item), start, end))
+    return out + [(text[i], i, i + 1) for i in range(items[-1][1], m.end())]
 
 
 #: ``_AT`` and ``_DOT`` hold one of these openings; a set of characters in front is quick to search for.
@@ -177,8 +192,8 @@ _MARKED = r"[(\[{{<_-](?:(?<=[(\[{{<])\s?(?:{0})\s?[)\]}}>]|(?<=[-_]){1}[-_])"
 _AT_MARK, _DOT_MARK = _MARKED.format("at|@", "at"), _MARKED.format(r"dot|\.|punkt|punto|point", "dot")
 _AT, _HAS_AT = re.compile(rf"\s{{0,3}}{_AT_MARK}\s{{0,3}}", re.I), re.compile(_AT_MARK, re.I)
 _DOT, _HAS_DOT = re.compile(rf"\s{{0,3}}{_DOT_MARK}\s{{0,3}}", re.I), re.compile(_DOT_MARK, re.I)
-#: Without brackets, ``at`` counts only before a name with a spelled or rewritten dot.
-_PLAIN_AT = re.compile(r"(?<=[A-Za-z0-9])\s{1,3}at\s{1,3}(?=[A-Za-z0-9-]{1,63}(?:\s{1,3}dot\s{1,3}[A-Za-z0-9]))", re.I)
+#: Without brackets, ``at`` counts only before a name with a spelled or rewritten dot: ``_plain_at``.
+_PLAIN_AT = re.compile(r"(?<=[A-Za-z0-9])\s{1,3}at\s{1,3}(?=([A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+))", re.I)
 _PLAIN_DOT = re.compile(r"(?<=[A-Za-z0-9])\s{1,3}dot\s{1,3}(?=[A-Za-z0-9])", re.I)
 _SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])(?:\s{1,2}@\s{0,2}|\s{0,2}@\s{1,2})(?=[A-Za-z0-9])")
 
@@ -187,20 +202,34 @@ def _sign(char: str) -> Callable[[re.Match], list[tuple[str, int, int]]]:
     return lambda m: [(char, m.start(), m.end())]
 
 
+def _plain_at(now: Rewritten, source: str) -> Callable[[re.Match], list[tuple[str, int, int]] | None]:
+    """A number with a spelled point is no name; four of them are an address."""
+
+    def rule(m: re.Match) -> list[tuple[str, int, int]] | None:
+        dots = [i for i, c in enumerate(m[1], m.start(1)) if c == "."]
+        named = len(dots) == 3 or any(c.isalpha() for c in m[1])
+        spelled = any(source[now.starts[i] : now.ends[i]] != "." for i in dots)
+        return [("@", m.start(), m.end())] if named and spelled else None
+
+    return rule
+
+
 def rewrite(text: str) -> Rewritten | None:
-    """The text without disguises; None if it has none. Every rule looks at every text."""
+    """The text without disguises; None if it has none. Every rule looks at every text, dots before at-signs."""
     out = Rewritten(text)
     if not text.isascii():
         out = out.apply(_FOREIGN, _plain_letter)
     out = out.apply(_SPELLED, _spelled)
+    if _HAS_DOT.search(out.text):
+        out = out.apply(_DOT, _sign("."))
+    if "dot" in out.text.lower():
+        out = out.apply(_PLAIN_DOT, _sign("."))
     if _HAS_AT.search(out.text):
         out = out.apply(_AT, _sign("@"))
-    out = out.apply(_PLAIN_AT, _sign("@"))
+    if out.text != text:  # otherwise no dot is rewritten
+        out = out.apply(_PLAIN_AT, _plain_at(out, text))
     if "@" in out.text:
         out = out.apply(_SPACED_AT, _sign("@"))
-        if _HAS_DOT.search(out.text):
-            out = out.apply(_DOT, _sign("."))
-        out = out.apply(_PLAIN_DOT, _sign("."))
     return None if out.text == text else out
 
 

@@ -63,6 +63,22 @@ def test_base_equals_the_patterns():
         ("card four one one one 1111 1111 one one one one ok", "card", "four one one one 1111 1111 one one one one"),
         ("4111\u200b1111\u200b1111\u200b1111", "card", "4111\u200b1111\u200b1111\u200b1111"),
         ("+1\u2011555\u2011010\u20119999", "phone", "+1\u2011555\u2011010\u20119999"),
+        ("host 192 dot 168 dot 0 dot 1 up", "ip", "192 dot 168 dot 0 dot 1"),
+        ("192 dot 168 dot 0 dot 1 2024", "ip", "192 dot 168 dot 0 dot 1"),
+        ("1 9 2 dot 1 6 8 dot 0 dot 1", "ip", "1 9 2 dot 1 6 8 dot 0 dot 1"),
+        ("192[dot]168[dot]0[dot]1", "ip", "192[dot]168[dot]0[dot]1"),
+        ("192[.]168[.]0[.]1", "ip", "192[.]168[.]0[.]1"),
+        ("call plus 1 555 010 9999", "phone", "plus 1 555 010 9999"),
+        ("call plus 1 (555) 010 9999", "phone", "plus 1 (555) 010 9999"),
+        ("call plus 15550109999 now", "phone", "plus 15550109999"),
+        ("4111 dash 1111 dash 1111 dash 1111", "card", "4111 dash 1111 dash 1111 dash 1111"),
+        ("one_nine_two_dot_one_six_eight_dot_zero_dot_one", "ip", "one_nine_two_dot_one_six_eight_dot_zero_dot_one"),
+        ("jane at example (dot) com", "email", "jane at example (dot) com"),
+        ("jane at mail.example dot com", "email", "jane at mail.example dot com"),
+        ("jane at mail dot example.com", "email", "jane at mail dot example.com"),
+        ("jane at 123 dot com", "email", "jane at 123 dot com"),
+        ("jane at one two three dot com", "email", "jane at one two three dot com"),
+        ("jane dot doe at example_dot_com", "email", "jane dot doe at example_dot_com"),
     ],
 )
 def test_disguises_map_back_to_the_source(text, kind, part):
@@ -95,6 +111,11 @@ def test_each_sign_without_brackets_is_found_alone(text):
     assert op.find_spans(text)[1]["email"] == [(0, len(text))]
 
 
+@pytest.mark.parametrize("text", ["it stands at three point one four", "sold at 12 point 50", "look at example.com", "2 plus 3 point 5 is 5 point 5"])
+def test_numbers_and_plain_names_after_at_are_left_alone(text):
+    assert not any(op.find_spans(text)[1].values())
+
+
 def test_long_texts_take_linear_time():
     for text in ("a" * 300_000, "1" * 300_000, "a@" * 100_000, "1." * 100_000, "+1 " * 100_000, "one " * 50_000, "@ " * 100_000):
         op.find_spans(text)
