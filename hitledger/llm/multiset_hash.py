@@ -6,9 +6,10 @@ of two, so order does not matter and a paragraph is inserted or deleted by addin
 subtracting its vector.
 
 The vector has four lanes modulo 2**64 for equality, one that counts paragraphs, and ``LEVELS``
-times ``LANES`` lanes modulo 2**8 of which level k is touched by one paragraph in 2**k. In the
-difference of two fingerprints only paragraphs that are not common remain; the
-share of lanes left at zero on each level tells how many those are.
+times ``LANES`` lanes modulo 2**8 of which level k is touched by one paragraph in 2**k (each paragraph
+draws one level per lane). In the difference of two fingerprints only paragraphs that are not common remain;
+the share of lanes left at zero on each level tells how many those are, up to the 2**30 paragraphs that a
+text of 2 GB can have.
 
 Null and empty texts have no paragraph; their fingerprint is zero, and two of them are
 alike (1.0). Rows with a null id stand before all others. Rows that repeat an id follow each other
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from hitledger.llm.common import small, stored, whole_text
 
-LEVELS, LANES = 10, 32
+LEVELS, LANES = 30, 32
 #: Stands for a null id.
 NO_ID = -(2**63)
 #: Characters per range of ids: the unit of parallel work.
@@ -35,7 +36,6 @@ RANGE_CHARACTERS = 8_000_000
 _WIDE, _CELLS = 4, LEVELS * LANES
 BYTES = 8 * _WIDE + 4 + _CELLS
 _PARAGRAPH = re.compile(r"[^\n.!?]+[.!?]*\s?|[.!?]+\s?")
-_LIMIT = np.repeat(65536 >> np.arange(1, LEVELS + 1), LANES).astype(np.uint16)
 
 
 def paragraphs(text: str) -> list[str]:
@@ -49,7 +49,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_STEPS = np.arange(1, _WIDE + _CELLS // 4 + _CELLS // 8 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+_STEPS = np.arange(1, _WIDE + LANES // 2 + LANES // 8 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
 
 def sums(pieces: list[list[str]]) -> np.ndarray:
@@ -70,11 +70,14 @@ def sums(pieces: list[list[str]]) -> np.ndarray:
         mine = owner[i : i + step]
         first = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]])
         lanes = _mix(seeds[i : i + step, None] + _STEPS) ^ _mix(others[i : i + step, None] * _STEPS)
-        touched = np.ascontiguousarray(lanes[:, _WIDE : _WIDE + _CELLS // 4]).view(np.uint16) < _LIMIT
-        values = np.ascontiguousarray(lanes[:, _WIDE + _CELLS // 4 :]).view(np.uint8) | np.uint8(1)
-        np.multiply(values, touched, out=values)
+        drawn = np.ascontiguousarray(lanes[:, _WIDE : _WIDE + LANES // 2]).view(np.uint32)
+        level = np.frexp((drawn & (~drawn + np.uint32(1))).astype(np.float64))[1] - 1  # zeros at the low end
+        level[drawn == 0] = LEVELS
+        values = np.ascontiguousarray(lanes[:, _WIDE + LANES // 2 :]).view(np.uint8) | np.uint8(1)
+        at = mine[:, None] * _CELLS + level * LANES + np.arange(LANES)
+        touched = level < LEVELS
         wide[mine[first]] += np.add.reduceat(lanes[:, :_WIDE], first, axis=0)
-        cells[mine[first]] += np.add.reduceat(values, first, axis=0, dtype=np.uint8)
+        np.add.at(cells.reshape(-1), at[touched], values[touched])
     out[have, : 8 * _WIDE] = wide.view(np.uint8)
     out[have, 8 * _WIDE + 4 :] = cells
     return out
@@ -94,8 +97,8 @@ def combine(a: np.ndarray, b: np.ndarray, sign: int = 1) -> np.ndarray:
 
 
 #: Numbers of uncommon paragraphs that are told apart, and the share of lanes each leaves touched.
-_GRID = np.unique(np.round(1.06 ** np.arange(0, 200)).astype(np.int64))
-_TOUCHED = (1 - (1 - 2.0 ** -np.arange(1, LEVELS + 1))[None, :] ** _GRID[:, None]) * (1 - 2.0**-8)
+_GRID = np.unique(np.round(1.06 ** np.arange(0, 381)).astype(np.int64))
+_TOUCHED = -np.expm1(_GRID[:, None] * np.log1p(-(2.0 ** -np.arange(1, LEVELS + 1)))[None, :]) * (1 - 2.0**-8)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -32,6 +32,27 @@ def test_likeness_follows_the_common_share():
     assert op.likeness(op.sums([["x"]]), op.sums([[]]))[0] < 0.5
 
 
+def test_likeness_of_long_texts():
+    rng = random.Random(5)
+    for n in (5_000, 10_000, 100_000):
+        for common in (0.0, 0.5, 0.9):
+            k = int(n * common)
+            found = []
+            for _ in range(6):
+                a = [f"a{rng.random()}" for _ in range(n)]
+                b = a[:k] + [f"b{rng.random()}" for _ in range(n - k)]
+                found.append(op.likeness(op.sums([a]), op.sums([b]))[0])
+            assert abs(np.mean(found) - common) < 0.15, (n, common, found)
+
+
+def test_the_number_of_uncommon_paragraphs_is_told_to_the_end():
+    for n in (10**6, 10**8, 2 * 10**9):
+        place = np.argmin(abs(np.log(op._GRID / n)))
+        hit = np.round(op.LANES * op._TOUCHED[place])
+        likely = hit @ np.log(op._TOUCHED).T + (op.LANES - hit) @ np.log1p(-op._TOUCHED).T
+        assert 0.8 < op._GRID[likely.argmax()] / n < 1.25
+
+
 def test_same_in_any_company():
     texts = ["One. Two. Three.", "", "Four\nfive\nsix", "One. Two. Three."] + [f"more {i}." * 50 for i in range(200)]
     together = op.fingerprints(texts)
