@@ -3,8 +3,10 @@
 Training counts byte four-grams of lower-cased letters per label, hashed to
 ``BUCKETS`` places. A document is a mixture of the learned languages and one
 background part (every place alike) that takes what is no language. EM estimates the
-proportions; of the sets of the best 1, 2, ... languages, the one of highest likelihood less
-half a logarithm of the number of four-grams for each language is selected.
+proportions; of the sets of the best 1, 2, ... languages, up to all learned ones, the one of highest likelihood
+less half a logarithm of the number of four-grams for each language is selected. Larger sets are left out only where a
+bound on the likelihood of any mixture shows that none can win. ``languages`` names those of the set with more than a
+hundredth of the text.
 
 The model has ``BUCKETS`` numbers per language, whatever the corpus size; more than
 ``MAX_LANGUAGES`` labels raise an error.
@@ -27,7 +29,6 @@ from hitledger.llm.common import column_of_texts, per_text, whole_text
 BUCKETS = 1 << 16
 MAX_LANGUAGES = 500
 STEPS = 8
-MOST_LANGUAGES = 3
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 #: ASCII letters and all bytes of longer characters stay, anything else is a space.
@@ -85,14 +86,15 @@ class LanguageModel:
         return cls.of_counts([row.lang for row in found], counts)
 
     def _em(self, likelihood, n, starts, rows, total, share, steps):
-        """Proportions and log likelihood of each document after some steps."""
+        """Proportions and log likelihood of each document after some steps, and a bound: no mixture of all languages has
+        a higher one, as the mean of ratios to this mixture is highest for one language alone (Jensen)."""
         for step in range(steps + 1):
-            part = likelihood * share[rows]
-            whole = np.maximum(part.sum(axis=1), 1e-30)
+            whole = np.maximum(np.einsum("ij,ij->i", likelihood, share[rows]), 1e-30)
+            ratio = np.add.reduceat(likelihood * (n / whole)[:, None], starts, axis=0) / total[:, None]
             if step == steps:
-                return share, np.add.reduceat(np.log(whole) * n, starts)
-            part *= (n / whole)[:, None]
-            share = np.add.reduceat(part, starts, axis=0) / total[:, None]
+                likely = np.add.reduceat(np.log(whole) * n, starts, dtype=np.float64)
+                return share, likely, likely + total * np.log(np.maximum(ratio.max(axis=1), 1))
+            share = share * ratio
 
     def proportions(self, texts: list[str]) -> np.ndarray:
         """Documents by labels and background; all zero for a text without letters."""
@@ -114,18 +116,29 @@ class LanguageModel:
         total = np.add.reduceat(n, starts)
         k = len(self.labels)
         even = np.full((len(have), k + 1), 1 / (k + 1), np.float32)
-        share, _ = self._em(likelihood, n, starts, rows, total, even, STEPS)
+        share, _, bound = self._em(likelihood, n, starts, rows, total, even, STEPS)
         rank = np.argsort(np.argsort(-share[:, :k], axis=1, kind="stable"), axis=1)
+        price = 0.5 * np.log(total.astype(np.float64))
         best = np.full(len(have), -np.inf)
-        for size in range(1, min(MOST_LANGUAGES, k) + 1):
-            allowed = np.hstack([rank < size, np.ones((len(have), 1), bool)])
-            start = np.where(allowed, np.maximum(share, 1e-3), 0)
+        have, open_ = np.array(have), np.arange(len(have))  # texts for which a larger set may win
+        for size in range(1, k + 1):
+            allowed = np.hstack([rank[open_] < size, np.ones((len(open_), 1), bool)])
+            start = np.where(allowed, np.maximum(share[open_], 1e-3), 0)
             start = (start / start.sum(axis=1, keepdims=True)).astype(np.float32)
-            fitted, likely = self._em(likelihood, n, starts, rows, total, start, STEPS // 2)
-            likely = likely - 0.5 * size * np.log(total)
-            better = likely > best
-            best = np.where(better, likely, best)
-            out[np.array(have)[better]] = fitted[better]
+            fitted, likely, most = self._em(likelihood, n, starts, rows, total[open_], start, STEPS // 2)
+            bound[open_] = np.minimum(bound[open_], most)
+            likely = likely - size * price[open_]
+            better = likely > best[open_]
+            best[open_[better]] = likely[better]
+            out[have[open_[better]]] = fitted[better]
+            stays = bound[open_] - (size + 1) * price[open_] > best[open_]
+            if not stays.any():
+                break
+            if not stays.all():
+                sizes, kept = np.diff(np.r_[starts, len(rows)])[stays], stays[rows]
+                likelihood, n, open_ = likelihood[kept], n[kept], open_[stays]
+                starts = np.r_[0, np.cumsum(sizes)[:-1]]
+                rows = np.repeat(np.arange(len(open_)), sizes)
         return out
 
 

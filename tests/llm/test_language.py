@@ -33,6 +33,29 @@ def test_mixture_of_two(spark, model):
     assert ((share > 0.01).sum(axis=1) == 2).mean() > 0.8
 
 
+def test_mixture_of_all(spark, table, model):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = [r.lang for r in docs.select("lang").distinct().orderBy("lang").collect() if r.lang]
+    assert len(labels) >= 4
+    parts = [[r.text[:900] for r in docs.filter(f"lang = '{x}' and length(text) > 900").orderBy("doc_id").limit(15).collect()] for x in labels]
+    mixed = [" ".join(row) for row in zip(*parts)]
+    found = op.identify(table(*enumerate(mixed)), model).collect()
+    assert len(found) > 5 and sum(r.languages == ",".join(labels) for r in found) > 0.8 * len(found)
+    assert np.mean([r.language_share for r in found]) > 0.8
+
+
+def test_many_languages_are_all_named():
+    rng = np.random.default_rng(7)
+    counts = np.zeros((12, op.BUCKETS))
+    words = [["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(60)] for _ in range(12)]
+    for i, own in enumerate(words):
+        np.add.at(counts[i], op.places(" ".join(own * 20)), 1)
+    model = op.LanguageModel.of_counts([f"l{i:02}" for i in range(12)], counts)
+    for several in (1, 4, 7, 12):
+        share = model.proportions([" ".join(" ".join(own) for own in words[:several])])[0, :-1]
+        assert (share[:several] > 0.5 / several).all() and (share[several:] == 0).all()
+
+
 def test_awkward_rows(table, model):
     found = {repr(r.doc_id) + r.lang_pred for r in op.identify(table(*AWKWARD), model).collect()}
     assert {"1und", "2und", "3und", "9und", "Noneund"} <= found
