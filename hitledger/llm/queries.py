@@ -6,7 +6,9 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from hitledger.llm import bpe, common, exact_dedup, language, mixing, multiset_hash, ngram_join, pii, ppm, repeats, shards
+from hitledger.llm import (
+    bpe, common, divergence, exact_dedup, filter_audit, language, mixing, multiset_hash, ngram_join, pii, ppm, repeats, shards, toxicity,
+)
 from hitledger.session import scratch_dir
 
 #: Target mix of the ``documents`` table.
@@ -74,6 +76,25 @@ def op10_exact_dedup(spark, d):
     return exact_dedup.exact_copies(common.documents(spark, d))
 
 
+def labels(spark, d):
+    return spark.read.parquet(f"{d}/labels.parquet")
+
+
+def op11_toxicity(spark, d):
+    """Labels are learned from rows whose crc32 of the id is not 0 modulo 5."""
+    docs = common.documents(spark, d)
+    model = toxicity.train(docs, labels(spark, d), ~common.held_out(0, 5))
+    return toxicity.score(docs, model).select("doc_id", common.held_out(0, 5).alias("held_out"), "score", "predicted")
+
+
+def op12_source_divergence(spark, d):
+    return divergence.source_divergence(common.documents(spark, d))
+
+
+def op13_filter_audit(spark, d):
+    return filter_audit.audit_filters(common.documents(spark, d), labels(spark, d))
+
+
 def pipeline(spark, d):
     import corpus_pipeline  # it imports this module
 
@@ -92,6 +113,9 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_language": op9_language,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_toxicity": op11_toxicity,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLES = {
@@ -99,4 +123,6 @@ ORACLES = {
     "op10_exact_dedup": """select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
   doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
 from documents window same as (partition by coalesce(text, ''))""",
+    "op12_source_divergence": divergence.SQL,
+    "op13_filter_audit": filter_audit.SQL,
 }
