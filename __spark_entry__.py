@@ -6,6 +6,7 @@ The given tables hold no access logs, so log lines are derived from every row of
 
 from __future__ import annotations
 
+import importlib.util
 import json
 from collections.abc import Callable
 from datetime import date, datetime
@@ -15,12 +16,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hitledger import sample_files as sf
 from hitledger import samples
 from hitledger.functions import grammar
-from hitledger.functions.addresses import ipv4_bounds
 from hitledger.functions.agents import BROWSERS, SYSTEMS
 from hitledger.operators import accuracy, classify, files, parse, report, traffic
-from hitledger.plans.dashboard import build_dashboard, read_dashboard
-from hitledger.plans.landing import Store, land_files, land_new
+from hitledger.plans.dashboard import build_dashboard, build_dashboard_from_store, read_dashboard
+from hitledger.plans.landing import land_files, land_new, refresh_derived, reprocess_rejects
 from hitledger.plans.reporting import build_report_from_rollup, get_or_build_report
+from hitledger.plans.store import SKETCHES, VISITS, Store, bot_page_lists
 from hitledger.schema import ACCESS_LOG, CSV_COLUMNS
 from hitledger.session import scratch_dir, spread_rows
 from hitledger.sinks.access import write_csv, write_raw_lines
@@ -30,13 +31,14 @@ from hitledger.sources.bots import bots_from_mapping, default_bots, load_bots
 from hitledger.sources.catalog import register_access_table, register_views
 from hitledger.sources.paths import file_system
 from hitledger.sources.raw import read_raw_lines
+from hitledger.sources.sql_functions import register_functions
 from hitledger.sources.table import read_access_csv
 from hitledger.streaming.daily_bots import read_daily_bots
 from hitledger.streaming.landing import stream_landing
 
-try:  # the operators for training text come and go with their folder
+if importlib.util.find_spec("hitledger.llm"):  # the operators for training text come and go with their folder
     from hitledger.llm import queries as training
-except ImportError:
+else:
     training = None
 
 AS_OF = date(2024, 1, 31)
@@ -154,14 +156,23 @@ def _llm_requests(spark, d):
 
 
 def _bot_address_check(spark, d):
-    found = classify.classify_requests(_requests(spark, d), BOTS)
+    """Requests of known crawlers from addresses in and out of their ranges; errors come as another crawler from IPv6 addresses."""
+    rows = _requests(spark, d)
+    error = F.startswith("path", F.lit("/error"))
+    host = F.substring_index("ip", ".", -1).cast("int")
+    six = (
+        F.when(host % 4 == 0, F.lit("2a02:06B8:0:1::25")).when(host % 4 == 1, F.lit("2a02:6bf:ffff::1"))
+        .when(host % 4 == 2, F.lit("2a02:6c0::1")).otherwise(F.lit("::ffff:5.45.200.7"))
+    )
     moved = (
         F.when(F.startswith("path", F.lit("/click")), F.replace("ip", F.lit("10.0.0."), F.lit("66.249.70.")))
         .when(F.startswith("path", F.lit("/view")), F.replace("ip", F.lit("10.0."), F.lit("40.83.")))
-        .when(F.startswith("path", F.lit("/error")), F.lit("2001:db8::1"))
+        .when(error, six)
+        .when(F.startswith("path", F.lit("/signup")), F.lit("unknown"))
         .otherwise(F.col("ip"))
     )
-    return classify.check_bot_addresses(found.withColumn("ip", moved), BOTS)
+    rows = rows.withColumn("user_agent", F.when(error, F.lit("YandexBot/3.0")).otherwise(F.col("user_agent"))).withColumn("ip", moved)
+    return classify.check_bot_addresses(classify.classify_requests(rows, BOTS), BOTS)
 
 
 def _top_paths(spark, d):
@@ -281,9 +292,9 @@ def _rejected_files(spark, d):
 def _expired_store(spark, d):
     """Old days leave the table, its rollup and the catalog, and stay away when the table is registered again."""
     store, _ = _streamed_store(spark, d, "expired")
-    table = register_access_table(spark, "expired", store.access)
+    table = register_access_table(spark, "expired", store)
     expire_store(spark, store, AS_OF, 10, dry_run=False)
-    register_access_table(spark, "expired", store.access)
+    register_access_table(spark, "expired", store)
     rows = spark.sql(f"SELECT log_date, count(*) AS requests FROM {table} GROUP BY log_date")
     rolled = store.read_rollup(spark, BOTS).groupBy("log_date").agg(F.sum("requests").alias("bot_requests"))
     return rows.join(rolled, "log_date", "left")
@@ -358,12 +369,157 @@ def _stream_daily_bots(spark, d):
 
 def _catalog_sql(spark, d):
     store, _ = _streamed_store(spark, d, "catalog")
-    table = register_access_table(spark, "hitledger", store.access)
+    table = register_access_table(spark, "hitledger", store)
     return spark.sql(
         f"SELECT log_date, status, count(*) AS hits, count(DISTINCT path) AS paths FROM {table} GROUP BY log_date, status"
     )
 
 
+#: Half of the lines, as a file holds them that is still being written.
+HALF = "case when event_id % 2 = 0 then line else 'unfinished' end"
+
+
+def _grown_files(spark, d):
+    """Files streamed while they are written, then grown, then streamed again; the file of the day of each look waits."""
+    root = scratch_dir(spark, "grown")
+    store, raw = Store(f"{root}/store"), f"{root}/raw"
+    for line, now in ((HALF, datetime(2024, 1, 20, 12)), ("line", NOW), ("line", NOW)):
+        _site_files(spark, d, raw, line)
+        stream_landing(spark, raw, store, f"{root}/checkpoint", BOTS, template=TEMPLATE, now=lambda now=now: now, max_days=60).awaitTermination()
+    return store.read_access(spark).groupBy("log_date", "status").agg(F.count(F.lit(1)).alias("hits"))
+
+
+def _landed_record(spark, d):
+    """What the record knows of each file after a replay: lines and the dates of its requests."""
+    store, _ = _replayed_store(spark, d)
+    return store.read_landed(spark).select("source_file", "status", "parsed", "rejected", "first_date", "last_date")
+
+
+def _stored_window(spark, d):
+    """One week out of the store, by the dates in the record."""
+    store, _ = _streamed_store(spark, d, "window")
+    return store.read_window(spark, date(2024, 1, 24)).groupBy("date", "path").agg(F.count(F.lit(1)).alias("hits"))
+
+
+#: The grammar of the package, but for requests that are just a dash.
+DASH_GRAMMAR = grammar.REQUEST_REGEX.replace(grammar.REQUEST_PARTS, f"(?:{grammar.REQUEST_PARTS}|-)")
+
+
+def _reprocessed(spark, d):
+    root = scratch_dir(spark, "reprocessed")
+    store = Store(f"{root}/store")
+    land_files(spark, _raw_files(spark, d, root), store, BOTS)
+    for _ in range(2):  # the second time there is nothing left to try
+        reprocess_rejects(spark, store, BOTS, DASH_GRAMMAR)
+    return store
+
+
+def _reprocessed_requests(spark, d):
+    """Lines that one grammar rejects, landed by another without reading the files again."""
+    return _reprocessed(spark, d).read_access(spark).groupBy("date", "path").agg(F.count(F.lit(1)).alias("hits"))
+
+
+def _reprocessed_rollup(spark, d):
+    return report.bot_daily(report.merge_rollups(_reprocessed(spark, d).read_rollup(spark, BOTS)))
+
+
+def _versioned_reports(spark, d):
+    """The report of one day asked for three times: as it is, by another list, and after files came again."""
+    root = scratch_dir(spark, "versions")
+    store, raw, reports = Store(f"{root}/store"), f"{root}/raw", f"{root}/reports"
+    _site_files(spark, d, f"{raw}/a")
+    land_files(spark, raw, store, BOTS)
+    day, seen = date(2024, 1, 30), []
+
+    def look(turn, bots):
+        totals = get_or_build_report(spark, store, bots, reports, day)["overview"].select(F.lit(turn).alias("turn"), "bot_name", "total_requests")
+        kept = f"{root}/seen/{turn}"
+        totals.write.parquet(kept)
+        seen.append(spark.read.parquet(kept))
+
+    look("first", BOTS)
+    look("other list", OTHER_BOTS)
+    _site_files(spark, d, f"{raw}/a", REPLAYED.format(day="day(date)"))
+    land_new(spark, raw, store, BOTS)
+    look("replayed", BOTS)
+    return seen[0].unionByName(seen[1]).unionByName(seen[2])
+
+
+def _replayed_with(spark, d, table):
+    """A store that keeps a further table: the files of one site are landed, then come again, changed."""
+    root = scratch_dir(spark, "kept")
+    store, raw = Store(f"{root}/store", keep=[table]), f"{root}/raw"
+    for line in ("line", REPLAYED.format(day="day(date)")):
+        _site_files(spark, d, f"{raw}/a", line)
+        land_files(spark, raw, store)
+    return store, root
+
+
+def _kept_dashboard(spark, d):
+    """The panel of client addresses after a replay, from the visits kept by file."""
+    store, root = _replayed_with(spark, d, VISITS)
+    build_dashboard_from_store(spark, store, f"{root}/panels", date(2024, 1, 30))
+    return read_dashboard(spark, f"{root}/panels", date(2024, 1, 30))["hosts"]
+
+
+#: The estimate of visitors is three standard errors off at most, and right to one for few.
+SKETCH_ERROR = 3 * 1.04 / 2 ** (traffic.SKETCH_K / 2)
+
+
+def _estimated_panels(spark, d):
+    """Visitors counted from the visits, and whether those estimated from merged sketches agree within the bound."""
+    store, _ = _replayed_with(spark, d, SKETCHES)
+    estimated = traffic.panels_of_sketches(store.read_derived(spark, SKETCHES)).withColumnRenamed("visitors", "estimate")
+    exact = traffic.panel_rows(store.read_access(spark))
+    near = F.abs(F.col("estimate") - F.col("visitors")) <= F.greatest(F.lit(1.0), F.col("visitors") * SKETCH_ERROR)
+    both = exact.drop("bytes").join(estimated.withColumnRenamed("hits", "sketch_hits"), ["panel", "keys"], "full")
+    same = F.col("hits").eqNullSafe(F.col("sketch_hits"))
+    return both.where("panel IN ('hosts', 'status')").select("panel", F.col("keys")[0].alias("key"), "hits", "visitors", (near & same).alias("agrees"))
+
+
+def _top_paths_of_lists(spark, d):
+    store, _ = _streamed_store(spark, d, "page-lists")
+    table = bot_page_lists(BOTS)
+    refresh_derived(spark, store, table)
+    return report.top_paths_of_lists(store.read_derived(spark, table))
+
+
+def _missing_input(spark, d):
+    """The summary of a store and of an exported file that do not exist, beside that of the given lines."""
+    root = scratch_dir(spark, "missing")
+    nothing = report.with_text_dates(read_access_csv(spark, f"{root}/none.csv"))
+    parts = {
+        "no file": report.bot_path_daily(nothing, BOTS),
+        "no store": report.merge_rollups(Store(f"{root}/none").read_rollup(spark, BOTS)),
+        "given": _rollup(spark, d),
+    }
+    frames = [report.overall_summary(rollup, AS_OF).select(F.lit(name).alias("input"), "total_requests", "unique_bots") for name, rollup in parts.items()]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
+def _sql_parse(spark, d):
+    """Raw files parsed and classified by SQL alone."""
+    raw = _raw_files(spark, d, scratch_dir(spark, "sql"))
+    db = register_functions(spark, "hitledger", BOTS)
+    return spark.sql(
+        f"""SELECT coalesce({db}.crawler_name(r.user_agent), 'none') AS sender, r.date, r.status, count(*) AS hits
+        FROM (SELECT {db}.parse_line(value) AS r FROM text.`{raw}`) WHERE r IS NOT NULL GROUP BY ALL"""
+    )
+
+
+def _sql_outcomes(spark, d):
+    raw = _raw_files(spark, d, scratch_dir(spark, "sql"))
+    db = register_functions(spark, "hitledger", BOTS)
+    return spark.sql(f"SELECT {db}.line_outcome(value) AS outcome, count(*) AS line_count FROM text.`{raw}` GROUP BY ALL")
+
+
+def _sql_table_function(spark, d):
+    """The table function beside each line: no row for a line that does not parse."""
+    raw = _raw_files(spark, d, scratch_dir(spark, "sql"))
+    db = register_functions(spark, "hitledger", BOTS)
+    return spark.sql(f"SELECT r.host, r.method, count(*) AS hits, count(r.time1) AS timed FROM text.`{raw}` AS t, LATERAL {db}.request_of_line(t.value) AS r GROUP BY ALL")
+
+
 def _views_sql(spark, d):
     register_views(spark, _requests(spark, d), BOTS)
     return spark.sql(
@@ -432,6 +588,20 @@ def _log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stored_dashboard": _stored_dashboard,
         "stream_landing_counts": _stream_landing_counts,
         "stream_daily_bots": _stream_daily_bots,
+        "grown_files": _grown_files,
+        "landed_record": _landed_record,
+        "stored_window": _stored_window,
+        "reprocessed_requests": _reprocessed_requests,
+        "reprocessed_rollup": _reprocessed_rollup,
+        "versioned_reports": _versioned_reports,
+        "kept_dashboard": _kept_dashboard,
+        "estimated_panels": _estimated_panels,
+        "top_paths_of_lists": _top_paths_of_lists,
+        "running_totals": lambda s, d: report.running_totals(_rollup(s, d)),
+        "missing_input": _missing_input,
+        "sql_parse": _sql_parse,
+        "sql_outcomes": _sql_outcomes,
+        "sql_table_function": _sql_table_function,
     }
 
 
@@ -441,6 +611,7 @@ _DAY = "strftime(ts, '%Y-%m-%d')"
 _SHIFTED = "strftime(cast(ts as date) + cast(user_id % 61 - 30 as int), '%Y-%m-%d')"
 _TIME = "strftime(ts, '%d/%b/%Y:%H:%M:%S')"
 
+# Fixed value: the line grammar, as another dialect of regular expressions has it.
 _REQUEST = (
     r'^(\S+)\s+(\S+)\s+(\S+)\s+\[([^\]]+)\]\s+"(\S+)\s+(\S+)\s+([^"]+)"\s+(\d+)\s+(\S+)\s+"([^"]*)"\s+"([^"]*)"'
 )
@@ -554,38 +725,41 @@ def _replayed(query: str) -> str:
     return f"{_CTES} {query}".replace(_LINES, both, 1)
 
 
+_LEFT = f"(select {REPLAYED.format(day='day(log_date)')} as line, log_date, source_file, event_id from ({_LINES}))"
+#: The same after the files came again, changed.
+_LEFT_CTES = _CTES.replace(f"({_LINES})", _LEFT, 1)
+
+
+def _other(column: str) -> str:
+    """The crawler by ``OTHER_LIST``."""
+    return f"""case when regexp_matches({column}, 'oai-\\w+/1\\.[0-2]|gpt ?bot/', 'i') then 'Open'
+    when regexp_matches({column}, 'google(bot|other)', 'i') then 'Search'
+    when regexp_matches({column}, 'feedbot', 'i') then 'feedbot'
+    when regexp_matches({column}, '^facebook', 'i') then 'Face' end"""
+
+
 def _panel(key: str, alias: str = "", where: str = "") -> str:
     named = f"{key} as {alias}" if alias else key
     return f"{_CTES} select {named}, {_METRICS} from parsed {where} group by {key}"
 
 
-def _address_sql() -> str:
-    ranges = ", ".join(
-        f"('{bot.name}', {lo}, {hi})"
-        for bot in BOTS
-        for lo, hi in filter(None, map(ipv4_bounds, bot.ip_ranges))
-    )
-    return f"""{_CTES},
-ranges(bot_name, lo, hi) as (values {ranges}),
+# The ranges that the addresses of the query can meet, by hand: 40.83.0.0/16 of GPTBot, 66.249.64.0/19 of GoogleBot, and of
+# YandexBot 2a02:6b8::/29 (2a02:6b8 to 2a02:6bf) and 5.45.192.0/18. Of the crawlers seen, the others have none.
+_ADDRESSES = f"""{_CTES},
 moved as (
-  select bot_name, case when path like '/click%' then replace(ip, '10.0.0.', '66.249.70.')
-    when path like '/view%' then replace(ip, '10.0.', '40.83.')
-    when path like '/error%' then '2001:db8::1' else ip end as ip
-  from bots
+  select case when path like '/error%' then 'YandexBot' else bot_name end as bot_name, path, ip from named
 ),
-numbered as (
-  select *, case when contains(ip, ':') then null else
-    cast(split_part(ip, '.', 1) as bigint) * 16777216 + cast(split_part(ip, '.', 2) as bigint) * 65536
-    + cast(split_part(ip, '.', 3) as bigint) * 256 + cast(split_part(ip, '.', 4) as bigint) end as n
-  from moved
+judged as (
+  select bot_name, case
+    when bot_name not in ('GPTBot', 'GoogleBot', 'YandexBot') then 'no_ranges'
+    when path like '/signup%' then 'no_address'
+    when path like '/error%' then case when cast(split_part(ip, '.', 4) as int) % 4 = 2 then 'outside' else 'inside' end
+    when path like '/click%' and ip like '10.0.0.%' and bot_name = 'GoogleBot' then 'inside'
+    when path like '/view%' and bot_name = 'GPTBot' then 'inside'
+    else 'outside' end as verdict
+  from moved where bot_name is not null
 )
-select bot_name, case
-    when bot_name not in (select bot_name from ranges) then 'no_ranges'
-    when n is null then 'not_ipv4'
-    when exists (select 1 from ranges r where r.bot_name = numbered.bot_name and n between r.lo and r.hi) then 'inside'
-    else 'outside' end as verdict,
-  count(*) as requests
-from numbered group by all"""
+select bot_name, verdict, count(*) as requests from judged group by all"""
 
 
 _OVERVIEW = f"""{_CTES}
@@ -659,6 +833,18 @@ compared as (
 )"""
 
 
+_TOP_PATHS = f"""{_CTES} select bot_name, path, requests,
+  cast(row_number() over (partition by bot_name order by requests desc, path) as int) as "rank"
+from pages qualify "rank" <= 20"""
+
+_PERIODS = f"""{_CTES},
+periods as (
+  select is_llm, 'day' as period, "date" as period_start, requests from rollup_all
+  union all select is_llm, 'week', cast(date_trunc('week', "date") as date), requests from rollup_all
+  union all select is_llm, 'month', cast(date_trunc('month', "date") as date), requests from rollup_all
+)"""
+
+
 def _text(name: str) -> str:
     if name == "date":
         return 'cast("date" as varchar) as "date"'
@@ -707,7 +893,7 @@ where r.s3.bucket.name = 'logs' and url_decode(r.s3.object."key") like 'raw/%' a
         "llm_requests": f'{_CTES} select "date", ip, path, user_agent, bot_name from bots where is_llm',
         "agent_dimension": f"""{_CTES} select distinct user_agent, bot_name,
   coalesce(bot_name in ({_LLM}), false) as is_llm from named""",
-        "bot_address_check": _address_sql(),
+        "bot_address_check": _ADDRESSES,
         "bot_path_daily": f"{_CTES} select * from rollup_all",
         "bot_path_daily_week": week,
         "bot_totals": f"{_CTES} select * from totals",
@@ -715,21 +901,14 @@ where r.s3.bucket.name = 'logs' and url_decode(r.s3.object."key") like 'raw/%' a
         "bot_paths": f"{_CTES} select * from pages",
         "overall_summary": f"{_CTES} {_SUMMARY}",
         "bot_overview": _OVERVIEW,
-        "top_paths_per_bot": f"""{_CTES} select bot_name, path, requests,
-  cast(row_number() over (partition by bot_name order by requests desc, path) as int) as "rank"
-from pages qualify "rank" <= 20""",
+        "top_paths_per_bot": _TOP_PATHS,
         "top_bots": f"{_CTES} select * from totals order by total_requests desc, bot_name limit 5",
         "top_bots_daily_filled": f"""{_CTES},
 top as (select bot_name from totals order by total_requests desc, bot_name limit 5),
 days as (select distinct "date" from daily where bot_name in (select bot_name from top))
 select top.bot_name, days."date", coalesce(requests, 0) as requests
 from top cross join days left join daily on daily.bot_name = top.bot_name and daily."date" = days."date\"""",
-        "bot_type_by_period": f"""{_CTES},
-periods as (
-  select is_llm, 'day' as period, "date" as period_start, requests from rollup_all
-  union all select is_llm, 'week', cast(date_trunc('week', "date") as date), requests from rollup_all
-  union all select is_llm, 'month', cast(date_trunc('month', "date") as date), requests from rollup_all
-)
+        "bot_type_by_period": f"""{_PERIODS}
 select case when is_llm then 'LLM' else 'Other' end as bot_type, period, period_start,
   cast(sum(requests) as bigint) as requests from periods group by all""",
         "report_document": _DOCUMENT,
@@ -768,14 +947,46 @@ from days, (values ('cut'), ('plain')) as sites(s)""",
         "expired_store": f"""{_CTES}, rolled as (select log_date, count(*) as bot_requests from bots group by all)
 select log_date, count(*) as requests, any_value(bot_requests) as bot_requests from parsed left join rolled using (log_date)
 where log_date >= date '2024-01-21' group by all""",
-        "loaded_list": f"""{_CTES}, other as (
-  select *, case when regexp_matches(user_agent, 'oai-\\w+/1\\.[0-2]|gpt ?bot/', 'i') then 'Open'
-    when regexp_matches(user_agent, 'google(bot|other)', 'i') then 'Search'
-    when regexp_matches(user_agent, 'feedbot', 'i') then 'feedbot'
-    when regexp_matches(user_agent, '^facebook', 'i') then 'Face' end as bot from parsed)
+        "loaded_list": f"""{_CTES}, other as (select *, {_other("user_agent")} as bot from parsed)
 select "date", bot as bot_name, bot <> 'Search' as is_llm, case when trim(path) = '' then '/' else trim(path) end as path,
   count(*) as requests from other where bot is not null group by all""",
         "bad_dates": f'{_CTES} select "date", path, count(*) as hits from parsed where status <> 500 group by all',
+        "grown_files": f"{_CTES} select log_date, status, count(*) as hits from parsed group by all",
+        "landed_record": f"""{_CTES}, tried as (
+  select 'b' as site, log_date, ok from matched
+  union all select 'a', log_date, ok and day(log_date) % 3 <> 0 and event_id % 2 <> 1 from matched)
+select concat(site, '/date=', cast(log_date as varchar), '/access.log-', cast(log_date as varchar), '.gz') as source_file,
+  'landed' as status, count(*) filter (ok) as parsed, count(*) filter (not ok) as rejected,
+  min(log_date) filter (ok) as first_date, max(log_date) filter (ok) as last_date
+from tried group by site, log_date""",
+        "stored_window": f"""{_CTES} select "date", path, count(*) as hits from parsed where "date" >= date '2024-01-24' group by all""",
+        "reprocessed_requests": f"""{_CTES}, every as (
+  select "date", path from parsed union all select log_date, '' from matched where not ok)
+select "date", path, count(*) as hits from every group by all""",
+        "reprocessed_rollup": f"""{_CTES}, every as (
+  select bot_name, "date" from bots
+  union all select {_chain("trim(regexp_extract(parts[1], '\"([^\"]*)\"$', 1))")}, log_date from matched where not ok)
+select bot_name, "date", count(*) as requests from every where bot_name is not null group by all""",
+        "versioned_reports": f"""select 'first' as turn, bot_name, total_requests from ({_CTES} select * from totals)
+union all select 'other list', bot, n from (
+  {_CTES} select {_other("user_agent")} as bot, count(*) as n from parsed group by all) where bot is not null
+union all select 'replayed', bot_name, total_requests from ({_LEFT_CTES} select * from totals)""",
+        "kept_dashboard": f"{_LEFT_CTES} select ip, {_METRICS} from parsed group by ip",
+        "estimated_panels": f"""{_LEFT_CTES}, panels as (
+  select 'hosts' as panel, ip as "key", {_METRICS} from parsed group by ip
+  union all select 'status', cast(status as varchar), {_METRICS} from parsed group by status)
+select panel, "key", hits, visitors, true as agrees from panels""",
+        "top_paths_of_lists": _TOP_PATHS,
+        "running_totals": f"""{_PERIODS}, sums as (
+  select case when is_llm then 'LLM' else 'Other' end as bot_type, period, period_start,
+    cast(sum(requests) as bigint) as requests from periods group by all)
+select *, cast(sum(requests) over (partition by bot_type, period order by period_start) as bigint) as total from sums""",
+        "missing_input": f"""{_CTES} select 'given' as input, coalesce(cast(sum(requests) as bigint), 0) as total_requests,
+  count(distinct bot_name) as unique_bots from rollup_all
+union all values ('no file', 0, 0), ('no store', 0, 0)""",
+        "sql_parse": f"""{_CTES} select coalesce(bot_name, 'none') as sender, "date", status, count(*) as hits from named group by all""",
+        "sql_outcomes": f"""{_CTES} select case when ok then 'parsed' else 'regex' end as outcome, count(*) as line_count from matched group by all""",
+        "sql_table_function": f"""{_CTES} select host, "method", count(*) as hits, count(time1) as timed from parsed group by all""",
     }
 
 

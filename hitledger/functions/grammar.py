@@ -6,6 +6,8 @@ then optionally ``| tls | time1 time2 time3 cache extra extra extra``.
 
 from __future__ import annotations
 
+import hashlib
+
 from hitledger.functions.text import literal, strip, words
 
 SEPARATOR = " | "
@@ -16,11 +18,12 @@ _WORD = r"([^\s\x1c-\x1f]++)"
 # Quantifiers are possessive wherever the next item cannot match what they took,
 # so a line that does not match fails in linear time. The one plain quantifier is
 # the space before the protocol, which may itself start with a space.
+REQUEST_PARTS = _WORD + _WS + "++" + _WORD + _WS + '+([^"]++)'
 REQUEST_REGEX = (
     r"(?s)(?U)^"
     + (_WORD + _WS + "++") * 3
     + r"\[([^\]]++)\]" + _WS + "++"
-    + '"' + _WORD + _WS + "++" + _WORD + _WS + '+([^"]++)"' + _WS + "++"
+    + '"' + REQUEST_PARTS + '"' + _WS + "++"
     + r"(\d++)" + _WS + "++" + _WORD + _WS + "++"
     + '"([^"]*+)"' + _WS + '++"([^"]*+)".*$'
 )
@@ -43,14 +46,19 @@ def after_segment(text: str, segment: str) -> str:
     return f"CASE WHEN octet_length({text}) > octet_length({segment}) THEN substr({text}, {start}) END"
 
 
-def request_fields(main: str) -> str:
-    """All groups in one match, as an array; of length one when there is no match.
+def grammar_mark(regex: str) -> str:
+    """Tells request patterns apart."""
+    return hashlib.sha256(regex.encode()).hexdigest()[:16]
+
+
+def request_fields(main: str, regex: str = REQUEST_REGEX) -> str:
+    """All groups in one match, as an array; of length one when there is no match. Another pattern must have the same groups.
 
     The groups are joined by a newline, which no line can hold, and split again:
     one pass of the regular expression instead of one per column.
     """
     groups = "\n".join(f"${i}" for i in range(1, len(FIELDS) + 1))
-    return f"split(regexp_replace({main}, {literal(REQUEST_REGEX)}, {literal(groups)}), {literal(chr(10))})"
+    return f"split(regexp_replace({main}, {literal(regex)}, {literal(groups)}), {literal(chr(10))})"
 
 
 def field(fields: str, name: str) -> str:

@@ -6,9 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from hitledger.functions import agents
-from hitledger.functions.addresses import ipv4_bounds, ipv4_number
-from hitledger.functions.text import fold_case, literal
+from hitledger.functions import addresses, agents
+from hitledger.functions.text import fold_case
 from hitledger.sources.bots import Bot
 
 
@@ -51,26 +50,24 @@ def agent_dimension(requests: DataFrame, bots: Sequence[Bot]) -> DataFrame:
 
 
 def check_bot_addresses(classified: DataFrame, bots: Sequence[Bot]) -> DataFrame:
-    """Requests per crawler by whether the client address lies in its published ranges.
+    """Requests per crawler by whether the client address lies in its published ranges, IPv4 and IPv6 alike.
 
-    ``verdict`` is ``inside``, ``outside``, ``no_ranges`` or ``not_ipv4``. Addresses
-    are counted before they are compared, against a literal list of the crawler's own
-    ranges, so overlapping ranges count a request once.
+    ``verdict`` is ``inside``, ``outside``, ``no_ranges`` or ``no_address``. Addresses
+    are counted before they are compared. A crawler's ranges are one sorted array, overlapping ones merged, which joins
+    by the crawler's name (as many rows as the list has entries) and is searched by bisection.
     """
+    spark = classified.sparkSession
     counted = classified.groupBy("bot_name", "ip").agg(F.count(F.lit(1)).alias("requests"))
-    numbered = counted.selectExpr("*", f"{ipv4_number('ip')} AS _number")
-    branches = []
-    for bot in bots:
-        bounds = [b for b in map(ipv4_bounds, bot.ip_ranges) if b]
-        if bounds:
-            inside = " OR ".join(f"_number BETWEEN {lo}L AND {hi}L" for lo, hi in bounds)
-            branches.append(
-                f"WHEN bot_name = {literal(bot.name)} THEN CASE WHEN _number IS NULL THEN 'not_ipv4' "
-                f"WHEN {inside} THEN 'inside' ELSE 'outside' END"
-            )
-    verdict = F.expr(f"CASE {' '.join(branches)} ELSE 'no_ranges' END" if branches else "'no_ranges'")
+    lists = [
+        (bot.name, [(addresses.halves(a), addresses.halves(b)) for a, b in addresses.merged_ranges(bot.ip_ranges)])
+        for bot in bots if bot.ip_ranges
+    ]
+    ranges = F.broadcast(spark.createDataFrame(lists, f"bot_name STRING, _ranges {addresses.RANGES}"))
+    numbered = addresses.with_address_number(counted, "ip", "_number").join(ranges, "bot_name", "left")
+    verdict = f"""CASE WHEN _ranges IS NULL THEN 'no_ranges' WHEN _number IS NULL THEN 'no_address'
+        WHEN {addresses.in_ranges("_number", "_ranges")} THEN 'inside' ELSE 'outside' END"""
     return (
-        numbered.select("bot_name", "requests", verdict.alias("verdict"))
+        numbered.select("bot_name", "requests", F.expr(verdict).alias("verdict"))
         .groupBy("bot_name", "verdict")
         .agg(F.sum("requests").alias("requests"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from hitledger.functions import grammar as g
 from hitledger.functions.text import strip, words
@@ -13,7 +13,7 @@ PARSED, BLANK, BAD_REQUEST, BAD_TIME = OUTCOMES = "parsed", "blank", "regex", "t
 _WORK_COLUMNS = ["_text", "_main", "_fields", "_time", "_zone", "_offset", "_ts", "_outcome"]
 
 
-def match_lines(lines: DataFrame) -> DataFrame:
+def match_lines(lines: DataFrame, regex: str = g.REQUEST_REGEX) -> DataFrame:
     """Match every line once. Other columns of ``lines`` are kept.
 
     Each step reads the one before more than once, so the optimizer keeps the steps
@@ -23,7 +23,7 @@ def match_lines(lines: DataFrame) -> DataFrame:
     text = lines.select(*kept, F.expr(strip("make_valid_utf8(line)")).alias("_text"))
     steps = {
         "_main": g.main_segment("_text"),
-        "_fields": g.request_fields("_main"),
+        "_fields": g.request_fields("_main", regex),
         "_time": g.single_spaced(g.field("_fields", "time")),
         "_zone": g.zone("_time"),
         "_offset": g.utc_offset("_zone"),
@@ -37,22 +37,16 @@ def match_lines(lines: DataFrame) -> DataFrame:
     return text
 
 
-def requests_from_matches(matched: DataFrame) -> DataFrame:
-    """Typed requests out of :func:`match_lines`, dropping lines that do not parse.
-
-    The drop is the generator's: a plain filter would be pushed below the steps of
-    ``match_lines`` and run the regular expression a second time.
-    """
-    kept = [c for c in matched.columns if c not in _WORK_COLUMNS]
+def _request_columns() -> dict[str, str]:
     columns = {n: g.field("_fields", n) for n in g.FIELDS if n not in ("ident", "time")}
     columns["ts"] = "_ts"
     columns["tz_offset"] = "_offset"
     columns["_tail"] = g.after_segment("_text", "_main")
-    request = ", ".join(f"'{name}', {value}" for name, value in columns.items())
-    parsed = f"_outcome = '{PARSED}'"
-    rows = matched.select(
-        *kept, F.expr(f"inline(CASE WHEN {parsed} THEN array(named_struct({request})) END)")
-    )
+    return columns
+
+
+def _typed(rows: DataFrame, kept: list[str]) -> DataFrame:
+    """The access-log columns out of the text columns of :func:`_request_columns`."""
     tls = rows.selectExpr("*", f"{g.main_segment('_tail')} AS _tls")
     metrics = g.main_segment(g.after_segment("_tail", "_tls"))
     tail = tls.selectExpr("*", words(f"coalesce({metrics}, '')") + " AS _words")
@@ -69,8 +63,31 @@ def requests_from_matches(matched: DataFrame) -> DataFrame:
         "extra_6": g.word_at("_words", 5),
         "extra_7": g.word_at("_words", 6),
     }
-    names = ACCESS_LOG.fieldNames()
-    return tail.selectExpr(*[f"{typed.get(n, n)} AS {n}" for n in names], *kept)
+    return tail.selectExpr(*[f"{typed.get(n, n)} AS {n}" for n in ACCESS_LOG.fieldNames()], *kept)
+
+
+def requests_from_matches(matched: DataFrame) -> DataFrame:
+    """Typed requests out of :func:`match_lines`, dropping lines that do not parse.
+
+    The drop is the generator's: a plain filter would be pushed below the steps of
+    ``match_lines`` and run the regular expression a second time.
+    """
+    kept = [c for c in matched.columns if c not in _WORK_COLUMNS]
+    request = ", ".join(f"'{name}', {value}" for name, value in _request_columns().items())
+    parsed = f"_outcome = '{PARSED}'"
+    rows = matched.select(
+        *kept, F.expr(f"inline(CASE WHEN {parsed} THEN array(named_struct({request})) END)")
+    )
+    return _typed(rows, kept)
+
+
+def requests_and_rejects(matched: DataFrame) -> DataFrame:
+    """Every line of :func:`match_lines` with its ``outcome``: typed columns if it parsed, else its text as ``line``."""
+    kept = [c for c in matched.columns if c not in _WORK_COLUMNS]
+    columns = [f"{value} AS {name}" for name, value in _request_columns().items()]
+    rejected = f"CASE WHEN _outcome <> '{PARSED}' THEN _text END AS line"
+    rows = matched.selectExpr(*kept, "_outcome AS outcome", rejected, *columns)
+    return _typed(rows, [*kept, "outcome", "line"])
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -95,11 +112,6 @@ def count_outcomes(lines: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def outcome_counts() -> list[Column]:
-    """Aggregates over :func:`match_lines`, to observe while the same pass writes."""
-    return [F.count_if(F.col("_outcome") == name).alias(name) for name in OUTCOMES]
-
-
 def csv_rows(logs: DataFrame) -> DataFrame:
     """The nineteen columns as text, ready for a CSV file; other columns are kept."""
     columns = {

@@ -198,6 +198,63 @@ def bot_type_by_period(rollup: DataFrame, *units: str) -> DataFrame:
     )
 
 
+def running_totals(rollup: DataFrame, *units: str) -> DataFrame:
+    """``bot_type, period, period_start, requests, total``: with the requests of each period, all up to its end.
+
+    Prefix sums in two levels: within each year of a type, and the sums of the years before it, so that no task holds more than the
+    periods of one year and one row per year.
+    """
+    periods = bot_type_by_period(rollup, *units).withColumn("_year", F.year("period_start"))
+    kind = ["bot_type", "period"]
+    within = Window.partitionBy(*kind, "_year").orderBy("period_start").rowsBetween(Window.unboundedPreceding, 0)
+    years = periods.groupBy(*kind, "_year").agg(F.sum("requests").alias("_sum"))
+    earlier = Window.partitionBy(*kind).orderBy("_year").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = years.select(*kind, "_year", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
+    summed = periods.withColumn("_within", F.sum("requests").over(within)).join(offsets, [*kind, "_year"])
+    return summed.select(*kind, "period_start", "requests", (F.col("_within") + F.col("_offset")).alias("total"))
+
+
+def page_lists(rollup: DataFrame, *by: str) -> DataFrame:
+    """``bot_name, path, requests, rank`` for each ``by``: the pages of a crawler in one load, the most requested first."""
+    pages = rollup.groupBy("bot_name", "path", *by).agg(_requests())
+    order = Window.partitionBy("bot_name", *by).orderBy(F.desc("requests"), "path")
+    return pages.withColumn("rank", F.row_number().over(order))
+
+
+def top_paths_of_lists(lists: DataFrame, k: int = 20) -> DataFrame:
+    """The same rows as :func:`top_paths_per_bot`, from the sorted lists of :func:`page_lists` and not all of their entries."""
+    return top_paths_per_bot(_list_looks(lists, k)[2], k)
+
+
+def _list_looks(lists: DataFrame, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The entries looked at, in three steps; every page of the answer is in the last with all its entries.
+
+    1. The first ``k`` pages of every list. The ``k``-th largest sum of what was seen is a bound that the answer reaches.
+    2. All entries of at least that bound over the number of lists. A page without any stays below the bound, whatever
+       its lists hold, so no unseen page can enter; of those seen, some cannot either.
+    3. All entries of the pages that are left.
+    """
+    number = lists.where("rank = 1").groupBy("bot_name").agg(F.count(F.lit(1)).alias("_lists"))
+    head = lists.where(F.col("rank") <= k)
+    first = _kth(head.groupBy("bot_name", "path").agg(_requests()), k)
+    least = number.join(first, "bot_name", "left").select(
+        "bot_name", "_lists", (F.coalesce("_kth", F.lit(0)) / F.col("_lists")).alias("_least")
+    )
+    # as many rows as the crawler list has entries
+    seen = lists.join(F.broadcast(least), "bot_name").where(F.col("requests") >= F.col("_least"))
+    sums = seen.groupBy("bot_name", "path", "_lists", "_least").agg(_requests(), F.count(F.lit(1)).alias("_seen"))
+    bound = F.broadcast(_kth(sums, k))
+    most = F.col("requests") + (F.col("_lists") - F.col("_seen")) * F.col("_least")
+    left = sums.join(bound, "bot_name", "left").where(most >= F.coalesce("_kth", F.lit(0))).select("bot_name", "path")
+    return head, seen, lists.join(left, ["bot_name", "path"], "left_semi")
+
+
+def _kth(sums: DataFrame, k: int) -> DataFrame:
+    """The ``k``-th largest sum of each crawler (as many rows as the list has entries); none if it has fewer pages."""
+    order = Window.partitionBy("bot_name").orderBy(F.desc("requests"))
+    return sums.withColumn("_n", F.row_number().over(order)).where(F.col("_n") == k).select("bot_name", F.col("requests").alias("_kth"))
+
+
 def _daily_series(rollup: DataFrame) -> DataFrame:
     """One row per crawler with its total and its days in order; bounded by the calendar."""
     day = F.struct(F.col("date").cast("string").alias("date"), "requests")

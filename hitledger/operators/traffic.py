@@ -104,38 +104,81 @@ def _keyed(keys: dict[str, str]) -> str:
     return "array(" + ", ".join(f"struct('{name}' AS panel, {sql} AS keys)" for name, sql in keys.items()) + ")"
 
 
-def panel_rows(requests: DataFrame) -> DataFrame:
-    """The rows of all panels in one table: ``panel, keys, hits, bytes, visitors``, from one scan.
+#: Panels whose key is a matter of the request; those of ``_OF_VISITOR`` follow from the visitor alone.
+_OF_REQUEST = {
+    "visitor": "CAST(array() AS array<string>)",
+    "referrers": "CASE WHEN referrer NOT IN ('-', '') THEN array(referrer) END",
+    "requests": "array(method, path, protocol)",
+    "hours": "array(CAST(_hour AS STRING))",
+    "status": "array(CAST(status AS STRING))",
+    "virtual_hosts": "array(host)",
+}
+_OF_VISITOR = {
+    "daily": "array(CAST(date AS STRING))",
+    "hosts": "array(ip)",
+    "browsers": f"array({family('_folded', BROWSERS)})",
+    "os": f"array({family('_folded', SYSTEMS)})",
+}
+_VISITOR = ["ip", "_agent", "date"]
 
-    Requests are first counted by visitor within each key, so a key that holds most of them is spread over
-    its visitors. What depends on the visitor alone, as the families of agents do, is worked out once per visitor.
+
+def panel_visits(requests: DataFrame, *by: str) -> DataFrame:
+    """Hits and bytes per panel, key and visitor, from one scan; ``by`` keeps them apart by further columns.
+
+    A key that holds most requests is spread over its visitors.
     """
-    of_request = {
-        "visitor": "CAST(array() AS array<string>)",
-        "referrers": "CASE WHEN referrer NOT IN ('-', '') THEN array(referrer) END",
-        "requests": "array(method, path, protocol)",
-        "hours": "array(CAST(_hour AS STRING))",
-        "status": "array(CAST(status AS STRING))",
-        "virtual_hosts": "array(host)",
-    }
     hour = F.expr(local_hour(local_seconds("ts", "tz_offset"))).alias("_hour")
     timed = requests.select("*", hour, F.coalesce("user_agent", F.lit("")).alias("_agent"))
-    each = timed.select("ip", "_agent", "date", "body_bytes_sent", F.expr(f"inline({_keyed(of_request)})")).where("keys IS NOT NULL")
-    visits = each.groupBy("panel", "keys", "ip", "_agent", "date").agg(F.count(F.lit(1)).alias("hits"), _bytes().alias("bytes"))
-    of_visitor = {
-        "daily": "array(CAST(date AS STRING))",
-        "hosts": "array(ip)",
-        "browsers": f"array({family('_folded', BROWSERS)})",
-        "os": f"array({family('_folded', SYSTEMS)})",
-    }
+    keyed = F.expr(f"inline({_keyed(_OF_REQUEST)})")
+    each = timed.select(*_VISITOR, "body_bytes_sent", *by, keyed).where("keys IS NOT NULL")
+    return each.groupBy("panel", "keys", *_VISITOR, *by).agg(F.count(F.lit(1)).alias("hits"), _bytes().alias("bytes"))
+
+
+def merge_visits(visits: DataFrame) -> DataFrame:
+    """Visits kept by file as one per panel, key and visitor: a visitor who is in several files is one."""
+    return visits.groupBy("panel", "keys", *_VISITOR).agg(F.sum("hits").alias("hits"), F.sum("bytes").alias("bytes"))
+
+
+def _all_panels(visits: DataFrame, *columns: str) -> DataFrame:
+    """Visits under every panel they count in. The families of agents are worked out once per visitor."""
     own = "array(struct(panel, keys))"
     folded = visits.withColumn("_folded", F.lower("_agent"))
-    spread = folded.select("hits", "bytes", F.expr(f"inline(CASE WHEN panel = 'visitor' THEN {_keyed(of_visitor)} ELSE {own} END)"))
-    return spread.groupBy("panel", "keys").agg(
+    spread = F.expr(f"inline(CASE WHEN panel = 'visitor' THEN {_keyed(_OF_VISITOR)} ELSE {own} END)")
+    return folded.select("hits", "bytes", *columns, spread)
+
+
+def panels_of_visits(visits: DataFrame) -> DataFrame:
+    """The rows of all panels in one table, ``panel, keys, hits, bytes, visitors``, from visits that are one per visitor."""
+    return _all_panels(visits).groupBy("panel", "keys").agg(
         F.sum("hits").alias("hits"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("visitors")
     )
 
 
+def panel_rows(requests: DataFrame) -> DataFrame:
+    """The same from requests, by one scan."""
+    return panels_of_visits(panel_visits(requests))
+
+
+#: Size of the sketches of visitors: the estimate's standard error is 1.04 / sqrt(2^K), here 1.6 %.
+SKETCH_K = 12
+
+
+def panel_sketches(requests: DataFrame, *by: str) -> DataFrame:
+    """Per panel and key: hits, bytes and a sketch of the visitors. Sketches merge, so they may be kept by file."""
+    visits = _all_panels(panel_visits(requests, *by), *_VISITOR, *by)
+    visitor = F.xxhash64(*_VISITOR)
+    return visits.groupBy("panel", "keys", *by).agg(
+        F.sum("hits").alias("hits"), F.sum("bytes").alias("bytes"), F.hll_sketch_agg(visitor, SKETCH_K).alias("visitors")
+    )
+
+
+def panels_of_sketches(sketches: DataFrame) -> DataFrame:
+    """The rows of all panels with estimated visitors; hits and bytes are exact."""
+    return sketches.groupBy("panel", "keys").agg(
+        F.sum("hits").alias("hits"), F.sum("bytes").alias("bytes"), F.hll_sketch_estimate(F.hll_union_agg("visitors")).alias("visitors")
+    )
+
+
 def one_panel(rows: DataFrame, name: str, keys: dict[str, str]) -> DataFrame:
     """One panel out of :func:`panel_rows`, with its keys as columns."""
     columns = [F.col("keys")[i].cast(kind).alias(key) for i, (key, kind) in enumerate(keys.items())]

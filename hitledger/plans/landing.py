@@ -1,131 +1,33 @@
-"""Raw files to the parsed table, its rollups and a record of what was landed."""
+"""Raw files to the parsed table, the lines that do not parse, and the tables kept beside it."""
 
 from __future__ import annotations
 
 import re
 import time
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Sequence
-from datetime import date, datetime
-from functools import reduce
-from itertools import islice
+from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
-
-from hitledger.operators.files import select_log_files
-from hitledger.operators.parse import OUTCOMES, PARSED, match_lines, outcome_counts, requests_from_matches
-from hitledger.operators.report import bot_path_daily, utc_date
-from hitledger.schema import ACCESS_TABLE, FILE_ROLLUP, LANDED, ROLLED
-from hitledger.sinks.access import FILE_KEYS, file_folder, write_by_file
-from hitledger.sources.bots import Bot, list_mark
-from hitledger.sources.paths import NO_DAY, file_system, path_exists
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+
+from hitledger.functions.grammar import REQUEST_REGEX, grammar_mark
+from hitledger.operators.files import MAX_DAYS, select_log_files
+from hitledger.operators.parse import BLANK, OUTCOMES, PARSED, match_lines, requests_and_rejects
+from hitledger.plans.store import FILE, LANDED_OK, REJECTED, STARTED, Derived, Store, bot_rollup, in_jobs
+from hitledger.schema import ACCESS_TABLE, DERIVED, LANDED, PLACE, REJECTS
+from hitledger.sinks.access import append_rows, replace_files
+from hitledger.sources.bots import Bot
+from hitledger.sources.paths import file_system
 from hitledger.sources.raw import list_files, raw_root, read_raw_lines, spread_lines
-from hitledger.sources.table import read_or_empty
-
-#: Files landed by one job; a longer listing takes several, and no file is left out.
-FILES_PER_JOB = 1000
-LANDED_OK, REJECTED = "landed", "rejected"
-
-File = tuple[date | None, str]
-
-
-class Store:
-    """Where the parsed table, its rollups and the record of landed files live."""
-
-    def __init__(self, root: str):
-        self.root = root.rstrip("/")
-        self.access = f"{self.root}/access_logs"
-        self.landed = f"{self.root}/landed_files"
-        self.rollups = f"{self.root}/bot_path_daily"
-
-    def rollup(self, bots: Sequence[Bot]) -> str:
-        """The rollup by one crawler list; another list has another folder."""
-        return f"{self.rollups}/list={list_mark(bots)}"
-
-    def rolled(self, bots: Sequence[Bot]) -> str:
-        """Which loads of which files are in that rollup."""
-        return f"{self.root}/rolled_files/list={list_mark(bots)}"
-
-    def read_access(self, spark: SparkSession) -> DataFrame:
-        return read_or_empty(spark, self.access, ACCESS_TABLE, spark.read.schema(ACCESS_TABLE).parquet)
-
-    def read_files(self, spark: SparkSession, files: Sequence[File]) -> DataFrame:
-        """Requests of the files of one job, without listing the rest of the table."""
-        names: dict[date | None, list[str]] = {}
-        for day, name in files:
-            names.setdefault(day, []).append(name)
-        folders = [f"{self.access}/log_date={day or NO_DAY}" for day in names]
-        folders = [folder for folder in folders if path_exists(spark, folder)]
-        if not folders:
-            return spark.createDataFrame([], ACCESS_TABLE)
-        table = spark.read.schema(ACCESS_TABLE).option("basePath", self.access).parquet(*folders)
-        wanted = [
-            F.col("log_date").eqNullSafe(F.lit(day)) & F.col("source_file").isin(some)
-            for day, some in names.items()
-        ]
-        return table.where(reduce(lambda a, b: a | b, wanted))
-
-    def read_rollup(self, spark: SparkSession, bots: Sequence[Bot]) -> DataFrame:
-        """Requests per file, day, UTC day, crawler and page; sum over files with ``merge_rollups``."""
-        return read_or_empty(spark, self.rollup(bots), FILE_ROLLUP, spark.read.schema(FILE_ROLLUP).parquet)
-
-    def read_landed(self, spark: SparkSession) -> DataFrame:
-        """The last attempt at each file: ``status`` is ``landed`` or ``rejected``, with the ``reason``."""
-        record = read_or_empty(spark, self.landed, LANDED, spark.read.schema(LANDED).parquet)
-        last = record.groupBy("source_file").agg(F.max_by(F.struct(*record.columns), "loaded").alias("last"))
-        return last.select("last.*")
-
-    def rejected_files(self, spark: SparkSession) -> DataFrame:
-        return self.read_landed(spark).where(F.col("status") == REJECTED)
-
-
-def _observed(seen: Observation) -> dict:
-    """What was observed; nothing where Spark found at run time that a plan has no rows and left it out."""
-    try:
-        return seen.get
-    except Py4JJavaError:
-        return {}
-
-
-def land_lines(lines: DataFrame, store: Store, on_replay: str = "replace") -> tuple[dict[str, int], set[File]]:
-    """Parse raw lines into the table: lines per outcome and the files that got rows, from the same pass."""
-    seen = Observation()
-    file = F.struct(*[F.col(key) for key in FILE_KEYS])
-    got_rows = F.collect_set(F.when(F.col("_outcome") == PARSED, file)).alias("files")
-    matched = match_lines(lines).observe(seen, *outcome_counts(), got_rows)
-    write_by_file(requests_from_matches(matched), store.access, on_replay)
-    found = _observed(seen)
-    return {name: found.get(name, 0) for name in OUTCOMES}, {tuple(f) for f in found.get("files", [])}
-
-
-def clear_files(spark: SparkSession, path: str, files: Iterable[File]) -> None:
-    """Drop what an earlier load of these files left in a table kept by file."""
-    for day, name in files:
-        fs, folder = file_system(spark, file_folder(spark, path, day, name))
-        fs.delete(folder, True)
 
 
 def _no_wildcards(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def _keys(listed: Iterable[Row]) -> list[File]:
-    return [(f.log_date, f.source_file) for f in listed]
-
-
-def _land(spark, listed, store, root, bots, on_replay, loaded) -> dict[str, int]:
-    lines = read_raw_lines(spark, [_no_wildcards(f.path) for f in listed], root)
-    counts, written = land_lines(spread_lines(lines), store, on_replay)
-    if on_replay == "replace":
-        # An overwrite leaves partitions alone that get no rows, so files without any are cleared here.
-        clear_files(spark, store.access, set(_keys(listed)) - written)
-    if bots is not None:
-        update_rollup(spark, store, _keys(listed), bots, loaded)
-    return counts
-
-
 #: What the readers of damaged files say (fixed values).
 DAMAGED = re.compile(
     r"not a gzip|not in GZIP|EOFException|end of (input )?(stream|file)|ZipException|incorrect (data|header) check|invalid (block|code|distance|stored|bit|literal)"
@@ -139,105 +41,277 @@ def _damage(error: Exception) -> str | None:
     return found[0] if found else None
 
 
+class Staged:
+    """Parsed lines of one job, written once below the store; all that is landed is read from there."""
+
+    def __init__(self, store: Store, lines: DataFrame, regex: str):
+        self.spark, self.regex = lines.sparkSession, regex
+        self.path = f"{store.root}/staged/{uuid.uuid4().hex}"
+        rows = requests_and_rejects(match_lines(lines, regex))
+        rows.write.parquet(self.path)
+        self.rows = self.spark.read.schema(rows.schema).parquet(self.path)
+
+    def requests(self) -> DataFrame:
+        return self.rows.where(F.col("outcome") == PARSED).select(ACCESS_TABLE.fieldNames())
+
+    def rejects(self) -> DataFrame:
+        bad = self.rows.where(~F.col("outcome").isin(PARSED, BLANK))
+        return bad.withColumn("grammar", F.lit(grammar_mark(self.regex))).select(REJECTS.fieldNames())
+
+    def by_file(self) -> dict[str, Row]:
+        """Lines per outcome and the dates of each file of the job."""
+        counts = [F.count_if(F.col("outcome") == name).alias(name) for name in OUTCOMES]
+        parsed = F.when(F.col("outcome") == PARSED, F.col("date"))
+        found = self.rows.groupBy(*FILE).agg(*counts, F.min(parsed).alias("first_date"), F.max(parsed).alias("last_date"))
+        return {row.source_file: row for row in found.collect()}
+
+    def drop(self) -> None:
+        fs, folder = file_system(self.spark, self.path)
+        fs.delete(folder, True)
+
+
+def _note(spark: SparkSession, store: Store, rows: list[dict]) -> None:
+    """Add to the record of files."""
+    names = LANDED.fieldNames()
+    table = spark.createDataFrame([tuple(row.get(name) for name in names) for row in rows], LANDED)
+    table.coalesce(1).write.mode("append").parquet(store.landed)
+
+
+def _known(spark: SparkSession, store: Store, names: Iterable[str]) -> dict[str, Row]:
+    """The last attempts at one job's files."""
+    return {row.source_file: row for row in store.read_landed(spark, names).collect()}
+
+
+def _land(
+    store: Store, staged: Staged, files: list[dict], tables: Sequence[Derived], on_replay: str, loaded: int
+) -> dict[str, int]:
+    """Move the staged rows of one job into all tables and the record.
+
+    Files never tried before are appended. For any other, also when an attempt broke off, the partitions it touches are
+    written anew without its old rows.
+    """
+    spark = staged.spark
+    stats = staged.by_file()
+    names = [f["source_file"] for f in files]
+    before = _known(spark, store, names)
+    places = {(f["log_date"], f["bucket"]) for f in files} | {(r.log_date, r.bucket) for r in before.values()}
+    _note(spark, store, [{**f, "loaded": loaded, "status": STARTED} for f in files])
+    bad = sum(row[name] for row in stats.values() for name in OUTCOMES if name not in (PARSED, BLANK))
+    if before and on_replay == "replace":
+        replace_files(staged.requests(), store.access, ACCESS_TABLE, names, places)
+        if bad or any(r.status == STARTED or r.rejected for r in before.values()):
+            replace_files(staged.rejects(), store.rejects, REJECTS, names, places)
+    else:
+        append_rows(staged.requests(), store.access)
+        if bad:
+            append_rows(staged.rejects(), store.rejects)
+    record, total = [], Counter(dict.fromkeys(OUTCOMES, 0))
+    for file in files:
+        found = stats.get(file["source_file"])
+        counts = {name: found[name] if found else 0 for name in OUTCOMES}
+        total.update(counts)
+        entry = {
+            **file, "loaded": loaded, "status": LANDED_OK, "parsed": counts[PARSED],
+            "rejected": sum(counts.values()) - counts[PARSED] - counts[BLANK],
+            "first_date": found and found.first_date, "last_date": found and found.last_date,
+        }
+        if on_replay == "append" and file["source_file"] in before:
+            _add(entry, before[file["source_file"]])
+        record.append(entry)
+    _note(spark, store, record)
+    again = on_replay == "append" and bool(before)
+    for table in tables:
+        update_derived(spark, store, table, names, places if before else (), loaded, None if again else staged.requests())
+    return dict(total)
+
+
+def _add(entry: dict, before: Row) -> None:
+    """To what a file has now, what it had before."""
+    for name in ("parsed", "rejected"):
+        entry[name] += before[name] or 0
+    for name, choose in (("first_date", min), ("last_date", max)):
+        entry[name] = choose((d for d in (entry[name], before[name]) if d), default=None)
+
+
+def update_derived(
+    spark: SparkSession, store: Store, table: Derived, names: Sequence[str], places: Iterable, loaded: int,
+    requests: DataFrame | None = None,
+) -> None:
+    """Replace one job's files in a derived table, from their requests or else from the parsed table.
+
+    ``places`` are partitions in which the table may have rows of these files; for files never tried before there are none.
+    """
+    requests = store.read_files(spark, names) if requests is None else requests
+    rows = table.build(requests).select(table.schema.fieldNames())
+    if places:
+        replace_files(rows, store.path(table), table.schema, names, places)
+    else:
+        append_rows(rows.hint("rebalance", *[F.col(name) for name in PLACE]), store.path(table))
+    spark.createDataFrame([(n, loaded) for n in names], DERIVED).coalesce(1).write.mode("append").parquet(store.record(table))
+
+
+def refresh_derived(spark: SparkSession, store: Store, table: Derived) -> None:
+    """Bring a derived table up to date: files whose present load is not in it are read from the parsed table."""
+    for part in in_jobs(store.missing(spark, table).orderBy("loaded")):
+        for loaded in sorted({f.loaded for f in part}):
+            some = [f for f in part if f.loaded == loaded]
+            update_derived(spark, store, table, [f.source_file for f in some], {(f.log_date, f.bucket) for f in some}, loaded)
+
+
+def refresh_rollup(spark: SparkSession, store: Store, bots: Sequence[Bot]) -> None:
+    """The same for the rollup by a crawler list."""
+    refresh_derived(spark, store, bot_rollup(bots))
+
+
+def _check(on_replay: str) -> None:
+    if on_replay not in ("replace", "append"):
+        raise ValueError("on_replay must be 'replace' or 'append'")
+
+
+def _now() -> int:
+    return time.time_ns() // 1000
+
+
+def land_lines(
+    lines: DataFrame, store: Store, bots: Sequence[Bot] | None = None, on_replay: str = "replace", regex: str = REQUEST_REGEX
+) -> dict[str, int]:
+    """Land lines (``line, log_date, source_file``) of any origin, of one job's number of files; returns lines per outcome."""
+    _check(on_replay)
+    placed = lines.withColumn("bucket", store.bucket(F.col("source_file")))
+    staged = Staged(store, placed, regex)
+    try:
+        files = [{name: row[name] for name in FILE} for row in staged.by_file().values()]
+        return _land(store, staged, files, store.tables(bots), on_replay, _now())
+    finally:
+        staged.drop()
+
+
 def land_listed(
     spark: SparkSession, listed: Sequence[Row], store: Store, root: str, bots: Sequence[Bot] | None = None,
-    on_replay: str = "replace",
+    on_replay: str = "replace", regex: str = REQUEST_REGEX,
 ) -> dict[str, int]:
-    """Land the files of one job (rows of ``list_files``); returns lines per outcome.
+    """Land the files of one job (rows of ``list_files`` with their ``bucket``); returns lines per outcome.
 
     A file is known by its path below ``root``, and what it held before is replaced, also by nothing at
-    all. With ``bots``, the rollup of the landed files is brought up to date as well; it is kept per
-    file, so late requests and replayed files need no other file to be read.
+    all. With ``bots``, the rollup by that list is brought up to date as well, and so are the tables
+    the store keeps; late requests and replayed files need no other file to be read.
 
-    A damaged file fails the job that reads it before any row is visible. The job's files are then
+    A damaged file fails the one step that reads raw files, before any row is visible. The job's files are then
     halved until it stands alone; it is recorded as rejected, and its rows of an earlier load stay.
     """
+    _check(on_replay)
     total: Counter = Counter(dict.fromkeys(OUTCOMES, 0))
-    loaded = time.time_ns() // 1000
-    record, todo = [], [list(listed)]
+    loaded, todo = _now(), [list(listed)]
     while todo:
         part = todo.pop()
         if not part:
             continue
-        status, reason = LANDED_OK, None
+        files = [{name: f[name] for name in (*FILE, "length", "modified")} for f in part]
+        lines = read_raw_lines(spark, [_no_wildcards(f.path) for f in part], root)
+        lines = lines.withColumn("bucket", store.bucket(F.col("source_file")))
         try:
-            total.update(_land(spark, part, store, root, bots, on_replay, loaded))
+            staged = Staged(store, spread_lines(lines, by="bucket"), regex)
         except (Py4JJavaError, PySparkException) as error:
             reason = _damage(error)
             if reason is None:
                 raise
             if len(part) > 1:
                 todo += [part[: len(part) // 2], part[len(part) // 2 :]]
-                continue
-            status = REJECTED
-        record += [(f.log_date, f.source_file, f.length, f.modified, loaded, status, reason) for f in part]
-    if record:
-        spark.createDataFrame(record, LANDED).coalesce(1).write.mode("append").parquet(store.landed)
+            else:
+                _reject(spark, store, files[0], loaded, reason)
+            continue
+        try:
+            total.update(_land(store, staged, files, store.tables(bots), on_replay, loaded))
+        finally:
+            staged.drop()
     return dict(total)
 
 
-def _land_all(spark, listing: DataFrame, store, root, bots, on_replay) -> dict[str, int]:
-    """Land a listing of any length in jobs of ``FILES_PER_JOB``; the driver holds one job's files."""
+def _reject(spark: SparkSession, store: Store, file: dict, loaded: int, reason: str) -> None:
+    before = _known(spark, store, [file["source_file"]]).get(file["source_file"])
+    held = {n: before[n] for n in ("bucket", "parsed", "rejected", "first_date", "last_date")} if before else {}
+    _note(spark, store, [{**file, **held, "loaded": loaded, "status": REJECTED, "reason": reason}])
+
+
+def _land_all(spark, listing: DataFrame, store, root, bots, on_replay, regex) -> dict[str, int]:
+    """Land a listing of any length; the driver holds one job's files."""
     total: Counter = Counter(dict.fromkeys(OUTCOMES, 0))
-    files = listing.toLocalIterator()
-    while part := list(islice(files, FILES_PER_JOB)):
-        total.update(land_listed(spark, part, store, root, bots, on_replay))
+    for part in in_jobs(listing.withColumn("bucket", store.bucket(F.col("source_file")))):
+        total.update(land_listed(spark, part, store, root, bots, on_replay, regex))
     return dict(total)
 
 
 def land_files(
     spark: SparkSession, path: str, store: Store, bots: Sequence[Bot] | None = None,
-    on_replay: str = "replace", root: str | None = None,
+    on_replay: str = "replace", root: str | None = None, regex: str = REQUEST_REGEX,
 ) -> dict[str, int]:
     """Land every file below a folder, or one file, whether or not it was landed before.
 
     ``root`` is the folder below which a file's path is its name, by default what comes before ``date=``.
     """
     root = root or raw_root(spark, path)
-    return _land_all(spark, list_files(spark, path, root), store, root, bots, on_replay)
+    return _land_all(spark, list_files(spark, path, root), store, root, bots, on_replay, regex)
 
 
-def land_new(
-    spark: SparkSession, path: str, store: Store, bots: Sequence[Bot] | None = None,
-    template: str | None = None, now: datetime | None = None, root: str | None = None,
-) -> dict[str, int]:
-    """Land what is new below a folder, or has another size or time than when it was landed.
+def new_files(
+    spark: SparkSession, path: str, store: Store, template: str | None = None, now: datetime | None = None,
+    root: str | None = None, max_days: float = MAX_DAYS,
+) -> DataFrame:
+    """Files below a folder that are not in the record with the size and time they have now.
 
     With ``template``, only files it names, of complete days (``select_log_files`` at ``now``).
     """
-    root = root or raw_root(spark, path)
-    listing = list_files(spark, path, root)
+    listing = list_files(spark, path, root or raw_root(spark, path))
     if template is not None:
-        listing = select_log_files(listing, template, now or datetime.now())
-    known = store.read_landed(spark).select("source_file", "length", "modified")
-    return _land_all(spark, listing.join(known, known.columns, "left_anti"), store, root, bots, "replace")
+        listing = select_log_files(listing, template, now or datetime.now(), max_days)
+    known = store.read_landed(spark).where(F.col("status") != STARTED).select("source_file", "length", "modified")
+    return listing.join(known, known.columns, "left_anti")
 
 
-def update_rollup(
-    spark: SparkSession, store: Store, files: Sequence[File], bots: Sequence[Bot], loaded: int = 0
-) -> None:
-    """Recompute the rollup of the files of one job from the table."""
-    requests = store.read_files(spark, files).withColumn("utc_date", utc_date("ts"))
-    rollup = bot_path_daily(requests, bots, *FILE_KEYS, "utc_date")
-    seen = Observation()
-    rollup = rollup.observe(seen, F.collect_set(F.struct(*[F.col(key) for key in FILE_KEYS])).alias("files"))
-    # Brought together by file, as otherwise every task would write a bit of every file;
-    # adaptive execution splits a file with a very large rollup again.
-    write_by_file(rollup.hint("rebalance", *[F.col(key) for key in FILE_KEYS]), store.rollup(bots))
-    clear_files(spark, store.rollup(bots), set(files) - {tuple(f) for f in _observed(seen).get("files", [])})
-    rows = [(*file, loaded) for file in files]
-    spark.createDataFrame(rows, ROLLED).coalesce(1).write.mode("append").parquet(store.rolled(bots))
+def land_new(
+    spark: SparkSession, path: str, store: Store, bots: Sequence[Bot] | None = None,
+    template: str | None = None, now: datetime | None = None, root: str | None = None,
+    on_replay: str = "replace", regex: str = REQUEST_REGEX, max_days: float = MAX_DAYS,
+) -> dict[str, int]:
+    """Land what is new below a folder, or has another size or time than when it was landed, or broke off."""
+    root = root or raw_root(spark, path)
+    return _land_all(spark, new_files(spark, path, store, template, now, root, max_days), store, root, bots, on_replay, regex)
 
 
-def refresh_rollup(spark: SparkSession, store: Store, bots: Sequence[Bot]) -> None:
-    """Bring the rollup by this list up to date: files whose present load is not in it are read anew."""
-    rolled = read_or_empty(spark, store.rolled(bots), ROLLED, spark.read.schema(ROLLED).parquet)
-    record = read_or_empty(spark, store.landed, LANDED, spark.read.schema(LANDED).parquet)
-    landed = record.where(F.col("status") == LANDED_OK).groupBy("source_file").agg(F.max_by(F.struct("log_date", "loaded"), "loaded").alias("last"))
-    missing = landed.select("last.log_date", "source_file", "last.loaded").join(
-        rolled.select("source_file", "loaded"), ["source_file", "loaded"], "left_anti"
-    )
-    files = missing.orderBy("loaded").toLocalIterator()
-    while part := list(islice(files, FILES_PER_JOB)):
-        for loaded in sorted({f.loaded for f in part}):
-            update_rollup(spark, store, _keys(f for f in part if f.loaded == loaded), bots, loaded)
+def reprocess_rejects(
+    spark: SparkSession, store: Store, bots: Sequence[Bot] | None = None, regex: str = REQUEST_REGEX
+) -> dict[str, int]:
+    """Try lines again that another grammar did not take; no other line is read. Returns these lines per outcome.
+
+    Lines that parse now join the rows of their file, the rest stays rejected under the new grammar's mark. If it breaks off,
+    the record shows the files as started, and ``land_new`` lands them from the raw files.
+    """
+    total: Counter = Counter(dict.fromkeys(OUTCOMES, 0))
+    stale = store.read_rejects(spark).where(F.col("grammar") != grammar_mark(regex))
+    loaded = _now()
+    for part in in_jobs(stale.select(*FILE).distinct()):
+        names = [f.source_file for f in part]
+        places = {(f.log_date, f.bucket) for f in part}
+        staged = Staged(store, stale.where(F.col("source_file").isin(names)).select("line", *FILE), regex)
+        try:
+            stats, before = staged.by_file(), _known(spark, store, names)
+            files = [{name: row[name] for name in LANDED.fieldNames()} for row in before.values()]
+            _note(spark, store, [{**f, "loaded": loaded, "status": STARTED} for f in files])
+            append_rows(staged.requests(), store.access)
+            replace_files(staged.rejects(), store.rejects, REJECTS, names, places)
+            record = []
+            for file in files:
+                found = stats[file["source_file"]]
+                total.update({name: found[name] for name in OUTCOMES})
+                entry = {
+                    **file, "loaded": loaded, "status": LANDED_OK, "parsed": found[PARSED], "rejected": -found[PARSED],
+                    "first_date": found.first_date, "last_date": found.last_date,
+                }
+                _add(entry, before[file["source_file"]])
+                record.append(entry)
+            _note(spark, store, record)
+            for table in store.tables(bots):
+                update_derived(spark, store, table, names, places, loaded)
+        finally:
+            staged.drop()
+    return dict(total)

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hitledger.operators import report as r
-from hitledger.plans.landing import Store, refresh_rollup
+from hitledger.plans.landing import refresh_rollup
+from hitledger.plans.store import STARTED, Store, bot_rollup
 from hitledger.sinks.reports import drop_report_table, report_date, table_path, write_report_json, write_report_table
-from hitledger.sources.bots import Bot
+from hitledger.sources.bots import Bot, list_mark
 from hitledger.sources.table import read_or_empty
 
 REQUESTS, SUMMARY = "requests_by_path", "summary"
@@ -25,12 +27,30 @@ def read_report(spark: SparkSession, root: str, day: date) -> dict[str, DataFram
     return {name: spark.read.parquet(table_path(root, name, day)) for name in TABLES}
 
 
-def has_report(spark: SparkSession, root: str, day: date) -> bool:
-    """The summary is written last, so a report that has one is whole."""
-    schema = T.StructType([T.StructField("window_to", T.DateType())])
+class Marks(NamedTuple):
+    """What a report was made from: a crawler list, and the loads whose requests reach into its window."""
+
+    crawlers: str
+    loads: str
+
+
+def report_marks(spark: SparkSession, store: Store, bots: Sequence[Bot], as_of: date, days_back: int = r.DAYS_BACK) -> Marks:
+    """The marks that a report as of a day would have now; the record of files is read, not the log."""
+    start = r.window_start(as_of, days_back)
+    held = store.read_landed(spark).where((F.col("last_date") >= F.lit(start)) | (F.col("status") == STARTED))
+    one = F.xxhash64("source_file", "loaded", "status", "parsed")
+    found = held.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.bit_xor(one), F.lit(0)).alias("x")).first()
+    return Marks(list_mark(bots), f"{found.n}:{found.x}")
+
+
+def has_report(spark: SparkSession, root: str, day: date, marks: Marks | None = None) -> bool:
+    """The summary is written last, so a report that has one is whole. With ``marks``, it must also bear these."""
+    schema = T.StructType.fromDDL("window_to DATE, crawlers STRING, loads STRING")
     summary = read_or_empty(
         spark, table_path(root, SUMMARY, day), schema, spark.read.schema(schema).parquet
     )
+    if marks is not None:
+        summary = summary.where((F.col("crawlers") == marks.crawlers) & (F.col("loads") == marks.loads))
     return not summary.isEmpty()
 
 
@@ -49,15 +69,15 @@ def build_report(
 
 def build_report_from_rollup(
     file_rollup: DataFrame, root: str, as_of: date, days_back: int = r.DAYS_BACK,
-    json_prefix: str | None = None,
+    json_prefix: str | None = None, marks: Marks | None = None,
 ) -> None:
     """The same report out of the rollup kept per file, without reading the log."""
     window = r.in_window(file_rollup, as_of, days_back)
-    store_report(r.merge_rollups(window), root, as_of, days_back, json_prefix)
+    store_report(r.merge_rollups(window), root, as_of, days_back, json_prefix, marks)
 
 
 def store_report(
-    rollup: DataFrame, root: str, as_of: date, days_back: int, json_prefix: str | None = None
+    rollup: DataFrame, root: str, as_of: date, days_back: int, json_prefix: str | None = None, marks: Marks | None = None
 ) -> None:
     """Write all tables of a report. The old summary goes first and the new one comes last, so
     that a rebuild that breaks off leaves no report that looks whole."""
@@ -71,20 +91,27 @@ def store_report(
     if json_prefix is not None:
         now = datetime.now(timezone.utc).replace(tzinfo=None).isoformat() + "Z"
         write_report_json(stored, json_prefix, as_of, now, days_back)
-    write_report_table(r.overall_summary(stored, as_of, days_back), root, SUMMARY, day)
+    summary = r.overall_summary(stored, as_of, days_back)
+    for name, mark in zip(Marks._fields, marks or (None, None)):
+        summary = summary.withColumn(name, F.lit(mark).cast("string"))
+    write_report_table(summary, root, SUMMARY, day)
 
 
 def get_or_build_report(
     spark: SparkSession, store: Store, bots: Sequence[Bot], root: str, day: date | None = None,
     days_back: int = r.DAYS_BACK,
 ) -> dict[str, DataFrame]:
-    """The report of ``day`` (yesterday by default, UTC), built first when not stored.
+    """The report of ``day`` (yesterday by default, UTC), built first when there is none for this crawler list and these loads.
 
-    It is built from the rollup kept per file. Files that the rollup by this crawler list lacks, as all do after
-    the list changed, are added to it first; no other part of the log is read.
+    A report bears the marks of what it was made from, so another list, or files that came late, came again or expired since,
+    make it be built anew. It is built from the rollup kept per file, of which only partitions with requests
+    in the window are opened. Files that the rollup by this list lacks, as all do after the list changed, are added to it first.
     """
     day = day or yesterday()
-    if not has_report(spark, root, day):
+    as_of = day + timedelta(days=1)
+    marks = report_marks(spark, store, bots, as_of, days_back)
+    if not has_report(spark, root, day, marks):
         refresh_rollup(spark, store, bots)
-        build_report_from_rollup(store.read_rollup(spark, bots), root, day + timedelta(days=1), days_back)
+        rollup = store.read_window(spark, r.window_start(as_of, days_back), bot_rollup(bots))
+        build_report_from_rollup(rollup, root, as_of, days_back, marks=marks)
     return read_report(spark, root, day)

@@ -40,12 +40,27 @@ ACCESS_LOG = T.StructType(
     ]
 )
 
-# The stored table adds the file's day and name; both are partition columns.
+# Every stored row knows its file. Tables are partitioned by the file's day and a hash bucket of its name.
 FILE_COLUMNS = T.StructType(
-    [T.StructField("log_date", T.DateType()), T.StructField("source_file", T.StringType())]
+    [
+        T.StructField("source_file", T.StringType()),
+        T.StructField("log_date", T.DateType()),
+        T.StructField("bucket", T.IntegerType()),
+    ]
 )
+PLACE = ["log_date", "bucket"]
 ACCESS_TABLE = T.StructType(ACCESS_LOG.fields + FILE_COLUMNS.fields)
 
+# A line that did not parse, why, and by which grammar it was tried.
+REJECTS = T.StructType(
+    [
+        T.StructField("line", T.StringType()),
+        T.StructField("outcome", T.StringType()),
+        T.StructField("grammar", T.StringType()),
+    ]
+    + FILE_COLUMNS.fields
+)
+
 BOTS = T.StructType(
     [
         T.StructField("ord", T.IntegerType(), False),
@@ -70,7 +85,23 @@ FILE_ROLLUP = T.StructType(
     + FILE_COLUMNS.fields
 )
 
-# One attempt at landing a file; ``loaded`` is when, in microseconds.
+
+def _by_file(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()] + FILE_COLUMNS.fields)
+
+
+# What else may be kept by file: pages of a crawler in order, visits per panel and key, and the same with sketches of the visitors.
+PAGE_LISTS = _by_file(bot_name=T.StringType(), path=T.StringType(), requests=T.LongType(), rank=T.IntegerType())
+PANEL_VISITS = _by_file(
+    panel=T.StringType(), keys=T.ArrayType(T.StringType()), ip=T.StringType(), _agent=T.StringType(), date=T.DateType(),
+    hits=T.LongType(), bytes=T.LongType(),
+)
+PANEL_SKETCHES = _by_file(
+    panel=T.StringType(), keys=T.ArrayType(T.StringType()), hits=T.LongType(), bytes=T.LongType(), visitors=T.BinaryType()
+)
+
+# One attempt at landing a file; ``loaded`` is when, in microseconds. What follows ``reason`` is what the
+# table holds of the file since then: lines parsed and rejected, and the earliest and latest date of a request.
 LANDED = T.StructType(
     FILE_COLUMNS.fields
     + [
@@ -79,11 +110,15 @@ LANDED = T.StructType(
         T.StructField("loaded", T.LongType()),
         T.StructField("status", T.StringType()),
         T.StructField("reason", T.StringType()),
+        T.StructField("parsed", T.LongType()),
+        T.StructField("rejected", T.LongType()),
+        T.StructField("first_date", T.DateType()),
+        T.StructField("last_date", T.DateType()),
     ]
 )
 
-# One load of a file that a rollup holds.
-ROLLED = T.StructType(FILE_COLUMNS.fields + [T.StructField("loaded", T.LongType())])
+# One load of a file that a table derived from the parsed one holds.
+DERIVED = T.StructType([T.StructField("source_file", T.StringType()), T.StructField("loaded", T.LongType())])
 
 NOTIFICATION = (
     "struct<Records: array<struct<s3: struct<"

@@ -2,37 +2,83 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from hitledger.operators.parse import csv_rows
-from hitledger.schema import CSV_COLUMNS
-from hitledger.sources.paths import NO_DAY
+from hitledger.schema import CSV_COLUMNS, PLACE
+from hitledger.sources.paths import NO_DAY, file_system
 
 FILE_KEYS = ["log_date", "source_file"]
 
+#: Day and bucket: a partition of a stored table.
+Place = tuple[date | None, int]
 
-def file_folder(spark: SparkSession, path: str, day: date | None, name: str) -> str:
-    """Folder of one file's rows in a table written by file."""
-    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(name)
-    return f"{path}/log_date={day or NO_DAY}/source_file={escaped}"
 
+def bucket_of(source_file: Column, buckets: int) -> Column:
+    """The bucket of a file within its day."""
+    return F.pmod(F.xxhash64(source_file), F.lit(buckets)).cast("int")
 
-def write_by_file(rows: DataFrame, path: str, on_replay: str = "replace") -> None:
-    """Write rows into partitions by the file they came from.
 
-    ``replace`` makes a file that arrives again replace its own rows and no others;
-    ``append`` adds its rows again.
+def place_folder(path: str, place: Place) -> str:
+    return f"{path}/log_date={place[0] or NO_DAY}/bucket={place[1]}"
+
+
+def existing_places(spark: SparkSession, path: str, places: Iterable[Place]) -> list[Place]:
+    """Those that the table has, by one listing per day."""
+    days: dict[date | None, set[int]] = {}
+    for day, bucket in places:
+        days.setdefault(day, set()).add(bucket)
+    found = []
+    for day, buckets in days.items():
+        fs, folder = file_system(spark, f"{path}/log_date={day or NO_DAY}")
+        names = {s.getPath().getName() for s in fs.listStatus(folder)} if fs.exists(folder) else set()
+        found += [(day, b) for b in sorted(buckets) if f"bucket={b}" in names]
+    return found
+
+
+def read_places(spark: SparkSession, path: str, schema: T.StructType, places: Iterable[Place]) -> DataFrame:
+    """Rows of some partitions; no other folder is listed."""
+    folders = [place_folder(path, place) for place in existing_places(spark, path, places)]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
+def append_rows(rows: DataFrame, path: str) -> None:
+    rows.write.partitionBy(*PLACE).mode("append").parquet(path)
+
+
+def _stored_files(spark: SparkSession, path: str, places: Iterable[Place]) -> dict[Place, set[str]]:
+    found = {}
+    for place in existing_places(spark, path, places):
+        fs, folder = file_system(spark, place_folder(path, place))
+        found[place] = {s.getPath().getName() for s in fs.listStatus(folder)}
+    return found
+
+
+def replace_files(
+    rows: DataFrame, path: str, schema: T.StructType, files: Iterable[str], places: Iterable[Place]
+) -> None:
+    """Put ``rows`` in the place of all rows of some files (one job's names), which lie in ``places``.
+
+    Only these partitions are read and written: what other files have in them is taken over. Spark writes the new
+    partitions beside the old ones and exchanges them at the end. A partition that no row was written to, as all its rows
+    were of these files, still has its old files then and is removed.
     """
-    if on_replay not in ("replace", "append"):
-        raise ValueError("on_replay must be 'replace' or 'append'")
-    writer = rows.write.partitionBy(*FILE_KEYS)
-    if on_replay == "replace":
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode("append")
-    writer.parquet(path)
+    spark = rows.sparkSession
+    before = _stored_files(spark, path, places)
+    others = read_places(spark, path, schema, before).where(~F.col("source_file").isin(list(files)))
+    columns = schema.fieldNames()
+    merged = rows.select(columns).unionByName(others.select(columns))
+    together = merged.hint("rebalance", *[F.col(name) for name in PLACE])
+    together.write.partitionBy(*PLACE).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    for place, names in _stored_files(spark, path, before).items():
+        if names == before[place]:
+            fs, folder = file_system(spark, place_folder(path, place))
+            fs.delete(folder, True)
 
 
 def write_csv(logs: DataFrame, path: str, mode: str = "overwrite") -> None:

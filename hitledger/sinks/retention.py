@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
+import time
 from datetime import date, timedelta
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
-from hitledger.plans.landing import Store
+from hitledger.plans.store import EXPIRED, Store
 from hitledger.sources.paths import file_system
 from hitledger.sources.raw import DATE_TEXT
 
@@ -40,18 +41,29 @@ def _day_folders(spark: SparkSession, root: str, name: str) -> dict[date, list]:
 
 
 def expire_store(spark: SparkSession, store: Store, as_of: date, keep_days: int, dry_run: bool = True) -> list[date]:
-    """File days older than ``keep_days`` in the parsed table and all its rollups; deleted unless a dry run.
+    """File days older than ``keep_days`` in the parsed table and all tables beside it; deleted unless a dry run.
 
-    A catalog table over the store forgets them when it is registered again.
+    The record keeps the files, as expired, so that they are not landed again while their raw files are still there. A
+    catalog table over the store forgets them when it is registered again.
     """
     limit = as_of - timedelta(days=keep_days)
-    fs, rollups = file_system(spark, store.rollups)
-    roots = [store.access, *(s.getPath().toString() for s in (fs.listStatus(rollups) if fs.exists(rollups) else []))]
-    old: set[date] = set()
-    for root in roots:
-        for day, folders in _day_folders(spark, root, "log_date").items():
-            if day < limit:
-                old.add(day)
-                for folder in [] if dry_run else folders:
-                    fs.delete(folder, True)
-    return sorted(old)
+    fs, _ = file_system(spark, store.root)
+    found = [_day_folders(spark, root, "log_date") for root in (store.access, store.rejects, *store.derived_roots(spark))]
+    old = sorted({day for days in found for day in days if day < limit})
+    if dry_run:
+        return old
+    loaded = time.time_ns() // 1000
+    held = store.read_landed(spark).where((F.col("log_date") < F.lit(limit)) & (F.col("status") != EXPIRED))
+    gone = held.select(
+        *[F.col(n) for n in ("source_file", "log_date", "bucket", "length", "modified")],
+        F.lit(loaded).cast("long").alias("loaded"), F.lit(EXPIRED).alias("status"), F.lit(None).cast("string").alias("reason"),
+        F.lit(0).cast("long").alias("parsed"), F.lit(0).cast("long").alias("rejected"),
+        F.lit(None).cast("date").alias("first_date"), F.lit(None).cast("date").alias("last_date"),
+    )
+    if not held.isEmpty():
+        gone.write.mode("append").parquet(store.landed)
+    for days in found:
+        for day, folders in days.items():
+            for folder in folders if day < limit else []:
+                fs.delete(folder, True)
+    return old

@@ -1,4 +1,4 @@
-"""Raw access-log files: their lines, and listings of them in batch and as a stream."""
+"""Raw access-log files: their lines, and listings of them."""
 
 from __future__ import annotations
 
@@ -63,10 +63,10 @@ def read_raw_lines(spark: SparkSession, path: str | list[str], root: str | None
     return _with_file(spark.read.options(**_OPTIONS).text(path), root)
 
 
-def spread_lines(lines: DataFrame, bytes_per_task: int = 8 << 20) -> DataFrame:
+def spread_lines(lines: DataFrame, bytes_per_task: int = 8 << 20, by: str = "source_file") -> DataFrame:
     """Spread the lines of large files over tasks before they are matched and written.
 
-    A gzip file is read by one task whatever its size. Lines move to (file, share), with
+    A gzip file is read by one task whatever its size. Lines move to (day, ``by``, share), with
     as many shares as the file's compressed size calls for, and adaptive execution then
     merges what is small. The same shuffle gives the table its file layout. Shares go
     round by position, so repeated lines do not pile up.
@@ -74,13 +74,10 @@ def spread_lines(lines: DataFrame, bytes_per_task: int = 8 << 20) -> DataFrame:
     shares = F.greatest(F.ceil(F.col("file_size") / bytes_per_task), F.lit(1))
     share = F.pmod(F.monotonically_increasing_id(), shares)
     return lines.withColumn("_share", share).hint(
-        "rebalance", F.col("log_date"), F.col("source_file"), F.col("_share")
+        "rebalance", F.col("log_date"), F.col(by), F.col("_share")
     ).drop("_share", "file_size")
 
 
-_LISTING = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
-
-
 def _listing(files: DataFrame, root: str | None) -> DataFrame:
     return files.select(
         "path",
@@ -100,13 +97,3 @@ def list_files(spark: SparkSession, path: str, root: str | None = None) -> DataF
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     return _listing(reader.load(path), root)
-
-
-def stream_files(
-    spark: SparkSession, path: str, max_files_per_trigger: int
-) -> DataFrame:
-    """The same columns as a stream: every file once, as it lands."""
-    reader = (
-        spark.readStream.format("binaryFile").schema(_LISTING).option("recursiveFileLookup", "true")
-    )
-    return _listing(reader.option("maxFilesPerTrigger", max_files_per_trigger).load(path), path)

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from hitledger.operators.report import utc_daily
-from hitledger.plans.landing import Store
+from hitledger.plans.store import Store
 from hitledger.sources.bots import Bot
 
 

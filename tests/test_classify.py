@@ -1,3 +1,4 @@
+import ipaddress
 import json
 import random
 import re
@@ -5,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from hitledger.functions.addresses import ipv4_number
+from hitledger.functions.addresses import halves, ipv4_number, merged_ranges, range_bounds, with_address_number
 from hitledger.functions.agents import gate_words
 from hitledger.operators.classify import agent_dimension, check_bot_addresses, classify_requests, name_bots
 from hitledger.operators.report import bot_path_daily
@@ -154,10 +155,42 @@ def test_addresses(spark):
             "B": {"patterns": ["b"]},
         }
     )
-    rows = [("A", "10.0.0.200"), ("A", "10.0.0.1"), ("A", "10.0.1.0"), ("A", "2a02::1"), ("B", "10.0.0.1")]
+    rows = [("A", "10.0.0.200"), ("A", "10.0.0.1"), ("A", "10.0.1.0"), ("A", "2a02::1"), ("B", "10.0.0.1"), ("A", "2a03::1"), ("A", "::10.0.0.1"), ("A", "host")]
     df = spark.createDataFrame(rows, "bot_name string, ip string")
     found = {(r.bot_name, r.verdict): r.requests for r in check_bot_addresses(df, bots).collect()}
-    assert found == {("A", "inside"): 2, ("A", "outside"): 1, ("A", "not_ipv4"): 1, ("B", "no_ranges"): 1}
+    assert found == {("A", "inside"): 3, ("A", "outside"): 3, ("A", "no_address"): 1, ("B", "no_ranges"): 1}
+
+
+GOOD = [
+    "1.2.3.4", "0.0.0.0", "255.255.255.255", "::", "::1", "1::", "2A02:6b8::Ff", "1:2:3:4:5:6:7:8", "::ffff:1.2.3.4", "1:2:3:4:5:6:1.2.3.4",
+    "fe80::1:0:0", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8", "ffff:ffff:ffff:ffff:ffff:ffff:ffff:ffff", "0000:0000::0001", "8000::", "7fff::ffff:ffff:ffff:ffff",
+]
+BAD = ["", " ", "1.2.3", "1.2.3.4.5", "256.1.1.1", ":", ":::", "1::2::3", "1:2:3:4:5:6:7", "1:2:3:4:5:6:7:8:9", "1:2:3:4:5:6:7:8::", "12345::", "g::", "::1.2.3",
+       "1.2.3.4::", ":1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7:8:", "unknown", "::1%eth0", "::1.2.3.4:5", None]
+
+
+def test_address_numbers(spark):
+    rows = spark.createDataFrame([(x,) for x in GOOD + BAD], "ip string")
+    found = {r.ip: r.n and tuple(r.n) for r in with_address_number(rows, "ip", "n").collect()}
+    for text in GOOD:
+        assert found[text] == halves(range_bounds(text)[0]), text
+    assert all(found[text] is None for text in BAD), [t for t in BAD if found[t]]
+
+
+def test_addresses_are_found_in_many_ranges(spark):
+    draw = random.Random(4)
+    cidrs = [f"{draw.randrange(1, 224)}.{draw.randrange(256)}.0.0/{draw.randrange(9, 24)}" for _ in range(300)]
+    cidrs += [f"{draw.randrange(0x2000, 0x3000):x}:{draw.randrange(65536):x}::/{draw.randrange(20, 48)}" for _ in range(300)]
+    nets = [ipaddress.ip_network(c, strict=False) for c in cidrs]
+    ips = [str(n[0]) for n in nets] + [str(n[-1]) for n in nets] + [str(n[-1] + 1) for n in nets] + [str(n[0] - 1) for n in nets]
+    ips += [str(ipaddress.IPv4Address(draw.getrandbits(32))) for _ in range(300)] + ["::", "ffff::"]
+    want = {ip: any(a in n for n in nets if n.version == a.version) for ip in ips for a in [ipaddress.ip_address(ip)]}
+    merged = merged_ranges(cidrs)
+    assert all(a[1] + 1 < b[0] for a, b in zip(merged, merged[1:]))
+    bots = bots_from_mapping({"A": {"patterns": "a", "ip_ranges": cidrs}})
+    rows = spark.createDataFrame([("A", ip) for ip in want], "bot_name string, ip string")
+    found = {r.verdict: r.requests for r in check_bot_addresses(rows, bots).collect()}
+    assert found == {"inside": sum(want.values()), "outside": len(want) - sum(want.values())}
 
 
 def test_rollup_with_regular_expressions(spark):

@@ -4,15 +4,18 @@ import os
 from datetime import date, datetime
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import request_line
 from hitledger.operators import report as r
 from hitledger.operators.parse import parse_lines
-from hitledger.plans.landing import Store, land_files, land_new, refresh_rollup
+from hitledger.plans import landing, reporting
+from hitledger.plans.landing import land_files, land_new, refresh_rollup
 from hitledger.plans.reporting import build_report, build_report_from_rollup, read_report
+from hitledger.plans.store import Store
 from hitledger.session import scratch_dir
-from hitledger.sinks.access import write_by_file, write_csv, write_raw_lines
+from hitledger.sinks.access import write_csv, write_raw_lines
 from hitledger.sinks.retention import expire_raw_logs, expire_store
 from hitledger.sources.bots import bots_from_mapping, default_bots
 from hitledger.sources.catalog import register_access_table, register_views
@@ -108,7 +111,7 @@ def test_append_on_replay_doubles_rows(spark, root):
     assert store.read_access(spark).count() == 10
     assert by_day(store.read_rollup(spark, BOTS))["GPTBot", date(2025, 10, 1)] == 8
     with pytest.raises(ValueError):
-        write_by_file(store.read_access(spark), store.access, "other")
+        land_files(spark, f"{root}/raw", store, BOTS, on_replay="other")
 
 
 def test_awkward_file_names(spark, tmp_path):
@@ -222,7 +225,7 @@ def test_new_and_grown_files_alone_are_landed(spark, root):
 
 
 def test_many_files_take_several_jobs(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("hitledger.plans.landing.FILES_PER_JOB", 2)
+    monkeypatch.setattr("hitledger.plans.store.FILES_PER_JOB", 2)
     for i in range(5):
         put(tmp_path, f"2025-10-0{i + 1}", [request_line(time=stamp(f"2025-10-0{i + 1}"))])
     store = Store(f"{tmp_path}/store")
@@ -231,11 +234,12 @@ def test_many_files_take_several_jobs(spark, tmp_path, monkeypatch):
     assert len(by_day(store.read_rollup(spark, bots_from_mapping({"Mine": "gpt"})))) == 5
 
 
-def test_stream_in_steps_equals_batch(spark, root):
+def test_stream_in_steps_equals_batch(spark, root, monkeypatch):
+    monkeypatch.setattr("hitledger.plans.store.FILES_PER_JOB", 1)
     store, checkpoint = Store(f"{root}/store"), f"{root}/checkpoint"
 
     def run():
-        stream_landing(spark, f"{root}/raw", store, checkpoint, BOTS, max_files_per_trigger=1).awaitTermination()
+        stream_landing(spark, f"{root}/raw", store, checkpoint, BOTS).awaitTermination()
 
     run()
     assert by_day(store.read_rollup(spark, BOTS)) == EXPECTED
@@ -251,6 +255,219 @@ def test_stream_in_steps_equals_batch(spark, root):
     assert by_day(store.read_rollup(spark, BOTS)) == late
 
 
+def hits(store, spark):
+    return {x.source_file[-13:-3]: x.n for x in store.read_access(spark).groupBy("source_file").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def test_stream_takes_grown_files_again_and_leaves_the_unfinished_day(spark, root):
+    store = Store(f"{root}/store")
+
+    def look(now):
+        stream_landing(
+            spark, f"{root}/raw", store, f"{root}/checkpoint", BOTS, template="access.log-{date}.gz", now=lambda: now
+        ).awaitTermination()
+        return hits(store, spark)
+
+    assert look(datetime(2025, 10, 2, 9)) == {"2025-10-01": 3}  # the second file is of today
+    assert look(datetime(2025, 10, 3, 1)) == {"2025-10-01": 3, "2025-10-02": 2}
+    put(root, "2025-10-01", [request_line(time=stamp("2025-10-01"))] * 8)
+    assert look(datetime(2025, 10, 3, 2)) == {"2025-10-01": 8, "2025-10-02": 2}
+    first = {x.source_file: x.loaded for x in store.read_landed(spark).collect()}
+    assert look(datetime(2025, 10, 3, 3)) == {"2025-10-01": 8, "2025-10-02": 2}
+    assert {x.source_file: x.loaded for x in store.read_landed(spark).collect()} == first  # nothing was landed again
+    assert by_day(store.read_rollup(spark, BOTS)) == {("GPTBot", date(2025, 10, 1)): 9, ("BingBot", date(2025, 10, 2)): 1}
+
+
+def parts(store, day="*"):
+    return sorted(glob.glob(f"{store.access}/log_date={day}/bucket=*/*.parquet"))
+
+
+def test_stored_files_follow_buckets_and_not_source_files(spark, tmp_path):
+    for i in range(40):
+        put(tmp_path, "2025-10-01", [request_line(agent=f"GPTBot {i}")] * 2, f"a-{i}.gz")
+    store = Store(f"{tmp_path}/store", buckets=4)
+    land_files(spark, f"{tmp_path}/raw", store, BOTS)
+    assert len(parts(store)) <= 4 and store.read_access(spark).count() == 80
+    before = parts(store)
+    put(tmp_path, "2025-10-01", [request_line(agent="GPTBot again")] * 5, "a-7.gz")
+    assert land_new(spark, f"{tmp_path}/raw", store, BOTS)["parsed"] == 5
+    assert store.read_access(spark).count() == 83
+    assert len(set(parts(store)) - set(before)) == 1 and len(set(parts(store)) & set(before)) == len(before) - 1
+    for _ in range(3):
+        land_files(spark, f"{tmp_path}/raw", store, BOTS)
+    assert len(parts(store)) <= 4 and store.read_access(spark).count() == 83
+
+
+@pytest.mark.parametrize("step", ["replace_files", "append_rows", "update_derived"])
+def test_landing_that_breaks_off_is_done_again(spark, root, monkeypatch, step):
+    store = Store(f"{root}/store")
+    if step == "replace_files":
+        land_files(spark, f"{root}/raw", store, BOTS)
+        put(root, "2025-10-02", [request_line(time=stamp("2025-10-02"))] * 4)
+    whole = getattr(landing, step)
+
+    def breaks(*args, **named):
+        whole(*args, **named)
+        raise RuntimeError("the driver is lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(landing, step, breaks)
+        with pytest.raises(RuntimeError):
+            land_new(spark, f"{root}/raw", store, BOTS)
+    land_new(spark, f"{root}/raw", store, BOTS)
+    refresh_rollup(spark, store, BOTS)
+    want = {("GPTBot", date(2025, 10, 1)): 3, ("GPTBot", date(2025, 10, 2)): 4} if step == "replace_files" else EXPECTED
+    assert by_day(store.read_rollup(spark, BOTS)) == want
+    assert store.read_access(spark).count() == sum(want.values()) and store.read_rejects(spark).count() == 1
+    assert os.listdir(f"{store.root}/staged") == []
+
+
+def test_damage_in_a_stored_table_rejects_no_file(spark, root, monkeypatch):
+    store = Store(f"{root}/store")
+
+    def corrupt(*args):
+        raise PySparkException("corrupt footer of a Parquet file")
+
+    monkeypatch.setattr(landing, "update_derived", corrupt)
+    with pytest.raises(PySparkException):
+        land_files(spark, f"{root}/raw", store, BOTS)
+    assert store.rejected_files(spark).isEmpty()
+
+
+def test_record_knows_the_dates_of_every_load(spark, root):
+    store = Store(f"{root}/store")
+    land_files(spark, f"{root}/raw", store)
+    found = {x.source_file[-13:-3]: (x.status, x.parsed, x.rejected, x.first_date, x.last_date) for x in store.read_landed(spark).collect()}
+    assert found == {
+        "2025-10-01": ("landed", 3, 1, date(2025, 10, 1), date(2025, 10, 1)),
+        "2025-10-02": ("landed", 2, 0, date(2025, 10, 1), date(2025, 10, 2)),
+    }
+    put(root, "2025-10-02", ["junk"])
+    land_new(spark, f"{root}/raw", store)
+    last = store.read_landed(spark).where("source_file LIKE '%10-02%'").first()
+    assert (last.parsed, last.rejected, last.first_date, last.last_date) == (0, 1, None, None)
+
+
+def test_a_window_opens_only_files_with_requests_in_it(spark, tmp_path):
+    days = [f"2025-{m:02d}-{d:02d}" for m in (7, 8) for d in range(1, 29)]
+    for day in days:
+        put(tmp_path, day, [request_line(time=stamp(day))] * 2)
+    put(tmp_path, "2025-07-03", [request_line(time=stamp("2025-08-27"))], "late.gz")  # dated long after its file
+    store = Store(f"{tmp_path}/store")
+    land_files(spark, f"{tmp_path}/raw", store, BOTS)
+    window = store.read_window(spark, date(2025, 8, 22))
+    assert window.count() == 7 * 2 + 1
+    assert len(window.inputFiles()) <= 9 and len(store.read_access(spark).inputFiles()) >= 56
+    rollup = store.read_window(spark, date(2025, 8, 22), landing.bot_rollup(BOTS))
+    assert len(rollup.inputFiles()) <= 9 and rollup.agg(F.sum("requests")).first()[0] == 15
+
+
+DASH = request_line(request="-", time=stamp("2025-10-01"))
+
+
+def test_rejected_lines_are_kept_and_tried_again(spark, root):
+    from hitledger.functions.grammar import REQUEST_PARTS, REQUEST_REGEX
+
+    wider = REQUEST_REGEX.replace(REQUEST_PARTS, f"(?:{REQUEST_PARTS}|-)")
+    put(root, "2025-10-02", [DASH, DASH, "junk", request_line(time="31/Feb/2025:00:00:00 +0000"), request_line(time=stamp("2025-10-02"))])
+    store = Store(f"{root}/store")
+    land_files(spark, f"{root}/raw", store, BOTS)
+    assert sorted(x.outcome for x in store.read_rejects(spark).collect()) == ["regex"] * 4 + ["time"]
+    assert landing.reprocess_rejects(spark, store, BOTS) == dict.fromkeys(landing.OUTCOMES, 0)  # the same grammar: nothing to do
+    for want in (2, 0):
+        assert landing.reprocess_rejects(spark, store, BOTS, wider)["parsed"] == want
+        assert sorted((x.line[:4], x.outcome) for x in store.read_rejects(spark).collect()) == [("1.2.", "time"), ("junk", "regex"), ("junk", "regex")]
+        assert store.read_access(spark).count() == 6
+        assert by_day(store.read_rollup(spark, BOTS)) == {("GPTBot", date(2025, 10, 1)): 5, ("GPTBot", date(2025, 10, 2)): 1}
+    entry = store.read_landed(spark).where("source_file LIKE '%10-02%'").first()
+    assert (entry.status, entry.parsed, entry.rejected, entry.first_date) == ("landed", 3, 2, date(2025, 10, 1))
+    assert land_new(spark, f"{root}/raw", store, BOTS)["parsed"] == 0  # the files themselves have not changed
+    land_files(spark, f"{root}/raw", store, BOTS)  # a replay by the first grammar
+    assert store.read_access(spark).count() == 4
+
+
+def test_reports_follow_their_list_and_loads(spark, root, monkeypatch):
+    store, reports, day = Store(f"{root}/store"), f"{root}/reports", date(2025, 10, 2)
+    built = []
+    whole = reporting.store_report
+    monkeypatch.setattr(reporting, "store_report", lambda *a, **n: (built.append(1), whole(*a, **n)))
+
+    def totals(bots=BOTS, days_back=365):
+        found = reporting.get_or_build_report(spark, store, bots, reports, day, days_back)["overview"].collect()
+        return {x.bot_name: x.total_requests for x in found}, len(built)
+
+    land_files(spark, f"{root}/raw", store, BOTS)
+    assert totals() == ({"GPTBot": 4, "BingBot": 1}, 1)
+    assert totals() == ({"GPTBot": 4, "BingBot": 1}, 1)
+    mine = bots_from_mapping({"Mine": "bing"})
+    assert totals(mine) == ({"Mine": 1}, 2)
+    assert totals() == ({"GPTBot": 4, "BingBot": 1}, 3)
+    put(root, "2025-10-02", [request_line(time=stamp("2025-10-02"), agent="bingbot")] * 6)
+    land_new(spark, f"{root}/raw", store, BOTS)
+    assert totals() == ({"GPTBot": 3, "BingBot": 6}, 4)
+    put(root, "2024-01-01", [request_line(time=stamp("2024-01-01"))])
+    land_new(spark, f"{root}/raw", store, BOTS)  # before the window: the report stands
+    assert totals() == ({"GPTBot": 3, "BingBot": 6}, 4)
+    put(root, "2025-10-01", ["junk"])
+    land_new(spark, f"{root}/raw", store, BOTS)
+    assert totals() == ({"BingBot": 6}, 5)
+
+
+def test_registering_names_only_changed_partitions(spark, tmp_path, monkeypatch):
+    days = [f"2025-09-{d:02d}" for d in range(1, 21)]
+    for day in days:
+        put(tmp_path, day, [request_line(time=stamp(day))])
+    store = Store(f"{tmp_path}/store")
+    land_files(spark, f"{tmp_path}/raw", store)
+    monkeypatch.setattr("hitledger.sources.catalog._OVERLAP", 0)
+    said, run = [], spark.sql
+    monkeypatch.setattr(spark, "sql", lambda text, *a, **n: (said.append(text), run(text, *a, **n))[1])
+    table = register_access_table(spark, "ddl", store)
+    count = lambda: run(f"SELECT count(*) FROM {table}").first()[0]
+    assert count() == 20 and not any("MSCK" in x for x in said)
+    put(tmp_path, "2025-09-21", [request_line(time=stamp("2025-09-21"))])
+    land_new(spark, f"{tmp_path}/raw", store)
+    said.clear()
+    register_access_table(spark, "ddl", store)
+    alter = [x for x in said if "PARTITION (" in x]
+    assert count() == 21 and len(alter) == 1 and alter[0].count("PARTITION (") == 1 and "2025-09-21" in alter[0]
+    put(tmp_path, "2025-09-02", ["junk"])
+    land_new(spark, f"{tmp_path}/raw", store)
+    expire_store(spark, store, date(2025, 9, 15), 10, dry_run=False)
+    said.clear()
+    register_access_table(spark, "ddl", store)
+    assert count() == 17 == run(f"SELECT count(DISTINCT log_date) FROM {table}").first()[0]
+    assert {x for d in ("01", "02", "03", "04") for x in said if f"DROP IF EXISTS PARTITION" in x and f"2025-09-{d}" in x}
+    assert land_new(spark, f"{tmp_path}/raw", store)["parsed"] == 0  # expired files are not landed again
+    said.clear()
+    register_access_table(spark, "ddl", store)
+    assert not any("PARTITION (" in x for x in said)
+
+
+def test_visits_and_sketches_follow_a_replay(spark, root):
+    from hitledger.operators import traffic as t
+    from hitledger.plans.dashboard import build_dashboard, build_dashboard_from_store, read_dashboard
+    from hitledger.plans.store import SKETCHES, VISITS
+
+    store = Store(f"{root}/store", keep=[SKETCHES])
+    put(root, "2025-10-02", [request_line(ip=f"1.1.{i % 50}.{i % 7}", time=stamp("2025-10-01"), agent=f"x{i % 3}") for i in range(600)])
+    land_files(spark, f"{root}/raw", store)
+    put(root, "2025-10-02", [request_line(ip=f"1.1.{i % 40}.{i % 7}", time=stamp("2025-10-01"), agent=f"x{i % 3}", status="404") for i in range(500)])
+    land_new(spark, f"{root}/raw", store)
+    day = date(2025, 10, 2)
+    build_dashboard(store.read_access(spark), f"{root}/one", day)
+    build_dashboard_from_store(spark, store, f"{root}/two", day)  # the store did not keep visits before
+    one, two = read_dashboard(spark, f"{root}/one", day), read_dashboard(spark, f"{root}/two", day)
+    for name in one:
+        assert sorted(map(str, one[name].collect())) == sorted(map(str, two[name].collect())), name
+    exact = {(x.panel, *x.keys): x for x in t.panel_rows(store.read_access(spark)).collect()}
+    near = {(x.panel, *x.keys): x for x in t.panels_of_sketches(store.read_derived(spark, SKETCHES)).collect()}
+    assert set(exact) == set(near) and store.read_derived(spark, VISITS).count() > 0
+    for key, row in exact.items():
+        assert (row.hits, row.bytes) == (near[key].hits, near[key].bytes)
+        assert abs(row.visitors - near[key].visitors) <= max(1, 0.05 * row.visitors), key
+
+
 def test_daily_counts_after_replay_and_a_date_far_ahead(spark, root):
     store = Store(f"{root}/store")
     put(root, "2025-10-03", [request_line(time="03/Oct/2025:22:00:00 -0500"), request_line(time=stamp("2099-01-01"))])
@@ -357,24 +574,24 @@ def test_crawl_stats(spark, tmp_path):
 def test_catalog_and_sql(spark, root):
     store = Store(f"{root}/store")
     land_files(spark, f"{root}/raw", store)
-    table = register_access_table(spark, "my-site", store.access)
+    table = register_access_table(spark, "my-site", store)
     count = f"SELECT count(*) AS n FROM {table} WHERE log_date = DATE'2025-10-02'"
     assert spark.sql(count).first().n == 2
     put(root, "2025-10-03", [request_line(time=stamp("2025-10-03"))])
     land_files(spark, f"{root}/raw/date=2025-10-03", store)
-    register_access_table(spark, "my-site", store.access)
+    register_access_table(spark, "my-site", store)
     assert spark.sql(f"SELECT count(*) AS n FROM {table}").first().n == 6
     other = Store(f"{root}/other")
     land_files(spark, f"{root}/raw/date=2025-10-03", other)
-    register_access_table(spark, "my-site", other.access)
+    register_access_table(spark, "my-site", other)
     assert spark.sql(f"SELECT count(*) AS n FROM {table}").first().n == 1
-    register_access_table(spark, "my-site", store.access)
+    register_access_table(spark, "my-site", store)
     as_of = date(2025, 10, 12)
     assert expire_store(spark, store, as_of, 10) == [date(2025, 10, 1)]
     assert spark.sql(f"SELECT count(*) AS n FROM {table}").first().n == 6
     expire_store(spark, store, as_of, 10, dry_run=False)
     for _ in range(2):
-        register_access_table(spark, "my-site", store.access)
+        register_access_table(spark, "my-site", store)
         assert spark.sql(f"SELECT count(*) AS n FROM {table}").first().n == store.read_access(spark).count() == 3
     assert set(by_day(store.read_rollup(spark, BOTS))) == set()
     register_views(spark, store.read_access(spark), BOTS)

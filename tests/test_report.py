@@ -1,5 +1,6 @@
 import glob
 import json
+import random
 from collections import Counter
 from datetime import date, timedelta
 
@@ -8,8 +9,9 @@ from pyspark.sql import functions as F
 
 from conftest import request_line
 from hitledger.operators import accuracy, report as r
-from hitledger.plans.landing import Store, land_files
+from hitledger.plans.landing import land_files
 from hitledger.plans.reporting import get_or_build_report, has_report, read_report, store_report
+from hitledger.plans.store import Store
 from hitledger.sinks.reports import json_path, write_report_json
 from hitledger.sources.bots import bots_from_mapping
 
@@ -55,6 +57,48 @@ def test_rollup_paths_and_agents(spark):
     assert found == {("A", "/x"): 2, ("A", "/"): 3}
 
 
+def test_running_totals_over_years(spark):
+    days = [date(2021, 12, 30) + timedelta(days=9 * i) for i in range(130)]
+    rows = spark.createDataFrame(
+        [(d, name, llm, "/p", i % 5 + 1) for i, d in enumerate(days) for name, llm in (("A", True), ("B", False), ("C", False))],
+        "date date, bot_name string, is_llm boolean, path string, requests long",
+    )
+    found = r.running_totals(rows).collect()
+    plain = {(x.bot_type, x.period, x.period_start): x.requests for x in r.bot_type_by_period(rows).collect()}
+    assert {(x.bot_type, x.period, x.period_start): x.requests for x in found} == plain
+    for x in found:
+        assert x.total == sum(n for (kind, period, start), n in plain.items() if (kind, period) == (x.bot_type, x.period) and start <= x.period_start)
+
+
+def _lists(spark, seed, loads, pages):
+    draw = random.Random(seed)
+    rows = [
+        (name, f"/p{p}", f"file{f}", max(1, int(draw.paretovariate(0.8) * (300 if p < 8 else 1) // (p + 1))))
+        for f in range(loads) for name in "AB" for p in range(pages) if draw.random() < 0.7
+    ]
+    rollup = spark.createDataFrame(rows, "bot_name string, path string, source_file string, requests long")
+    return rollup, r.page_lists(rollup, "source_file").cache()
+
+
+@pytest.mark.parametrize("seed, loads, pages, k", [(1, 6, 300, 3), (2, 1, 50, 5), (3, 12, 40, 50), (4, 5, 400, 1), (5, 4, 6, 20)])
+def test_top_paths_of_lists_are_those_of_all_entries(spark, seed, loads, pages, k):
+    rollup, lists = _lists(spark, seed, loads, pages)
+    want = sorted(map(tuple, r.top_paths_per_bot(rollup, k).collect()))
+    assert sorted(map(tuple, r.top_paths_of_lists(lists, k).collect())) == want
+
+
+def test_top_paths_of_lists_leave_most_entries_alone(spark):
+    _, lists = _lists(spark, 7, 6, 2000)
+    looks = [look.count() for look in r._list_looks(lists, 3)]
+    assert looks[0] == 6 * 2 * 3 and sum(looks) < 0.1 * lists.count()
+
+
+def test_ties_at_the_bound_go_by_name(spark):
+    rows = [("A", f"/{p}", f"f{f}", 5) for p in "edcba" for f in range(3)]
+    lists = r.page_lists(spark.createDataFrame(rows, "bot_name string, path string, source_file string, requests long"), "source_file")
+    assert [(x.path, x.requests) for x in r.top_paths_of_lists(lists, 2).orderBy("rank").collect()] == [("/a", 15), ("/b", 15)]
+
+
 @pytest.fixture
 def base(spark):
     days = [D - timedelta(days=i) for i in range(4)]
@@ -195,8 +239,8 @@ def test_get_or_build(spark, tmp_path):
     built = get_or_build_report(spark, store, BOTS, root, day)  # landed by another list
     assert built["summary"].first().total_requests == 2
     land("2024-02-27", "aa")
-    # stored now: further requests change nothing for this day
-    assert get_or_build_report(spark, store, BOTS, root, day)["summary"].first().total_requests == 2
+    # stored now, but for other loads: it is built anew
+    assert get_or_build_report(spark, store, BOTS, root, day)["summary"].first().total_requests == 3
     # an older day is built for that day, with what has come since
     older = get_or_build_report(spark, store, BOTS, root, date(2022, 1, 1))
     assert older["summary"].first().window_to == date(2022, 1, 2) and older["summary"].first().total_requests == 4
