@@ -24,6 +24,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hitledger.llm.common import small, stored, whole_text
@@ -64,34 +65,35 @@ def count_terms(body: bytes) -> Counter:
     return found
 
 
+_COUNTS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("docs", pa.int64()), ("count", pa.int64())])
+
+
 def _flush(documents: dict, occurrences: dict):
-    for group, number in occurrences.items():
-        seen = documents[group]
-        terms = list(number)
-        yield pd.DataFrame(
-            {
-                "lang": group[0], "source": group[1], "term": [t.decode() for t in terms],
-                "docs": [seen[t] for t in terms], "count": [number[t] for t in terms],
-            }
-        )
+    for (lang, source), number in occurrences.items():
+        if number:  # both counters have their terms in the order in which they came
+            n = len(number)
+            columns = [pa.repeat(lang, n), pa.repeat(source, n), list(number), list(documents[lang, source].values()), list(number.values())]
+            yield pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, _COUNTS.types)], schema=_COUNTS)
     # every group is named once per task and flush, also without terms
-    groups = list(occurrences)
-    yield pd.DataFrame({"lang": [g[0] for g in groups], "source": [g[1] for g in groups], "term": "", "docs": 0, "count": 0})
+    langs, sources = zip(*occurrences) if occurrences else ((), ())
+    rows = [list(langs), list(sources), [""] * len(langs), [0] * len(langs), [0] * len(langs)]
+    yield pa.record_batch([pa.array(c, t) for c, t in zip(rows, _COUNTS.types)], schema=_COUNTS)
 
 
-def _count(frames):
+def _count(batches):
     documents: dict[tuple, Counter] = {}
     occurrences: dict[tuple, Counter] = {}
     entries = 0
-    for frame in frames:
-        for lang, source, text in zip(frame["lang"], frame["source"], frame["text"]):
-            group = (lang, source)
+    for batch in batches:
+        langs, sources, texts = (batch.column(i) for i in range(3))
+        for i in range(batch.num_rows):
+            group = (langs[i].as_py(), sources[i].as_py())
             if group not in occurrences:
                 documents[group], occurrences[group] = Counter(), Counter()
                 entries += 1
             total = occurrences[group]
             held = len(total)
-            found = count_terms(text.encode("utf-8", "replace"))
+            found = count_terms(texts[i].as_buffer().to_pybytes())
             documents[group].update(found.keys())
             for term, number in found.items():
                 total[term] = total.get(term, 0) + number
@@ -105,7 +107,7 @@ def _count(frames):
 def term_counts(docs: DataFrame) -> DataFrame:
     """``lang, source, term, docs, count`` of every term; the empty term stands for the group itself."""
     texts = docs.select(whole_text("lang").alias("lang"), whole_text("source").alias("source"), whole_text().alias("text"))
-    found = texts.mapInPandas(_count, "lang string, source string, term string, docs long, count long")
+    found = texts.mapInArrow(_count, "lang string, source string, term string, docs long, count long")
     # One exchange serves this sum and the one over sources after it.
     dealt = found.repartition(F.col("lang"), F.col("term"))
     return dealt.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("count").alias("count"))
@@ -126,27 +128,33 @@ def _apart(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // (p + q)
 
 
+def _added(keys: np.ndarray, numbers: np.ndarray, gains: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sums of both columns."""
+    distinct, place = np.unique(keys, return_inverse=True)
+    both, gain = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
+    np.add.at(both, place, numbers)
+    np.add.at(gain, place, gains)
+    return distinct, both, gain
+
+
 class _Sums:
-    """Sums for pairs of sources of one language, as sorted keys; what is added is merged from time to time."""
+    """Sums for pairs of sources of one language; what is added is merged whenever it has doubled."""
 
     def __init__(self):
         self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.size = 0
+        self.size, self.room = 0, 4 * PAIRS
 
     def add(self, keys: np.ndarray, numbers: np.ndarray, gains: np.ndarray) -> None:
-        distinct, place = np.unique(keys, return_inverse=True)
-        both, gain = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
-        np.add.at(both, place, numbers)
-        np.add.at(gain, place, gains)
-        self.parts.append((distinct, both, gain))
-        self.size += len(distinct)
-        if len(self.parts) > 64 or self.size > 4 * PAIRS:
+        self.parts.append(_added(keys, numbers, gains))
+        self.size += len(self.parts[-1][0])
+        if self.size > self.room or len(self.parts) > 64:
             self.merge()
 
     def merge(self) -> None:
-        parts, self.parts, self.size = self.parts, [], 0
-        if parts:
-            self.add(*(np.concatenate(x) for x in zip(*parts)))
+        if self.parts:
+            self.parts = [_added(*(np.concatenate(x) for x in zip(*self.parts)))]
+            self.size = len(self.parts[0][0])
+            self.room = max(4 * PAIRS, 2 * self.size)
 
 
 def _shared(frames):
