@@ -29,6 +29,8 @@ from hitledger.llm.common import small, stored, whole_text
 FILTERS = "ABCDE"
 #: Bytes of text in one trie, about: of a task before it hands over, and of a range.
 TRIE_BYTES = 32 << 20
+#: Bytes of text under one prefix that are never split.
+LEAST_BYTES = 1 << 16
 #: Characters of the shortest prefix; each longer one has so many times as many.
 PREFIX, GROWTH = 4, 4
 #: What keeps rows of null ids apart where rows are dealt by id.
@@ -176,7 +178,9 @@ def first_rows(docs: DataFrame, most_bytes: int = TRIE_BYTES) -> DataFrame:
     spark = docs.sparkSession
     total = combined.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // most_bytes))
-    dealt = adaptive_prefix(combined, most_bytes).repartitionByRange(ranges, "prefix").drop("prefix")
+    # texts under one prefix stay together, so each prefix may have half a range at most
+    share = max(total // (2 * ranges), min(LEAST_BYTES, most_bytes))
+    dealt = adaptive_prefix(combined, share).repartitionByRange(ranges, "prefix").drop("prefix")
     return dealt.mapInPandas(_firsts, "doc_id long, digest string")
 
 
