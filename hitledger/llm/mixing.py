@@ -7,12 +7,12 @@ parent's siblings. A leaf with an allotment of several passes takes whole seeded
 and then the prefix of one more, in an order drawn anew for each epoch.
 
 All arithmetic is on whole numbers. The prefix needs no sort of a leaf: token sums of
-ranges of the hash find the one range in which the prefix ends, and only its rows are put in
-order. DataFrame functions only.
+ranges of the hash find the one range in which the prefix ends, and only the digests of its rows are put in
+order. The digest is of id and text, so the selection does not depend on how rows are dealt. DataFrame functions only.
 
 Null levels are a level of their own (``(none)``), null or empty texts have no tokens:
 they come along with whole epochs and with a prefix that reaches them. Repeated rows
-are rows like others. An empty table gives an empty result.
+are rows like others; where the prefix ends among rows with one id and text, as many of them are taken as fit. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hitledger.llm.common import small, stored
+from hitledger.llm.common import small, stored, whole_text
 
 LEVELS = ("domain", "language", "leaf")
 #: Ranges of the hash of a leaf, 65,536 at most; the selection does not depend on their number.
@@ -107,6 +107,7 @@ def select_mix(docs: DataFrame, mix: Mix, buckets: int = BUCKETS) -> DataFrame:
         F.coalesce(F.expr(mix.language).cast("string"), none).alias("language"),
         F.coalesce(F.expr(mix.leaf).cast("string"), none).alias("leaf"),
         spaced_tokens().alias("n_tokens"),
+        F.md5(whole_text()).alias("seal"),
     )
     leaves = rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
     leaves = allot(stored(leaves, "leaves"), mix)
@@ -117,7 +118,8 @@ def select_mix(docs: DataFrame, mix: Mix, buckets: int = BUCKETS) -> DataFrame:
         F.coalesce(F.col("allotted") % tokens, F.lit(0)).alias("rest"),
     )
     leaves = small(stored(leaves, "allotted"))
-    digest = F.md5(F.concat_ws("|", F.lit(str(mix.seed)), F.col("whole"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
+    # by id and text: rows that share it are alike, and rows without an id are spread
+    digest = F.md5(F.concat_ws("|", F.lit(str(mix.seed)), F.col("whole"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("seal")))
     rows = rows.join(leaves, [*LEVELS]).withColumn("digest", digest)
     rows = rows.withColumn("bucket", F.floor(F.conv(F.substring("digest", 1, 4), 16, 10).cast("long") * buckets / 65_536).cast("int"))
     up_to = Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -130,13 +132,25 @@ def select_mix(docs: DataFrame, mix: Mix, buckets: int = BUCKETS) -> DataFrame:
     )
     cuts = small(stored(cuts, "cuts"))
     rows = rows.join(cuts, [*LEVELS])
+    # Within the bucket that is cut, digests with their sums are put in order, not rows.
+    in_order = Window.partitionBy(*LEVELS).orderBy("digest").rowsBetween(Window.unboundedPreceding, 0)
+    kinds = rows.filter(F.col("bucket") == F.col("cut")).groupBy(*LEVELS, "digest").agg(
+        F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("copies"), F.first("rest").alias("rest"), F.first("before").alias("before")
+    )
+    kinds = kinds.withColumn("upto", F.col("before") + F.sum("n").over(in_order)).filter("upto > rest")
+    edges = kinds.groupBy(*LEVELS).agg(F.min(F.struct("digest", "upto", "n", "copies", "rest")).alias("e"))
+    edges = edges.select(*LEVELS, F.col("e.digest").alias("edge"), F.expr("(e.rest - e.upto + e.n) div nullif(e.n div e.copies, 0)").alias("some"))
+    rows = rows.join(small(stored(edges, "edges")), [*LEVELS], "left")
     out = ["row", "id", *LEVELS, "epoch", "n_tokens"]
-    epochs = F.sequence(F.lit(0), F.when(F.col("bucket") < F.col("cut"), F.col("whole")).otherwise(F.col("whole") - 1))
-    some = (F.col("whole") > 0) | (F.col("bucket") < F.col("cut"))
-    whole = rows.filter(some).withColumn("epoch", F.explode(epochs)).select(*out)
-    in_order = Window.partitionBy(*LEVELS).orderBy("digest", "id").rowsBetween(Window.unboundedPreceding, 0)
-    at_cut = rows.filter(F.col("bucket") == F.col("cut")).withColumn("upto", F.col("before") + F.sum("n_tokens").over(in_order))
-    return whole.unionByName(at_cut.filter("upto <= rest").withColumn("epoch", F.col("whole")).select(*out))
+    before_edge = F.col("edge").isNull() | (F.col("digest") < F.col("edge"))
+    once_more = (F.col("bucket") < F.col("cut")) | ((F.col("bucket") == F.col("cut")) & before_edge)
+    epochs = F.sequence(F.lit(0), F.when(once_more, F.col("whole")).otherwise(F.col("whole") - 1))
+    whole = rows.filter((F.col("whole") > 0) | once_more).withColumn("epoch", F.explode(epochs)).select(*out)
+    # of alike rows at the edge, as many as fit
+    alike = rows.filter((F.col("bucket") == F.col("cut")) & (F.col("digest") == F.col("edge")) & (F.col("some") > 0))
+    turn = F.row_number().over(Window.partitionBy(*LEVELS, "digest").orderBy("id"))
+    at_edge = alike.withColumn("turn", turn).filter("turn <= some").withColumn("epoch", F.col("whole")).select(*out)
+    return whole.unionByName(at_edge)
 
 
 def mix_sql(mix: Mix, table: str = "documents") -> str:
@@ -172,7 +186,7 @@ top as (select least(cast(sum(tokens) as bigint) * {num} // {den}, cast(sum(supp
 {tree},
 shares as (select {levels}, coalesce(budget // nullif(tokens, 0), 0) as whole, coalesce(budget % nullif(tokens, 0), 0) as rest
   from supplies join b2 using ({levels})),
-keyed as (select rows_.*, whole, rest, md5(concat_ws('|', '{mix.seed}', whole, coalesce(cast(doc_id as varchar), ''))) as digest
+keyed as (select rows_.*, whole, rest, md5(concat_ws('|', '{mix.seed}', whole, coalesce(cast(doc_id as varchar), ''), md5(coalesce(text, '')))) as digest
   from rows_ join shares using ({levels})),
-summed as (select *, sum(n_tokens) over (partition by {levels} order by digest, doc_id rows unbounded preceding) as upto from keyed),
+summed as (select *, sum(n_tokens) over (partition by {levels} order by digest rows unbounded preceding) as upto from keyed),
 chosen as (select *, unnest(range(whole + case when upto <= rest then 1 else 0 end)) as epoch from summed)"""

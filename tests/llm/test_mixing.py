@@ -36,6 +36,22 @@ def test_awkward_rows(spark, table):
     assert found == want
 
 
+#: null and repeated ids with different texts, and rows that are wholly alike
+TIES = [(None if i % 3 == 0 else i % 5, f"{'tok ' * (1 + i % 9)}{i if i % 4 else ''}", "en", f"src{i % 2}") for i in range(400)]
+
+
+@pytest.mark.parametrize("share, epochs", [((1, 2), 2), ((1, 3), 1), ((7, 5), 2)])
+def test_ties_are_the_same_however_rows_are_dealt(spark, table, share, epochs):
+    mix = op.Mix(share=share, max_epochs=epochs, seed=5)
+    taken = []
+    for partitions, rows in ((1, TIES), (7, TIES[::-1]), (13, TIES[200:] + TIES[:200])):
+        chosen = op.select_mix(table(*rows, partitions=partitions), mix, 4)
+        taken.append(sorted(repr((r.row.doc_id, r.row.text, r.row.source, r.epoch)) for r in chosen.collect()))
+    assert taken[0] == taken[1] == taken[2] and taken[0]
+    found, want = _both(spark, table(*TIES), mix, 4)
+    assert found == want
+
+
 def test_buckets_do_not_matter(table):
     docs = table(*ROWS)
     taken = [sorted((r.row.doc_id, r.epoch) for r in op.select_mix(docs, MIX, n).collect()) for n in (1, 7, 4096)]
