@@ -6,7 +6,12 @@ in words to digits, at/dot disguises to ``@`` and ``.``. Every rewritten charact
 the source span it came from, through all stages, so the same four patterns run on the
 rewritten text and their matches map back to the source.
 
-Spans count code points, end exclusive. Null and empty texts have none. Any length of text is
+Words for digits, signs, dots and the at-sign are known in English, German, French and Spanish. Left alone are: prices and times after a
+spaced sign, ``at`` after a common word, names after ``at`` whose dots are plain, and four one-digit numbers with dots in words (a version or
+section) unless an address is announced before them. Not covered: numbers in words above nine, other languages, and
+addresses written backwards or over several lines.
+
+Spans count code points, end exclusive. Null and empty texts have none, repeated rows have the same, an empty table gives no rows. Any length of text is
 read whole, in time that grows with its length.
 """
 
@@ -147,15 +152,23 @@ def _plain_letter(m: re.Match) -> list[tuple[str, int, int]] | None:
     return None if plain == m[0] else [(plain, m.start(), m.end())]
 
 
-#: Words for digits and signs (fixed values).
-_WORDS = {
-    "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7",
-    "eight": "8", "nine": "9", "plus": "+", "dot": ".", "point": ".", "dash": "-", "hyphen": "-",
+#: Words for digits and signs in English, German, French and Spanish (fixed values).
+_DIGITS = {
+    "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
+    "null": "0", "eins": "1", "zwei": "2", "zwo": "2", "drei": "3", "vier": "4", "fünf": "5", "fuenf": "5", "sechs": "6", "sieben": "7", "acht": "8", "neun": "9",
+    "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
+    "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
+}
+_SIGNS = {
+    "plus": "+", "más": "+", "mas": "+", "dot": ".", "point": ".", "punkt": ".", "punto": ".",
+    "dash": "-", "hyphen": "-", "minus": "-", "strich": "-", "bindestrich": "-", "tiret": "-", "guion": "-", "guión": "-",
 }
-_DIGIT = "zero|oh|one|two|three|four|five|six|seven|eight|nine"
-_ITEM = rf"(?:(?:{_DIGIT}|plus|dot|point|dash|hyphen)(?![a-z])|[0-9]|[+.])"
-#: At least four items, the first two words of digits not needed: digits and words may be mixed. ``plus`` counts alone before a digit.
-_SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:{_ITEM}(?:[\s,;_/-]*+{_ITEM}){{3,}}+|plus[\s,;_/-]{{0,3}}(?=[0-9]))", re.I)
+_WORDS = _DIGITS | _SIGNS
+#: Longer words first, as some begin others.
+_WORD_ITEM = "|".join(sorted(_WORDS, key=len, reverse=True))
+_ITEM = rf"(?:(?:{_WORD_ITEM})(?![^\W\d_])|[0-9]|[+.])"
+#: At least four items, the first two words of digits not needed: digits and words may be mixed. A word for plus counts alone before a digit.
+_SPELLED = re.compile(rf"(?<![^\W_])(?:{_ITEM}(?:[\s,;_/-]*+{_ITEM}){{3,}}+|(?:plus|más|mas)[\s,;_/-]{{0,3}}(?=[0-9]))", re.I)
 _SPELLED_ITEM = re.compile(rf"{_ITEM}", re.I)
 
 
@@ -189,31 +202,68 @@ def _spelled(m: re.Match) -> list[tuple[str, int, int]] | None:
 
 #: ``_AT`` and ``_DOT`` hold one of these openings; a set of characters in front is quick to search for.
 _MARKED = r"[(\[{{<_-](?:(?<=[(\[{{<])\s?(?:{0})\s?[)\]}}>]|(?<=[-_]){1}[-_])"
-_AT_MARK, _DOT_MARK = _MARKED.format("at|@", "at"), _MARKED.format(r"dot|\.|punkt|punto|point", "dot")
+_AT_WORDS = "arroba|arobase|arobas|klammeraffe|ät|aet"
+_AT_MARK = _MARKED.format(f"at|@|{_AT_WORDS}", f"(?:at|{_AT_WORDS})")
+_DOT_MARK = _MARKED.format(r"dot|\.|punkt|punto|point", "(?:dot|punkt|punto|point)")
 _AT, _HAS_AT = re.compile(rf"\s{{0,3}}{_AT_MARK}\s{{0,3}}", re.I), re.compile(_AT_MARK, re.I)
 _DOT, _HAS_DOT = re.compile(rf"\s{{0,3}}{_DOT_MARK}\s{{0,3}}", re.I), re.compile(_DOT_MARK, re.I)
-#: Without brackets, ``at`` counts only before a name with a spelled or rewritten dot: ``_plain_at``.
-_PLAIN_AT = re.compile(r"(?<=[A-Za-z0-9])\s{1,3}at\s{1,3}(?=([A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+))", re.I)
-_PLAIN_DOT = re.compile(r"(?<=[A-Za-z0-9])\s{1,3}dot\s{1,3}(?=[A-Za-z0-9])", re.I)
-_SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])(?:\s{1,2}@\s{0,2}|\s{0,2}@\s{1,2})(?=[A-Za-z0-9])")
+#: A name with dots; its last label has two letters at least.
+_NAME = r"(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z][A-Za-z0-9-]{0,61}[A-Za-z](?![A-Za-z0-9-])"
+#: ``(a)`` stands for the sign only between letters, without spaces.
+_SHORT_AT = re.compile(rf"(?<=[A-Za-z0-9])[(\[{{<]a[)\]}}>](?={_NAME})", re.I)
+#: Without brackets, ``at`` counts only before a name with a spelled or rewritten dot, and not after a common word: ``_plain_at``.
+_PLAIN_AT = re.compile(
+    r"(?<=[A-Za-z0-9])\s{1,3}(at|" + _AT_WORDS + r")\s{1,3}(?=([A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+))", re.I
+)
+_HAS_AT_WORD = re.compile(_AT_WORDS, re.I)
+#: Before ``at`` these end no address (fixed values).
+_COMMON = frozenset(
+    """a an the and or but i me you he him she her it we us they them this that these those is are was were be been am being look looks looked
+    looking see seen saw meet met find found visit visited here there back home work works worked working live lives lived living stay stayed
+    available online open closed up down out in on now then today tomorrow tonight stand stands stood arrive arrived start starts started
+    end ends ended buy bought sell sold order ordered read more information info only not all""".split()
+)
+#: Unbracketed words for a dot. The ambiguous ones count only before a common end of a name (fixed values).
+_PLAIN_DOT = re.compile(
+    r"(?<=[A-Za-z0-9])\s{1,3}(?:dot\s{1,3}(?=[A-Za-z0-9])"
+    r"|(?:punkt|punto|point)\s{1,3}(?=(?:com|org|net|edu|gov|info|io|de|fr|es|eu|uk|at|ch|it|mx|ar)\b))", re.I
+)
+_HAS_DOT_WORD = re.compile("dot|punkt|punto|point", re.I)
+#: A space beside the sign: what follows must be a name and what comes before more than a number.
+_SPACED_AT = re.compile(rf"(?<=[A-Za-z0-9])(?:\s{{1,2}}@\s{{0,2}}|\s{{0,2}}@\s{{1,2}})(?={_NAME})")
 
 
 def _sign(char: str) -> Callable[[re.Match], list[tuple[str, int, int]]]:
     return lambda m: [(char, m.start(), m.end())]
 
 
+def _before(text: str, place: int) -> str:
+    """The word that ends at a place, up to white space."""
+    start = place
+    while start and not text[start - 1].isspace():
+        start -= 1
+    return text[start:place]
+
+
 def _plain_at(now: Rewritten, source: str) -> Callable[[re.Match], list[tuple[str, int, int]] | None]:
-    """A number with a spelled point is no name; four of them are an address."""
+    """A number with a spelled point is no name; four of them are an address. A word that means only the sign needs no spelled dot."""
 
     def rule(m: re.Match) -> list[tuple[str, int, int]] | None:
-        dots = [i for i, c in enumerate(m[1], m.start(1)) if c == "."]
-        named = len(dots) == 3 or any(c.isalpha() for c in m[1])
+        dots = [i for i, c in enumerate(m[2], m.start(2)) if c == "."]
+        named = len(dots) == 3 or any(c.isalpha() for c in m[2])
         spelled = any(source[now.starts[i] : now.ends[i]] != "." for i in dots)
-        return [("@", m.start(), m.end())] if named and spelled else None
+        plain = m[1].lower() == "at" and (not spelled or _before(m.string, m.start()).lower() in _COMMON)
+        return [("@", m.start(), m.end())] if named and not plain else None
 
     return rule
 
 
+def _spaced_at(m: re.Match) -> list[tuple[str, int, int]] | None:
+    word = _before(m.string, m.start())
+    named = any(c.isalpha() for c in word) and word.lower() not in _COMMON
+    return [("@", m.start(), m.end())] if named else None
+
+
 def rewrite(text: str) -> Rewritten | None:
     """The text without disguises; None if it has none. Every rule looks at every text, dots before at-signs."""
     out = Rewritten(text)
@@ -222,17 +272,31 @@ def rewrite(text: str) -> Rewritten | None:
     out = out.apply(_SPELLED, _spelled)
     if _HAS_DOT.search(out.text):
         out = out.apply(_DOT, _sign("."))
-    if "dot" in out.text.lower():
+    if _HAS_DOT_WORD.search(out.text):
         out = out.apply(_PLAIN_DOT, _sign("."))
     if _HAS_AT.search(out.text):
         out = out.apply(_AT, _sign("@"))
-    if out.text != text:  # otherwise no dot is rewritten
+    if "a" in out.text:
+        out = out.apply(_SHORT_AT, _sign("@"))
+    if out.text != text or _HAS_AT_WORD.search(text):  # otherwise no dot is rewritten
         out = out.apply(_PLAIN_AT, _plain_at(out, text))
     if "@" in out.text:
-        out = out.apply(_SPACED_AT, _sign("@"))
+        out = out.apply(_SPACED_AT, _spaced_at)
     return None if out.text == text else out
 
 
+#: Words that announce an address (fixed values).
+_ADDRESS = re.compile(r"(?<![^\W_])(?:ip|ipv4|address|adresse|dirección|direccion|host|server|serveur|servidor|dns|gateway|router|ping|subnet|localhost)(?![^\W_])", re.I)
+_DOT_WORD = re.compile(r"(?<![(\[{<_-])\b(?:dot|point|punkt|punto)\b", re.I)
+
+
+def _is_version(text: str, span: Span, number: str) -> bool:
+    """Four small numbers with dots in words are rather a version or a section, unless an address is announced."""
+    if any(int(part) > 9 for part in number.split(".")) or not _DOT_WORD.search(text[span[0] : span[1]]):
+        return False
+    return not _ADDRESS.search(text[max(0, span[0] - 30) : span[0]])
+
+
 def find_spans(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
     """Plain spans, and all spans, per kind and in order of place."""
     base = {kind: list(FINDERS[kind](text)) for kind in KINDS}
@@ -242,7 +306,8 @@ def find_spans(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]
     every = {}
     for kind in KINDS:
         known = sorted(base[kind])
-        more = {clear.source(span) for span in FINDERS[kind](clear.text)}
+        found = [(clear.source(span), clear.text[span[0] : span[1]]) for span in FINDERS[kind](clear.text)]
+        more = {span for span, number in found if kind != "ip" or span in base[kind] or not _is_version(text, span, number)}
         every[kind] = sorted({*known, *(s for s in more if not _inside(s, known))})
     return base, every
 

@@ -116,6 +116,47 @@ def test_numbers_and_plain_names_after_at_are_left_alone(text):
     assert not any(op.find_spans(text)[1].values())
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["sold 100 @ 3.50 each", "at noon @ 10.30", "price 5 @3.99", "two for 3 @ 1.25", "version one dot two dot three dot four",
+     "section 1 dot 2 dot 3 dot 4", "meet me at example dot com", "look at example dot com", "release 2 punto 0 punto 1 punto 5",
+     "at this point we go", "le point de vue, at this point de depart", "option (a) first.second", "room @ 12.30 and 14.45", "the score was three point one four one five"],
+)
+def test_prices_versions_sections_and_times_are_left_alone(text):
+    assert not any(op.find_spans(text)[1].values())
+
+
+@pytest.mark.parametrize(
+    "text, kind, part",
+    [
+        ("escribe a user arroba example punto com hoy", "email", "user arroba example punto com"),
+        ("juan [arroba] correo.es", "email", "juan [arroba] correo.es"),
+        ("jane(a)example.com", "email", "jane(a)example.com"),
+        ("an hans ät beispiel punkt de", "email", "hans ät beispiel punkt de"),
+        ("anna (ät) beispiel (punkt) de", "email", "anna (ät) beispiel (punkt) de"),
+        ("écrire à luc arobase exemple point fr", "email", "luc arobase exemple point fr"),
+        ("ruf plus vier neun eins sieben null eins zwei drei vier fünf an", "phone", "plus vier neun eins sieben null eins zwei drei vier fünf"),
+        ("appelez plus trois trois un deux trois quatre cinq six sept huit neuf", "phone", "plus trois trois un deux trois quatre cinq six sept huit neuf"),
+        ("llama al más tres cuatro seis uno dos tres cuatro cinco seis siete", "phone", "más tres cuatro seis uno dos tres cuatro cinco seis siete"),
+        ("eins neun zwei punkt eins sechs acht punkt null punkt eins", "ip", "eins neun zwei punkt eins sechs acht punkt null punkt eins"),
+        ("un neuf deux point un six huit point zéro point un", "ip", "un neuf deux point un six huit point zéro point un"),
+        ("uno nueve dos punto uno seis ocho punto cero punto uno", "ip", "uno nueve dos punto uno seis ocho punto cero punto uno"),
+        ("vier eins eins eins 1111 1111 eins eins eins eins", "card", "vier eins eins eins 1111 1111 eins eins eins eins"),
+        ("quatre un un un 1111 1111 1111 un", "none", ""),
+        ("cuatro uno uno uno 1111 1111 uno uno uno uno", "card", "cuatro uno uno uno 1111 1111 uno uno uno uno"),
+        ("ip address 8 dot 8 dot 8 dot 8", "ip", "8 dot 8 dot 8 dot 8"),
+        ("dns eight dot eight dot four dot four", "ip", "eight dot eight dot four dot four"),
+        ("8[.]8[.]8[.]8", "ip", "8[.]8[.]8[.]8"),
+    ],
+)
+def test_disguises_in_four_languages(text, kind, part):
+    every = op.find_spans(text)[1]
+    if kind == "none":
+        assert not any(every.values())
+    else:
+        assert part in [text[a:b] for a, b in every[kind]]
+
+
 def test_long_texts_take_linear_time():
     for text in ("a" * 300_000, "1" * 300_000, "a@" * 100_000, "1." * 100_000, "+1 " * 100_000, "one " * 50_000, "@ " * 100_000):
         op.find_spans(text)
