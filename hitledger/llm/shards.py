@@ -176,7 +176,8 @@ def write_shards(docs: DataFrame, path: str, key: int, width: int = WIDTH, shard
     packed = rows.mapInPandas(
         _pack(held, Permutation(total, key), width, shard_records), "shard long, slots binary, records binary"
     )
-    packed = packed.repartition(max(1, -(-total // shard_records)), "shard")
+    # range partitions of the slots: the n-th holds those of the n-th shard
+    packed = packed.repartitionById(max(1, -(-total // shard_records)), F.col("shard").cast("int"))
     placed = packed.mapInPandas(_unpack, "shard long, slot long, record binary").sortWithinPartitions("shard", "slot")
     lines = placed.select("shard", F.col("record").cast("string").alias("value"))
     lines.write.partitionBy("shard").option("compression", "none").option("lineSep", "\n").text(path)

@@ -49,6 +49,19 @@ def test_awkward_rows_round_trip(spark, table, path):
     assert {d: {s: sorted(v) for s, v in x.items()} for d, x in found.items()} == {d: {s: sorted(v) for s, v in x.items()} for d, x in want.items()}
 
 
+def test_every_sequence_has_the_slot_of_its_number(spark, table, path):
+    rows = [(i, f"text {i} " * (i % 9)) for i in range(60)]
+    docs = table(*rows, partitions=1)
+    order = [r.doc_id for r in docs.collect()]
+    total = op.write_shards(docs, path, key=9, width=16, shard_records=50)
+    found = {r.slot: (r.doc_id, r.seq) for r in op.read_shards(spark, path, total, width=16, shard_records=50).collect()}
+    sizes = {i: -(-(len(t.encode()) + 1) // 16) for i, t in rows}
+    numbered = [(doc, seq) for doc in order for seq in range(sizes[doc])]
+    assert len(numbered) == total
+    slots = op.Permutation(total, 9).slots(np.arange(total))
+    assert [found[s] for s in slots.tolist()] == numbered
+
+
 def test_resume_reads_the_rest_alone(spark, table, path):
     total = op.write_shards(table(*AWKWARD), path, key=1, width=64, shard_records=100)
     whole = {r.slot: bytes(r.tokens) for r in op.read_shards(spark, path, total, width=64, shard_records=100).collect()}
