@@ -1,13 +1,14 @@
 """Exact duplicates by counting quotient filters, then byte verification.
 
-Every partition builds a counting quotient filter of its 64-bit fingerprints: the high
-bits (quotient) say which run, the low bits (remainder) stand sorted in the run, each
-with a count. Quotient and remainder together are the whole fingerprint, so filters merge without loss:
-runs of one quotient block are merged by sorted remainder and counts add up. Only rows
-whose fingerprint counts more than one are compared by their bytes.
+Every partition builds counting quotient filters of its 64-bit fingerprints, one for each class of them by remainder of a division. A filter is a
+table of slots: the high bits of a fingerprint (quotient) say where it belongs, the low bits (remainder) are what a slot stores, with a count. Remainders
+of one quotient stand together in order (a run), shifted to the right where slots are taken; three bits per slot tell which quotients occur, which
+slots continue a run and which are shifted. Quotients are not stored: they follow from the positions. So nothing is lost, and filters
+merge by sorted remainders, counts added up. Only rows whose fingerprint counts more than one are compared by their bytes.
 
 Null and empty texts are equal. Of equal texts the largest id stays; a null id is
-smaller than any. Of wholly repeated rows exactly one is ``kept``.
+smaller than any. Of wholly repeated rows exactly one is ``kept``. An empty table gives no rows. Texts of any length are
+fingerprinted where they lie; they move only where a fingerprint repeats. Other columns stay as they are.
 """
 
 from __future__ import annotations
@@ -18,65 +19,93 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from hitledger.llm.common import small, stored, whole_text
 
-#: Quotient blocks: the unit of merging. Each holds at most one entry per fingerprint and filter.
-BLOCK_BITS = 10
-#: Bits of the quotient in all; the rest of the 64 is the remainder.
-QUOTIENT_BITS = 24
-_REMAINDER_BITS = 64 - QUOTIENT_BITS
+#: Fingerprints of one class, about.
+CLASS_ENTRIES = 1 << 14
+#: Slots of a filter for each entry, at least.
+SLOTS_PER_ENTRY = 4 / 3
+
+#: Number of quotient bits; occupied, continuation and shifted bits; remainders and counts of the slots in use.
+Filter = tuple[int, bytes, bytes, bytes, bytes, bytes]
+
+
+def build_filter(values: np.ndarray, counts: np.ndarray) -> Filter:
+    """A filter of sorted, distinct 64-bit values with their counts."""
+    n = len(values)
+    bits = max(1, int(np.ceil(np.log2(max(2, n * SLOTS_PER_ENTRY)))))
+    low = np.uint64(64 - bits)
+    quotients = (values >> low).astype(np.int64)
+    steps = np.arange(n)
+    slots = np.maximum.accumulate(quotients - steps) + steps  # the next free slot from the quotient's own on
+    size = max(1 << bits, int(slots[-1]) + 1) if n else 1 << bits
+    occupied, continued, shifted = (np.zeros(size, bool) for _ in range(3))
+    occupied[quotients] = True
+    continued[slots[1:]] = quotients[1:] == quotients[:-1]
+    shifted[slots] = slots != quotients
+    remainders = values & ((np.uint64(1) << low) - np.uint64(1))
+    tables = (np.packbits(x).tobytes() for x in (occupied, continued, shifted))
+    return bits, *tables, remainders.tobytes(), counts.astype(np.int64).tobytes()
+
+
+def read_filter(found: Filter) -> tuple[np.ndarray, np.ndarray]:
+    """Values and counts of a filter, in order: quotients from the positions, remainders from the slots."""
+    bits, *tables, remainders, counts = found
+    occupied, continued, shifted = (np.unpackbits(np.frombuffer(t, np.uint8)).astype(bool) for t in tables)
+    used = occupied | continued | shifted  # any bit; a slot whose quotient occurs is in use, by itself or by a shifted one
+    run = np.cumsum(~continued[used]) - 1
+    quotients = np.flatnonzero(occupied)[run].astype(np.uint64)
+    return quotients << np.uint64(64 - bits) | np.frombuffer(remainders, np.uint64), np.frombuffer(counts, np.int64)
+
+
+def merge_filters(parts: list[Filter]) -> Filter:
+    """One filter of the same fingerprints: runs merged by sorted remainder, counts added."""
+    values, counts = (np.concatenate(x) for x in zip(*map(read_filter, parts)))
+    return build_filter(*_added(values, counts))
 
 
-def build_filter(fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Quotients, remainders and counts, sorted by quotient and then remainder."""
-    values, counts = np.unique(fingerprints.astype(np.uint64), return_counts=True)
-    return values >> np.uint64(_REMAINDER_BITS), values & np.uint64((1 << _REMAINDER_BITS) - 1), counts.astype(np.int64)
+def _added(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(values):
+        return values, counts
+    order = np.argsort(values, kind="stable")
+    values, counts = values[order], counts[order]
+    first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+    return values[first], np.add.reduceat(counts, first)
 
 
-def merge_filters(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One filter of the same fingerprints: runs merged by sorted remainder, counts added."""
-    quotients, remainders, counts = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort((remainders, quotients))
-    quotients, remainders, counts = quotients[order], remainders[order], counts[order]
-    first = np.flatnonzero(np.r_[True, (np.diff(quotients) != 0) | (np.diff(remainders) != 0)])
-    return quotients[first], remainders[first], np.add.reduceat(counts, first)
-
-
-def _filters(frames):
-    held = []
-    for frame in frames:
-        held.append(build_filter(frame["fp"].to_numpy(np.int64).view(np.uint64)))
-        if len(held) > 16:
-            held = [merge_filters(held)]
-    if not held:
-        return
-    quotients, remainders, counts = merge_filters(held)
-    blocks = (quotients >> np.uint64(QUOTIENT_BITS - BLOCK_BITS)).astype(np.int64)
-    starts = np.flatnonzero(np.r_[True, np.diff(blocks) != 0])
-    for start, stop in zip(starts, np.r_[starts[1:], len(blocks)]):
-        cut = slice(start, stop)
-        yield pd.DataFrame(
-            {
-                "block": [int(blocks[start])],
-                "quotients": [quotients[cut].astype(np.uint32).tobytes()],
-                "remainders": [remainders[cut].tobytes()],
-                "counts": [counts[cut].tobytes()],
-            }
-        )
+_COLUMNS = ["bits", "occupied", "continued", "shifted", "remainders", "counts"]
+
+
+def _filters(classes: int):
+    def run(frames):
+        values, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for frame in frames:
+            found, n = np.unique(frame["fp"].to_numpy(np.int64).view(np.uint64), return_counts=True)
+            values.append(found)
+            counts.append(n.astype(np.int64))
+            if len(values) > 16:
+                values, counts = ([x] for x in _added(np.concatenate(values), np.concatenate(counts)))
+        values, counts = _added(np.concatenate(values), np.concatenate(counts))
+        # by what is left of a division, so that the quotients of a class are spread over its filter
+        of = (values % np.uint64(classes)).astype(np.int64)
+        order = np.argsort(of, kind="stable")
+        values, counts, of = values[order], counts[order], of[order]
+        cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1], True]) if len(of) else []
+        rows = [(int(of[a]), *build_filter(values[a:b], counts[a:b])) for a, b in zip(cuts, cuts[1:])]
+        yield pd.DataFrame(rows, columns=["class", *_COLUMNS])
+
+    return run
 
 
 def _repeated(frame: pd.DataFrame) -> pd.DataFrame:
-    parts = [
-        (np.frombuffer(q, np.uint32).astype(np.uint64), np.frombuffer(r, np.uint64), np.frombuffer(c, np.int64))
-        for q, r, c in zip(frame["quotients"], frame["remainders"], frame["counts"])
-    ]
-    quotients, remainders, counts = merge_filters(parts)
-    values = (quotients << np.uint64(_REMAINDER_BITS)) | remainders
+    values, counts = read_filter(merge_filters(list(frame[_COLUMNS].itertuples(index=False, name=None))))
     return pd.DataFrame({"fp": values[counts > 1].view(np.int64)})
 
 
 def repeated_fingerprints(rows: DataFrame) -> DataFrame:
-    """Fingerprints (column ``fp``) that occur more than once."""
-    filters = rows.select("fp").mapInPandas(_filters, "block int, quotients binary, remainders binary, counts binary")
-    return filters.groupBy("block").applyInPandas(_repeated, "fp long")
+    """Fingerprints (column ``fp``) that occur more than once. The number of classes follows that of the rows."""
+    classes = max(64, -(-rows.count() // CLASS_ENTRIES))
+    schema = "class long, bits int, occupied binary, continued binary, shifted binary, remainders binary, counts binary"
+    filters = rows.select("fp").mapInPandas(_filters(classes), schema)
+    return filters.groupBy("class").applyInPandas(_repeated, "fp long")
 
 
 def mark_copies(docs: DataFrame, fingerprint=F.xxhash64) -> DataFrame:
