@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hitledger import sample_files as sf
 from hitledger import samples
 from hitledger.functions import grammar
-from hitledger.functions.agents import BROWSERS, SYSTEMS
 from hitledger.operators import accuracy, classify, files, parse, report, traffic
 from hitledger.plans.dashboard import build_dashboard, build_dashboard_from_store, read_dashboard
 from hitledger.plans.landing import land_files, land_new, refresh_derived, reprocess_rejects
@@ -516,8 +515,33 @@ def _sql_outcomes(spark, d):
 def _sql_table_function(spark, d):
     """The table function beside each line: no row for a line that does not parse."""
     raw = _raw_files(spark, d, scratch_dir(spark, "sql"))
-    db = register_functions(spark, "hitledger", BOTS)
-    return spark.sql(f"SELECT r.host, r.method, count(*) AS hits, count(r.time1) AS timed FROM text.`{raw}` AS t, LATERAL {db}.request_of_line(t.value) AS r GROUP BY ALL")
+    before, db = spark.catalog.currentDatabase(), register_functions(spark, "hitledger", BOTS)
+    spark.sql(f"USE {db}")
+    try:
+        return spark.sql(f"SELECT r.host, r.method, count(*) AS hits, count(r.time1) AS timed FROM text.`{raw}` AS t, LATERAL request_of_line(t.value) AS r GROUP BY ALL")
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+def _agents(spark, d):
+    """Every event under an agent of a list that reaches each entry."""
+    agents = [(i, agent) for i, agent in enumerate(samples.AGENTS)]
+    frame = spark.createDataFrame(agents, "n INT, user_agent STRING")
+    return _events(spark, d).withColumn("n", (F.col("event_id") % len(agents)).cast("int")).join(F.broadcast(frame), "n")
+
+
+def _named_agents(spark, d):
+    named = classify.name_bots(_agents(spark, d), BOTS)
+    return named.groupBy("user_agent", "bot_name").agg(F.count(F.lit(1)).alias("requests"))
+
+
+def _edge_outcomes(spark, d):
+    """Lines at the edges of the grammar, by kind, with what became of them."""
+    line = samples.line_sql(samples.TIME_SPARK, "user_id div 256").replace("when event_id % 50 = 49 then '-'", "when false then '-'")
+    kinds = " ".join(f"WHEN {i} THEN {text.replace('{LINE}', line)}" for i, (text, _) in enumerate(samples.EDGE_LINES))
+    kind = (F.col("event_id") % len(samples.EDGE_LINES)).cast("int").alias("kind")
+    lines = _events(spark, d).select(kind, F.expr(f"CASE event_id % {len(samples.EDGE_LINES)} {kinds} END").alias("line"))
+    return parse.count_outcomes(lines, "kind")
 
 
 def _views_sql(spark, d):
@@ -588,6 +612,8 @@ def _log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stored_dashboard": _stored_dashboard,
         "stream_landing_counts": _stream_landing_counts,
         "stream_daily_bots": _stream_daily_bots,
+        "named_agents": _named_agents,
+        "edge_outcomes": _edge_outcomes,
         "grown_files": _grown_files,
         "landed_record": _landed_record,
         "stored_window": _stored_window,
@@ -617,22 +643,33 @@ _REQUEST = (
 )
 
 
-def _chain(column: str) -> str:
-    branches = "\n".join(
-        f"when regexp_matches({column}, '{bot.regex}', 'i') then '{bot.name}'" for bot in BOTS
-    )
-    return f"case when {column} = '' then null {branches} end"
+# The agents of the lines, with crawler, browser and system, worked out by hand rather than from the lists that are tested.
+_SEEN = {
+    "Mozilla/5.0 (compatible; GPTBot/1.2; +https://openai.com/gptbot)": ("GPTBot", "Crawler", "Unknown"),
+    "Mozilla/5.0 (compatible; OAI-SearchBot/1.0; +https://openai.com/searchbot)": ("GPTBot", "Crawler", "Unknown"),
+    "Mozilla/5.0 (compatible; ClaudeBot/1.0)": ("ClaudeBot", "Crawler", "Unknown"),
+    "Mozilla/5.0 (compatible; Googlebot/2.1)": ("GoogleBot", "Crawler", "Unknown"),
+    "wpXcom feedbot": ("WPFeedbot", "Crawler", "Unknown"),
+    "OAI-SearchBot/1.3": ("OAI_SearchBot", "Crawler", "Unknown"),
+    "Mozilla/5.0 (Windows NT 10.0) Chrome/116.0 Safari/537.36": (None, "Chrome", "Windows"),
+    "-": (None, "Unknown", "Unknown"),
+    "": (None, "Unknown", "Unknown"),
+    "facebookexternalhit/1.1": ("MetaExternal", "Crawler", "Unknown"),
+    "gptbot lower": ("GPTBot", "Crawler", "Unknown"),
+}
 
 
-def _families(column: str, families: dict[str, list[str]]) -> str:
-    def found(texts):
-        return " or ".join(f"contains(lower({column}), '{t.lower()}')" for t in texts)
+def _seen(column: str, place: int) -> str:
+    """What is known of an agent; an agent that is not in the list is an error."""
+    known = " ".join(f"when '{agent}' then {repr(row[place]) if row[place] else 'null'}" for agent, row in _SEEN.items())
+    return f"case {column} {known} else error('unknown agent') end"
 
-    branches = " ".join(f"when {found(texts)} then '{name}'" for name, texts in families.items())
-    return f"case {branches} else 'Unknown' end"
+
+def _chain(column: str) -> str:
+    return _seen(column, 0)
 
 
-_LLM = ", ".join(f"'{bot.name}'" for bot in BOTS if bot.is_llm)
+_LLM = "'GPTBot', 'ClaudeBot', 'OAI_SearchBot'"
 _FIELD_LIST = ", ".join(f"'{n}'" for n in grammar.FIELDS)
 
 _LINES = f"""
@@ -922,8 +959,8 @@ select case when is_llm then 'LLM' else 'Other' end as bot_type, period, period_
         "traffic_hosts": _panel("ip"),
         "traffic_referrers": _panel("referrer", where="where referrer not in ('-', '')"),
         "traffic_requests": _panel('"method", path, protocol'),
-        "traffic_browsers": _panel(_families("user_agent", BROWSERS), "browser"),
-        "traffic_os": _panel(_families("user_agent", SYSTEMS), "os"),
+        "traffic_browsers": _panel(_seen("user_agent", 1), "browser"),
+        "traffic_os": _panel(_seen("user_agent", 2), "os"),
         "traffic_hours": _panel("cast(hour(local_ts) as int)", '"hour"'),
         "traffic_status": _panel("status"),
         "traffic_virtual_hosts": _panel("host"),
@@ -951,6 +988,11 @@ where log_date >= date '2024-01-21' group by all""",
 select "date", bot as bot_name, bot <> 'Search' as is_llm, case when trim(path) = '' then '/' else trim(path) end as path,
   count(*) as requests from other where bot is not null group by all""",
         "bad_dates": f'{_CTES} select "date", path, count(*) as hits from parsed where status <> 500 group by all',
+        "named_agents": f"""with agents(n, user_agent, bot_name) as (values {", ".join(
+            f"({i}, '{agent}', {repr(name) if name else 'null'})" for i, (agent, name) in enumerate(samples.AGENTS.items()))})
+select user_agent, bot_name, count(*) as requests from events join agents on event_id % {len(samples.AGENTS)} = n group by all""",
+        "edge_outcomes": f"""with kinds(kind, outcome) as (values {", ".join(f"({i}, '{o}')" for i, (_, o) in enumerate(samples.EDGE_LINES))})
+select kind, outcome, count(*) as line_count from events join kinds on event_id % {len(samples.EDGE_LINES)} = kind group by all""",
         "grown_files": f"{_CTES} select log_date, status, count(*) as hits from parsed group by all",
         "landed_record": f"""{_CTES}, tried as (
   select 'b' as site, log_date, ok from matched

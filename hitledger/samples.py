@@ -49,3 +49,35 @@ def lines_from_events(events: DataFrame, referrer: str = "'-'") -> DataFrame:
         F.to_date("ts").alias("log_date"),
         F.concat(F.lit("access.log-"), F.to_date("ts").cast("string"), F.lit(".gz")).alias("source_file"),
     )
+
+
+# One agent for each entry of the default list and for rules of its order, with the entry it belongs to, worked out by hand
+# from the list: the first entry of which some pattern occurs in the agent, in any case.
+AGENTS = {
+    "Mozilla/5.0; compatible; GPTBot/1.1": "GPTBot", "chatgpt-user/1.0": "GPTBot", "OpenAI-HTTP/0.1": "GPTBot",
+    "OAI-SearchBot/1.0; +https://openai.com/searchbot": "GPTBot", "Mozilla/5.0 (compatible; PerplexityBot/1.0)": "PerplexityBot",
+    "pplx-http": "PerplexityBot", "Claude-Web/1.0": "ClaudeBot", "anthropic-ai": "ClaudeBot", "AdsBot-Google (+http://x)": "GoogleBot",
+    "GoogleOther": "GoogleBot", "Mozilla/5.0 (compatible; bingbot/2.0)": "BingBot", "BingPreview/1.0b": "BingBot",
+    "Mozilla/5.0 (Applebot/0.1)": "AppleBotExtended", "Bytespider; spider-feedback@x": "Bytespider", "CCBot/2.0 (https://x)": "CCBot",
+    "meta-externalagent/1.1": "MetaExternal", "FacebookBot": "MetaExternal", "DuckAssistBot/1.2": "DuckAssistBot",
+    "DuckDuckGo-Favicons-Bot/1.0": "DuckAssistBot", "Mozilla/5.0 (compatible; Diffbot/0.1)": "Diffbot", "YandexImages/3.0": "YandexBot",
+    "UptimeRobot/2.0": "UptimeRobot", "Clarity-Bot": "ClarityBot", "coccocbot-web/1.0": "CoccocBot", "imageXcoccoc": "CoccocBot",
+    "wp.com feedbot/1.0": "WPFeedbot", "wpXcom feedbot": "WPFeedbot", "OAI-SearchBot/1.3": "OAI_SearchBot", "MojeekBot/0.11": "MojeekBot",
+    "semrushbot-si/0.97": "SemrushBot", "AhrefsSiteAudit/6.1": "AhrefsBot", "Pinterest/0x2": "PinterestBot", "Slackbot 1.0 (+https://x)": "SlackBots",
+    "Slackbot-LinkExpanding 1.0": "SlackBots", "SeznamBot/4.0": "SeznamBot", "AwarioBot/1.0": "AwarioBot", "DuckDuckBot/1.1": "DuckDuckBot",
+    "IbouBot/1.0": "IbouBot", "BLEXBot/1.0": "BLEXBot", "SEBot-WA/1.0": "SEBot", "PlagAwareBot/1.0": "PlagAwareBot", "LinkupBot/1.0": "LinkupBot",
+    "ZenixOpsBot/1.0": "ZenixOpsBot", "ShapBot/0.1.0": "ShapBot", "Discordbot/2.0": "DiscordBot", "companyspotter/2.0.0.0": "CompanySpotter",
+    "Twitterbot/1.0": "TwitterBot", "SMTBot/1.0": "SMTBot", "LinkedInBot/1.0": "LinkedInBot", "AcademicResearchBot": "AcademicResearchBot",
+    "trendictionbot0.5.0": "TrendictionBot", "Xbot/1.0": "Xbot", "Thinkbot/0.5.8": "Thinkbot", "SearchAtlas Bot": "SearchAtlasBot",
+    "wpbot/1.3": "WPBot", "KStandBot/1.0": "KStandBot", "Pandalytics/2.0": "Pandalytics", "Zoombot/1.4": "ZoomBot",
+    "Slackbot/2.0": None, "companyspotter/1.0": None, "wpbot/1.4": None, "SMTBot/2.0": None, "Mozilla/5.0 (X11; Linux) Firefox/120.0": None,
+    "curl/8.0": None, "-": None, "": None,
+}
+
+# Lines at the edges of the grammar and what becomes of them, by hand; ``{LINE}`` is a line that parses.
+EDGE_LINES = [
+    ("{LINE}", "parsed"), ("''", "blank"), ("'  '", "blank"), ("replace({LINE}, ' example.com ', ' ')", "regex"),
+    ("replace({LINE}, '/2024:', '/2024:x')", "time"), ("replace({LINE}, '/Jan/', '/Foo/')", "time"), ("replace({LINE}, ' - [', ' - ')", "regex"),
+    ("concat('1.1.1.1 h - [01/Jan/2024:00:00:00 +0000] \"GET / HTTP/1.1\" 200 1 \"-\" \"a', ' | b\"')", "regex"),
+    ("concat('1.1.1.1 h - [01/Jan/2024:00:00:00 +0000] \"GET / HTTP/1.1\" 200 1 \"-\" \"a\"', ' | b | c | d')", "parsed"),
+]

@@ -40,7 +40,8 @@ def register_functions(
 
     - ``parse_line(line)``: the request as a struct of the access-log columns, null when the line does not parse.
     - ``line_outcome(line)``: ``parsed``, or why it was not.
-    - ``request_of_line(line)``: a table function with one row for a line that parses and none for another.
+    - ``request_of_line(line)``: a table function with one row for a line that parses and none for another. Spark's parser takes
+      no database before a table function, so ``USE`` the database first.
     - ``crawler_name(user_agent)``: the first entry of the list that matches, or null; ``crawler_is_llm(name)``.
 
     Each function hands its values on to the next, so the pattern runs once per line.

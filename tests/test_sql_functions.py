@@ -33,7 +33,9 @@ def test_requests(spark, db, rows):
     found = spark.sql(f"SELECT r.* FROM (SELECT {db}.parse_line(line) AS r FROM sql_lines) WHERE r IS NOT NULL")
     assert sorted(map(repr, map(tuple, found.collect()))) == want
     assert found.schema.simpleString() == parse_lines(rows).schema.simpleString()
-    beside = spark.sql(f"SELECT r.* FROM sql_lines AS t, LATERAL {db}.request_of_line(t.line) AS r")
+    spark.sql(f"USE {db}")
+    beside = spark.sql("SELECT r.* FROM sql_lines AS t, LATERAL request_of_line(t.line) AS r")
+    spark.sql("USE default")
     assert sorted(map(repr, map(tuple, beside.collect()))) == want
 
 
