@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -44,6 +46,52 @@ def test_mixture_of_all(spark, table, model):
     assert np.mean([r.language_share for r in found]) > 0.8
 
 
+def _plain_mixture(text, table):
+    """EM and the choice of the language set, by their formulas, for one text; ``table``: place, then labels and background."""
+    place, n = np.unique(op.places(text), return_counts=True)
+    given = [[float(x) for x in table[p]] for p in place]
+    k, total = len(given[0]) - 1, float(n.sum())
+
+    def em(share, steps):
+        for _ in range(steps):
+            new = [0.0] * (k + 1)
+            for like, count in zip(given, n):
+                whole = sum(s * x for s, x in zip(share, like))
+                for j in range(k + 1):
+                    new[j] += count * share[j] * like[j] / whole / total
+            share = new
+        return share, sum(count * math.log(sum(s * x for s, x in zip(share, like))) for like, count in zip(given, n))
+
+    first, _ = em([1 / (k + 1)] * (k + 1), op.STEPS)
+    order = sorted(range(k), key=lambda j: -first[j])
+    best = None
+    for size in range(1, k + 1):
+        chosen = {*order[:size], k}
+        start = [max(s, 1e-3) if j in chosen else 0.0 for j, s in enumerate(first)]
+        share, likely = em([s / sum(start) for s in start], op.STEPS // 2)
+        likely -= size * 0.5 * math.log(total)
+        if best is None or likely > best[0]:
+            best = likely, share
+    return best[1]
+
+
+def test_mixtures_are_those_of_plain_em(spark, model):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(60).collect()
+    texts = [r.text[:700] for r in docs[:25]]
+    texts += [a.text[:300] + " " + b.text[:200] + " " + c.text[:400] for a, b, c in zip(docs[25:40], docs[40:], docs[45:])]
+    texts += ["a", "Ünï 123", "the the the", "1 2 3 x"]
+    found = model.proportions(texts)
+    for text, row in zip(texts, found):
+        want = np.array(_plain_mixture(text, model.table))
+        assert np.abs(row - want).max() < 0.01, text[:80]
+        assert row[:-1].argmax() == want[:-1].argmax()
+
+
+def test_empty_table(table, model):
+    assert op.identify(table((1, "a")).where("false"), model).collect() == []
+    assert op.keep_languages(table((1, "a")).where("false"), model).collect() == []
+
+
 def test_many_languages_are_all_named():
     rng = np.random.default_rng(7)
     counts = np.zeros((12, op.BUCKETS))

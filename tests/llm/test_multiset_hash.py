@@ -2,10 +2,12 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
+import xxhash
 
 from hitledger.llm import multiset_hash as op
 
-from .conftest import AWKWARD
+from .conftest import AWKWARD, LONG
 
 
 def test_order_does_not_matter_and_parts_come_and_go():
@@ -19,6 +21,51 @@ def test_order_does_not_matter_and_parts_come_and_go():
     assert (op.sums([parts + parts[:1]]) != whole).any()
 
 
+def _plain_sum(pieces):
+    """The vector of each paragraph from its two digests, added up one by one in whole numbers."""
+    wide, cells = [0] * op._WIDE, [0] * (op.LEVELS * op.LANES)
+    mask = 2**64 - 1
+
+    def mix(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & mask
+        return x ^ (x >> 31)
+
+    for p in pieces:
+        one, two = xxhash.xxh3_64_intdigest(p), xxhash.xxh64_intdigest(p)
+        lanes = [mix(one + s & mask) ^ mix(two * s & mask) for s in op._STEPS.tolist()]
+        for i in range(op._WIDE):
+            wide[i] = wide[i] + lanes[i] & mask
+        drawn = b"".join(x.to_bytes(8, "little") for x in lanes[op._WIDE : op._WIDE + op.LANES // 2])
+        values = b"".join(x.to_bytes(8, "little") for x in lanes[op._WIDE + op.LANES // 2 :])
+        for lane in range(op.LANES):
+            bits = int.from_bytes(drawn[4 * lane : 4 * lane + 4], "little")
+            level = (bits & -bits).bit_length() - 1 if bits else op.LEVELS
+            if level < op.LEVELS:
+                at = level * op.LANES + lane
+                cells[at] = (cells[at] + (values[lane] | 1)) % 256
+    return b"".join(x.to_bytes(8, "little") for x in wide) + len(pieces).to_bytes(4, "little") + bytes(cells)
+
+
+def test_fingerprints_are_plain_sums():
+    texts = ["One. Two! Three?\nFour", "", "  \n ", "Same. Same. Same.", LONG, "é ß 😀. " * 300]
+    assert [x.tobytes() for x in op.fingerprints(texts)] == [_plain_sum(op.paragraphs(t)) for t in texts]
+
+
+def test_fingerprints_and_likeness_of_the_query(table):
+    rows = [r for r in AWKWARD if r[0] is not None]
+    order = sorted(rows, key=lambda r: (r[0], r[1] or ""))
+    found = {(r.doc_id, r.edited_sha256): r for r in op.fingerprint_edits(table(*rows)).collect()}
+    for i, (doc, text, *_) in enumerate(order):
+        text, after = text or "", order[(i + 1) % len(order)][1] or ""
+        edited = op.edit(text, after)
+        row = found[doc, hashlib.sha256(edited.encode()).hexdigest()]
+        own, changed = _plain_sum(op.paragraphs(text)), _plain_sum(op.paragraphs(edited))
+        assert (row.fingerprint, row.edited_fingerprint) == (own.hex(), changed.hex())
+        as_rows = [np.frombuffer(x, np.uint8)[None] for x in (own, changed)]
+        assert row.near_edited == pytest.approx(float(op.likeness(*as_rows)[0]))
+
+
 def test_likeness_follows_the_common_share():
     rng = random.Random(4)
     for n in (20, 100, 1000):
