@@ -2,10 +2,12 @@
 
 A word's adjacent pairs sit at the leaves of a segment tree that keeps the smallest
 ``(rank, position)`` at its root. The root is the leftmost merge of lowest rank; a
-merge changes three leaves, each a logarithmic update. Words are independent, so a
-task keeps the results of words it has seen, up to ``CACHE_WORDS`` of them.
+merge changes three leaves, each a logarithmic update. Words are independent: the different words
+of some texts that are not known yet are merged together, one step of all their trees at a time, and a
+task keeps the results, up to ``CACHE_WORDS`` of them. Very long words have a tree each.
 
-Nulls are empty; an empty text has no ids. A text of any length is encoded whole.
+Nulls are empty; an empty text has no ids. A text of any length is encoded whole. Repeated rows and ids are encoded
+alike, each for itself. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,7 +25,9 @@ from pyspark.sql import DataFrame
 
 from hitledger.llm.common import per_text
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
+#: Bytes of the longest words that are merged together, and words in one step.
+TOGETHER, AT_ONCE = 64, 8192
 _NONE = 1 << 62
 #: White space of the vocabulary's own pattern (Unicode property, fixed value).
 _SPACE = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -74,6 +78,10 @@ class PairTree:
                 i >>= 1
 
 
+#: Number of ids, the ids in decimal, the decoded tokens, the ids as bytes.
+Entry = tuple[int, str, str, bytes]
+
+
 class Vocabulary:
     """Vocabulary, merges and special tokens of a tokenizer file with word ends."""
 
@@ -94,6 +102,7 @@ class Vocabulary:
             self.ranks[self.ids[a]][self.ids[b]] = rank
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"] if t["special"]}
         self.names |= {i: token for token, i in self.special.items()}
+        self.decimal = {i: str(i) for i in self.names}
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(pattern)
         self.plain = pattern == WORD_PATTERN
@@ -102,7 +111,13 @@ class Vocabulary:
         self.inner = [self.ids.get(x, -1) for x in letters]
         self.last = [self.ids.get(x + self.suffix, -1) for x in letters]
         self.width = "<u2" if max(self.names) < 1 << 16 else "<u4"
-        self.cache: dict[str, tuple[int, str, str, bytes]] = {}
+        self.cache: dict[str, Entry] = {}
+        self.inner_ids, self.last_ids = np.array(self.inner), np.array(self.last)
+        self.base = len(self.ranks)
+        pairs = sorted((a * self.base + b, rank) for a, found in enumerate(self.ranks) for b, rank in found.items())
+        self.pairs, self.pair_ranks = (np.array(x, np.int64) for x in (zip(*pairs) if pairs else ((), ())))
+        self.made_ids = np.array(self.made, np.int64)
+        self.gaps = min(self.inner + self.last) < 0
 
     def symbols(self, word: str) -> list[int]:
         data = word.encode("utf-8", "surrogatepass")
@@ -144,18 +159,90 @@ class Vocabulary:
             tree.put(*changes)
         return [x for x in symbols if x >= 0]
 
-    def entry(self, ids: list[int]) -> tuple[int, str, str, bytes]:
-        return len(ids), " ".join(map(str, ids)), " ".join([self.names[i] for i in ids]), np.array(ids, self.width).tobytes()
-
-    def word(self, word: str) -> tuple[int, str, str, bytes]:
-        """Number of ids, the ids in decimal, the decoded tokens (both joined by spaces), the ids as bytes."""
-        if (known := self.cache.get(word)) is None:
-            known = self.entry(self.merge(self.symbols(word)))
-            if len(self.cache) >= CACHE_WORDS:
-                self.cache.clear()
-            if len(word) <= 64:
-                self.cache[word] = known
-        return known
+    def leaves(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Rank and place of each pair in one number; ``_NONE`` where the two do not merge."""
+        key = left * self.base + right
+        at = np.minimum(np.searchsorted(self.pairs, key), max(0, len(self.pairs) - 1))
+        found = (self.pairs[at] == key) & (left >= 0) & (right >= 0) if len(self.pairs) else np.zeros(len(key), bool)
+        return np.where(found, self.pair_ranks[at] * TOGETHER + place if len(self.pairs) else 0, _NONE)
+
+    def merge_rows(self, symbols: np.ndarray) -> np.ndarray:
+        """:meth:`merge` for words of one size class: a word per row, -1 behind its end. The trees are rows of one array;
+        what is merged away becomes -1."""
+        n, columns = symbols.shape
+        size = columns - 1  # leaves, a power of two; the last column stands behind every word
+        tree = np.full((n, 2 * size), _NONE, np.int64)
+        places = np.arange(size)
+        tree[:, size:] = self.leaves(symbols[:, :-1].ravel(), symbols[:, 1:].ravel(), np.tile(places, n)).reshape(n, size)
+        half = size
+        while half > 1:
+            np.minimum(tree[:, half : 2 * half : 2], tree[:, half + 1 : 2 * half : 2], out=tree[:, half // 2 : half])
+            half //= 2
+        # the symbol after and before each; ``columns`` is after the last, -1 before the first
+        symbols = np.column_stack([symbols, np.full(n, -1, np.int64)])
+        after = np.tile(np.arange(1, columns + 2), (n, 1))
+        before = np.tile(np.arange(-1, columns), (n, 1))
+
+        def put(rows: np.ndarray, leaf: np.ndarray, value: np.ndarray) -> None:
+            at = leaf + size
+            tree[rows, at] = value
+            while at[0] > 1:
+                at = at >> 1
+                tree[rows, at] = np.minimum(tree[rows, 2 * at], tree[rows, 2 * at + 1])
+
+        rows = np.arange(n)
+        while len(rows):
+            low = tree[rows, 1]
+            rows, low = rows[low != _NONE], low[low != _NONE]
+            if not len(rows):
+                break
+            i = low % TOGETHER
+            new = self.made_ids[low // TOGETHER]
+            j = after[rows, i]
+            k = after[rows, j]
+            symbols[rows, i], symbols[rows, j] = new, -1
+            after[rows, i], before[rows, k] = k, i
+            inner = j < size
+            if inner.any():
+                put(rows[inner], j[inner], _NONE)
+            put(rows, i, self.leaves(new, symbols[rows, k], i))
+            p = before[rows, i]
+            left = p >= 0
+            if left.any():
+                r, p = rows[left], p[left]
+                put(r, p, self.leaves(symbols[r, p], new[left], p))
+        return symbols
+
+    def merge_words(self, words: list[str]) -> list[list[int]]:
+        """The ids of many words."""
+        out: list[list[int] | None] = [None] * len(words)
+        bodies = [w.encode("utf-8", "surrogatepass") for w in words]
+        lengths = np.array([len(b) for b in bodies], np.int64)
+        data = np.frombuffer(b"".join(bodies), np.uint8)
+        symbols = self.inner_ids[data]
+        ends = np.cumsum(lengths)
+        symbols[ends - 1] = self.last_ids[data[ends - 1]]
+        starts = ends - lengths
+        known = np.minimum.reduceat(symbols, starts) >= 0
+        together = known & (lengths <= TOGETHER)
+        classes = np.maximum(0, np.ceil(np.log2(np.maximum(lengths - 1, 1)))).astype(np.int64)
+        for kind in np.unique(classes[together]).tolist():
+            of = np.flatnonzero(together & (classes == kind))
+            for some in np.array_split(of, -(-len(of) // AT_ONCE)):
+                table = np.full((len(some), (1 << kind) + 1), -1, np.int64)
+                row = np.repeat(np.arange(len(some)), lengths[some])
+                column = np.arange(len(row)) - np.repeat(np.cumsum(lengths[some]) - lengths[some], lengths[some])
+                table[row, column] = symbols[starts[some][row] + column]
+                merged = self.merge_rows(table)
+                left = merged >= 0
+                ids = merged[left].tolist()
+                stops = np.cumsum(left.sum(axis=1)).tolist()
+                for place, a, b in zip(some.tolist(), [0, *stops], stops):
+                    out[place] = ids[a:b]
+        return [self.merge(self.symbols(word)) if found is None else found for word, found in zip(words, out)]
+
+    def entry(self, ids: list[int]) -> Entry:
+        return len(ids), " ".join([self.decimal[i] for i in ids]), " ".join([self.names[i] for i in ids]), np.array(ids, self.width).tobytes()
 
     def split(self, text: str) -> list[str]:
         """Words after normalisation: composed, lower case letter by letter, white space dropped."""
@@ -165,20 +252,44 @@ class Vocabulary:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return self.words.findall(_SPACE.sub(" ", text).lower())
 
-    def encode(self, text: str) -> list[tuple[int, str, str, bytes]]:
-        """One entry per word or special token, in order."""
-        parts = self.cuts.split(text) if "<" in text else [text]
-        out = []
-        for part in parts:
+    def pieces(self, text: str) -> list[str | Entry]:
+        """Words, and the entries of special tokens, in order."""
+        if "<" not in text:
+            return self.split(text)
+        out: list[str | Entry] = []
+        for part in self.cuts.split(text):
             if part in self.special:
                 out.append(self.entry([self.special[part]]))
             elif part:
-                known, word = self.cache.get, self.word
-                out += [known(w) or word(w) for w in self.split(part)]
-        return [x for x in out if x[0]]
+                out += self.split(part)
+        return out
+
+    def encode_texts(self, texts: list[str]) -> list[list[Entry]]:
+        """For each text one entry per word or special token, in order: number of ids, the ids in decimal, the decoded
+        tokens (both joined by spaces), the ids as bytes."""
+        rows = [self.pieces(text) for text in texts]
+        words = set().union(*rows)
+        marks = {x for x in words if isinstance(x, tuple)}
+        words -= marks
+        if len(self.cache) + len(words) > CACHE_WORDS:
+            self.cache.clear()
+        known = self.cache
+        new = [word for word in words if word not in known]
+        entries = dict(zip(new, map(self.entry, self.merge_words(new)))) if new else {}
+        if len(known) + len(entries) <= CACHE_WORDS:
+            known.update(entries)
+            entries = known
+        else:  # more words than are kept
+            entries |= known
+        if marks:
+            entries = entries | {mark: mark for mark in marks}
+        out = [list(map(entries.__getitem__, row)) for row in rows]
+        if self.gaps:  # bytes that the vocabulary lacks give words without ids
+            out = [[e for e in row if e[0]] for row in out]
+        return out
 
     def encode_ids(self, text: str) -> list[int]:
-        return [int(i) for x in self.encode(text) for i in x[1].split()]
+        return [int(i) for x in self.encode_texts([text])[0] for i in x[1].split()]
 
     def decode(self, ids: list[int]) -> str:
         """Token strings joined by a space, as a tokenizer file without a decoder gives them."""
@@ -209,7 +320,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
         vocabulary = Vocabulary(path)
 
         def work(texts: list[str]) -> pd.DataFrame:
-            rows = [vocabulary.encode(text) for text in texts]
+            rows = vocabulary.encode_texts(texts)
             return pd.DataFrame(
                 {
                     "n_tokens": [sum([x[0] for x in row]) for row in rows],
@@ -231,8 +342,7 @@ def digest_documents(docs: DataFrame, path: str) -> DataFrame:
 
         def work(texts: list[str]) -> pd.DataFrame:
             out = []
-            for text in texts:
-                row = vocabulary.encode(text)
+            for row in vocabulary.encode_texts(texts):
                 ids, decoded = " ".join([x[1] for x in row]), " ".join([x[2] for x in row])
                 out.append((sum([x[0] for x in row]), _hash(ids), _hash(decoded)))
             return pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
@@ -250,8 +360,7 @@ def encode_binary(docs: DataFrame, path: str) -> DataFrame:
 
         def work(texts: list[str]) -> pd.DataFrame:
             out = []
-            for text in texts:
-                row = vocabulary.encode(text)
+            for row in vocabulary.encode_texts(texts):
                 decoded = " ".join([x[2] for x in row])
                 out.append((sum([x[0] for x in row]), b"".join([x[3] for x in row]), _hash(decoded)))
             return pd.DataFrame(out, columns=["n_tokens", "ids", "decoded_sha256"])

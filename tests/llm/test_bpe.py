@@ -32,7 +32,7 @@ def test_equals_the_library(own, library):
     for text in [*TEXTS, *mixed, *(r[1] for r in AWKWARD if r[1])]:
         ids = library.encode(text, add_special_tokens=False).ids
         assert own.encode_ids(text) == ids, text[:60]
-        assert " ".join(x[2] for x in own.encode(text)) == library.decode(ids, skip_special_tokens=False) == own.decode(ids)
+        assert " ".join(x[2] for x in own.encode_texts([text])[0]) == library.decode(ids, skip_special_tokens=False) == own.decode(ids)
 
 
 def test_tree_gives_the_leftmost_lowest():
@@ -47,6 +47,13 @@ def test_tree_gives_the_leftmost_lowest():
             tree.put((i, values[i]))
 
 
+def test_words_merged_together_are_those_merged_alone(own):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdestnrio éß1#") for _ in range(rng.randrange(1, 70))).replace(" ", "") or "x" for _ in range(3000)]
+    words += ["a" * n for n in range(1, 70)] + ["the", "é", "日本", "😀" * 16, "😀" * 17, "supercalifragilistic"]
+    assert own.merge_words(words) == [own.merge(own.symbols(w)) for w in words]
+
+
 def test_cache_of_words_is_bounded(own, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_WORDS", 3)
     fresh = bpe.Vocabulary(PATH)
