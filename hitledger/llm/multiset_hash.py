@@ -12,7 +12,7 @@ the share of lanes left at zero on each level tells how many those are, up to th
 text of 2 GB can have.
 
 Null and empty texts have no paragraph; their fingerprint is zero, and two of them are
-alike (1.0). Rows with a null id stand before all others. Rows that repeat an id follow each other
+alike (1.0). An empty table gives no rows. Texts of any length are read whole. Rows with a null id stand before all others. Rows that repeat an id follow each other
 in order of their text.
 """
 
@@ -24,15 +24,17 @@ import re
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hitledger.llm.common import small, stored, whole_text
 
 LEVELS, LANES = 30, 32
 #: Stands for a null id.
 NO_ID = -(2**63)
-#: Characters per range of ids: the unit of parallel work.
-RANGE_CHARACTERS = 8_000_000
+#: Characters per task, about, and cells of neighbouring ids for each task.
+RANGE_CHARACTERS, CELLS = 8_000_000, 16
+#: Quantiles of the ids between which cells are of equal width, and cells that one task puts in order.
+QUANTILES, BLOCK = 256, 4096
 _WIDE, _CELLS = 4, LEVELS * LANES
 BYTES = 8 * _WIDE + 4 + _CELLS
 _PARAGRAPH = re.compile(r"[^\n.!?]+[.!?]*\s?|[.!?]+\s?")
@@ -121,26 +123,52 @@ def edit(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+def _ranks(rows: DataFrame, cells: int) -> Column:
+    """The cell of a row, 0 to ``2 * cells - 1``, rising with (id, text): rows without an id by the first bytes of their text, then
+    the others by their id's place between quantiles of all ids, so that ids need not be spread evenly."""
+    known = F.when(F.col("id") != NO_ID, F.col("id"))
+    steps = [i / QUANTILES for i in range(QUANTILES + 1)]
+    found = rows.agg(F.percentile_approx(known, steps, 10 * QUANTILES)).first()[0] or [0] * (QUANTILES + 1)
+    bounds = sorted(set(found)) + [max(found) + 1]
+    cuts = f"array({', '.join(f'{b}L' for b in bounds)})"
+    halving = [1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)]
+    seek = f"aggregate(array({', '.join(map(str, halving))}), 0, (q, s) -> CASE WHEN q + s < {len(bounds) - 1} AND get({cuts}, q + s) <= id THEN q + s ELSE q END)"
+    q = F.expr(seek)
+    low, high = F.get(F.expr(cuts), q), F.get(F.expr(cuts), q + 1)
+    within = (F.col("id") - low).cast("double") / (high - low)
+    by_id = cells + F.floor((q + F.least(F.greatest(within, F.lit(0.0)), F.lit(1 - 1e-9))) * (cells / (len(bounds) - 1)))
+    # six bytes of the text, the shorter ones filled up
+    start = F.conv(F.rpad(F.hex(F.substring(F.encode("text", "utf-8"), 1, 6)), 12, "0"), 16, 10).cast("long")
+    by_text = F.floor(start * (cells / 2.0**48))
+    return F.when(F.col("id") == NO_ID, by_text).otherwise(F.least(by_id, F.lit(2 * cells - 1))).cast("long")
+
+
+def _lenders(firsts: DataFrame) -> DataFrame:
+    """Rows of cells with ``lender``: the cell before, of those there are; of the first one, the last. In blocks, so that no task holds all cells."""
+    block = F.floor(F.col("range") / BLOCK).alias("block")
+    firsts = firsts.select("*", block)
+    before = F.lag("range").over(Window.partitionBy("block").orderBy("range"))
+    ends = firsts.groupBy("block").agg(F.max("range").alias("end"))
+    ends = ends.select("block", F.lag("end").over(Window.orderBy("block")).alias("earlier"), F.max("end").over(Window.partitionBy()).alias("last"))
+    return firsts.withColumn("before", before).join(ends, "block").withColumn("lender", F.coalesce("before", "earlier", "last")).drop("block", "before", "earlier", "last")
+
+
 def with_next(docs: DataFrame) -> DataFrame:
-    """Rows by ranges of ids, in order; each range ends with a borrowed copy of the row that follows.
+    """Rows by cells of ids, in order; each cell ends with a borrowed copy of the row that follows.
 
-    Text moves once. The last range borrows the first row of all.
+    Text moves once. The last cell borrows the first row of all. A task has the cells that a hash gives it, some of everywhere.
     """
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
         whole_text().alias("text"),
     )
-    known = F.when(F.col("id") != NO_ID, F.col("id"))
-    low, high, length = (x or 0 for x in rows.agg(F.min(known), F.max(known), F.sum(F.length("text"))).first())
+    length = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     ranges = max(1, -(-length // RANGE_CHARACTERS))
-    place = F.width_bucket(F.col("id").cast("double"), F.lit(float(low)), F.lit(float(high + 1)), F.lit(ranges))
-    rows = rows.withColumn("range", place)
-    firsts = stored(rows.groupBy("range").agg(F.min("id").alias("id")), "firsts")  # one row per range
-    in_order = Window.orderBy("range")
-    before = F.lag("range").over(in_order)
-    last = F.max("range").over(Window.partitionBy())
-    firsts = small(firsts.select("id", F.coalesce(before, last).alias("lender")))
-    rows = rows.join(firsts, "id", "left")
+    rows = rows.withColumn("range", _ranks(rows, ranges * CELLS)).withColumn("seal", F.xxhash64("text"))
+    first = F.min_by(F.struct("id", "seal"), F.struct("id", "text")).alias("first")
+    firsts = stored(rows.groupBy("range").agg(first).select("range", "first.*"), "firsts")
+    firsts = small(stored(_lenders(firsts).select("id", "seal", "lender"), "lenders"))
+    rows = rows.join(firsts, ["id", "seal"], "left")
     both = F.array(
         F.struct(F.col("range").alias("range"), F.lit(False).alias("borrowed")),
         F.struct(F.col("lender").alias("range"), F.lit(True).alias("borrowed")),

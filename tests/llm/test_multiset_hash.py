@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from hitledger.llm import multiset_hash as op
 
@@ -132,6 +133,24 @@ def test_many_ranges(table, monkeypatch):
     assert _found(table(*rows, partitions=7)) == _want(rows)
 
 
+@pytest.mark.parametrize("kind", ["far", "prefixed", "null", "repeated"])
+def test_uneven_ids_are_spread(table, monkeypatch, kind):
+    """One id far away, ids with a prefix in their high digits, a third without ids, some ids repeated."""
+    monkeypatch.setattr(op, "RANGE_CHARACTERS", 1000)
+    make = {
+        "far": lambda i: 2**62 if i == 7 else i,
+        "prefixed": lambda i: (i % 3) * 10**15 + i,
+        "null": lambda i: None if i % 3 == 0 else i,
+        "repeated": lambda i: i // 4,
+    }[kind]
+    rows = [(make(i), f"{i * 7919 % 1000:03d} text of some length. " * (1 + i % 5)) for i in range(400)]
+    docs = table(*rows, partitions=5)
+    assert _found(docs) == _want(rows)
+    per_task = op.with_next(docs).where("not borrowed").select(F.spark_partition_id().alias("p"), F.length("text").alias("n"))
+    sizes = [r.n for r in per_task.groupBy("p").agg(F.sum("n").alias("n")).collect()]
+    assert len(sizes) > 10 and max(sizes) < 6 * sum(sizes) / len(sizes)
+
+
 def test_one_row_and_none(table):
     assert _found(table((3, "A b. C d."))) == _want([(3, "A b. C d.")])
     assert op.fingerprint_edits(table((1, "a")).limit(0)).collect() == []
