@@ -12,7 +12,8 @@ The model has ``BUCKETS`` numbers per language, whatever the corpus size; more t
 ``MAX_LANGUAGES`` labels raise an error.
 
 Null texts and texts without a letter are ``und`` with score 0. A table without labels
-gives ``und`` for every row. Ties go to the label that sorts first.
+gives ``und`` for every row. Ties go to the label that sorts first. Repeated rows and ids are predicted alike and teach
+as often as they stand there; an empty table gives no rows. Texts of any length are counted and predicted whole.
 """
 
 from __future__ import annotations

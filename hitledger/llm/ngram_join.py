@@ -17,7 +17,8 @@ asked for, documents are first linked to the most typical of those with the same
 between classes is lost.
 
 Documents of equal text count as one; null texts, texts without words and empty tables
-have no n-grams and no partner. Rows that repeat an id are documents of their own; each gets a row.
+have no n-grams and no partner. Rows that repeat an id are documents of their own; each gets a row. A text of any length is
+hashed whole, in pieces; its n-grams stand in one row.
 """
 
 from __future__ import annotations

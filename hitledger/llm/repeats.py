@@ -18,7 +18,8 @@ has the whole window as its core, so splitting ends.
 
 Matches never cross documents; a document counts with itself, and overlapping occurrences count. Null and empty
 texts have no bytes. Rows that repeat are documents of their own. A row needs an id for its spans to be
-found again: rows with a null id are told apart from others by their text.
+found again: rows with a null id are told apart from others by their text. An empty table gives no rows. A text is held whole in
+one task, with about three bytes for each of its own in anchors and stretches; text of one byte over and over costs up to 400 a byte.
 """
 
 from __future__ import annotations

@@ -4,9 +4,10 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from hitledger.llm import mixing, queries
+from hitledger.llm import common, mixing, queries
 
 from . import brute
+from .conftest import AWKWARD
 
 SF = "/root/testdata/sf0.001"
 
@@ -66,3 +67,17 @@ def test_token_ids(stages):
 def test_run_gives_the_same(spark, stages):
     found = corpus_pipeline.run(spark, SF).toPandas()
     assert sorted(found.doc_id) == sorted(stages["token_ids"].doc_id)
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_take_awkward_rows(spark, table, empty):
+    """Nulls, repeated rows, long texts and columns with names that the stages use inside; and no rows at all."""
+    docs = table(*AWKWARD).where("false") if empty else table(*AWKWARD)
+    names = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = common.stored(stage(spark, docs, SF), name)
+        assert name == "token_ids" or docs.columns == names
+        if empty:
+            assert docs.isEmpty()
+    if not empty:
+        assert docs.count() > 0
