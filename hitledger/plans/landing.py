@@ -17,10 +17,10 @@ from hitledger.functions.grammar import REQUEST_REGEX, grammar_mark
 from hitledger.operators.files import MAX_DAYS, select_log_files
 from hitledger.operators.parse import BLANK, OUTCOMES, PARSED, match_lines, requests_and_rejects
 from hitledger.plans.store import FILE, LANDED_OK, REJECTED, STARTED, Derived, Store, bot_rollup, in_jobs
-from hitledger.schema import ACCESS_TABLE, DERIVED, LANDED, PLACE, REJECTS
+from hitledger.schema import ACCESS_TABLE, LANDED, PLACE, REJECTS
 from hitledger.sinks.access import append_rows, replace_files
 from hitledger.sources.bots import Bot
-from hitledger.sources.paths import file_system
+from hitledger.sources.paths import append_json, file_system
 from hitledger.sources.raw import list_files, raw_root, read_raw_lines, spread_lines
 
 
@@ -72,9 +72,7 @@ class Staged:
 
 def _note(spark: SparkSession, store: Store, rows: list[dict]) -> None:
     """Add to the record of files."""
-    names = LANDED.fieldNames()
-    table = spark.createDataFrame([tuple(row.get(name) for name in names) for row in rows], LANDED)
-    table.coalesce(1).write.mode("append").parquet(store.landed)
+    append_json(spark, store.landed, rows)
 
 
 def _known(spark: SparkSession, store: Store, names: Iterable[str]) -> dict[str, Row]:
@@ -147,7 +145,7 @@ def update_derived(
         replace_files(rows, store.path(table), table.schema, names, places)
     else:
         append_rows(rows.hint("rebalance", *[F.col(name) for name in PLACE]), store.path(table))
-    spark.createDataFrame([(n, loaded) for n in names], DERIVED).coalesce(1).write.mode("append").parquet(store.record(table))
+    append_json(spark, store.record(table), [{"source_file": n, "loaded": loaded} for n in names])
 
 
 def refresh_derived(spark: SparkSession, store: Store, table: Derived) -> None:

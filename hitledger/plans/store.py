@@ -95,6 +95,13 @@ class Store:
     def _read(self, spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         return read_or_empty(spark, path, schema, spark.read.schema(schema).parquet)
 
+    def _read_record(self, spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+        return read_or_empty(spark, path, schema, spark.read.schema(schema).json)
+
+    def read_attempts(self, spark: SparkSession) -> DataFrame:
+        """Every attempt at every file; ``read_landed`` has the last ones."""
+        return self._read_record(spark, self.landed, LANDED)
+
     def read_access(self, spark: SparkSession) -> DataFrame:
         return self._read(spark, self.access, ACCESS_TABLE)
 
@@ -111,7 +118,7 @@ class Store:
 
     def read_landed(self, spark: SparkSession, files: Iterable[str] | None = None) -> DataFrame:
         """The last attempt at each file, or at one job's files, with its ``status`` and the ``reason`` of a rejection."""
-        record = self._read(spark, self.landed, LANDED)
+        record = self._read_record(spark, self.landed, LANDED)
         if files is not None:
             record = record.where(F.col("source_file").isin(list(files)))
         # of one attempt, its end comes after its start
@@ -145,8 +152,8 @@ class Store:
 
     def missing(self, spark: SparkSession, derived: Derived) -> DataFrame:
         """Files whose last load is not in a derived table, ``source_file, log_date, bucket, loaded``. A later attempt that was rejected left that load in place."""
-        done = self._read(spark, self.record(derived), DERIVED)
-        record = self._read(spark, self.landed, LANDED).where(F.col("status").isin(LANDED_OK, EXPIRED))
+        done = self._read_record(spark, self.record(derived), DERIVED)
+        record = self._read_record(spark, self.landed, LANDED).where(F.col("status").isin(LANDED_OK, EXPIRED))
         last = record.groupBy("source_file").agg(F.max_by(F.struct(*record.columns), "loaded").alias("last")).select("last.*")
         landed = last.where(F.col("status") == LANDED_OK).select(*FILE, "loaded")
         return landed.join(done, ["source_file", "loaded"], "left_anti")

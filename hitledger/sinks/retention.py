@@ -61,7 +61,7 @@ def expire_store(spark: SparkSession, store: Store, as_of: date, keep_days: int,
         F.lit(None).cast("date").alias("first_date"), F.lit(None).cast("date").alias("last_date"),
     )
     if not held.isEmpty():
-        gone.write.mode("append").parquet(store.landed)
+        gone.write.mode("append").json(store.landed)
     for days in found:
         for day, folders in days.items():
             for folder in folders if day < limit else []:

@@ -11,11 +11,10 @@ from hitledger.functions.text import literal
 from hitledger.operators.classify import name_bots
 from hitledger.operators.report import bot_path_daily
 from hitledger.plans.store import Store
-from hitledger.schema import ACCESS_TABLE, LANDED, PLACE
+from hitledger.schema import ACCESS_TABLE, PLACE
 from hitledger.sinks.access import existing_places
 from hitledger.sources.bots import Bot
 from hitledger.sources.paths import qualified
-from hitledger.sources.table import read_or_empty
 
 
 def _quote(name: str) -> str:
@@ -59,7 +58,7 @@ def register_access_table(
 def _sync_partitions(spark: SparkSession, full: str, store: Store) -> None:
     properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {full}").collect()}
     since = int(properties.get(_MARK, 0))
-    record = read_or_empty(spark, store.landed, LANDED, spark.read.schema(LANDED).parquet).where(F.col("loaded") > since - _OVERLAP)
+    record = store.read_attempts(spark).where(F.col("loaded") > since - _OVERLAP)
     last = record.agg(F.max("loaded")).first()[0]
     if last is None or last == since:
         return
