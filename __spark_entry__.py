@@ -35,7 +35,8 @@ from hitledger.sources.table import read_access_csv
 from hitledger.streaming.daily_bots import read_daily_bots
 from hitledger.streaming.landing import stream_landing
 
-if importlib.util.find_spec("hitledger.llm"):  # the operators for training text come and go with their folder
+_training_text = importlib.util.find_spec("hitledger.llm")
+if _training_text and _training_text.origin:  # these operators come and go with their folder
     from hitledger.llm import queries as training
 else:
     training = None
