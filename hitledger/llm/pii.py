@@ -94,13 +94,13 @@ class Rewritten:
         self.starts = range(len(text)) if starts is None else starts
         self.ends = range(1, len(text) + 1) if ends is None else ends
 
-    def apply(self, pattern: re.Pattern, rule: Callable[[re.Match], list[tuple[str, int, int]] | None]) -> Rewritten:
-        """One transducer: ``rule`` gives (character, start, end) in this text, or None to copy."""
+    def apply(self, pattern: re.Pattern, rule: Callable[[re.Match], list[tuple[str, int, int]] | None], seen: str | None = None) -> Rewritten:
+        """One transducer: ``rule`` gives (character, start, end) in this text, or None to copy. ``seen``: the same in lower case, to look at instead."""
         out: list[str] = []
         starts: list[int] = []
         ends: list[int] = []
         done = 0
-        for m in pattern.finditer(self.text):
+        for m in pattern.finditer(self.text if seen is None else seen):
             pieces = rule(m)
             if pieces is None:
                 continue
@@ -168,7 +168,11 @@ _WORDS = _DIGITS | _SIGNS
 _WORD_ITEM = "|".join(sorted(_WORDS, key=len, reverse=True))
 _ITEM = rf"(?:(?:{_WORD_ITEM})(?![^\W\d_])|[0-9]|[+.])"
 #: At least four items, the first two words of digits not needed: digits and words may be mixed. A word for plus counts alone before a digit.
-_SPELLED = re.compile(rf"(?<![^\W_])(?:{_ITEM}(?:[\s,;_/-]*+{_ITEM}){{3,}}+|(?:plus|más|mas)[\s,;_/-]{{0,3}}(?=[0-9]))", re.I)
+#: For text in lower case, in which the first letter is quick to look at.
+_RUN = rf"(?:{_ITEM}(?:[\s,;_/-]*+{_ITEM}){{3,}}+|(?:plus|más|mas)[\s,;_/-]{{0,3}}(?=[0-9]))"
+_FIRST = "".join(sorted({word[0] for word in _WORDS}))
+_SPELLED = re.compile(rf"(?<![^\W_])(?=[0-9+.{_FIRST}]){_RUN}")
+_SPELLED_ANY_CASE = re.compile(rf"(?<![^\W_]){_RUN}", re.I)
 _SPELLED_ITEM = re.compile(rf"{_ITEM}", re.I)
 
 
@@ -215,7 +219,6 @@ _SHORT_AT = re.compile(rf"(?<=[A-Za-z0-9])[(\[{{<]a[)\]}}>](?={_NAME})", re.I)
 _PLAIN_AT = re.compile(
     r"(?<=[A-Za-z0-9])\s{1,3}(at|" + _AT_WORDS + r")\s{1,3}(?=([A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+))", re.I
 )
-_HAS_AT_WORD = re.compile(_AT_WORDS, re.I)
 #: Before ``at`` these end no address (fixed values).
 _COMMON = frozenset(
     """a an the and or but i me you he him she her it we us they them this that these those is are was were be been am being look looks looked
@@ -228,7 +231,7 @@ _PLAIN_DOT = re.compile(
     r"(?<=[A-Za-z0-9])\s{1,3}(?:dot\s{1,3}(?=[A-Za-z0-9])"
     r"|(?:punkt|punto|point)\s{1,3}(?=(?:com|org|net|edu|gov|info|io|de|fr|es|eu|uk|at|ch|it|mx|ar)\b))", re.I
 )
-_HAS_DOT_WORD = re.compile("dot|punkt|punto|point", re.I)
+_DOT_WORDS = ("dot", "punkt", "punto", "point")
 #: A space beside the sign: what follows must be a name and what comes before more than a number.
 _SPACED_AT = re.compile(rf"(?<=[A-Za-z0-9])(?:\s{{1,2}}@\s{{0,2}}|\s{{0,2}}@\s{{1,2}})(?={_NAME})")
 
@@ -269,16 +272,21 @@ def rewrite(text: str) -> Rewritten | None:
     out = Rewritten(text)
     if not text.isascii():
         out = out.apply(_FOREIGN, _plain_letter)
-    out = out.apply(_SPELLED, _spelled)
+    low = out.text.lower()
+    if len(low) == len(out.text):
+        out = out.apply(_SPELLED, _spelled, low)
+    else:  # letters that are two in lower case
+        out = out.apply(_SPELLED_ANY_CASE, _spelled)
     if _HAS_DOT.search(out.text):
         out = out.apply(_DOT, _sign("."))
-    if _HAS_DOT_WORD.search(out.text):
+    low = out.text.lower()
+    if any(word in low for word in _DOT_WORDS):
         out = out.apply(_PLAIN_DOT, _sign("."))
     if _HAS_AT.search(out.text):
         out = out.apply(_AT, _sign("@"))
-    if "a" in out.text:
+    if any(mark in low for mark in ("(a)", "[a]", "{a}", "<a>")):
         out = out.apply(_SHORT_AT, _sign("@"))
-    if out.text != text or _HAS_AT_WORD.search(text):  # otherwise no dot is rewritten
+    if out.text != text or any(word in low for word in _AT_WORDS.split("|")):  # otherwise no dot is rewritten
         out = out.apply(_PLAIN_AT, _plain_at(out, text))
     if "@" in out.text:
         out = out.apply(_SPACED_AT, _spaced_at)

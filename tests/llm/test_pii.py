@@ -147,6 +147,9 @@ def test_prices_versions_sections_and_times_are_left_alone(text):
         ("ip address 8 dot 8 dot 8 dot 8", "ip", "8 dot 8 dot 8 dot 8"),
         ("dns eight dot eight dot four dot four", "ip", "eight dot eight dot four dot four"),
         ("8[.]8[.]8[.]8", "ip", "8[.]8[.]8[.]8"),
+        ("ONE Nine TWO Dot one six eight DOT zero dot ONE", "ip", "ONE Nine TWO Dot one six eight DOT zero dot ONE"),
+        ("İİ ONE Nine TWO Dot one six eight DOT zero dot ONE", "ip", "ONE Nine TWO Dot one six eight DOT zero dot ONE"),
+        ("JANE ARROBA EXAMPLE PUNTO COM", "email", "JANE ARROBA EXAMPLE PUNTO COM"),
     ],
 )
 def test_disguises_in_four_languages(text, kind, part):
