@@ -105,25 +105,43 @@ def _subs(keys: np.ndarray, shift: int, n: int) -> np.ndarray:
     return (mix(keys >> np.uint64(shift)) % np.uint64(n)).astype(np.int64)
 
 
-def _distinct(keys: np.ndarray, trained: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, and how often each occurs in ``trained`` rows."""
+def _counted(keys: np.ndarray, trained: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, and how often each occurs in ``trained`` rows. Two plain sorts are quicker than one with places."""
     every = np.unique(keys)
     known, n = np.unique(keys[trained], return_counts=True)
-    counts = np.zeros(len(every), np.int64)
+    counts = np.zeros(len(every), np.uint32)
     counts[np.searchsorted(every, known)] = n
     return every, counts
 
 
+def _placed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, and the place of each key among them."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    first = np.ones(len(keys), bool)
+    first[1:] = ordered[1:] != ordered[:-1]
+    places = np.empty(len(keys), np.int32)
+    places[order] = np.cumsum(first, dtype=np.int32) - 1
+    return ordered[first], places
+
+
 class _Batch:
-    """Distinct grams and words of a batch, in the order in which they are asked: by part, then by key."""
+    """Distinct grams and words of a batch, in the order in which they are asked: by part, then by key.
 
-    def __init__(self, frame: pd.DataFrame, parts: int):
+    To ask, with their counts in training texts; to finish, with the place of every occurrence among them.
+    """
+
+    def __init__(self, frame: pd.DataFrame, parts: int, to_ask: bool):
         texts, train = list(frame["text"]), frame["train"].to_numpy(bool)
-        self.grams, self.gram_sizes = grams(texts)
-        self.words, self.word_sizes = words(texts)
-        self.gram_keys, self.gram_counts = _distinct(self.grams, np.repeat(train, self.gram_sizes))
-        keys = np.concatenate([self.words, np.full(len(texts), END_WORD)])
-        self.word_keys, self.word_counts = _distinct(keys, np.concatenate([np.repeat(train, self.word_sizes), train]))
+        grams_, self.gram_sizes = grams(texts)
+        words_, self.word_sizes = words(texts)
+        words_ = np.concatenate([words_, np.full(len(texts), END_WORD)])
+        if to_ask:
+            self.gram_keys, self.gram_counts = _counted(grams_, np.repeat(train, self.gram_sizes))
+            self.word_keys, self.word_counts = _counted(words_, np.concatenate([np.repeat(train, self.word_sizes), train]))
+        else:
+            self.gram_keys, self.gram_at = _placed(grams_)
+            self.word_keys, self.word_at = _placed(words_)
         self.gram_part, self.word_part = _subs(self.gram_keys, 8, parts), _subs(self.word_keys, 0, parts)
         self.gram_order = np.argsort(self.gram_part, kind="stable")
         self.word_order = np.argsort(self.word_part, kind="stable")
@@ -131,7 +149,7 @@ class _Batch:
 
 def _ask(parts: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        held = _Batch(frame, parts)
+        held = _Batch(frame, parts, to_ask=True)
         of_grams = np.searchsorted(held.gram_part[held.gram_order], np.arange(parts + 1))
         of_words = np.searchsorted(held.word_part[held.word_order], np.arange(parts + 1))
         rows = []
@@ -139,8 +157,8 @@ def _ask(parts: int):
             g = held.gram_order[of_grams[part] : of_grams[part + 1]]
             w = held.word_order[of_words[part] : of_words[part + 1]]
             rows.append((
-                part, int(frame["batch"].iloc[0]), pack_sorted(held.gram_keys[g]), pack(held.gram_counts[g].astype(np.uint32)),
-                pack_sorted(held.word_keys[w]), pack(held.word_counts[w].astype(np.uint32)),
+                part, int(frame["batch"].iloc[0]), pack_sorted(held.gram_keys[g]), pack(held.gram_counts[g]),
+                pack_sorted(held.word_keys[w]), pack(held.word_counts[w]),
             ))
         return pd.DataFrame(rows, columns=["part", "batch", "grams", "gram_counts", "words", "word_counts"])
 
@@ -206,7 +224,7 @@ def _answer(blocks: int):
 
 def _finish(parts: int):
     def run(_, frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        held = _Batch(frame, parts)
+        held = _Batch(frame, parts, to_ask=False)
         answers = answers.sort_values("part")
         lengths, totals = np.zeros(len(held.gram_keys)), np.zeros(len(held.word_keys), np.int64)
         lengths[held.gram_order] = np.concatenate([unpack(x, "<f4") for x in answers["lengths"]])
@@ -214,19 +232,18 @@ def _finish(parts: int):
         corpus, known = int(answers["tokens"].sum()), int(answers["known"].sum())
         logs = np.log10(totals + 0.5)
         whole = np.log10(corpus + 0.5 * (known + 1))
-        at_end = np.searchsorted(held.word_keys, END_WORD)
-        rows = []
-        gram_ends, word_ends = np.cumsum(held.gram_sizes), np.cumsum(held.word_sizes)
-        for i, (doc, train) in enumerate(zip(frame["id"], frame["train"])):
-            mine, n = np.unique(held.grams[gram_ends[i] - held.gram_sizes[i] : gram_ends[i]], return_counts=True)
-            score = float(n @ lengths[np.searchsorted(held.gram_keys, mine)])
-            mine, n = np.unique(held.words[word_ends[i] - held.word_sizes[i] : word_ends[i]], return_counts=True)
-            at = np.searchsorted(held.word_keys, mine)
-            tokens = int(held.word_sizes[i]) + 1
-            found = int(n @ (totals[at] > 0)) + int(totals[at_end] > 0)
-            base = float(n @ logs[at]) + logs[at_end] - tokens * whole
-            rows.append((doc, not train, tokens, found, corpus, base, score))
-        return pd.DataFrame(rows, columns=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        n = len(frame)
+        of_grams, of_words = np.repeat(np.arange(n), held.gram_sizes), np.r_[np.repeat(np.arange(n), held.word_sizes), np.arange(n)]
+        score = np.bincount(of_grams, lengths[held.gram_at], minlength=n)
+        found = np.bincount(of_words[totals[held.word_at] > 0], minlength=n)
+        tokens = held.word_sizes + 1
+        base = np.bincount(of_words, logs[held.word_at], minlength=n) - tokens * whole
+        return pd.DataFrame(
+            {
+                "id": frame["id"].to_numpy(), "held_out": ~frame["train"].to_numpy(bool), "n_tokens": tokens, "n_known": found,
+                "train_tokens": corpus, "base_score": base, "score": score,
+            }
+        )
 
     return run
 
