@@ -43,6 +43,12 @@ def test_equals_brute_force(table, monkeypatch, most):
     assert _found(table(*ROWS)) == want
 
 
+def test_any_number_is_an_id(table):
+    rows = [(i, t) for i in (-(2**63), 2**63 - 1, 0, None) for t in ("a short text", PASSAGE, _words(90) + PASSAGE)]
+    want = sorted((repr(r[0]), *b) for r, b in zip(rows, brute.repeats([r[1] for r in rows], op.LENGTH)))
+    assert _found(table(*rows)) == want
+
+
 def test_empty_table(table):
     assert op.remove_repeats(table((1, "a")).limit(0)).collect() == []
 
