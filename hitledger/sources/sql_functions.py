@@ -14,14 +14,14 @@ from hitledger.sources.bots import Bot
 
 
 def _typed_columns() -> dict[str, str]:
-    """The access-log columns from ``fields``, ``ts``, ``tz_offset``, ``tls`` and ``metrics``."""
-    columns = {n: g.field("fields", n) for n in g.FIELDS if n in ACCESS_LOG.fieldNames()}
+    """The access-log columns from ``core``, what a match gives, ``tls`` and ``metrics``."""
+    columns = {n: g.field("core.fields", n) for n in g.FIELDS if n in ACCESS_LOG.fieldNames()}
     return columns | {
-        "date": g.local_date(g.local_seconds("ts", "tz_offset")),
-        "ts": "ts",
-        "tz_offset": "tz_offset",
-        "status": f"try_cast({g.field('fields', 'status')} AS INT)",
-        "body_bytes_sent": g.byte_count(g.field("fields", "bytes")),
+        "date": g.local_date(g.local_seconds("core.ts", "core.tz_offset")),
+        "ts": "core.ts",
+        "tz_offset": "core.tz_offset",
+        "status": f"try_cast({g.field('core.fields', 'status')} AS INT)",
+        "body_bytes_sent": g.byte_count(g.field("core.fields", "bytes")),
         "tls": strip("tls"),
         "time1": g.number_at("metrics", 0),
         "time2": g.number_at("metrics", 1),
@@ -33,6 +33,11 @@ def _typed_columns() -> dict[str, str]:
     }
 
 
+def _bound(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for a value that is worked out once, wherever the optimizer moves the whole."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
 def register_functions(
     spark: SparkSession, prefix: str, bots: Sequence[Bot], regex: str = g.REQUEST_REGEX
 ) -> str:
@@ -44,7 +49,8 @@ def register_functions(
       no database before a table function, so ``USE`` the database first.
     - ``crawler_name(user_agent)``: the first entry of the list that matches, or null; ``crawler_is_llm(name)``.
 
-    Each function hands its values on to the next, so the pattern runs once per line.
+    The steps of the match are bound inside one expression. As columns of their own they would be put in place of their names
+    when a filter on the request moves below them, and the pattern would run once for each place.
     """
     database = f"`{re.sub(r'\W', '_', prefix, flags=re.ASCII)}_logs_db`"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -60,47 +66,34 @@ def register_functions(
     struct = "STRUCT<" + ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in fields) + ">"
     values = ", ".join(f"'{f.name}', {columns[f.name]}" for f in fields)
 
-    create("_text(line STRING)", "STRING", strip("make_valid_utf8(line)"))
-    create("_fields(main STRING)", "ARRAY<STRING>", g.request_fields("main", regex))
-    create("_instant(clock STRING, tz_offset STRING)", "TIMESTAMP", g.instant("clock", "tz_offset"))
-    create("_offset(clock STRING)", "STRING", g.utc_offset("zone").replace("zone", f"({g.zone('clock')})"))
-    create("_clock(clock STRING)", "STRING", g.single_spaced("clock"))
-    create(
-        "_request(fields ARRAY<STRING>, ts TIMESTAMP, tz_offset STRING, tls STRING, metrics ARRAY<STRING>)", struct,
-        f"CASE WHEN size(fields) = {len(g.FIELDS)} AND ts IS NOT NULL THEN named_struct({values}) END",
-    )
-    create(
-        "_timed(fields ARRAY<STRING>, clock STRING, tz_offset STRING, tls STRING, metrics ARRAY<STRING>)", struct,
-        call("_request", "fields", call("_instant", "clock", "tz_offset"), "tz_offset", "tls", "metrics"),
-    )
+    steps = {
+        "main": g.main_segment("text"), "fields": g.request_fields("main", regex), "clock": g.single_spaced(g.field("fields", "time")),
+        "zone": g.zone("clock"), "tz_offset": g.utc_offset("zone"), "ts": g.instant("clock", "tz_offset"),
+    }
+    text = strip("make_valid_utf8(line)")
+
+    def matched(body: str) -> str:
+        """``body`` over ``text`` and the steps, of which each is worked out once."""
+        for name, step in [*reversed(steps.items()), ("text", text)]:
+            body = _bound(name, step, body)
+        return body
+
+    core = "STRUCT<fields: ARRAY<STRING>, ts: TIMESTAMP, tz_offset: STRING, tail: STRING>"
+    parts = f"'fields', fields, 'ts', ts, 'tz_offset', tz_offset, 'tail', {g.after_segment('text', 'main')}"
+    whole = f"size(fields) = {len(g.FIELDS)}"
+    create("_matched(line STRING)", core, matched(f"CASE WHEN {whole} AND ts IS NOT NULL THEN named_struct({parts}) END"))
     create(
-        "_zoned(fields ARRAY<STRING>, clock STRING, tls STRING, metrics ARRAY<STRING>)", struct,
-        call("_timed", "fields", "clock", call("_offset", "clock"), "tls", "metrics"),
+        f"_request(core {core}, tls STRING, metrics ARRAY<STRING>)", struct,
+        f"CASE WHEN core IS NOT NULL THEN named_struct({values}) END",
     )
     # the third segment, of which the words are the metrics
-    metrics = words(f"coalesce({g.main_segment(g.after_segment('tail', 'tls'))}, '')")
-    create(
-        "_matched(fields ARRAY<STRING>, tail STRING, tls STRING)", struct,
-        call("_zoned", "fields", call("_clock", g.field("fields", "time")), "tls", metrics),
-    )
-    create("_tailed(fields ARRAY<STRING>, tail STRING)", struct, call("_matched", "fields", "tail", g.main_segment("tail")))
-    create(
-        "_split(text STRING, main STRING)", struct,
-        call("_tailed", call("_fields", "main"), g.after_segment("text", "main")),
-    )
-    create("_parsed(text STRING)", struct, call("_split", "text", g.main_segment("text")))
-    create("parse_line(line STRING)", struct, call("_parsed", call("_text", "line")))
-    create(
-        "_outcome(text STRING, fields ARRAY<STRING>, request STRUCT<ts: TIMESTAMP>)", "STRING",
-        f"""CASE WHEN coalesce(text, '') = '' THEN 'blank' WHEN request IS NOT NULL THEN 'parsed'
-            WHEN size(fields) = {len(g.FIELDS)} THEN 'time' ELSE 'regex' END""",
-    )
-    request = call("_parsed", "text")
-    create(
-        "_text_outcome(text STRING)", "STRING",
-        call("_outcome", "text", call("_fields", g.main_segment("text")), f"(CASE WHEN {request} IS NOT NULL THEN named_struct('ts', {request}.ts) END)"),
-    )
-    create("line_outcome(line STRING)", "STRING", call("_text_outcome", call("_text", "line")))
+    metrics = words(f"coalesce({g.main_segment(g.after_segment('core.tail', 'tls'))}, '')")
+    create(f"_tailed(core {core}, tls STRING)", struct, call("_request", "core", "tls", metrics))
+    create(f"_parsed(core {core})", struct, call("_tailed", "core", g.main_segment("core.tail")))
+    create("parse_line(line STRING)", struct, call("_parsed", call("_matched", "line")))
+    outcome = f"""CASE WHEN coalesce(text, '') = '' THEN 'blank' WHEN {whole} AND ts IS NOT NULL THEN 'parsed'
+        WHEN {whole} THEN 'time' ELSE 'regex' END"""
+    create("line_outcome(line STRING)", "STRING", matched(outcome))
     table = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
     create(
         "request_of_line(line STRING)", f"TABLE({table})",
