@@ -56,3 +56,17 @@ def test_names(spark, db, rows):
 def test_the_pattern_runs_once_per_line(spark, db, rows):
     text = spark.sql(f"SELECT {db}.parse_line(line) AS r FROM sql_lines")._jdf.queryExecution().executedPlan().toString()
     assert text.count("regexp_replace(") == 1
+
+
+@pytest.mark.parametrize(
+    "query",
+    [
+        "SELECT r.host, r.date, r.time1 FROM (SELECT {db}.parse_line(line) AS r FROM sql_lines) WHERE r IS NOT NULL",
+        "SELECT r.host, r.date, r.time1 FROM sql_lines AS t, LATERAL request_of_line(t.line) AS r",
+    ],
+)
+def test_a_filter_on_requests_does_not_multiply_the_pattern(spark, db, rows, query):
+    spark.sql(f"USE {db}")
+    text = spark.sql(query.format(db=db))._jdf.queryExecution().executedPlan().toString()
+    spark.sql("USE default")
+    assert 0 < text.count("regexp_replace(") <= 3  # a filter and the columns behind it
