@@ -621,3 +621,27 @@ def test_scratch_folder_follows_the_session():
     assert os.path.isdir(scratch_dir(FakeSession("local[2]", None), "x"))
     with pytest.raises(ValueError):
         scratch_dir(FakeSession("yarn", None), "x")
+
+
+def test_several_folders_are_landed_at_once(spark, root, monkeypatch):
+    store = Store(f"{root}/store")
+    raw = f"{root}/several/raw"
+    for day in ("01", "02", "03"):
+        put(f"{root}/several", f"2025-10-{day}", [request_line(time=f"{day}/Oct/2025:05:00:00 +0000")])
+    land_files(spark, raw, store, default_bots())
+    jobs = []
+    monkeypatch.setattr(landing, "land_listed", lambda *a, _land=landing.land_listed: jobs.append(len(a[1])) or _land(*a))
+    counts = land_files(spark, [f"{raw}/date=2025-10-01", f"{raw}/date=2025-10-03"], store, default_bots(), root=raw)
+    assert jobs == [2] and counts["parsed"] == 2
+    assert store.read_access(spark).count() == 3
+    assert land_files(spark, [], store, default_bots())["parsed"] == 0
+
+
+def test_a_file_of_some_megabytes_is_parsed_by_several_tasks(spark):
+    lines = spark.range(1000).selectExpr("concat('line ', id) AS line", "DATE'2025-10-01' AS log_date", "'a.gz' AS source_file", "4L << 20 AS file_size")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = spread_lines(lines).select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tasks > 1
