@@ -105,26 +105,63 @@ def _subs(keys: np.ndarray, shift: int, n: int) -> np.ndarray:
     return (mix(keys >> np.uint64(shift)) % np.uint64(n)).astype(np.int64)
 
 
+def _runs(ordered: np.ndarray) -> np.ndarray:
+    """Where a run of equal keys begins."""
+    first = np.ones(len(ordered), bool)
+    first[1:] = ordered[1:] != ordered[:-1]
+    return first
+
+
 def _counted(keys: np.ndarray, trained: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, and how often each occurs in ``trained`` rows. Two plain sorts are quicker than one with places."""
-    every = np.unique(keys)
-    known, n = np.unique(keys[trained], return_counts=True)
+    every = np.sort(keys)
+    every = every[_runs(every)]
+    known = np.sort(keys[trained])
+    starts = np.flatnonzero(_runs(known))
     counts = np.zeros(len(every), np.uint32)
-    counts[np.searchsorted(every, known)] = n
+    counts[np.searchsorted(every, known[starts])] = np.diff(starts, append=len(known))
     return every, counts
 
 
+#: Bits for the place of a key among those with the same upper bytes; the rest of the word holds the key's other five bytes.
+PLACE_BITS = 24
+
+
+def _ordered(keys: np.ndarray) -> np.ndarray:
+    """Places of the keys in their order. Keys of six bytes are dealt by the first and sorted as whole numbers together
+    with their place, which takes a fraction of the time of a sort of places."""
+    if not len(keys) or int(keys.max()) >> 48:
+        return np.argsort(keys)
+    upper = (keys >> np.uint64(40)).astype(np.uint8)
+    dealt = np.argsort(upper, kind="stable")
+    cuts = np.r_[0, np.cumsum(np.bincount(upper, minlength=256))]
+    if np.diff(cuts).max() >> PLACE_BITS:
+        return np.argsort(keys)
+    bits = np.uint64(PLACE_BITS)
+    both = keys[dealt] << bits  # the first byte falls out
+    for a, b in zip(cuts, cuts[1:]):
+        both[a:b] |= np.arange(b - a, dtype=np.uint64)
+        both[a:b].sort()
+        both[a:b] &= np.uint64((1 << PLACE_BITS) - 1)
+        both[a:b] += np.uint64(a)
+    return dealt[both.astype(np.int64)]
+
+
 def _placed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, and the place of each key among them."""
-    order = np.argsort(keys)
+    order = _ordered(keys)
     ordered = keys[order]
-    first = np.ones(len(keys), bool)
-    first[1:] = ordered[1:] != ordered[:-1]
+    first = _runs(ordered)
     places = np.empty(len(keys), np.int32)
     places[order] = np.cumsum(first, dtype=np.int32) - 1
     return ordered[first], places
 
 
+def _by_part(part: np.ndarray, parts: int) -> np.ndarray:
+    """Places in the order of their parts; numbers of two bytes are sorted by counting."""
+    return np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+
+
 class _Batch:
     """Distinct grams and words of a batch, in the order in which they are asked: by part, then by key.
 
@@ -143,8 +180,8 @@ class _Batch:
             self.gram_keys, self.gram_at = _placed(grams_)
             self.word_keys, self.word_at = _placed(words_)
         self.gram_part, self.word_part = _subs(self.gram_keys, 8, parts), _subs(self.word_keys, 0, parts)
-        self.gram_order = np.argsort(self.gram_part, kind="stable")
-        self.word_order = np.argsort(self.word_part, kind="stable")
+        self.gram_order = _by_part(self.gram_part, parts)
+        self.word_order = _by_part(self.word_part, parts)
 
 
 def _ask(parts: int):
@@ -172,7 +209,7 @@ def _merged(frame: pd.DataFrame, what: str) -> tuple[np.ndarray, np.ndarray, lis
 def _in_blocks(keys: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
     """Order of the keys by block of their last two context bytes, and where each block begins."""
     of = _subs(keys & np.uint64(0xFFFFFF), 8, blocks)
-    order = np.argsort(of, kind="stable")
+    order = _by_part(of, blocks)
     return order, np.searchsorted(of[order], np.arange(blocks + 1))
 
 

@@ -72,3 +72,27 @@ def test_nothing_to_learn_from(table):
     assert (row.n_known, row.train_tokens) == (0, 0)
     assert math.isclose(row.score, -3 * math.log10(255), rel_tol=1e-6)
     assert op.score_documents(table((1, "a")).limit(0), F.lit(False)).collect() == []
+
+
+def test_order_of_grams_without_a_sort_of_places(monkeypatch):
+    """Six-byte keys are sorted together with their places; wider keys, or too many with one first byte, by place."""
+    rng = np.random.default_rng(7)
+    six = rng.integers(0, 1 << 48, 5000, dtype=np.uint64)
+    edge = np.array([0, 1, (1 << 40) - 1, 1 << 40, (1 << 48) - 1], np.uint64)
+    cases = [six, np.repeat(six[:50], 60), np.concatenate([edge, edge, six]), op.grams(TEXTS)[0], six << np.uint64(16), six[:0], six[:1]]
+    for bits in (op.PLACE_BITS, 4):  # with four bits, sixteen places
+        monkeypatch.setattr(op, "PLACE_BITS", bits)
+        for keys in cases:
+            order = op._ordered(keys)
+            assert sorted(order.tolist()) == list(range(len(keys))) and (keys[order] == np.sort(keys)).all()
+            distinct, places = op._placed(keys)
+            assert (distinct == np.unique(keys)).all() and (distinct[places] == keys).all()
+
+
+def test_counts_of_batches():
+    rng = np.random.default_rng(8)
+    for keys in (rng.integers(0, 50, 2000, dtype=np.uint64), np.zeros(0, np.uint64)):
+        for trained in (keys % np.uint64(3) == 0, np.zeros(len(keys), bool), np.ones(len(keys), bool)):
+            every, counts = op._counted(keys, trained)
+            assert every.tolist() == sorted(set(keys.tolist()))
+            assert counts.tolist() == [int((keys[trained] == key).sum()) for key in every]
