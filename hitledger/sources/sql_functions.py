@@ -50,7 +50,9 @@ def register_functions(
     - ``crawler_name(user_agent)``: the first entry of the list that matches, or null; ``crawler_is_llm(name)``.
 
     The steps of the match are bound inside one expression. As columns of their own they would be put in place of their names
-    when a filter on the request moves below them, and the pattern would run once for each place.
+    when a filter on the request moves below them, and the pattern would run once for each place. The table function drops lines by a
+    generator, which may hold no other SQL function: beside a filter Spark would parse the distinct lines of the whole input and
+    join them to all lines.
     """
     database = f"`{re.sub(r'\W', '_', prefix, flags=re.ASCII)}_logs_db`"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -78,27 +80,19 @@ def register_functions(
             body = _bound(name, step, body)
         return body
 
-    core = "STRUCT<fields: ARRAY<STRING>, ts: TIMESTAMP, tz_offset: STRING, tail: STRING>"
     parts = f"'fields', fields, 'ts', ts, 'tz_offset', tz_offset, 'tail', {g.after_segment('text', 'main')}"
     whole = f"size(fields) = {len(g.FIELDS)}"
-    create("_matched(line STRING)", core, matched(f"CASE WHEN {whole} AND ts IS NOT NULL THEN named_struct({parts}) END"))
-    create(
-        f"_request(core {core}, tls STRING, metrics ARRAY<STRING>)", struct,
-        f"CASE WHEN core IS NOT NULL THEN named_struct({values}) END",
-    )
+    core = matched(f"CASE WHEN {whole} AND ts IS NOT NULL THEN named_struct({parts}) END")
     # the third segment, of which the words are the metrics
     metrics = words(f"coalesce({g.main_segment(g.after_segment('core.tail', 'tls'))}, '')")
-    create(f"_tailed(core {core}, tls STRING)", struct, call("_request", "core", "tls", metrics))
-    create(f"_parsed(core {core})", struct, call("_tailed", "core", g.main_segment("core.tail")))
-    create("parse_line(line STRING)", struct, call("_parsed", call("_matched", "line")))
+    request = _bound("tls", g.main_segment("core.tail"), _bound("metrics", metrics, f"named_struct({values})"))
+    requests = f"transform(filter(array({core}), core -> core IS NOT NULL), core -> {request})"  # one or none
+    create("parse_line(line STRING)", struct, f"get({requests}, 0)")
     outcome = f"""CASE WHEN coalesce(text, '') = '' THEN 'blank' WHEN {whole} AND ts IS NOT NULL THEN 'parsed'
         WHEN {whole} THEN 'time' ELSE 'regex' END"""
     create("line_outcome(line STRING)", "STRING", matched(outcome))
     table = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
-    create(
-        "request_of_line(line STRING)", f"TABLE({table})",
-        f"SELECT {', '.join(f'r.{f.name}' for f in fields)} FROM (SELECT {call('parse_line', 'line')} AS r) WHERE r IS NOT NULL",
-    )
+    create("request_of_line(line STRING)", f"TABLE({table})", f"SELECT inline({requests})")
     create("_name(agent STRING, folded STRING)", "STRING", agents.bot_name("agent", "folded", bots))
     create("_agent_name(agent STRING)", "STRING", call("_name", "agent", fold_case("agent")))
     create("crawler_name(user_agent STRING)", "STRING", call("_agent_name", agents.clean_agent("user_agent")))

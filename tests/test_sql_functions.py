@@ -70,3 +70,14 @@ def test_a_filter_on_requests_does_not_multiply_the_pattern(spark, db, rows, que
     text = spark.sql(query.format(db=db))._jdf.queryExecution().executedPlan().toString()
     spark.sql("USE default")
     assert 0 < text.count("regexp_replace(") <= 3  # a filter and the columns behind it
+
+
+def test_the_table_function_beside_lines_needs_no_join(spark, db, rows):
+    """Lines stay where they are: no shuffle of their text, and one match for each line, also of lines that repeat."""
+    spark.sql(f"USE {db}")
+    found = spark.sql("SELECT t.line, r.host, r.status FROM (SELECT * FROM sql_lines UNION ALL SELECT * FROM sql_lines) AS t, LATERAL request_of_line(t.line) AS r")
+    spark.sql("USE default")
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and "Exchange" not in text and "Aggregate" not in text
+    once = sum(1 for _ in parse_lines(rows).collect())
+    assert found.count() == 2 * once
