@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hitledger.functions import grammar
+from hitledger.functions.text import strip, strip_column, words, words_of_column
 from hitledger.operators.parse import count_outcomes, csv_rows, line_outcomes, parse_lines
 
 SAMPLES = [
@@ -206,3 +207,23 @@ def test_pattern_agrees_with_backtracking_form(spark, line):
         else:
             assert len(row.f) == 1, row.main
     assert 300 < matched < 2900
+
+
+def test_words_that_are_no_numbers_never_reach_the_cast(spark):
+    """A failing cast costs an exception per word; as a strict cast, which raises, it shows that none is tried."""
+    plain = ["-", "+", ".", "", "e", "1e", "+-1", "1.2.3", "1-", "--", "1.5d", "0x1p3", "MISS", "nan", "1_0", "١", None]
+    numbers = {"0.031": 0.031, "1.": 1.0, ".5": 0.5, "+1e3": 1000.0, "-2.5E-1": -0.25, "007": 7.0, "1e999": float("inf")}
+    words_ = spark.createDataFrame([([w],) for w in [*plain, *numbers, "-inf"]], "w array<string>")
+    strict = grammar.number_at("w", 0).replace("try_cast", "cast")
+    found = {row[0]: row[1] for row in words_.selectExpr("w[0]", strict).collect()}
+    assert {w: found[w] for w in numbers} == numbers and found["-inf"] == float("-inf")
+    assert all(found[w] is None for w in plain if w != "nan") and found["nan"] != found["nan"]
+    counts = spark.createDataFrame([("-",), ("12",), ("+3",)], "b string").selectExpr(grammar.byte_count("b").replace("try_cast", "cast"))
+    assert [row[0] for row in counts.collect()] == [-1, 12, 3]
+
+
+def test_columns_are_stripped_and_split_as_any_text(spark):
+    texts = ["", " ", "a", " a", "a ", "a b", " a", "a ", "\x1fa", "a\x1f b\t c", "　", "é", "é ", " é", "a b", "  a   b  ", "\x7f", "a\x00", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = frame.selectExpr(strip("t") + " AS a", strip_column("t") + " AS b", words("t") + " AS c", words_of_column("t") + " AS d")
+    assert all(row.a == row.b and row.c == row.d for row in rows.collect())
