@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -100,3 +101,26 @@ def test_maximal_repeats_with_all_their_places():
 def test_windows_that_repeat_are_found():
     texts = [b"abcdefgh", b"xxabcdexx", b"unrelated", b"yyyyyyyy"]
     assert op.with_repeats(texts, 5).tolist() == [0, 1, 3]
+
+
+def _shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_shuffles_of_written_steps_are_freed(spark, table):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    docs = table(*ROWS)
+    before, was = _shuffle_files(spark), spark.conf.get(setting, None)
+    op.remove_repeats(docs)
+    until = time.time() + 10  # files are removed beside the next step
+    while (left := _shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(setting, None) == was
+
+
+def test_stretches_of_one_kind_need_no_array():
+    twice = b"".join(b"%05d" % (i * 7919 % 99991) for i in range(100)) * 2
+    assert op._repeated_spans([1, 2], [5, 6], [twice, b"x" * 300]).empty
+    assert op._repeated_spans([1, 1], [5, 6], [twice, b"x" * 300]).stretch.tolist() == [5]
