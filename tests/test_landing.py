@@ -1,6 +1,7 @@
 import glob
 import gzip
 import os
+import random
 from datetime import date, datetime
 
 import pytest
@@ -645,3 +646,37 @@ def test_a_file_of_some_megabytes_is_parsed_by_several_tasks(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert tasks > 1
+
+
+def _tasks_of_landing(spark, monkeypatch, raw, store):
+    seen = []
+    spread = landing.spread_lines
+    monkeypatch.setattr(landing, "spread_lines", lambda *a, **k: seen.append(spread(*a, **k)) or seen[-1])
+    land_files(spark, raw, store)
+    return [frame.select(F.spark_partition_id()).distinct().count() for frame in seen]
+
+
+def test_tasks_that_match_lines_follow_the_size_of_the_raw_files(spark, root, tmp_path, monkeypatch):
+    rng = random.Random(5)
+    # 4 MB compressed, which as text is far below the size by which adaptive execution merges tasks
+    noisy = [request_line(agent="".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=400))) for _ in range(16_000)]
+    put(f"{tmp_path}/large", "2025-10-01", noisy)
+    assert _tasks_of_landing(spark, monkeypatch, f"{root}/raw", Store(f"{root}/store"))[0] == 1
+    assert _tasks_of_landing(spark, monkeypatch, f"{tmp_path}/large/raw", Store(f"{tmp_path}/large/store"))[0] >= 3
+
+
+def test_replayed_rows_are_moved_only_where_other_files_join_them(spark, tmp_path, monkeypatch):
+    for name in ("a.gz", "b.gz"):
+        put(tmp_path, "2025-10-01", [request_line(time=stamp("2025-10-01"))] * 3, name)
+    put(tmp_path, "2025-10-02", [request_line(time=stamp("2025-10-02"))] * 2, "c.gz")
+    store = Store(f"{tmp_path}/store", buckets=1)
+    land_files(spark, f"{tmp_path}/raw", store)
+    frame, moved = type(spark.range(1)), []
+    monkeypatch.setattr(frame, "hint", lambda self, name, *a, _hint=frame.hint: moved.append(name) or _hint(self, name, *a))
+    put(tmp_path, "2025-10-02", [request_line(time=stamp("2025-10-02"))] * 5, "c.gz")
+    assert land_new(spark, f"{tmp_path}/raw", store)["parsed"] == 5
+    assert moved == [] and store.read_access(spark).count() == 11
+    put(tmp_path, "2025-10-01", [request_line(time=stamp("2025-10-01"))] * 7, "b.gz")
+    assert land_new(spark, f"{tmp_path}/raw", store)["parsed"] == 7
+    assert moved == ["rebalance"]
+    assert {r.source_file[-4:]: r["count"] for r in store.read_access(spark).groupBy("source_file").count().collect()} == {"a.gz": 3, "b.gz": 7, "c.gz": 5}
