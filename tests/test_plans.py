@@ -5,6 +5,7 @@ import re
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as e
 from hitledger.operators import report as r
@@ -105,3 +106,13 @@ def test_reading_needs_no_shuffle(spark, tmp_path):
     with gzip.open(path, "wt") as f:
         f.writelines(request_line(agent=f"GPTBot {i}") + "\n" for i in range(30))
     assert "Exchange" not in plan(match_lines(read_raw_lines(spark, str(path))))
+
+
+def test_lines_of_a_site_are_made_after_the_one_shuffle_by_day(spark):
+    lines = e._site_lines(spark, SF)
+    text = plan(lines)
+    assert text.count("Exchange") == 1
+    assert "10.0." not in text[text.index("Exchange"):]  # events move, not lines
+    assert sorted(r.value for r in lines.collect()) == sorted(r.line for r in e._lines(spark, SF).collect())
+    days = lines.withColumn("task", F.spark_partition_id()).groupBy("date").agg(F.countDistinct("task").alias("tasks"))
+    assert {r.tasks for r in days.collect()} == {1}
