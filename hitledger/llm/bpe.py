@@ -4,7 +4,8 @@ A word's adjacent pairs sit at the leaves of a segment tree that keeps the small
 ``(rank, position)`` at its root. The root is the leftmost merge of lowest rank; a
 merge changes three leaves, each a logarithmic update. Words are independent: the different words
 of some texts that are not known yet are merged together, one step of all their trees at a time, and a
-task keeps the results, up to ``CACHE_WORDS`` of them. Very long words have a tree each.
+task keeps the results, up to ``CACHE_WORDS`` of them; beyond that the half that came first, in which the frequent words are, stays. Very long
+words have a tree each.
 
 Nulls are empty; an empty text has no ids. A text of any length is encoded whole. Repeated rows and ids are encoded
 alike, each for itself. An empty table gives no rows. Other columns are not read.
@@ -17,15 +18,18 @@ import hashlib
 import json
 import re
 import unicodedata
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from hitledger.llm.common import per_text
+from hitledger.llm.common import bounded_batches, per_text
 
 CACHE_WORDS = 400_000
+#: The same where ids are kept as bytes, beside other stages in the same workers, and the characters encoded at a time.
+BINARY_WORDS, BINARY_CHARACTERS = 150_000, 1_000_000
 #: Bytes of the longest words that are merged together, and words in one step.
 TOGETHER, AT_ONCE = 64, 8192
 _NONE = 1 << 62
@@ -83,9 +87,11 @@ Entry = tuple[int, str, str, bytes]
 
 
 class Vocabulary:
-    """Vocabulary, merges and special tokens of a tokenizer file with word ends."""
+    """Vocabulary, merges and special tokens of a tokenizer file with word ends. It keeps up to ``room`` words; without
+    ``decimals`` the ids in decimal are left empty."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, room: int | None = None, decimals: bool = True):
+        self.room, self.decimals = room, decimals
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
@@ -242,7 +248,8 @@ class Vocabulary:
         return [self.merge(self.symbols(word)) if found is None else found for word, found in zip(words, out)]
 
     def entry(self, ids: list[int]) -> Entry:
-        return len(ids), " ".join([self.decimal[i] for i in ids]), " ".join([self.names[i] for i in ids]), np.array(ids, self.width).tobytes()
+        decimal = " ".join([self.decimal[i] for i in ids]) if self.decimals else ""
+        return len(ids), decimal, " ".join([self.names[i] for i in ids]), np.array(ids, self.width).tobytes()
 
     def split(self, text: str) -> list[str]:
         """Words after normalisation: composed, lower case letter by letter, white space dropped."""
@@ -271,21 +278,18 @@ class Vocabulary:
         words = set().union(*rows)
         marks = {x for x in words if isinstance(x, tuple)}
         words -= marks
-        if len(self.cache) + len(words) > CACHE_WORDS:
-            self.cache.clear()
-        known = self.cache
-        new = [word for word in words if word not in known]
-        entries = dict(zip(new, map(self.entry, self.merge_words(new)))) if new else {}
-        if len(known) + len(entries) <= CACHE_WORDS:
-            known.update(entries)
-            entries = known
-        else:  # more words than are kept
-            entries |= known
+        entries = self.cache
+        new = [word for word in words if word not in entries]
+        if new:
+            entries.update(zip(new, map(self.entry, self.merge_words(new))))
         if marks:
             entries = entries | {mark: mark for mark in marks}
         out = [list(map(entries.__getitem__, row)) for row in rows]
         if self.gaps:  # bytes that the vocabulary lacks give words without ids
             out = [[e for e in row if e[0]] for row in out]
+        room = CACHE_WORDS if self.room is None else self.room
+        if len(self.cache) > room:
+            self.cache = dict(islice(self.cache.items(), room // 2))
         return out
 
     def encode_ids(self, text: str) -> list[int]:
@@ -356,7 +360,7 @@ def encode_binary(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids`` (16 bits each if the vocabulary allows, else 32) and the digest of the decoded text."""
 
     def make():
-        vocabulary = Vocabulary(path)
+        vocabulary = Vocabulary(path, BINARY_WORDS, decimals=False)
 
         def work(texts: list[str]) -> pd.DataFrame:
             out = []
@@ -367,4 +371,5 @@ def encode_binary(docs: DataFrame, path: str) -> DataFrame:
 
         return _uncollected(work)
 
-    return per_text(docs, make, "n_tokens long, ids binary, decoded_sha256 string")
+    bounded_batches(docs.sparkSession)
+    return per_text(docs, make, "n_tokens long, ids binary, decoded_sha256 string", BINARY_CHARACTERS)

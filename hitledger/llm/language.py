@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hitledger.llm.common import column_of_texts, per_text, whole_text
+from hitledger.llm.common import bounded_batches, column_of_texts, per_text, whole_text
 
 BUCKETS = 1 << 16
 MAX_LANGUAGES = 500
@@ -143,6 +143,8 @@ class LanguageModel:
         return out
 
 
+#: Characters of texts that are fitted at a time where whole rows are kept; what is held per character is many times the character.
+ROW_CHARACTERS = 500_000
 SCHEMA = "lang_pred string, score double, language_share double, languages string"
 
 
@@ -175,6 +177,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 def keep_languages(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> DataFrame:
     """``docs`` without texts that are ``und`` or less than ``least`` of a learned language; all columns as they were."""
-    found = column_of_texts(_maker(docs.sparkSession, model), SCHEMA)(whole_text()).alias("found")
+    bounded_batches(docs.sparkSession)
+    found = column_of_texts(_maker(docs.sparkSession, model), SCHEMA, ROW_CHARACTERS)(whole_text()).alias("found")
     rows = docs.select(F.struct("*").alias("row"), found)
     return rows.filter((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.language_share") >= least)).select("row.*")

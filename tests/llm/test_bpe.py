@@ -1,11 +1,13 @@
 import hashlib
 import random
 
+import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from hitledger.llm import bpe
+from hitledger.llm import bpe, common, language
 
 from .conftest import AWKWARD
 
@@ -61,6 +63,33 @@ def test_cache_of_words_is_bounded(own, monkeypatch):
     assert len(fresh.cache) <= 3
 
 
+def test_frequent_words_stay_when_the_cache_is_full(own):
+    fresh = bpe.Vocabulary(PATH, room=4, decimals=False)
+    fresh.encode_texts(["the"]), fresh.encode_texts(["of"]), fresh.encode_texts(["rare words come once"])
+    assert list(fresh.cache) == ["the", "of"]
+    assert [x[3] for x in fresh.encode_texts(["the rare of"])[0]] == [x[3] for x in own.encode_texts(["the rare of"])[0]]
+
+
+@pytest.mark.parametrize("stage", ["token_ids", "language_id"])
+def test_batches_of_long_texts_are_bounded(spark, stage):
+    """Ten thousand rows of whole texts in one batch were held by the executor and by Python, whatever their size."""
+    spark.conf.unset(common.BATCH_SETTING)
+    docs = spark.range(3000).selectExpr("id as doc_id", "repeat('word ', 1000) as text").coalesce(1)
+    if stage == "token_ids":
+        bpe.encode_binary(docs, PATH)
+    else:
+        language.keep_languages(docs, language.LanguageModel.of_counts([], np.zeros((0, language.BUCKETS))))
+    try:
+        size = common.per_text(docs, lambda: lambda texts: pd.DataFrame({"n": [sum(map(len, texts))] * len(texts)}), "n long", 1 << 30)
+        found = size.agg({"n": "max", "doc_id": "count"}).first()
+        assert found["max(n)"] <= common.BATCH_BYTES + 5000 and found["count(doc_id)"] == 3000
+        spark.conf.set(common.BATCH_SETTING, "1000")
+        common.bounded_batches(spark)
+        assert spark.conf.get(common.BATCH_SETTING) == "1000"
+    finally:
+        spark.conf.unset(common.BATCH_SETTING)
+
+
 def test_every_row(table, library):
     docs = table(*AWKWARD)
     digests = bpe.digest_documents(docs, PATH).collect()
